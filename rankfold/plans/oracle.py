@@ -126,3 +126,92 @@ ORACLE["metric_summary"] = metric_ctes() + """SELECT CAST(count(*) AS BIGINT) AS
   round(coalesce(avg(GAUCWeighted) FILTER (WHERE GAUC_valid), 0.0), 9) AS average_gauc_weighted,
   round(coalesce(avg(GAUCSimple) FILTER (WHERE GAUC_valid), 0.0), 9) AS average_gauc_simple
 FROM metrics"""
+
+
+# ---------------------------------------------------------------- slices and extracts
+_F3 = _SLICE + " AND typeId = 1776 AND userType = 'vk' AND recommenderId = 200"
+ORACLE["train_extract_topk"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, typeId, userType, recommenderId, navScreen, platform, formulaPath, viewTimeSec,
+       durationSeconds, score, array_to_string(events, ',') AS events_str, CAST(len(features) AS INTEGER) AS n_features
+FROM impressions WHERE {_F3} ORDER BY rid, pos LIMIT 500000"""
+
+ORACLE["slice_projection"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT navScreen, rid, array_to_string(events, ',') AS events_str, viewTimeSec, platform, score, formulaPath
+FROM impressions WHERE platform = 'vk_video_android' AND navScreen = 'video_for_you'
+  AND formulaPath = 'fstorage:vk_video_266_1769078359_f'"""
+
+ORACLE["event_pattern_label"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, CAST(coalesce(len(list_filter(events, lambda e: regexp_matches(e, 'action(Play|Like)'))) > 0, false)
+                      AND coalesce(CAST(viewTimeSec AS DOUBLE) >= 30.0, false) AS INTEGER) AS label
+FROM impressions"""
+
+
+# ---------------------------------------------------------------- targets and features
+def _ct_sql(v: str = "CAST(viewTimeSec AS DOUBLE)", d: str = "CAST(durationSeconds AS DOUBLE)") -> str:
+    from rankfold.functions import targets as T
+    regain = repr(T._TARGET_REGAIN)
+    nwt = (f"(CASE WHEN {d} > 7200.0 THEN 850.0 ELSE least({T.CT_QUAD!r} * {d} * {d} + {T.CT_LIN!r} * {d} "
+           f"+ {T.CT_CONST!r}, {d} / 2.0) END)")
+    cw = f"(0.01 * {nwt})"
+    nw = f"(({d} / ({d} - {nwt} + {cw})) * greatest({v} - {nwt}, {cw}))"
+    val = f"(least({nw}, 7200.0) * 12.0 / ((pow(least({d}, 7200.0), 0.25) + 1e-7) * {regain}))"
+    return f"CASE WHEN {v} > 0.0 AND {d} > 0.0 THEN {val} ELSE 0.0 END"
+
+
+_TRAIN_WHERE = ("typeId = 1776 AND userType = 'vk' AND recommenderId = 200 AND "
+                "coalesce(len(list_intersect(events, ['actionDislike','actionLike','watchCoverageRecord','card_view'])) > 0, false)")
+
+
+def _dense_sql(vocab, default="CAST(-3.4e38 AS FLOAT)", rnd=True, prefix="f_", src="features") -> str:
+    cols = []
+    for i, fid in enumerate(vocab):
+        last = f"list_filter({src}, lambda f: CAST(f[1] AS INTEGER) = {int(fid)})[-1][2]"
+        val = f"round({last}, 8)" if rnd else last
+        cols.append(f"coalesce(CAST({val} AS FLOAT), {default}) AS {prefix}{i}")
+    return ", ".join(cols)
+
+
+TARGET_CTES = f"""WITH {IMPRESSIONS_DUCKDB},
+tgt AS (
+  SELECT rid, pos, features,
+    CASE WHEN {_has('actionLike')} AND NOT {_has('actionUnlike')} THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS like_target,
+    CASE WHEN {_has('actionDislike')} AND NOT {_has('actionUndislike')} THEN CAST(0.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS dislike_target,
+    {_ct_sql()} AS consumption_time_target
+  FROM impressions WHERE {_TRAIN_WHERE}),
+tgt2 AS (SELECT *, 2.0 * (2.0 * like_target + dislike_target) + consumption_time_target AS label_value FROM tgt),
+ft AS (SELECT * FROM tgt2 WHERE len(list_distinct([like_target, dislike_target, consumption_time_target])) > 1),
+long AS (
+  SELECT rid, pos, 'like' AS name, like_target AS target, CAST(5.0 AS DOUBLE) AS weight FROM ft
+  UNION ALL SELECT rid, pos, 'dislike', dislike_target, CAST(14.0 AS DOUBLE) FROM ft
+  UNION ALL SELECT rid, pos, 'consumption_time', consumption_time_target, CAST(0.41 AS DOUBLE) FROM ft),
+pairs AS (
+  SELECT a.rid, a.name AS target, a.pos AS winner_pos, b.pos AS loser_pos, a.weight * (a.target - b.target) AS pair_weight,
+         a.target - b.target AS gap
+  FROM long a JOIN long b ON a.rid = b.rid AND a.name = b.name AND a.target > b.target
+  WHERE abs(a.weight * (a.target - b.target)) >= 1e-8)
+"""
+
+_TARGET_SELECT = """SELECT rid, pos, like_target, dislike_target, round(consumption_time_target, 9) AS consumption_time_target,
+  round(label_value, 9) AS label_value FROM """
+
+ORACLE["graded_targets"] = TARGET_CTES + _TARGET_SELECT + "tgt2"
+ORACLE["informative_rows"] = TARGET_CTES + _TARGET_SELECT + "ft"
+ORACLE["dense_features"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, {_dense_sql([2, 5, 1, 9])} FROM impressions"""
+ORACLE["features_text_roundtrip"] = TARGET_CTES + f"""SELECT rid, pos, round(label_value, 9) AS label_value,
+  {_dense_sql([2, 5, 1, 9])} FROM ft"""
+ORACLE["pair_table"] = TARGET_CTES + """SELECT rid, target, winner_pos, loser_pos, round(pair_weight, 9) AS pair_weight
+FROM pairs"""
+ORACLE["pair_totals"] = TARGET_CTES + """SELECT a.rid, a.name AS target, count(*) AS n_pairs,
+  round(sum(a.target - b.target), 9) AS total_raw_weight
+FROM long a JOIN long b ON a.rid = b.rid AND a.name = b.name AND a.target > b.target GROUP BY a.rid, a.name"""
+ORACLE["pair_export_roundtrip"] = TARGET_CTES + """, idx AS (SELECT rid, pos, row_number() OVER (ORDER BY rid, pos) - 1 AS row_index FROM ft)
+SELECT w.row_index AS winner, l.row_index AS loser, p.target, round(p.pair_weight, 9) AS pair_weight
+FROM pairs p JOIN idx w ON p.rid = w.rid AND p.winner_pos = w.pos JOIN idx l ON p.rid = l.rid AND p.loser_pos = l.pos"""
+ORACLE["win_labels"] = TARGET_CTES + """, wins AS (SELECT rid, winner_pos AS pos, count(*) AS wins FROM pairs GROUP BY ALL),
+mx AS (SELECT max(wins) AS m FROM wins)
+SELECT f.rid, f.pos, CAST(coalesce(w.wins, 0) AS BIGINT) AS wins,
+       CAST(CASE WHEN (SELECT m FROM mx) > 0 THEN coalesce(w.wins, 0) / (SELECT m FROM mx) ELSE coalesce(w.wins, 0) END AS FLOAT) AS win_label
+FROM ft f LEFT JOIN wins w ON f.rid = w.rid AND f.pos = w.pos"""
+ORACLE["group_sizes"] = TARGET_CTES + """SELECT rid, row_number() OVER (ORDER BY rid) - 1 AS group_id, size
+FROM (SELECT rid, count(*) AS size FROM ft GROUP BY rid)"""

@@ -98,3 +98,132 @@ def q_metric_summary(spark, sf_dir):
     one = evaluate(impressions(spark, sf_dir))["summary"]
     return one.select("total_targets", "targets_with_valid_auc", "targets_with_valid_gauc",
                       *[r9(c).alias(c) for c in ("average_auc", "average_gauc_weighted", "average_gauc_simple")])
+
+
+# ---------------------------------------------------------------- slices and extracts
+from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, NAV_VIDEO_FOR_YOU,  # noqa: E402
+                             PLATFORM_VK_VIDEO_ANDROID)
+from rankfold.sources import extracts as X  # noqa: E402
+
+
+@register("train_extract_topk")
+def q_train_extract_topk(spark, sf_dir):
+    """12-column training extract, first 500,000 rows by (rid, pos)."""
+    ext = X.training_extract(impressions(spark, sf_dir), limit=500_000)
+    return ext.select("rid", "pos", "typeId", "userType", "recommenderId", "navScreen", "platform", "formulaPath",
+                      "viewTimeSec", "durationSeconds", "score",
+                      F.array_join("events", ",").alias("events_str"), F.size("features").alias("n_features"))
+
+
+@register("slice_projection")
+def q_slice_projection(spark, sf_dir):
+    """Three equalities, seven columns."""
+    out = X.slice_projection(impressions(spark, sf_dir), platform=PLATFORM_VK_VIDEO_ANDROID,
+                             nav_screen=NAV_VIDEO_FOR_YOU, formula_path=DEFAULT_FORMULA_PATH)
+    return out.select("navScreen", "rid", F.array_join("events", ",").alias("events_str"), "viewTimeSec",
+                      "platform", "score", "formulaPath")
+
+
+@register("event_pattern_label")
+def q_event_pattern_label(spark, sf_dir):
+    """Regex event label with a watch-time threshold."""
+    from rankfold.functions.labels import pattern_label_expr
+    imp = impressions(spark, sf_dir)
+    return imp.select("rid", "pos", pattern_label_expr("action(Play|Like)", 30).alias("label"))
+
+
+# ---------------------------------------------------------------- targets and features
+from rankfold.operators import features as FT  # noqa: E402
+from rankfold.operators import pairs as PR  # noqa: E402
+
+WEIGHTS = (5.0, 14.0, 0.41)
+VOCAB = [2, 5, 1, 9]
+
+
+def _feature_table(spark, sf_dir, vocab=VOCAB, keep_informative_only=True):
+    return FT.feature_table(impressions(spark, sf_dir), vocab, *WEIGHTS,
+                            keep_informative_only=keep_informative_only)
+
+
+def _target_cols(df):
+    return df.select("rid", "pos", "like_target", "dislike_target",
+                     r9("consumption_time_target").alias("consumption_time_target"),
+                     r9("label_value").alias("label_value"))
+
+
+@register("graded_targets")
+def q_graded_targets(spark, sf_dir):
+    """Targets on the training slice."""
+    return _target_cols(FT.with_graded_targets(FT.training_slice(impressions(spark, sf_dir))))
+
+
+@register("informative_rows")
+def q_informative_rows(spark, sf_dir):
+    """Rows whose three targets are not all equal."""
+    return _target_cols(_feature_table(spark, sf_dir))
+
+
+def _vector_cols(df, col="features", n=len(VOCAB), prefix="f_"):
+    return [F.col(col)[i].alias(f"{prefix}{i}") for i in range(n)]
+
+
+@register("dense_features")
+def q_dense_features(spark, sf_dir):
+    """Dense float vectors by vocabulary [2, 5, 1, 9], default -3.4e38."""
+    from rankfold.functions.vectors import dense_vector, enable_last_win
+    enable_last_win(spark)
+    imp = impressions(spark, sf_dir).select("rid", "pos", dense_vector("features", VOCAB).alias("features"))
+    return imp.select("rid", "pos", *_vector_cols(imp))
+
+
+@register("features_text_roundtrip")
+def q_features_text_roundtrip(spark, sf_dir):
+    """Typed vector -> tab text -> vector; must equal the typed vector."""
+    from rankfold.functions.vectors import text_to_vector, text_width, vector_to_text
+    ft = _feature_table(spark, sf_dir)
+    text = ft.select("rid", "pos", vector_to_text("label_value", "features").alias("value"))
+    n = text.select(text_width("value").alias("w")).agg(F.min("w"), F.max("w")).first()
+    if n[0] != n[1]:
+        raise ValueError(f"ragged text rows: widths {n[0]}..{n[1]}")
+    back = text.select("rid", "pos", F.split("value", "\t")[0].try_cast("double").alias("label_value"),
+                       text_to_vector("value", int(n[0] or 0)).alias("features"))
+    return back.select("rid", "pos", r9("label_value").alias("label_value"), *_vector_cols(back))
+
+
+# ---------------------------------------------------------------- pairs
+@register("pair_table")
+def q_pair_table(spark, sf_dir):
+    """Weighted winner/loser pairs (weights 5 / 14 / 0.41)."""
+    p = PR.pair_table(_feature_table(spark, sf_dir))
+    return p.select("rid", "target", "winner_pos", "loser_pos", r9("pair_weight").alias("pair_weight"))
+
+
+@register("pair_totals")
+def q_pair_totals(spark, sf_dir):
+    """Pair count and total raw weight per (session, target)."""
+    t = PR.pair_totals(_feature_table(spark, sf_dir))
+    return t.select("rid", "target", "n_pairs", r9("total_raw_weight").alias("total_raw_weight"))
+
+
+@register("pair_export_roundtrip")
+def q_pair_export_roundtrip(spark, sf_dir):
+    """Pairs exported with global row indices, parsed back."""
+    ft = _feature_table(spark, sf_dir)
+    idx = PR.row_index(ft)
+    n = idx.count()
+    back = PR.import_pairs(PR.export_pairs(PR.pair_table(ft), idx), n)
+    return back.select("winner", "loser", "target", r9("pair_weight").alias("pair_weight"))
+
+
+@register("win_labels")
+def q_win_labels(spark, sf_dir):
+    """Wins per row over all targets / max wins."""
+    ft = _feature_table(spark, sf_dir)
+    return PR.win_labels(ft, PR.pair_table(ft)).select("rid", "pos", "wins", "win_label")
+
+
+@register("group_sizes")
+def q_group_sizes(spark, sf_dir):
+    """P10: dense group ids of the sorted sessions and their sizes."""
+    ids, _ = PR.group_sizes(_feature_table(spark, sf_dir))
+    return ids.select("rid", "group_id", "size")
