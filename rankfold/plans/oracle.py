@@ -215,3 +215,47 @@ SELECT f.rid, f.pos, CAST(coalesce(w.wins, 0) AS BIGINT) AS wins,
 FROM ft f LEFT JOIN wins w ON f.rid = w.rid AND f.pos = w.pos"""
 ORACLE["group_sizes"] = TARGET_CTES + """SELECT rid, row_number() OVER (ORDER BY rid) - 1 AS group_id, size
 FROM (SELECT rid, count(*) AS size FROM ft GROUP BY rid)"""
+
+
+# ---------------------------------------------------------------- matrices and feature statistics
+_VALID_PAIRS = "list_filter(features, lambda f: len(f) >= 2 AND f[1] IS NOT NULL AND f[2] IS NOT NULL)"
+ORACLE["dense_matrix"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, {_dense_sql(range(8), default="CAST(0.0 AS FLOAT)", rnd=False, prefix="feat_")} FROM impressions"""
+ORACLE["matrix_health"] = f"""WITH {IMPRESSIONS_DUCKDB},
+m AS (SELECT {_dense_sql(range(8), default="CAST(0.0 AS FLOAT)", rnd=False, prefix="feat_")} FROM impressions),
+cells AS (SELECT unnest(range(8)) AS i, unnest([feat_0, feat_1, feat_2, feat_3, feat_4, feat_5, feat_6, feat_7]) AS v FROM m),
+percol AS (SELECT i, sum(CASE WHEN v <> 0 THEN 1 ELSE 0 END) AS nz FROM cells GROUP BY i),
+rows_ AS (SELECT count(*) AS n FROM impressions)
+SELECT CAST(sum(nz) AS BIGINT) AS non_zero, CAST((SELECT n FROM rows_) * 8 AS BIGINT) AS total_cells,
+       round(sum(nz) / ((SELECT n FROM rows_) * 8), 9) AS non_zero_share,
+       CAST(count(*) FILTER (WHERE nz > 0) AS INTEGER) AS used_features,
+       array_to_string(list_sort(list(i) FILTER (WHERE nz = 0))[1:10], ',') AS unused_first10
+FROM percol"""
+_PAIRS_SQL = f"""p AS (SELECT CAST(f[1] AS INTEGER) AS feature_id, f[2] AS value
+  FROM (SELECT unnest({_VALID_PAIRS}) AS f FROM impressions))"""
+ORACLE["feature_profile"] = f"""WITH {IMPRESSIONS_DUCKDB}, {_PAIRS_SQL}
+SELECT feature_id, count(*) AS count, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std,
+       round(min(value), 6) AS min, round(max(value), 6) AS max
+FROM p WHERE feature_id < 256 GROUP BY feature_id"""
+ORACLE["feature_totals"] = f"""WITH {IMPRESSIONS_DUCKDB}, {_PAIRS_SQL}
+SELECT count(*) AS total_rows, CAST(sum(len(features)) AS BIGINT) AS total_feature_pairs,
+       round(sum(len(features)) / count(*), 9) AS avg_pairs_per_row,
+       (SELECT CAST(max(feature_id) AS INTEGER) FROM p) AS max_feature_index
+FROM impressions"""
+ORACLE["frequent_features"] = f"""WITH {IMPRESSIONS_DUCKDB},
+p AS (SELECT CAST(f[1] AS INTEGER) AS feature_id
+  FROM (SELECT unnest(list_filter(features, lambda f: len(f) >= 2 AND f[1] IS NOT NULL)) AS f FROM impressions))
+SELECT feature_id, count(*) AS n FROM p GROUP BY feature_id HAVING count(*) >= 10 ORDER BY feature_id LIMIT 500"""
+ORACLE["selected_matrix_train_test"] = f"""WITH {IMPRESSIONS_DUCKDB},
+vocab AS (
+  SELECT list(feature_id ORDER BY feature_id) AS ids FROM (
+    SELECT CAST(f[1] AS INTEGER) AS feature_id
+    FROM (SELECT unnest(list_filter(features, lambda f: len(f) >= 2 AND f[1] IS NOT NULL)) AS f
+          FROM impressions WHERE day < DATE '1995-06-17')
+    GROUP BY 1 HAVING count(*) >= 10 ORDER BY 1 LIMIT 4)),
+test AS (SELECT * FROM impressions, vocab WHERE day >= DATE '1995-06-17')
+SELECT rid, pos,
+  CAST(coalesce(len(list_filter(events, lambda e: regexp_matches(e, 'actionPlay'))) > 0, false) AS INTEGER) AS label,
+  {", ".join(f"coalesce(CAST(list_filter({_VALID_PAIRS}, lambda f: CAST(f[1] AS INTEGER) = ids[{k + 1}])[-1][2] AS FLOAT), CAST(0.0 AS FLOAT)) AS x_{k}" for k in range(4))},
+  array_to_string(ids, ',') AS feature_ids
+FROM test"""

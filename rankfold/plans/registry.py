@@ -227,3 +227,59 @@ def q_group_sizes(spark, sf_dir):
     """P10: dense group ids of the sorted sessions and their sizes."""
     ids, _ = PR.group_sizes(_feature_table(spark, sf_dir))
     return ids.select("rid", "group_id", "size")
+
+
+# ---------------------------------------------------------------- matrices and feature statistics
+from rankfold.operators import matrices as MX  # noqa: E402
+
+MATRIX_WIDTH = 8
+SPLIT_DAY = "1995-06-17"
+
+
+@register("dense_matrix")
+def q_dense_matrix(spark, sf_dir):
+    """B1: dense matrix by raw id, 0 <= id < 8, default 0.0."""
+    m = MX.dense_matrix(impressions(spark, sf_dir), MATRIX_WIDTH)
+    return m.select("rid", "pos", *_vector_cols(m, n=MATRIX_WIDTH, prefix="feat_"))
+
+
+@register("matrix_health")
+def q_matrix_health(spark, sf_dir):
+    """B2: non-zero cells, share, used columns, first unused ids."""
+    h = MX.matrix_health(MX.dense_matrix(impressions(spark, sf_dir), MATRIX_WIDTH), MATRIX_WIDTH)
+    return h.select("non_zero", "total_cells", r9("non_zero_share").alias("non_zero_share"), "used_features",
+                    F.array_join(F.col("unused_first10").cast("array<string>"), ",").alias("unused_first10"))
+
+
+@register("feature_profile")
+def q_feature_profile(spark, sf_dir):
+    """Per-id count, mean, population std, min, max (ids < 256)."""
+    _, per_id = MX.feature_profile(impressions(spark, sf_dir))
+    return per_id.select("feature_id", "count", r6("mean").alias("mean"), r6("std").alias("std"),
+                         r6("min").alias("min"), r6("max").alias("max"))
+
+
+@register("feature_totals")
+def q_feature_totals(spark, sf_dir):
+    """Rows, total pairs, pairs per row, max feature id."""
+    totals, _ = MX.feature_profile(impressions(spark, sf_dir))
+    return totals.select("total_rows", "total_feature_pairs", r9("avg_pairs_per_row").alias("avg_pairs_per_row"),
+                         "max_feature_index")
+
+
+@register("frequent_features")
+def q_frequent_features(spark, sf_dir):
+    """Ids with >= 10 pairs, the 500 lowest."""
+    return MX.frequent_features(impressions(spark, sf_dir), 10, 500).select("feature_id", "n")
+
+
+@register("selected_matrix_train_test")
+def q_selected_matrix_train_test(spark, sf_dir):
+    """Vocabulary (4 lowest frequent ids) fitted on the early days,
+    applied to the later days; label = actionPlay pattern."""
+    imp = impressions(spark, sf_dir)
+    train = imp.where(F.col("day") < F.lit(SPLIT_DAY).cast("date"))
+    test = imp.where(F.col("day") >= F.lit(SPLIT_DAY).cast("date"))
+    _, x_test, ids = MX.train_test_split(train, test, "actionPlay", max_features=4, wide=False)
+    return x_test.select("rid", "pos", "label", *_vector_cols(x_test, n=len(ids), prefix="x_"),
+                         F.lit(",".join(str(i) for i in ids)).alias("feature_ids"))
