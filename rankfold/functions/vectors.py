@@ -12,8 +12,10 @@ from rankfold.config import BIG_NEGATIVE, Cols
 
 
 def enable_last_win(spark: SparkSession) -> None:
-    """Duplicate feature ids: the last pair wins (the default policy raises)."""
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    """Kept for callers: :func:`feature_map` no longer depends on the
+    session's ``spark.sql.mapKeyDedupPolicy`` (which RDD-based ML jobs do not
+    see), duplicates are resolved inside the expression."""
+    return None
 
 
 def _valid_pairs(features: str | Column) -> Column:
@@ -25,24 +27,61 @@ def _valid_pairs(features: str | Column) -> Column:
 
 
 def feature_map(features: str | Column = Cols.FEATURES, round_digits: int | None = 8) -> Column:
-    """``map<int, double>`` of the valid pairs (last duplicate wins; needs
-    :func:`enable_last_win`).  Ids are truncated to int like ``int(x)``."""
-    def entry(f):
+    """``map<int, double>`` of the valid pairs.  Ids are truncated to int
+    like ``int(x)``; for a repeated id the last pair wins: entries are sorted
+    by (id, position) and only the last entry of each id run is kept, so the
+    map never sees a duplicate key (O(L log L) per row, no session setting)."""
+    def entry(f, i):
         v = F.get(f, 1).try_cast("double")
         if round_digits is not None:
             v = F.round(v, round_digits)
-        return F.struct(F.get(f, 0).try_cast("double").try_cast("int").alias("k"), v.alias("v"))
-    entries = F.transform(_valid_pairs(features), entry)
-    entries = F.filter(entries, lambda e: e["k"].isNotNull())
-    return F.map_from_entries(entries)
+        return F.struct(F.get(f, 0).try_cast("double").try_cast("int").alias("k"), i.alias("i"), v.alias("v"))
+    entries = F.filter(F.transform(_valid_pairs(features), entry), lambda e: e["k"].isNotNull())
+    srt = F.array_sort(entries)
+    nxt = F.slice(srt, 2, F.greatest(F.size(srt) - 1, F.lit(0)))
+    last = F.zip_with(srt, nxt, lambda a, b: F.when(b.isNull() | (b["k"] != a["k"]), a))
+    kept = F.filter(last, lambda e: e.isNotNull())
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))))
+
+
+def _entries(features: str | Column, round_digits: int | None) -> Column:
+    """Valid pairs as ``struct<k:int, kind:int, i:int, v:double>`` (kind 0)."""
+    def entry(f, i):
+        v = F.get(f, 1).try_cast("double")
+        if round_digits is not None:
+            v = F.round(v, round_digits)
+        return F.struct(F.get(f, 0).try_cast("double").try_cast("int").alias("k"), F.lit(0).alias("kind"),
+                        i.alias("i"), v.alias("v"))
+    return F.filter(F.transform(_valid_pairs(features), entry), lambda e: e["k"].isNotNull())
 
 
 def dense_vector(features: str | Column, vocab: Sequence[int], default: float = BIG_NEGATIVE,
                  round_digits: int | None = 8) -> Column:
-    """``array<float>`` in vocabulary order; missing ids -> ``default``."""
-    m = feature_map(features, round_digits)
-    ids = F.array(*[F.lit(int(i)) for i in vocab]) if vocab else F.array().cast("array<int>")
-    return F.transform(ids, lambda i: F.coalesce(F.try_element_at(m, i), F.lit(float(default))).cast("float"))
+    """``array<float>`` in vocabulary order; missing ids -> ``default``;
+    for a repeated id the last pair wins.
+
+    One sort per row merges the row's pairs with the vocabulary: the vocabulary
+    contributes ``(id, kind=1, position)`` entries, which sort after every pair
+    with the same id, so the element just before a vocabulary entry is the last
+    pair for that id (if any).  O((L + V) log(L + V)) per row, no map lookups.
+    """
+    vocab = [int(i) for i in vocab]
+    if len(set(vocab)) != len(vocab):
+        raise ValueError("vocabulary ids must be unique (one position per id)")
+    if not vocab:
+        return F.array().cast("array<float>")
+    voc = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(1).alias("kind"), F.lit(p).alias("i"),
+                             F.lit(None).cast("double").alias("v")) for p, k in enumerate(vocab)])
+    srt = F.array_sort(F.concat(_entries(features, round_digits), voc))
+    prev = F.concat(F.array(F.lit(None).cast("struct<k:int,kind:int,i:int,v:double>")),
+                    F.slice(srt, 1, F.greatest(F.size(srt) - 1, F.lit(0))))
+    dflt = F.lit(float(default))
+    picked = F.zip_with(prev, srt, lambda b, a: F.when(
+        a["kind"] == 1,
+        F.struct(a["i"].alias("p"),
+                 F.when(b.isNotNull() & (b["k"] == a["k"]) & (b["kind"] == 0), b["v"]).otherwise(dflt).alias("v"))))
+    out = F.array_sort(F.filter(picked, lambda x: x.isNotNull()))
+    return F.transform(out, lambda x: x["v"].cast("float"))
 
 
 def index_vector(features: str | Column, num_features: int) -> Column:

@@ -22,7 +22,8 @@ def unnest_targets(features: DataFrame, session_col: str = Cols.RID) -> DataFram
                            F.inline("targets")).where(F.col("rid").isNotNull())
 
 
-def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool = False) -> DataFrame:
+def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool = False,
+               min_abs_weight: float = MIN_PAIR_WEIGHT) -> DataFrame:
     """P3 + P6 (+ P5 when ``normalize``): ``rid, target, winner_pos, loser_pos,
     pair_weight`` for every pair with different targets and |weight| >= 1e-8.
     ``pair_weight = weight * |t_winner - t_loser|``."""
@@ -38,7 +39,7 @@ def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool
         from pyspark.sql import Window
         total = F.sum("gap").over(Window.partitionBy("rid", "target"))
         out = out.withColumn("pair_weight", F.col("pair_weight") / total)
-    return out.where(F.abs(F.col("pair_weight")) >= F.lit(MIN_PAIR_WEIGHT)).drop("gap")
+    return out.where(F.abs(F.col("pair_weight")) >= F.lit(float(min_abs_weight))).drop("gap")
 
 
 def pair_totals(features: DataFrame, session_col: str = Cols.RID) -> DataFrame:

@@ -251,11 +251,27 @@ vocab AS (
   SELECT list(feature_id ORDER BY feature_id) AS ids FROM (
     SELECT CAST(f[1] AS INTEGER) AS feature_id
     FROM (SELECT unnest(list_filter(features, lambda f: len(f) >= 2 AND f[1] IS NOT NULL)) AS f
-          FROM impressions WHERE day < DATE '1995-06-17')
+          FROM impressions WHERE day < DATE '1998-04-25')
     GROUP BY 1 HAVING count(*) >= 10 ORDER BY 1 LIMIT 4)),
-test AS (SELECT * FROM impressions, vocab WHERE day >= DATE '1995-06-17')
+test AS (SELECT * FROM impressions, vocab WHERE day >= DATE '1998-04-25')
 SELECT rid, pos,
   CAST(coalesce(len(list_filter(events, lambda e: regexp_matches(e, 'actionPlay'))) > 0, false) AS INTEGER) AS label,
   {", ".join(f"coalesce(CAST(list_filter({_VALID_PAIRS}, lambda f: CAST(f[1] AS INTEGER) = ids[{k + 1}])[-1][2] AS FLOAT), CAST(0.0 AS FLOAT)) AS x_{k}" for k in range(4))},
   array_to_string(ids, ',') AS feature_ids
 FROM test"""
+
+
+# ---------------------------------------------------------------- fixed-coefficient scoring
+def _score_sql() -> str:
+    coef = [0.05, -2.0, 3.0, 0.01, 0.0005]
+    terms = []
+    for k, (fid, c) in enumerate(zip([1, 2, 3, 4, 5], coef)):
+        x = f"CAST(round(list_filter({_VALID_PAIRS}, lambda f: CAST(f[1] AS INTEGER) = {fid})[-1][2], 8) AS FLOAT)"
+        terms.append(f"CAST(coalesce(CASE WHEN isnan({x}) THEN NULL ELSE {x} END, 0.0) AS DOUBLE) * {c!r}")
+    return "(" + " + ".join(["0.0"] + terms) + ")"
+
+
+ORACLE["linear_score"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, round({_score_sql()}, 9) AS model_score FROM impressions"""
+ORACLE["score_stats"] = f"""WITH {IMPRESSIONS_DUCKDB}, s AS (SELECT {_score_sql()} AS v FROM impressions)
+SELECT round(min(v), 6) AS min, round(max(v), 6) AS max, round(stddev_pop(v), 6) AS std FROM s"""

@@ -233,7 +233,7 @@ def q_group_sizes(spark, sf_dir):
 from rankfold.operators import matrices as MX  # noqa: E402
 
 MATRIX_WIDTH = 8
-SPLIT_DAY = "1995-06-17"
+SPLIT_DAY = "1998-04-25"
 
 
 @register("dense_matrix")
@@ -283,3 +283,79 @@ def q_selected_matrix_train_test(spark, sf_dir):
     _, x_test, ids = MX.train_test_split(train, test, "actionPlay", max_features=4, wide=False)
     return x_test.select("rid", "pos", "label", *_vector_cols(x_test, n=len(ids), prefix="x_"),
                          F.lit(",".join(str(i) for i in ids)).alias("feature_ids"))
+
+
+# ---------------------------------------------------------------- ranker, scoring, search
+from rankfold.operators import ranker as RK  # noqa: E402
+from rankfold.operators import tuning as TU  # noqa: E402
+
+RANK_VOCAB = [1, 2, 3, 4, 5]
+FIXED_COEF = [0.05, -2.0, 3.0, 0.01, 0.0005]
+
+
+def _split(spark, sf_dir):
+    imp = impressions(spark, sf_dir)
+    return (imp.where(F.col("day") < F.lit(SPLIT_DAY).cast("date")),
+            imp.where(F.col("day") >= F.lit(SPLIT_DAY).cast("date")))
+
+
+def _fixed_scores(spark, sf_dir):
+    from rankfold.functions.vectors import dense_vector, enable_last_win
+    enable_last_win(spark)
+    imp = impressions(spark, sf_dir).withColumn("features", dense_vector("features", RANK_VOCAB))
+    return RK.score(imp, FIXED_COEF)
+
+
+@register("linear_score")
+def q_linear_score(spark, sf_dir):
+    """Dense features (X3) scored with fixed coefficients."""
+    return _fixed_scores(spark, sf_dir).select("rid", "pos", r9("model_score").alias("model_score"))
+
+
+@register("score_stats")
+def q_score_stats(spark, sf_dir):
+    """Min / max / population std of the fixed-coefficient scores."""
+    s = RK.score_stats(_fixed_scores(spark, sf_dir))
+    return s.select(r6("min").alias("min"), r6("max").alias("max"), r6("std").alias("std"))
+
+
+@register("pairwise_ranker_gauc")
+def q_pairwise_ranker_gauc(spark, sf_dir):
+    """Fit the pairwise ranker on the early days (weights
+    5 / 14 / 0.41), score the later days, metrics for watch_coverage_30s."""
+    train, val = _split(spark, sf_dir)
+    from rankfold.functions.vectors import dense_vector
+    ft = FT.feature_table(train, RANK_VOCAB, *WEIGHTS)
+    model = RK.fit_pairwise(RK.pair_training_set(ft, PR.pair_table(ft)))
+    scored = RK.score(val.withColumn("features", dense_vector("features", RANK_VOCAB)), RK.coefficients(model))
+    m = evaluate(scored, {"watch_coverage_30s": DEFAULT_TARGETS["watch_coverage_30s"]},
+                 score_col="model_score", sliced=True)["metrics"]
+    return _metrics_out(m)
+
+
+@register("trial_best")
+def q_trial_best(spark, sf_dir):
+    """Three seeded trials of the weight search, best one."""
+    train, val = _split(spark, sf_dir)
+    data = TU.prepare_search(train, val, RANK_VOCAB)
+    trials = TU.search(spark, data, n_trials=3, timeout=None, seed=0)
+    return TU.best_trial(trials).select("trial", "like_weight", "dislike_weight", "consumption_time_weight",
+                                        r9("value").alias("value"))
+
+
+@register("linear_pipeline_auc")
+def q_linear_pipeline_auc(spark, sf_dir):
+    """Impute -> scale -> logistic regression on the B8 matrices; AUC of
+    the hard predictions and of the probabilities on the later days."""
+    train, test = _split(spark, sf_dir)
+    x_train, x_test, ids = MX.train_test_split(train, test, "actionPlay", max_features=213)
+    cols = [f"feat_{i}" for i in ids]
+    model, used = RK.linear_pipeline(x_train, cols)
+    pred = RK.predict_pipeline(model, x_test)
+    out = []
+    for name, col in (("prediction", "prediction"), ("probability", "p1")):
+        labeled = pred.select(F.col("label").alias("label_y"), F.col(col).alias("s"))
+        a = M.global_auc(labeled, ["y"], "s").select(F.lit(name).alias("score_kind"), r9("AUC").alias("AUC"),
+                                                     "AUC_valid")
+        out.append(a)
+    return out[0].unionByName(out[1])
