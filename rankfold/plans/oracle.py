@@ -275,3 +275,25 @@ ORACLE["linear_score"] = f"""WITH {IMPRESSIONS_DUCKDB}
 SELECT rid, pos, round({_score_sql()}, 9) AS model_score FROM impressions"""
 ORACLE["score_stats"] = f"""WITH {IMPRESSIONS_DUCKDB}, s AS (SELECT {_score_sql()} AS v FROM impressions)
 SELECT round(min(v), 6) AS min, round(max(v), 6) AS max, round(stddev_pop(v), 6) AS std FROM s"""
+
+
+# ---------------------------------------------------------------- run logs and AUC distributions
+ORACLE["runlog_aucs"] = ORACLE["gauc_group_details"]
+
+
+def _density_sql(src: str) -> str:
+    return f"""kstats AS (SELECT target, count(*) AS n, stddev_samp(auc) AS sd FROM {src} GROUP BY target
+                HAVING count(*) >= 2 AND stddev_samp(auc) > 0),
+dv AS (SELECT target, auc, count(*) AS c FROM {src} GROUP BY target, auc),
+ex AS (SELECT dv.target, auc, c, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS h, unnest(range(101)) / 100.0 AS x
+       FROM dv JOIN kstats USING (target))
+SELECT target, round(x, 9) AS x,
+       round(sum(c * exp(-0.5 * ((x - auc) / h) * ((x - auc) / h))) / (max(n) * max(h) * sqrt(2 * pi())), 6) AS density
+FROM ex GROUP BY target, x"""
+
+
+ORACLE["auc_density"] = metric_ctes() + ", " + _density_sql("details")
+ORACLE["auc_density_by_run"] = metric_ctes() + """, numbered AS (
+  SELECT target, auc, row_number() OVER (PARTITION BY target ORDER BY session_id) AS rn FROM details),
+cut AS (SELECT target, auc FROM numbered WHERE rn <= (SELECT min(c) FROM (SELECT count(*) AS c FROM details GROUP BY target))),
+""" + _density_sql("cut")

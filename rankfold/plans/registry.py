@@ -359,3 +359,42 @@ def q_linear_pipeline_auc(spark, sf_dir):
                                                      "AUC_valid")
         out.append(a)
     return out[0].unionByName(out[1])
+
+
+# ---------------------------------------------------------------- run logs and AUC distributions
+from rankfold.operators import runlog as RL  # noqa: E402
+
+
+def _details(spark, sf_dir):
+    return evaluate(impressions(spark, sf_dir))["group_details"]
+
+
+@register("runlog_aucs")
+def q_runlog_aucs(spark, sf_dir):
+    """Group details written as printed-dict log messages (chunks
+    of 1,000 sessions), parsed back per target."""
+    logs = RL.render_messages(_details(spark, sf_dir), chunk_sessions=1000)
+    outs = []
+    for t in DEFAULT_TARGETS:
+        outs.append(RL.session_aucs(logs, t).select(F.lit(t).alias("target"), "*"))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
+                      r9("positive_rate").alias("positive_rate"))
+
+
+@register("auc_density")
+def q_auc_density(spark, sf_dir):
+    """Session-AUC density per target on 101 grid points in [0, 1]."""
+    d = RL.auc_density(_details(spark, sf_dir), "auc", "target")
+    return d.select(F.col("run").alias("target"), r9("x").alias("x"), r6("density").alias("density"))
+
+
+@register("auc_density_by_run")
+def q_auc_density_by_run(spark, sf_dir):
+    """Densities of the targets' session AUCs, each cut to the shortest
+    target's session count (sessions in id order)."""
+    cut = RL.cut_to_shortest(_details(spark, sf_dir), "target", "session_id")
+    d = RL.auc_density(cut, "auc", "target")
+    return d.select(F.col("run").alias("target"), r9("x").alias("x"), r6("density").alias("density"))
