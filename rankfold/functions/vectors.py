@@ -44,6 +44,9 @@ def feature_map(features: str | Column = Cols.FEATURES, round_digits: int | None
     return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))))
 
 
+_ENTRY = "struct<k:int,kind:int,i:int,v:double>"
+
+
 def _entries(features: str | Column, round_digits: int | None) -> Column:
     """Valid pairs as ``struct<k:int, kind:int, i:int, v:double>`` (kind 0)."""
     def entry(f, i):
@@ -72,8 +75,9 @@ def dense_vector(features: str | Column, vocab: Sequence[int], default: float =
         return F.array().cast("array<float>")
     voc = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(1).alias("kind"), F.lit(p).alias("i"),
                              F.lit(None).cast("double").alias("v")) for p, k in enumerate(vocab)])
-    srt = F.array_sort(F.concat(_entries(features, round_digits), voc))
-    prev = F.concat(F.array(F.lit(None).cast("struct<k:int,kind:int,i:int,v:double>")),
+    entries = F.coalesce(_entries(features, round_digits), F.array().cast(f"array<{_ENTRY}>"))
+    srt = F.array_sort(F.concat(entries, voc))
+    prev = F.concat(F.array(F.lit(None).cast(_ENTRY)),
                     F.slice(srt, 1, F.greatest(F.size(srt) - 1, F.lit(0))))
     dflt = F.lit(float(default))
     picked = F.zip_with(prev, srt, lambda b, a: F.when(

@@ -68,7 +68,9 @@ def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_tim
 def repair_message(message) -> F.Column:
     """G1: printed dict -> JSON text (quotes, True / False / None)."""
     m = F.col(message) if isinstance(message, str) else message
+    m = F.regexp_replace(m, r"\\'", "\u0001")   # keep escaped apostrophes inside strings
     m = F.regexp_replace(m, "'", '"')
+    m = F.regexp_replace(m, "\u0001", "'")
     m = F.regexp_replace(m, r"\bTrue\b", "true")
     m = F.regexp_replace(m, r"\bFalse\b", "false")
     return F.regexp_replace(m, r"\bNone\b", "null")

@@ -54,6 +54,11 @@ def read_impressions(spark: SparkSession, path: str, extra_columns: Optional[dic
         fields.append(T.StructField(name, T.StringType() if name in score_columns else typ))
     schema = T.StructType(fields)
     raw = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    return normalize_raw(raw, score_columns)
+
+
+def normalize_raw(raw: DataFrame, score_columns: Iterable[str] = ("score",)) -> DataFrame:
+    """Text scores and feature values -> doubles (batch and streaming ingest)."""
     feats = F.transform(F.col("features"), lambda f: F.transform(f, lambda x: _to_double(x)))
     cols = {c: _to_double(F.col(c)) for c in score_columns if c in raw.columns}
     cols["features"] = feats
