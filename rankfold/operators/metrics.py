@@ -204,6 +204,29 @@ def global_auc(labeled: DataFrame, target_names: Sequence[str], score_col: str =
 
 
 # ---------------------------------------------------------------- M13
+SPLIT_RESOLUTION = 4096
+
+
+def _prepass(labeled: DataFrame, names: Sequence[str], score_col: str):
+    probs = [i / SPLIT_RESOLUTION for i in range(1, SPLIT_RESOLUTION)]
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(LABEL_PREFIX + t)).alias(f"_p{i}") for i, t in enumerate(names)]
+    aggs.append(F.percentile_approx(clean_score(score_col), probs, 10 * SPLIT_RESOLUTION).alias("_q"))
+    row = labeled.agg(*aggs).first()
+    n = int(row["_n"] or 0)
+    pos = [int(row[f"_p{i}"] or 0) for i in range(len(names))]
+    qs = [float(q) for q in (row["_q"] or [])]
+    return n, pos, qs
+
+
+def _pick(qs: Sequence[float], n_buckets: int) -> list[float]:
+    """Split points for ``n_buckets`` buckets from quantiles at 1/R steps."""
+    if n_buckets <= 1 or not qs:
+        return []
+    r = len(qs) + 1
+    idx = sorted({min(len(qs) - 1, max(0, (k * r) // n_buckets - 1)) for k in range(1, n_buckets)})
+    return sorted({qs[i] for i in idx if math.isfinite(qs[i])})
+
+
 def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col: str = Cols.SCORE,
          platforms: Optional[Iterable[str]] = None, nav_screen: Optional[str] = None,
          formula_path: Optional[str] = None, nav_screen_col: str = Cols.NAV_SCREEN,
@@ -222,17 +245,19 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     spark = df.sparkSession
     if not names:
         return (spark.createDataFrame([], "target string"), spark.createDataFrame([], "target string"))
-    stats = label_stats(labeled, names)
-    n_rows = None
-    if calculate_regular_auc and score_buckets is None:
-        n_rows = labeled.count()
-    details = session_details(labeled, names, session_col, score_col,
-                              score_splits(labeled, score_col, session_buckets) if session_buckets > 1 else [])
+    # One pre-pass: row count, positives per target and score quantiles at a
+    # fixed resolution.  Both bucketings come from it; the per-target counts
+    # become a tiny literal table, so the final job does not recount.
+    n_rows, positives, qs = _prepass(labeled, names, score_col)
+    stats = spark.createDataFrame(
+        [(t, n_rows, int(positives[i]), (positives[i] / n_rows) if n_rows else 0.0) for i, t in enumerate(names)],
+        "target string, total_samples long, total_positives long, positive_rate double")
+    details = session_details(labeled, names, session_col, score_col, _pick(qs, session_buckets))
     summ = gauc_summary(details, exact_median)
     out = stats
     if calculate_regular_auc:
-        b = score_buckets or auto_buckets(n_rows or 0)
-        aucs = global_auc(labeled, names, score_col, score_splits(labeled, score_col, b))
+        b = score_buckets or auto_buckets(n_rows, hi=SPLIT_RESOLUTION)
+        aucs = global_auc(labeled, names, score_col, _pick(qs, b))
         out = out.join(aucs, "target", "left").select(
             *stats.columns,
             F.coalesce("AUC", F.lit(0.0)).alias("AUC"),

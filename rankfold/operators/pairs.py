@@ -16,25 +16,37 @@ from rankfold.config import MIN_PAIR_WEIGHT, Cols
 from rankfold.operators.indexing import with_global_index
 
 
-def unnest_targets(features: DataFrame, session_col: str = Cols.RID) -> DataFrame:
+def unnest_targets(features: DataFrame, session_col: str = Cols.RID, carry: tuple = ()) -> DataFrame:
     """One row per (session, target name, position)."""
-    return features.select(F.col(session_col).alias("rid"), F.col(Cols.POS).alias("pos"),
+    return features.select(F.col(session_col).alias("rid"), F.col(Cols.POS).alias("pos"), *carry,
                            F.inline("targets")).where(F.col("rid").isNotNull())
 
 
+def _winner_loser(features: DataFrame, session_col: str, carry: tuple = ()) -> DataFrame:
+    """Self-join of the unnested table on (rid, name) keeping winner.target >
+    loser.target.  Both sides are the same plan, so its shuffle is reused."""
+    long = unnest_targets(features, session_col, carry)
+    a, b = long.alias("a"), long.alias("b")
+    j = a.join(b, (F.col("a.rid") == F.col("b.rid")) & (F.col("a.name") == F.col("b.name"))
+               & (F.col("a.target") > F.col("b.target")))
+    return j.select(F.col("a.rid").alias("rid"), F.col("a.name").alias("target"),
+                    F.col("a.pos").alias("winner_pos"), F.col("b.pos").alias("loser_pos"),
+                    F.col("a.weight").alias("weight"), F.col("a.target").alias("t_w"),
+                    F.col("b.target").alias("t_l"),
+                    *[F.col(f"a.{c}").alias(f"{c}_w") for c in carry],
+                    *[F.col(f"b.{c}").alias(f"{c}_l") for c in carry])
+
+
 def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool = False,
-               min_abs_weight: float = MIN_PAIR_WEIGHT) -> DataFrame:
+               min_abs_weight: float = MIN_PAIR_WEIGHT, carry: tuple = ()) -> DataFrame:
     """P3 + P6 (+ P5 when ``normalize``): ``rid, target, winner_pos, loser_pos,
     pair_weight`` for every pair with different targets and |weight| >= 1e-8.
-    ``pair_weight = weight * |t_winner - t_loser|``."""
-    long = unnest_targets(features, session_col)
-    w = long.select("rid", "name", F.col("pos").alias("winner_pos"), F.col("target").alias("t_w"), "weight")
-    lo = long.select(F.col("rid").alias("rid_l"), F.col("name").alias("name_l"),
-                     F.col("pos").alias("loser_pos"), F.col("target").alias("t_l"))
-    j = w.join(lo, (w.rid == lo.rid_l) & (w.name == lo.name_l) & (w.t_w > lo.t_l))
+    ``pair_weight = weight * |t_winner - t_loser|``.  Columns named in
+    ``carry`` come along as ``<c>_w`` / ``<c>_l``."""
+    j = _winner_loser(features, session_col, tuple(carry))
     gap = F.col("t_w") - F.col("t_l")
-    out = j.select("rid", F.col("name").alias("target"), "winner_pos", "loser_pos",
-                   (F.col("weight") * gap).alias("pair_weight"), gap.alias("gap"))
+    out = j.select("rid", "target", "winner_pos", "loser_pos", (F.col("weight") * gap).alias("pair_weight"),
+                   gap.alias("gap"), *[c for c in j.columns if c.endswith(("_w", "_l")) and c not in ("t_w", "t_l")])
     if normalize:
         from pyspark.sql import Window
         total = F.sum("gap").over(Window.partitionBy("rid", "target"))
@@ -45,11 +57,8 @@ def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool
 def pair_totals(features: DataFrame, session_col: str = Cols.RID) -> DataFrame:
     """Per (session, target) the number of unordered pairs with different
     targets and the total raw weight sum |t1 - t2| (equal pairs add 0)."""
-    long = unnest_targets(features, session_col)
-    w = long.select("rid", "name", F.col("target").alias("t_w"))
-    lo = long.select(F.col("rid").alias("rid_l"), F.col("name").alias("name_l"), F.col("target").alias("t_l"))
-    j = w.join(lo, (w.rid == lo.rid_l) & (w.name == lo.name_l) & (w.t_w > lo.t_l))
-    return j.groupBy("rid", F.col("name").alias("target")).agg(
+    j = _winner_loser(features, session_col)
+    return j.groupBy("rid", "target").agg(
         F.count(F.lit(1)).alias("n_pairs"), F.sum(F.col("t_w") - F.col("t_l")).alias("total_raw_weight"))
 
 
@@ -88,13 +97,14 @@ def import_pairs(exported: DataFrame, n_rows: int) -> DataFrame:
 
 # ---------------------------------------------------------------- P9 / P10
 def win_labels(features: DataFrame, pairs: DataFrame, session_col: str = Cols.RID) -> DataFrame:
-    """Wins per row (over all targets) divided by the maximum wins.  The
-    maximum is a single scalar brought to the driver and used as a literal."""
+    """Wins per row (over all targets) divided by the maximum wins."""
     wins = pairs.groupBy("rid", F.col("winner_pos").alias("pos")).agg(F.count(F.lit(1)).alias("wins"))
     rows = features.select(F.col(session_col).alias("rid"), Cols.POS)
     out = rows.join(wins, ["rid", "pos"], "left").withColumn("wins", F.coalesce("wins", F.lit(0)))
-    mx = wins.agg(F.max("wins")).first()[0] or 0
-    label = F.col("wins") / F.lit(float(mx)) if mx > 0 else F.col("wins").cast("double")
+    # the maximum as a scalar subquery: the wins aggregate is planned once
+    # and its exchange reused, instead of a separate driver round trip
+    mx = wins.agg(F.max("wins")).scalar()
+    label = F.when(F.coalesce(mx, F.lit(0)) > 0, F.col("wins") / mx).otherwise(F.col("wins").cast("double"))
     return out.withColumn("win_label", label.cast("float"))
 
 

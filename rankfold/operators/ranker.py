@@ -5,8 +5,9 @@ The reference trains a boosted-tree ranker with a pairwise-logit loss.  Here
 the same loss is fitted on a linear scorer: for a pair (winner w, loser l)
 with weight p the loss is ``p * log(1 + exp(-(s(w) - s(l))))``, which is a
 weighted logistic regression without intercept on ``x_w - x_l`` with label 1.
-Each pair is also mirrored (``x_l - x_w``, label 0) so both classes exist; the
-optimum is the same.
+Small pair sets are mirrored (``x_l - x_w``, label 0) so both classes exist;
+large ones flip the sign of half the pairs by hash instead.  The weighted-mean
+objective is the same either way.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.config import BIG_NEGATIVE, Cols
+from rankfold.config import BIG_NEGATIVE, MIN_PAIR_WEIGHT, Cols
+from rankfold.operators.pairs import pair_table
 from rankfold.functions.vectors import dot
 
 
@@ -30,32 +32,53 @@ def clean_vector(features: str = "features", missing: float = BIG_NEGATIVE):
                        .otherwise(x.cast("double")))
 
 
-def pair_training_set(features: DataFrame, pairs: DataFrame) -> DataFrame:
+def pair_training_set(features: DataFrame, pairs: Optional[DataFrame] = None,
+                      min_abs_weight: float = MIN_PAIR_WEIGHT) -> DataFrame:
     """One row per pair: ``diff = x_winner - x_loser`` and ``pair_weight``.
-    Both joins are on (rid, pos), i.e. co-partitioned by session."""
+
+    The pair self-join stays narrow (no vectors); winner and loser vectors are
+    then joined on (rid, pos), both sides hash-partitioned by session.  (Carrying
+    the vectors through the self-join measured slower: wide rows in the join
+    buffers.)"""
+    if pairs is None:
+        pairs = pair_table(features, min_abs_weight=min_abs_weight)
     vec = features.select("rid", "pos", clean_vector().alias("_x"))
     w = vec.select("rid", F.col("pos").alias("winner_pos"), F.col("_x").alias("_xw"))
     lo = vec.select("rid", F.col("pos").alias("loser_pos"), F.col("_x").alias("_xl"))
     j = pairs.join(w, ["rid", "winner_pos"]).join(lo, ["rid", "loser_pos"])
-    return j.select("rid", "target", F.zip_with("_xw", "_xl", lambda a, b: a - b).alias("diff"), "pair_weight")
-
-
-def mirrored(training: DataFrame) -> DataFrame:
-    """(+diff, label 1) and (-diff, label 0), both with the pair weight."""
-    pos = training.select(array_to_vector("diff").alias("features"), F.lit(1.0).alias("label"),
-                          F.col("pair_weight").alias("weight"))
-    neg = training.select(array_to_vector(F.transform("diff", lambda d: -d)).alias("features"),
-                          F.lit(0.0).alias("label"), F.col("pair_weight").alias("weight"))
-    return pos.unionByName(neg)
+    return j.select("rid", "target", "winner_pos", "loser_pos",
+                    F.zip_with("_xw", "_xl", lambda a, b: a - b).alias("diff"), "pair_weight")
+
+
+def mirrored(training: DataFrame, mirror: bool = True) -> DataFrame:
+    """Logistic rows for the pairwise loss.  ``mirror``: (+diff, 1) and
+    (-diff, 0) for every pair; otherwise each pair appears once, with its sign
+    flipped by a hash of the pair (same weighted-mean objective, half the rows)."""
+    w = F.col("pair_weight").alias("weight")
+    if mirror:
+        pos = training.select(array_to_vector("diff").alias("features"), F.lit(1.0).alias("label"), w)
+        neg = training.select(array_to_vector(F.transform("diff", lambda d: -d)).alias("features"),
+                              F.lit(0.0).alias("label"), w)
+        return pos.unionByName(neg)
+    keys = [c for c in ("rid", "target", "winner_pos", "loser_pos") if c in training.columns]
+    flip = (F.xxhash64(*keys) % 2) != 0
+    feats = F.when(flip, F.transform("diff", lambda d: -d)).otherwise(F.col("diff"))
+    return training.select(array_to_vector(feats).alias("features"),
+                           F.when(flip, F.lit(0.0)).otherwise(F.lit(1.0)).alias("label"), w)
 
 
 def fit_pairwise(training: DataFrame, max_iter: int = 150, reg_param: float = 1e-3,
-                 tol: float = 1e-6) -> LogisticRegressionModel:
-    """R2: weighted pairwise-logit fit (distributed L-BFGS over the pairs)."""
+                 tol: float = 1e-6, mirror: Optional[bool] = None,
+                 mirror_below: int = 50_000) -> LogisticRegressionModel:
+    """R2: weighted pairwise-logit fit (distributed L-BFGS over the pairs).
+    ``mirror=None`` mirrors small pair sets (both classes guaranteed) and
+    hash-flips large ones (half the rows)."""
+    if mirror is None:
+        mirror = training.count() < mirror_below
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False,
                             maxIter=max_iter, regParam=reg_param, elasticNetParam=0.0, standardization=True,
                             tol=tol)
-    return lr.fit(mirrored(training))
+    return lr.fit(mirrored(training, mirror))
 
 
 def coefficients(model: LogisticRegressionModel) -> list[float]:

@@ -114,6 +114,18 @@ def session_aucs(logs: DataFrame, target: str, position: Optional[int] = None) -
                                               "positive_rate")
 
 
+def all_session_aucs(logs: DataFrame) -> DataFrame:
+    """G3 for every target at once: each message is parsed a single time and
+    its map entries are unnested to (target, session entries)."""
+    flat = logs
+    if "message" not in logs.columns and "record" in logs.columns:
+        flat = logs.select(F.col("record.message").alias("message"))
+    p = parse_messages(flat).where(F.col("parsed").isNotNull())
+    per_target = p.select(F.explode("parsed").alias("target", "result"))
+    return per_target.select("target", F.inline("result.group_details")).select(
+        "target", "session_id", "auc", "size", "positives", "negatives", "positive_rate")
+
+
 # ---------------------------------------------------------------- G4 / G5
 def grid(points: int = 101, lo: float = 0.0, hi: float = 1.0) -> list[float]:
     return [lo + (hi - lo) * i / (points - 1) for i in range(points)]

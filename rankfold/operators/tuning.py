@@ -26,7 +26,6 @@ from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_TARGET
 from rankfold.functions.vectors import dense_vector, enable_last_win
 from rankfold.operators import metrics as M
 from rankfold.operators.features import feature_table
-from rankfold.operators.pairs import pair_table
 from rankfold.operators.ranker import coefficients, fit_pairwise, pair_training_set, score
 
 TRIAL_SCHEMA = ("trial long, like_weight double, dislike_weight double, consumption_time_weight double, "
@@ -45,8 +44,8 @@ def prepare_search(train: DataFrame, validation: DataFrame, vocab: Sequence[int]
                    target_name: str = "watch_coverage_30s", target_configs: Optional[dict] = None) -> SearchData:
     enable_last_win(train.sparkSession)
     ft = feature_table(train, vocab, 1.0, 1.0, 1.0)
-    gaps = pair_table(ft, min_abs_weight=0.0)  # every pair with different targets
-    training = pair_training_set(ft, gaps).persist(StorageLevel.MEMORY_AND_DISK)
+    # every pair with different targets, gap = pair_weight at unit weights
+    training = pair_training_set(ft, min_abs_weight=0.0).persist(StorageLevel.MEMORY_AND_DISK)
     val = validation.withColumn("features", dense_vector(Cols.FEATURES, vocab)) \
                     .persist(StorageLevel.MEMORY_AND_DISK)
     cfgs = target_configs or {target_name: DEFAULT_TARGETS[target_name]}
@@ -82,7 +81,7 @@ def evaluate_weights(data: SearchData, like_weight: float, dislike_weight: float
     n_pairs = pairs.count()
     if n_pairs == 0:
         return 0.0, 0
-    model = fit_pairwise(pairs, max_iter=max_iter, reg_param=reg_param)
+    model = fit_pairwise(pairs, max_iter=max_iter, reg_param=reg_param, mirror=n_pairs < 50_000)
     scored = score(data.validation, coefficients(model))
     metrics, _ = M.gauc(scored, data.target_configs, score_col=Cols.MODEL_SCORE, platforms=platforms,
                         nav_screen=nav_screen, formula_path=formula_path, calculate_regular_auc=False)

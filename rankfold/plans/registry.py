@@ -64,8 +64,8 @@ def q_gauc_group_details(spark, sf_dir):
 def q_auc_by_target(spark, sf_dir):
     """M2, M9: exact global AUC with the near tie-free score (extended price)."""
     labeled, names = M.with_labels(impressions(spark, sf_dir), DEFAULT_TARGETS)
-    n = labeled.count()
-    aucs = M.global_auc(labeled, names, "score_alt", M.score_splits(labeled, "score_alt", M.auto_buckets(n, 4096)))
+    n, _, qs = M._prepass(labeled, names, "score_alt")
+    aucs = M.global_auc(labeled, names, "score_alt", M._pick(qs, M.auto_buckets(n, 4096)))
     return aucs.select("target", r9("AUC").alias("AUC"), "AUC_valid")
 
 
@@ -326,7 +326,7 @@ def q_pairwise_ranker_gauc(spark, sf_dir):
     train, val = _split(spark, sf_dir)
     from rankfold.functions.vectors import dense_vector
     ft = FT.feature_table(train, RANK_VOCAB, *WEIGHTS)
-    model = RK.fit_pairwise(RK.pair_training_set(ft, PR.pair_table(ft)))
+    model = RK.fit_pairwise(RK.pair_training_set(ft))
     scored = RK.score(val.withColumn("features", dense_vector("features", RANK_VOCAB)), RK.coefficients(model))
     m = evaluate(scored, {"watch_coverage_30s": DEFAULT_TARGETS["watch_coverage_30s"]},
                  score_col="model_score", sliced=True)["metrics"]
@@ -374,12 +374,7 @@ def q_runlog_aucs(spark, sf_dir):
     """Group details written as printed-dict log messages (chunks
     of 1,000 sessions), parsed back per target."""
     logs = RL.render_messages(_details(spark, sf_dir), chunk_sessions=1000)
-    outs = []
-    for t in DEFAULT_TARGETS:
-        outs.append(RL.session_aucs(logs, t).select(F.lit(t).alias("target"), "*"))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
+    out = RL.all_session_aucs(logs)
     return out.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
                       r9("positive_rate").alias("positive_rate"))
 
