@@ -204,13 +204,13 @@ def global_auc(labeled: DataFrame, target_names: Sequence[str], score_col: str =
 
 
 # ---------------------------------------------------------------- M13
-SPLIT_RESOLUTION = 4096
+SPLIT_RESOLUTION = 1024
 
 
 def _prepass(labeled: DataFrame, names: Sequence[str], score_col: str):
     probs = [i / SPLIT_RESOLUTION for i in range(1, SPLIT_RESOLUTION)]
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(LABEL_PREFIX + t)).alias(f"_p{i}") for i, t in enumerate(names)]
-    aggs.append(F.percentile_approx(clean_score(score_col), probs, 10 * SPLIT_RESOLUTION).alias("_q"))
+    aggs.append(F.percentile_approx(clean_score(score_col), probs, 4 * SPLIT_RESOLUTION).alias("_q"))
     row = labeled.agg(*aggs).first()
     n = int(row["_n"] or 0)
     pos = [int(row[f"_p{i}"] or 0) for i in range(len(names))]
