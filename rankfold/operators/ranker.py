@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from typing import Optional, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -73,12 +74,18 @@ def fit_pairwise(training: DataFrame, max_iter: int = 150, reg_param: float = 1e
     """R2: weighted pairwise-logit fit (distributed L-BFGS over the pairs).
     ``mirror=None`` mirrors small pair sets (both classes guaranteed) and
     hash-flips large ones (half the rows)."""
-    if mirror is None:
-        mirror = training.count() < mirror_below
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False,
                             maxIter=max_iter, regParam=reg_param, elasticNetParam=0.0, standardization=True,
                             tol=tol)
-    return lr.fit(mirrored(training, mirror))
+    if mirror is not None:
+        return lr.fit(mirrored(training, mirror))
+    # materialise once (lineage-recoverable cache) for the size check and the fit
+    cached = training.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = cached.count()
+        return lr.fit(mirrored(cached, n < mirror_below))
+    finally:
+        cached.unpersist()
 
 
 def coefficients(model: LogisticRegressionModel) -> list[float]:
