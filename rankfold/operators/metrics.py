@@ -141,20 +141,57 @@ def _prepared(df: DataFrame, target_names, session_col: Optional[str], score_col
 
 
 # ---------------------------------------------------------------- M3 / M4
+HOT_SESSION_ROWS = 2_000_000
+
+
 def session_details(labeled: DataFrame, target_names: Sequence[str], session_col: str = Cols.RID,
-                    score_col: str = Cols.SCORE, splits: Sequence[float] = ()) -> DataFrame:
+                    score_col: str = Cols.SCORE, splits: Sequence[float] = (),
+                    hot_threshold: Optional[int] = HOT_SESSION_ROWS) -> DataFrame:
     """M3 + M4: one row per valid (target, session): session_id, auc, size,
     positives, negatives, positive_rate.  Sessions need >= 1 positive and
     >= 1 negative; NULL sessions are not groups.
 
-    Raw rows are shuffled once by (session, bucket) *before* the targets are
-    unnested, so the per-score aggregate and the in-bucket window reuse that
-    partitioning; a hot session is spread over all its buckets.
+    Plan: narrow rows (session, score, one 0/1 column per target) are
+    shuffled once by (session, bucket).  Only *hot* sessions - more than
+    ``hot_threshold`` rows, found by a partial-aggregated count whose result
+    is at most ``rows / hot_threshold`` keys and is broadcast - are cut into
+    score buckets at ``splits``; every other session is bucket 0 and is
+    finished inside its task.  Targets stay columns until the end, so the
+    second (cross-bucket) shuffle moves about one row per session.
     """
-    prepared = _prepared(labeled, target_names, session_col, score_col, splits)
-    prepared = prepared.repartition("session_id", _B)
-    long_df = stack_labels(prepared, target_names, ["session_id", _B, "score"])
-    u = grouped_auc(long_df, ["target", "session_id"])
+    names = list(target_names)
+    narrow = labeled.select(F.col(session_col).alias("session_id"), clean_score(score_col).alias("score"),
+                            *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)]
+                            ).where(F.col("session_id").isNotNull())
+    if splits and hot_threshold is not None:
+        sizes = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_size"))
+        hot = sizes.where(F.col("_size") > F.lit(int(hot_threshold))).select("session_id", F.lit(True).alias("_hot"))
+        narrow = add_bucket(narrow.join(F.broadcast(hot), "session_id", "left"), "score", splits)
+        narrow = narrow.withColumn(_B, F.when(F.col("_hot"), F.col(_B)).otherwise(F.lit(0))).drop("_hot")
+    else:
+        narrow = narrow.withColumn(_B, F.lit(0))
+    p = narrow.repartition("session_id", _B)
+    ys = [f"_y{i}" for i in range(len(names))]
+    per_score = p.groupBy("session_id", _B, "score").agg(
+        F.count(F.lit(1)).alias("_c"), *[F.sum(y).cast("long").alias(f"_p{i}") for i, y in enumerate(ys)])
+    w_in = Window.partitionBy("session_id", _B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(len(ys))]
+    per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
+                                        for i, n in enumerate(neg)])
+    per_bucket = per_score.groupBy("session_id", _B).agg(*[
+        a for i, n in enumerate(neg) for a in (
+            F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"_u{i}"),
+            F.sum(f"_p{i}").alias(f"_P{i}"), F.sum(n).alias(f"_N{i}"))])
+    w_b = Window.partitionBy("session_id").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select("*", *[F.coalesce(F.sum(f"_N{i}").over(w_b), F.lit(0)).alias(f"_nl{i}")
+                                          for i in range(len(ys))])
+    per_session = per_bucket.groupBy("session_id").agg(*[
+        a for i in range(len(ys)) for a in (
+            F.sum(F.col(f"_u{i}") + F.col(f"_P{i}").cast("double") * F.col(f"_nl{i}")).alias(f"U{i}"),
+            F.sum(f"_P{i}").alias(f"P{i}"), F.sum(f"_N{i}").alias(f"N{i}"))])
+    rows = [F.struct(F.lit(t).alias("target"), F.col(f"U{i}").alias("U"), F.col(f"P{i}").alias("P"),
+                     F.col(f"N{i}").alias("N")) for i, t in enumerate(names)]
+    u = per_session.select("session_id", F.inline(F.array(*rows)))
     valid = u.where((F.col("P") > 0) & (F.col("N") > 0))
     size = F.col("P") + F.col("N")
     return valid.select(
@@ -232,7 +269,8 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
          formula_path: Optional[str] = None, nav_screen_col: str = Cols.NAV_SCREEN,
          platform_col: str = Cols.PLATFORM, formula_path_col: str = Cols.FORMULA_PATH,
          calculate_regular_auc: bool = True, score_buckets: Optional[int] = None,
-         session_buckets: int = 64, exact_median: bool = True) -> tuple[DataFrame, DataFrame]:
+         session_buckets: int = SPLIT_RESOLUTION, exact_median: bool = True,
+         hot_threshold: Optional[int] = HOT_SESSION_ROWS) -> tuple[DataFrame, DataFrame]:
     """Public entry: ``(metrics, group_details)``.
 
     ``metrics`` has one row per target: target, total_samples, total_positives,
@@ -252,7 +290,7 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     stats = spark.createDataFrame(
         [(t, n_rows, int(positives[i]), (positives[i] / n_rows) if n_rows else 0.0) for i, t in enumerate(names)],
         "target string, total_samples long, total_positives long, positive_rate double")
-    details = session_details(labeled, names, session_col, score_col, _pick(qs, session_buckets))
+    details = session_details(labeled, names, session_col, score_col, _pick(qs, session_buckets), hot_threshold)
     summ = gauc_summary(details, exact_median)
     out = stats
     if calculate_regular_auc:

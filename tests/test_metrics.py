@@ -165,8 +165,9 @@ def test_gauc_against_brute_force_and_bucket_invariance(spark):
     df = _random_sessions(spark)
     rows = [r.asDict() for r in df.collect()]
     aucs, sizes = _brute_gauc(rows)
-    for buckets in (1, 3, 64):
-        res, _ = _metrics(df, session_buckets=buckets, score_buckets=buckets)
+    for buckets, hot in ((1, None), (3, 0), (64, 0), (64, 4), (1024, None)):
+        # hot=0: every session is split into score buckets (the skew path)
+        res, _ = _metrics(df, session_buckets=buckets, score_buckets=buckets, hot_threshold=hot)
         r = res["watch_coverage_30s"]
         assert r["n_groups"] == len(aucs)
         assert r["GAUCSimple"] == pytest.approx(sum(aucs) / len(aucs), abs=1e-12)
