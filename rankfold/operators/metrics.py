@@ -106,40 +106,6 @@ def auto_buckets(n_rows: int, rows_per_bucket: int = 2_000_000, lo: int = 16, hi
     return int(min(hi, max(lo, math.ceil(n_rows / rows_per_bucket))))
 
 
-# ---------------------------------------------------------------- rank-sum core
-def grouped_auc(long_df: DataFrame, group_cols: Sequence[str], score_col: str = "score",
-                label_col: str = "label") -> DataFrame:
-    """Exact Mann-Whitney U per group of an already bucketed long table.
-
-    Input: ``group_cols``, ``_bucket``, cleaned ``score_col``, 0/1 ``label_col``.
-    Output: ``group_cols, U, P, N`` (doubles / longs).
-    """
-    g = list(group_cols)
-    per_score = long_df.groupBy(*g, _B, score_col).agg(
-        F.sum(label_col).cast("long").alias("_pos"),
-        (F.count(F.lit(1)) - F.sum(label_col)).cast("long").alias("_neg"))
-    w_in = Window.partitionBy(*g, _B).orderBy(score_col).rowsBetween(Window.unboundedPreceding, -1)
-    per_score = per_score.withColumn("_neg_below", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)))
-    per_bucket = per_score.groupBy(*g, _B).agg(
-        F.sum(F.col("_pos").cast("double") * (F.col("_neg_below") + F.col("_neg") / 2.0)).alias("_u"),
-        F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-    w_b = Window.partitionBy(*g).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("_neg_lower", F.coalesce(F.sum("_n").over(w_b), F.lit(0)))
-    return per_bucket.groupBy(*g).agg(
-        F.sum(F.col("_u") + F.col("_p").cast("double") * F.col("_neg_lower")).alias("U"),
-        F.sum("_p").alias("P"), F.sum("_n").alias("N"))
-
-
-def _prepared(df: DataFrame, target_names, session_col: Optional[str], score_col: str,
-              splits: Sequence[float]) -> DataFrame:
-    keep = ([F.col(session_col).alias("session_id")] if session_col else []) + \
-           [clean_score(score_col).alias("score")] + [F.col(LABEL_PREFIX + t) for t in target_names]
-    narrow = df.select(*keep)
-    if session_col:
-        narrow = narrow.where(F.col("session_id").isNotNull())
-    return add_bucket(narrow, "score", splits)
-
-
 # ---------------------------------------------------------------- M3 / M4
 HOT_SESSION_ROWS = 2_000_000
 
@@ -221,13 +187,38 @@ def global_auc(labeled: DataFrame, target_names: Sequence[str], score_col: str =
                splits: Sequence[float] = ()) -> DataFrame:
     """M2: exact AUC over all rows per target (NULL sessions included).
 
-    Per-score counts are combined map-side before the shuffle; the only
-    ordered windows are per (target, bucket) and per target over <= B bucket
-    rows.  Fewer than two classes -> AUC 0.0, ``AUC_valid`` false, error text.
+    Per-(bucket, score) counts for every target at once are combined map-side
+    before the shuffle; the ordered windows run per bucket, then once over the
+    <= B bucket rows.  Fewer than two classes -> AUC 0.0, ``AUC_valid`` false,
+    error text.
     """
-    prepared = _prepared(labeled, target_names, None, score_col, splits)
-    long_df = stack_labels(prepared, target_names, [_B, "score"])
-    u = grouped_auc(long_df, ["target"])
+    names = list(target_names)
+    narrow = labeled.select(clean_score(score_col).alias("score"),
+                            *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)])
+    narrow = add_bucket(narrow, "score", splits)
+    k = len(names)
+    per_score = narrow.groupBy(_B, "score").agg(
+        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
+    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
+    w_in = Window.partitionBy(_B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
+                                        for i, n in enumerate(neg)])
+    per_bucket = per_score.groupBy(_B).agg(*[
+        a for i, n in enumerate(neg) for a in (
+            F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"_u{i}"),
+            F.sum(f"_p{i}").alias(f"_P{i}"), F.sum(n).alias(f"_N{i}"))])
+    # <= B rows (B <= the split resolution): a single ordered window is cheap
+    w_b = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select("*", *[F.coalesce(F.sum(f"_N{i}").over(w_b), F.lit(0)).alias(f"_nl{i}")
+                                          for i in range(k)])
+    tot = per_bucket.agg(*[
+        a for i in range(k) for a in (
+            F.sum(F.col(f"_u{i}") + F.col(f"_P{i}").cast("double") * F.col(f"_nl{i}")).alias(f"U{i}"),
+            F.sum(f"_P{i}").alias(f"P{i}"), F.sum(f"_N{i}").alias(f"N{i}"))])
+    rows = [F.struct(F.lit(t).alias("target"), F.coalesce(F.col(f"U{i}"), F.lit(0.0)).alias("U"),
+                     F.coalesce(F.col(f"P{i}"), F.lit(0)).alias("P"), F.coalesce(F.col(f"N{i}"), F.lit(0)).alias("N"))
+            for i, t in enumerate(names)]
+    u = tot.select(F.inline(F.array(*rows)))
     ok = (F.col("P") > 0) & (F.col("N") > 0)
     classes = F.concat(F.lit("Insufficient classes: ["),
                        F.concat_ws(", ", F.filter(F.array(F.when(F.col("N") > 0, F.lit("0")),
