@@ -16,6 +16,9 @@ loss assigns identical buckets).  The running sum then has two levels:
                  + negatives below s inside its own bucket       (window over one
                                                                   bucket of one group)
 
+For GAUC only hot sessions are bucketed; ordinary sessions are one bucket and
+finish in the task that holds them.  All targets are carried as columns, so
+one pass serves every target.
 Split points only change balance, never the result.
 """
 
