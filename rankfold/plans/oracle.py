@@ -28,17 +28,18 @@ def _clean(col: str) -> str:
     return f"coalesce(CASE WHEN isnan({col}) THEN 0.0 ELSE {col} END, 0.0)"
 
 
-def long_labels(source: str = "impressions", score: str = "score", where: str = "TRUE") -> str:
-    """UNION ALL of one select per built-in target: (target, rid, score, label)."""
+def long_labels(source: str = "impressions", score: str = "score", where: str = "TRUE", targets=None) -> str:
+    """UNION ALL of one select per target: (target, rid, score, label)."""
+    targets = targets or DEFAULT_TARGETS
     parts = [f"SELECT '{name}' AS target, rid, {_clean(score)} AS score, {_label_sql(cfg)} AS label "
-             f"FROM {source} WHERE {where}" for name, cfg in DEFAULT_TARGETS.items()]
+             f"FROM {source} WHERE {where}" for name, cfg in targets.items()]
     return "\nUNION ALL\n".join(parts)
 
 
-def metric_ctes(where: str = "TRUE") -> str:
+def metric_ctes(where: str = "TRUE", source_cte: str = IMPRESSIONS_DUCKDB, targets=None) -> str:
     """CTEs: long, stats, details, summ, aucs, metrics (all targets)."""
-    return f"""WITH {IMPRESSIONS_DUCKDB},
-long AS ({long_labels(where=where)}),
+    return f"""WITH {source_cte},
+long AS ({long_labels(where=where, targets=targets)}),
 stats AS (
   SELECT target, CAST(count(*) AS BIGINT) AS total_samples, CAST(sum(label) AS BIGINT) AS total_positives,
          CASE WHEN count(*) > 0 THEN sum(label) / count(*) ELSE 0.0 END AS positive_rate
@@ -297,3 +298,12 @@ ORACLE["auc_density_by_run"] = metric_ctes() + """, numbered AS (
   SELECT target, auc, row_number() OVER (PARTITION BY target ORDER BY session_id) AS rn FROM details),
 cut AS (SELECT target, auc FROM numbered WHERE rn <= (SELECT min(c) FROM (SELECT count(*) AS c FROM details GROUP BY target))),
 """ + _density_sql("cut")
+
+
+# ---------------------------------------------------------------- second source: event sessions
+from rankfold.config import TargetConfig  # noqa: E402
+from rankfold.sources.testdata import EVENT_SESSIONS_DUCKDB  # noqa: E402
+
+EVENT_TARGETS = {"purchase": TargetConfig("purchase", "purchase"), "click": TargetConfig("click", "click"),
+                 "signup": TargetConfig("signup", "signup")}
+ORACLE["gauc_events"] = metric_ctes(source_cte=EVENT_SESSIONS_DUCKDB, targets=EVENT_TARGETS) + _METRIC_SELECT

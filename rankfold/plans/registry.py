@@ -393,3 +393,17 @@ def q_auc_density_by_run(spark, sf_dir):
     cut = RL.cut_to_shortest(_details(spark, sf_dir), "target", "session_id")
     d = RL.auc_density(cut, "auc", "target")
     return d.select(F.col("run").alias("target"), r9("x").alias("x"), r6("density").alias("density"))
+
+
+# ---------------------------------------------------------------- second source: event sessions
+from rankfold.config import TargetConfig  # noqa: E402
+from rankfold.sources.testdata import event_sessions  # noqa: E402
+
+EVENT_TARGETS = {"purchase": TargetConfig("purchase", "purchase"), "click": TargetConfig("click", "click"),
+                 "signup": TargetConfig("signup", "signup")}
+
+
+@register("gauc_events")
+def q_gauc_events(spark, sf_dir):
+    """M1-M13 on the events table: sessions = (user, day), score = value."""
+    return _metrics_out(evaluate(event_sessions(spark, sf_dir), EVENT_TARGETS)["metrics"])

@@ -91,6 +91,26 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second source: every ``events`` row is an impression, a session is a
+    (user, day) pair, the event value is the score and the event type is the
+    one-element event list."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    return ev.select(
+        F.concat(F.col("user_id").cast("string"), F.lit(":"), F.to_date("ts").cast("string")).alias("rid"),
+        F.col("event_id").alias("pos"),
+        F.col("value").alias("score"),
+        F.array(F.col("event_type")).alias("events"),
+        F.lit(0).cast("bigint").alias("viewTimeSec"))
+
+
+EVENT_SESSIONS_DUCKDB = """
+impressions AS (
+  SELECT CAST(user_id AS VARCHAR) || ':' || CAST(CAST(ts AS DATE) AS VARCHAR) AS rid, event_id AS pos,
+         value AS score, [event_type] AS events, CAST(0 AS BIGINT) AS viewTimeSec
+  FROM events)"""
+
+
 # The same derivation in DuckDB SQL, for the oracle queries.
 IMPRESSIONS_DUCKDB = f"""
 impressions AS (
