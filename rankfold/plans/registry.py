@@ -336,10 +336,10 @@ def q_pairwise_ranker_gauc(spark, sf_dir):
 @register("trial_best")
 def q_trial_best(spark, sf_dir):
     """Three seeded trials of the weight search, best one."""
+    from rankfold.plans.jobs import tune_weights
     train, val = _split(spark, sf_dir)
-    data = TU.prepare_search(train, val, RANK_VOCAB)
-    trials = TU.search(spark, data, n_trials=3, timeout=None, seed=0)
-    return TU.best_trial(trials).select("trial", "like_weight", "dislike_weight", "consumption_time_weight",
+    _, best = tune_weights(spark, train, val, RANK_VOCAB, n_trials=3, timeout=None, seed=0)
+    return best.select("trial", "like_weight", "dislike_weight", "consumption_time_weight",
                                         r9("value").alias("value"))
 
 
