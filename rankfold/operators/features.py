@@ -79,7 +79,8 @@ def resolve_vocabulary(names: DataFrame, dictionary: DataFrame) -> DataFrame:
     """X1 + X2: names -> ids through the dictionary table, unknown names dropped,
     file order kept; one position per id (Dev 2.13-4: the last name wins).
     Output: (idx dense 0.., feature_name, feature_id)."""
-    joined = names.join(F.broadcast(dictionary.select("feature_name", "feature_id")), "feature_name", "inner")
+    # no hint: the planner broadcasts a side only under its size threshold
+    joined = names.join(dictionary.select("feature_name", "feature_id"), "feature_name", "inner")
     last = joined.groupBy("feature_id").agg(F.max_by("feature_name", "idx").alias("feature_name"),
                                            F.max("idx").alias("file_idx"))
     w = Window.orderBy("file_idx")  # vocabulary sized: a few hundred rows

@@ -29,7 +29,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _nonnull_array(*items):
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+    # array_compact has no lambda, so it stays in generated code
+    return F.array_compact(F.array(*items))
 
 
 def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
