@@ -119,7 +119,7 @@ def load_model(path: str) -> LogisticRegressionModel:
 
 
 # ---------------------------------------------------------------- R8
-def linear_pipeline(x_train: DataFrame, feature_cols: Sequence[str], c: float = 10.0, max_iter: int = 5000,
+def linear_classifier(x_train: DataFrame, feature_cols: Sequence[str], c: float = 10.0, max_iter: int = 5000,
                     label_col: str = "label"):
     """Mean imputation -> standardisation (with mean) -> L2 logistic
     regression with ``regParam = 1 / (C * n)`` (the same optimum as an
@@ -139,6 +139,6 @@ def linear_pipeline(x_train: DataFrame, feature_cols: Sequence[str], c: float =
     return Pipeline(stages=stages).fit(x_train.withColumn(label_col, F.col(label_col).cast("double"))), cols
 
 
-def predict_pipeline(model, x: DataFrame) -> DataFrame:
+def predict_classifier(model, x: DataFrame) -> DataFrame:
     out = model.transform(x)
     return out.withColumn("p1", vector_to_array("probability")[1])

@@ -58,10 +58,10 @@ def score_and_measure(validation: DataFrame, model_path: str, vocab: Sequence[in
 
 def linear_model_auc(train: DataFrame, test: DataFrame, target_label: str = EV_ACTION_PLAY,
                      max_features: int = 213, c: float = 10.0) -> DataFrame:
-    """Entry D: B8 matrices -> R8 pipeline -> AUC of predictions and probabilities."""
+    """Entry D: B8 matrices -> R8 classifier -> AUC of predictions and probabilities."""
     x_train, x_test, ids = MX.train_test_split(train, test, target_label, max_features=max_features)
-    model, _ = RK.linear_pipeline(x_train, [f"feat_{i}" for i in ids], c=c)
-    pred = RK.predict_pipeline(model, x_test)
+    model, _ = RK.linear_classifier(x_train, [f"feat_{i}" for i in ids], c=c)
+    pred = RK.predict_classifier(model, x_test)
     parts = []
     for kind, col in (("prediction", "prediction"), ("probability", "p1")):
         lab = pred.select(F.col("label").alias("label_y"), F.col(col).alias("s"))

@@ -343,15 +343,15 @@ def q_trial_best(spark, sf_dir):
                                         r9("value").alias("value"))
 
 
-@register("linear_pipeline_auc")
-def q_linear_pipeline_auc(spark, sf_dir):
+@register("linear_classifier_auc")
+def q_linear_classifier_auc(spark, sf_dir):
     """Impute -> scale -> logistic regression on the B8 matrices; AUC of
     the hard predictions and of the probabilities on the later days."""
     train, test = _split(spark, sf_dir)
     x_train, x_test, ids = MX.train_test_split(train, test, "actionPlay", max_features=213)
     cols = [f"feat_{i}" for i in ids]
-    model, used = RK.linear_pipeline(x_train, cols)
-    pred = RK.predict_pipeline(model, x_test)
+    model, used = RK.linear_classifier(x_train, cols)
+    pred = RK.predict_classifier(model, x_test)
     out = []
     for name, col in (("prediction", "prediction"), ("probability", "p1")):
         labeled = pred.select(F.col("label").alias("label_y"), F.col(col).alias("s"))

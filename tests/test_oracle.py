@@ -20,7 +20,7 @@ def con():
 
 def test_every_query_has_oracle_or_is_model_based():
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"pairwise_ranker_gauc", "trial_best", "linear_pipeline_auc"}
+    assert rows_only <= {"pairwise_ranker_gauc", "trial_best", "linear_classifier_auc"}
     assert len(E.queries()) >= 34
 
 

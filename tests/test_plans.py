@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test tables not
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
-MODEL_BASED = {"pairwise_ranker_gauc", "trial_best", "linear_pipeline_auc"}
+MODEL_BASED = {"pairwise_ranker_gauc", "trial_best", "linear_classifier_auc"}
 
 
 def _plan(df) -> str:

@@ -143,13 +143,13 @@ def test_pairwise_ranker_learns_direction(spark):
     assert stats["max"] >= stats["min"]
 
 
-def test_linear_pipeline(spark):
+def test_linear_classifier(spark):
     rnd = random.Random(2)
     data = [(float(rnd.gauss(0, 1)), float(rnd.gauss(0, 1))) for _ in range(300)]
     df = spark.createDataFrame([(a, b if i % 10 else float("nan"), int(a + 0.3 * b > 0))
                                 for i, (a, b) in enumerate(data)], "feat_1 double, feat_2 double, label int")
-    model, cols = RK.linear_pipeline(df, ["feat_1", "feat_2"], max_iter=100)
-    pred = RK.predict_pipeline(model, df)
+    model, cols = RK.linear_classifier(df, ["feat_1", "feat_2"], max_iter=100)
+    pred = RK.predict_classifier(model, df)
     auc = M.global_auc(pred.select(F.col("label").alias("label_y"), "p1"), ["y"], "p1").first()
     assert auc["AUC"] > 0.9
 
