@@ -55,7 +55,7 @@ def q_gauc_by_target(spark, sf_dir):
 @register("gauc_group_details")
 def q_gauc_group_details(spark, sf_dir):
     """M3, M4: one row per valid (target, session)."""
-    d = evaluate(impressions(spark, sf_dir))["group_details"]
+    d = evaluate(impressions(spark, sf_dir), materialize_metrics=False)["group_details"]
     return d.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
                     r9("positive_rate").alias("positive_rate"))
 
@@ -366,7 +366,7 @@ from rankfold.operators import runlog as RL  # noqa: E402
 
 
 def _details(spark, sf_dir):
-    return evaluate(impressions(spark, sf_dir))["group_details"]
+    return evaluate(impressions(spark, sf_dir), materialize_metrics=False)["group_details"]
 
 
 @register("runlog_aucs")
