@@ -26,7 +26,7 @@ from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_TARGET
 from rankfold.functions.vectors import dense_vector, enable_last_win
 from rankfold.operators import metrics as M
 from rankfold.operators.features import feature_table
-from rankfold.operators.ranker import coefficients, fit_pairwise, pair_training_set, score
+from rankfold.operators.ranker import coefficients, fit_pairwise, pair_training_set, save_model, score
 
 TRIAL_SCHEMA = ("trial long, like_weight double, dislike_weight double, consumption_time_weight double, "
                 "value double, n_pairs long, seconds double")
@@ -75,13 +75,16 @@ def weighted_pairs(data: SearchData, like_weight: float, dislike_weight: float,
 def evaluate_weights(data: SearchData, like_weight: float, dislike_weight: float,
                      consumption_time_weight: float, metric: str = "GAUCWeighted", max_iter: int = 150,
                      reg_param: float = 1e-3, platforms=CLI_PLATFORMS, nav_screen=NAV_VIDEO_FOR_YOU,
-                     formula_path=DEFAULT_FORMULA_PATH) -> tuple[float, int]:
-    """One trial: (objective value, number of training pairs)."""
+                     formula_path=DEFAULT_FORMULA_PATH, model_path: Optional[str] = None) -> tuple[float, int]:
+    """One trial: (objective value, number of training pairs); the fitted
+    model is saved to ``model_path`` when given."""
     pairs = weighted_pairs(data, like_weight, dislike_weight, consumption_time_weight)
     n_pairs = pairs.count()
     if n_pairs == 0:
         return 0.0, 0
     model = fit_pairwise(pairs, max_iter=max_iter, reg_param=reg_param, mirror=n_pairs < 50_000)
+    if model_path:
+        save_model(model, model_path)
     scored = score(data.validation, coefficients(model))
     metrics, _ = M.gauc(scored, data.target_configs, score_col=Cols.MODEL_SCORE, platforms=platforms,
                         nav_screen=nav_screen, formula_path=formula_path, calculate_regular_auc=False)
@@ -89,9 +92,10 @@ def evaluate_weights(data: SearchData, like_weight: float, dislike_weight: float
 
 
 def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Optional[float] = 120.0,
-           seed: int = 0, trials_path: Optional[str] = None, **kw) -> DataFrame:
+           seed: int = 0, trials_path: Optional[str] = None, model_dir: Optional[str] = None, **kw) -> DataFrame:
     """Run trials in order until ``n_trials`` or ``timeout`` seconds;
-    trials already in ``trials_path`` are skipped (resume)."""
+    trials already in ``trials_path`` are skipped (resume).  With
+    ``model_dir`` every trial's model is saved as ``<model_dir>/trial_<n>``."""
     done: set[int] = set()
     if trials_path and os.path.exists(trials_path):
         done = {int(r["trial"]) for r in spark.read.parquet(trials_path).select("trial").collect()}
@@ -103,8 +107,9 @@ def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Op
         if timeout is not None and time.time() - start > timeout and rows:
             break
         t0 = time.time()
+        mp = f"{model_dir.rstrip('/')}/trial_{w['trial']}" if model_dir else None
         value, n_pairs = evaluate_weights(data, w["like_weight"], w["dislike_weight"],
-                                          w["consumption_time_weight"], **kw)
+                                          w["consumption_time_weight"], model_path=mp, **kw)
         row = (w["trial"], w["like_weight"], w["dislike_weight"], w["consumption_time_weight"], value, n_pairs,
                time.time() - t0)
         rows.append(row)

@@ -80,3 +80,20 @@ def test_extract_job(spark, tmp_dir):
     J.write_training_extract(df, path, limit=7)
     got = spark.read.parquet(path)
     assert got.count() == 7 and "features" in got.columns
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from rankfold.__main__ import main
+    src = os.path.join(tmp_dir, "imp.parquet")
+    _train_rows(spark, 12).write.parquet(src)
+    main(["evaluate", src, os.path.join(tmp_dir, "ev"), "--no-slice"])
+    assert spark.read.parquet(os.path.join(tmp_dir, "ev", "metrics")).count() == 4
+    main(["tune", src, src, os.path.join(tmp_dir, "trials"), "--n-trials", "2", "--vocab-ids", "1,2",
+          "--iterations", "10", "--model-dir", os.path.join(tmp_dir, "models")])
+    main(["score", src, os.path.join(tmp_dir, "models", "trial_1"), os.path.join(tmp_dir, "sc"),
+          "--vocab-ids", "1,2"])
+    assert spark.read.parquet(os.path.join(tmp_dir, "sc", "scored")).count() == 48
+    main(["extract", src, os.path.join(tmp_dir, "ex"), "--limit", "5"])
+    assert spark.read.parquet(os.path.join(tmp_dir, "ex")).count() == 5
+    out = capsys.readouterr().out
+    assert "value" in out and "total_targets" in out
