@@ -71,6 +71,8 @@ def linear_model_auc(train: DataFrame, test: DataFrame, target_label: str = EV_A
 
 def write_training_extract(df: DataFrame, path: str, limit: Optional[int] = 500_000,
                            whole_sessions: bool = False, **predicate) -> None:
-    """Entry E: filter, project, cut and replace the target table."""
-    training_extract(df, limit=limit, whole_sessions=whole_sessions, **predicate) \
-        .write.mode("overwrite").parquet(path)
+    """Entry E: filter, project, cut and replace the target table.  Files are
+    written in (rid, pos) order (range partitions, sorted within each); the
+    extract holds at most ``limit`` rows, so this sort is small."""
+    ext = training_extract(df, limit=limit, whole_sessions=whole_sessions, **predicate)
+    ext.repartitionByRange("rid", "pos").sortWithinPartitions("rid", "pos").write.mode("overwrite").parquet(path)
