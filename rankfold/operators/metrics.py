@@ -132,19 +132,30 @@ def session_details(labeled: DataFrame, target_names: Sequence[str], session_col
     narrow = labeled.select(F.col(session_col).alias("session_id"), clean_score(score_col).alias("score"),
                             *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)]
                             ).where(F.col("session_id").isNotNull())
-    if splits and hot_threshold is not None:
-        sizes = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_size"))
-        hot = sizes.where(F.col("_size") > F.lit(int(hot_threshold))).select("session_id", F.lit(True).alias("_hot"))
-        narrow = add_bucket(narrow.join(F.broadcast(hot), "session_id", "left"), "score", splits)
-        narrow = narrow.withColumn(_B, F.when(F.col("_hot"), F.col(_B)).otherwise(F.lit(0))).drop("_hot")
-    else:
-        narrow = narrow.withColumn(_B, F.lit(0))
-    p = narrow.repartition("session_id", _B)
     ys = [f"_y{i}" for i in range(len(names))]
+    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(len(ys))]
+    if not splits or hot_threshold is None:
+        # no session is split: one shuffle by session, one ordered window
+        p = narrow.repartition("session_id")
+        per_score = p.groupBy("session_id", "score").agg(
+            F.count(F.lit(1)).alias("_c"), *[F.sum(y).cast("long").alias(f"_p{i}") for i, y in enumerate(ys)])
+        w = Window.partitionBy("session_id").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"_nb{i}")
+                                            for i, n in enumerate(neg)])
+        per_session = per_score.groupBy("session_id").agg(*[
+            a for i, n in enumerate(neg) for a in (
+                F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"U{i}"),
+                F.sum(f"_p{i}").alias(f"P{i}"), F.sum(n).alias(f"N{i}"))])
+        return _details_from_sums(per_session, names)
+    sizes = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_size"))
+    # at most rows / hot_threshold keys pass this filter: a bounded broadcast
+    hot = sizes.where(F.col("_size") > F.lit(int(hot_threshold))).select("session_id", F.lit(True).alias("_hot"))
+    narrow = add_bucket(narrow.join(F.broadcast(hot), "session_id", "left"), "score", splits)
+    narrow = narrow.withColumn(_B, F.when(F.col("_hot"), F.col(_B)).otherwise(F.lit(0))).drop("_hot")
+    p = narrow.repartition("session_id", _B)
     per_score = p.groupBy("session_id", _B, "score").agg(
         F.count(F.lit(1)).alias("_c"), *[F.sum(y).cast("long").alias(f"_p{i}") for i, y in enumerate(ys)])
     w_in = Window.partitionBy("session_id", _B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(len(ys))]
     per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
                                         for i, n in enumerate(neg)])
     per_bucket = per_score.groupBy("session_id", _B).agg(*[
@@ -158,6 +169,11 @@ def session_details(labeled: DataFrame, target_names: Sequence[str], session_col
         a for i in range(len(ys)) for a in (
             F.sum(F.col(f"_u{i}") + F.col(f"_P{i}").cast("double") * F.col(f"_nl{i}")).alias(f"U{i}"),
             F.sum(f"_P{i}").alias(f"P{i}"), F.sum(f"_N{i}").alias(f"N{i}"))])
+    return _details_from_sums(per_session, names)
+
+
+def _details_from_sums(per_session: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(session, U_i, P_i, N_i per target) -> one detail row per valid (target, session)."""
     rows = [F.struct(F.lit(t).alias("target"), F.col(f"U{i}").alias("U"), F.col(f"P{i}").alias("P"),
                      F.col(f"N{i}").alias("N")) for i, t in enumerate(names)]
     u = per_session.select("session_id", F.inline(F.array(*rows)))
@@ -284,7 +300,9 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     stats = spark.createDataFrame(
         [(t, n_rows, int(positives[i]), (positives[i] / n_rows) if n_rows else 0.0) for i, t in enumerate(names)],
         "target string, total_samples long, total_positives long, positive_rate double")
-    details = session_details(labeled, names, session_col, score_col, _pick(qs, session_buckets), hot_threshold)
+    # no session can exceed the threshold when the whole slice does not
+    hot = hot_threshold if hot_threshold is not None and n_rows > hot_threshold else None
+    details = session_details(labeled, names, session_col, score_col, _pick(qs, session_buckets), hot)
     summ = gauc_summary(details, exact_median)
     out = stats
     if calculate_regular_auc:
