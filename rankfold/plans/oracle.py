@@ -28,18 +28,20 @@ def _clean(col: str) -> str:
     return f"coalesce(CASE WHEN isnan({col}) THEN 0.0 ELSE {col} END, 0.0)"
 
 
-def long_labels(source: str = "impressions", score: str = "score", where: str = "TRUE", targets=None) -> str:
+def long_labels(source: str = "impressions", score: str = "score", where: str = "TRUE", targets=None,
+                session: str = "rid") -> str:
     """UNION ALL of one select per target: (target, rid, score, label)."""
     targets = targets or DEFAULT_TARGETS
-    parts = [f"SELECT '{name}' AS target, rid, {_clean(score)} AS score, {_label_sql(cfg)} AS label "
+    parts = [f"SELECT '{name}' AS target, {session} AS rid, {_clean(score)} AS score, {_label_sql(cfg)} AS label "
              f"FROM {source} WHERE {where}" for name, cfg in targets.items()]
     return "\nUNION ALL\n".join(parts)
 
 
-def metric_ctes(where: str = "TRUE", source_cte: str = IMPRESSIONS_DUCKDB, targets=None) -> str:
+def metric_ctes(where: str = "TRUE", source_cte: str = IMPRESSIONS_DUCKDB, targets=None, session: str = "rid",
+                score: str = "score") -> str:
     """CTEs: long, stats, details, summ, aucs, metrics (all targets)."""
     return f"""WITH {source_cte},
-long AS ({long_labels(where=where, targets=targets)}),
+long AS ({long_labels(where=where, targets=targets, session=session, score=score)}),
 stats AS (
   SELECT target, CAST(count(*) AS BIGINT) AS total_samples, CAST(sum(label) AS BIGINT) AS total_positives,
          CASE WHEN count(*) > 0 THEN sum(label) / count(*) ELSE 0.0 END AS positive_rate
@@ -307,3 +309,9 @@ from rankfold.sources.testdata import EVENT_SESSIONS_DUCKDB  # noqa: E402
 EVENT_TARGETS = {"purchase": TargetConfig("purchase", "purchase"), "click": TargetConfig("click", "click"),
                  "signup": TargetConfig("signup", "signup")}
 ORACLE["gauc_events"] = metric_ctes(source_cte=EVENT_SESSIONS_DUCKDB, targets=EVENT_TARGETS) + _METRIC_SELECT
+
+
+# ---------------------------------------------------------------- skewed sessions (hot-session path)
+ORACLE["gauc_skewed_sessions"] = metric_ctes(session="platform", score="score_alt") + _METRIC_SELECT
+ORACLE["gauc_skewed_details"] = metric_ctes(session="platform", score="score_alt") + """SELECT target, session_id,
+  round(auc, 9) AS auc, size, positives, negatives, round(positive_rate, 9) AS positive_rate FROM details"""

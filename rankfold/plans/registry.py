@@ -407,3 +407,30 @@ EVENT_TARGETS = {"purchase": TargetConfig("purchase", "purchase"), "click": Targ
 def q_gauc_events(spark, sf_dir):
     """M1-M13 on the events table: sessions = (user, day), score = value."""
     return _metrics_out(evaluate(event_sessions(spark, sf_dir), EVENT_TARGETS)["metrics"])
+
+
+# ---------------------------------------------------------------- skewed sessions (hot-session path)
+SKEW_HOT_ROWS = 10_000
+
+
+def _skewed(spark, sf_dir, materialize=True):
+    """Sessions keyed by platform: three keys, each holding a fifth to two
+    fifths of all rows.  A hot threshold of 10,000 rows sends them through the
+    bucketed path (split by score into up to 1,024 buckets) at test scale; the
+    result does not depend on the threshold."""
+    return evaluate(impressions(spark, sf_dir), DEFAULT_TARGETS, score_col="score_alt", session_col="platform",
+                    hot_threshold=SKEW_HOT_ROWS, materialize_metrics=materialize)
+
+
+@register("gauc_skewed_sessions")
+def q_gauc_skewed_sessions(spark, sf_dir):
+    """M3-M9 with hot sessions split into score buckets."""
+    return _metrics_out(_skewed(spark, sf_dir)["metrics"])
+
+
+@register("gauc_skewed_details")
+def q_gauc_skewed_details(spark, sf_dir):
+    """M4 per hot session."""
+    d = _skewed(spark, sf_dir, materialize=False)["group_details"]
+    return d.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
+                    r9("positive_rate").alias("positive_rate"))
