@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankfold.config import EV_ACTION_PLAY, Cols
 from rankfold.functions.labels import pattern_label_expr
-from rankfold.functions.vectors import _valid_pairs, dense_vector, enable_last_win, index_vector
+from rankfold.functions.vectors import _valid_pairs, dense_vector, index_vector
 
 
 def _pairs(df: DataFrame, features: str = Cols.FEATURES, need_value: bool = True) -> DataFrame:
@@ -29,7 +29,6 @@ def _pairs(df: DataFrame, features: str = Cols.FEATURES, need_value: bool = True
 def dense_matrix(df: DataFrame, num_features: int = 256, keep: Sequence[str] = (Cols.RID, Cols.POS),
                  features: str = Cols.FEATURES) -> DataFrame:
     """B1: ``features`` array<float> indexed by raw id (0 <= id < n), default 0.0."""
-    enable_last_win(df.sparkSession)
     return df.select(*keep, index_vector(features, num_features).alias("features"))
 
 
@@ -88,7 +87,6 @@ def selected_matrix(df: DataFrame, feature_ids: Sequence[int], keep: Sequence[st
                     features: str = Cols.FEATURES, wide: bool = True) -> DataFrame:
     """Matrix over the selected ids (default 0.0, last duplicate wins, no
     rounding); ``feat_<id>`` columns when ``wide`` else one array column."""
-    enable_last_win(df.sparkSession)
     vec = dense_vector(features, list(feature_ids), default=0.0, round_digits=None)
     out = df.select(*keep, vec.alias("features"), *[c for c in df.columns if c.startswith("label")])
     if not wide:
