@@ -69,7 +69,7 @@ def dense_vector(features: str | Column, vocab: Sequence[int], default: float =
     voc = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(1).alias("kind"), F.lit(p).alias("i"),
                              F.lit(None).cast("double").alias("v")) for p, k in enumerate(vocab)])
     entries = F.coalesce(_entries(features, round_digits), F.array().cast(f"array<{_ENTRY}>"))
-    srt = F.array_sort(F.concat(entries, voc))
+    srt = F.sort_array(F.concat(entries, voc))
     prev = F.concat(F.array(F.lit(None).cast(_ENTRY)),
                     F.slice(srt, 1, F.greatest(F.size(srt) - 1, F.lit(0))))
     dflt = F.lit(float(default))
@@ -77,7 +77,7 @@ def dense_vector(features: str | Column, vocab: Sequence[int], default: float =
         a["kind"] == 1,
         F.struct(a["i"].alias("p"),
                  F.when(b.isNotNull() & (b["k"] == a["k"]) & (b["kind"] == 0), b["v"]).otherwise(dflt).alias("v"))))
-    out = F.array_sort(F.filter(picked, lambda x: x.isNotNull()))
+    out = F.sort_array(F.filter(picked, lambda x: x.isNotNull()))
     return F.transform(out, lambda x: x["v"].cast("float"))
 
 
