@@ -85,3 +85,10 @@ def test_session_auc_matches_brute_force(spark, rows, hot):
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-12)
     assert all(not math.isnan(v) for v in got.values())
+
+
+def test_feature_map_dict_form(spark):  # X4: same defaults as the dense path
+    from rankfold.functions.vectors import feature_map
+    df = spark.createDataFrame([([[5.0, 1.0], [7.0, 2.123456789], [5.0, 3.0], [9.0]],)], "features array<array<double>>")
+    m = df.select(feature_map("features")).first()[0]
+    assert m == {5: 3.0, 7: pytest.approx(2.12345679)}
