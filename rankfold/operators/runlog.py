@@ -27,11 +27,14 @@ RESULT_TYPE = (f"map<string,struct<GAUCSimple:double,GAUCWeighted:double,n_group
 
 
 # ---------------------------------------------------------------- S6
+LOG_SCHEMA = "record struct<message:string,time:struct<timestamp:double>>"
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """NDJSON run log -> (message, timestamp)."""
-    raw = spark.read.json(path)
-    ts = F.col("record.time.timestamp") if "time" in raw.select("record.*").columns else F.lit(None)
-    return raw.select(F.col("record.message").alias("message"), ts.cast("double").alias("timestamp"))
+    """NDJSON run log -> (message, timestamp).  Explicit schema: no
+    inference pass over the log; other fields of a record are ignored."""
+    raw = spark.read.schema(LOG_SCHEMA).json(path)
+    return raw.select(F.col("record.message").alias("message"), F.col("record.time.timestamp").alias("timestamp"))
 
 
 # ---------------------------------------------------------------- rendering (the writer side)
