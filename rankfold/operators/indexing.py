@@ -24,9 +24,10 @@ def with_global_index(df: DataFrame, order_cols: Sequence[str], index_col: str =
                       num_partitions: Optional[int] = None) -> DataFrame:
     """Add a 0-based dense ``index_col`` following ``order_cols`` (which must be
     a unique key for a deterministic index)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count AQE may coalesce the range partitions to the
+    # data size; numbering happens after the checkpoint, so any layout works.
+    ordered = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+               else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
     ordered = reliable_checkpoint(ordered)
     tagged = ordered.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumns({"_pid": F.shiftright("_mid", 33), "_local": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))})
