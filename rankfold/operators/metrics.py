@@ -113,6 +113,47 @@ def auto_buckets(n_rows: int, rows_per_bucket: int = 2_000_000, lo: int = 16, hi
 HOT_SESSION_ROWS = 2_000_000
 
 
+def _sums_by_session(narrow: DataFrame, k: int) -> DataFrame:
+    """Whole sessions: one shuffle by session, per-score counts, one ordered
+    window, per-session sums (U_i, P_i, N_i for each of the k targets)."""
+    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
+    per_score = narrow.repartition("session_id").groupBy("session_id", "score").agg(
+        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
+    w = Window.partitionBy("session_id").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"_nb{i}")
+                                        for i, n in enumerate(neg)])
+    return per_score.groupBy("session_id").agg(*[
+        a for i, n in enumerate(neg) for a in (
+            F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"U{i}"),
+            F.sum(f"_p{i}").alias(f"P{i}"), F.sum(n).alias(f"N{i}"))])
+
+
+def _sums_for_hot_sessions(hot_rows: DataFrame, k: int, splits: Sequence[float]) -> DataFrame:
+    """Hot sessions: counts per (session, score) are combined map-side before
+    the first shuffle (rows with equal scores - e.g. all NULL / NaN scores -
+    collapse there), then the per-score rows are cut into score buckets, so
+    the ordered work runs per (session, bucket); a last window runs over the
+    <= B bucket rows of each hot session."""
+    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
+    per_score = hot_rows.groupBy("session_id", "score").agg(
+        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
+    per_score = add_bucket(per_score, "score", splits)
+    w_in = Window.partitionBy("session_id", _B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
+                                        for i, n in enumerate(neg)])
+    per_bucket = per_score.groupBy("session_id", _B).agg(*[
+        a for i, n in enumerate(neg) for a in (
+            F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"_u{i}"),
+            F.sum(f"_p{i}").alias(f"_P{i}"), F.sum(n).alias(f"_N{i}"))])
+    w_b = Window.partitionBy("session_id").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select("*", *[F.coalesce(F.sum(f"_N{i}").over(w_b), F.lit(0)).alias(f"_nl{i}")
+                                          for i in range(k)])
+    return per_bucket.groupBy("session_id").agg(*[
+        a for i in range(k) for a in (
+            F.sum(F.col(f"_u{i}") + F.col(f"_P{i}").cast("double") * F.col(f"_nl{i}")).alias(f"U{i}"),
+            F.sum(f"_P{i}").alias(f"P{i}"), F.sum(f"_N{i}").alias(f"N{i}"))])
+
+
 def session_details(labeled: DataFrame, target_names: Sequence[str], session_col: str = Cols.RID,
                     score_col: str = Cols.SCORE, splits: Sequence[float] = (),
                     hot_threshold: Optional[int] = HOT_SESSION_ROWS) -> DataFrame:
@@ -120,56 +161,35 @@ def session_details(labeled: DataFrame, target_names: Sequence[str], session_col
     positives, negatives, positive_rate.  Sessions need >= 1 positive and
     >= 1 negative; NULL sessions are not groups.
 
-    Plan: narrow rows (session, score, one 0/1 column per target) are
-    shuffled once by (session, bucket).  Only *hot* sessions - more than
-    ``hot_threshold`` rows, found by a partial-aggregated count whose result
-    is at most ``rows / hot_threshold`` keys and is broadcast - are cut into
-    score buckets at ``splits``; every other session is bucket 0 and is
-    finished inside its task.  Targets stay columns until the end, so the
-    second (cross-bucket) shuffle moves about one row per session.
+    Plan: narrow rows (session, score, one 0/1 column per target; targets
+    stay columns until the end) are shuffled once by session and finished
+    inside their task.  *Hot* sessions - more than ``hot_threshold`` rows -
+    are found first by a partial-aggregated count; at most
+    ``rows / hot_threshold`` keys can qualify, so the list is a bounded single
+    result.  When there are none, that is the whole plan.  Otherwise the hot
+    sessions' rows take a separate path: per-score counts combined map-side,
+    then score buckets at ``splits`` (see :func:`_sums_for_hot_sessions`).
     """
     names = list(target_names)
+    k = len(names)
     narrow = labeled.select(F.col(session_col).alias("session_id"), clean_score(score_col).alias("score"),
                             *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)]
                             ).where(F.col("session_id").isNotNull())
-    ys = [f"_y{i}" for i in range(len(names))]
-    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(len(ys))]
     if not splits or hot_threshold is None:
-        # no session is split: one shuffle by session, one ordered window
-        p = narrow.repartition("session_id")
-        per_score = p.groupBy("session_id", "score").agg(
-            F.count(F.lit(1)).alias("_c"), *[F.sum(y).cast("long").alias(f"_p{i}") for i, y in enumerate(ys)])
-        w = Window.partitionBy("session_id").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"_nb{i}")
-                                            for i, n in enumerate(neg)])
-        per_session = per_score.groupBy("session_id").agg(*[
-            a for i, n in enumerate(neg) for a in (
-                F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"U{i}"),
-                F.sum(f"_p{i}").alias(f"P{i}"), F.sum(n).alias(f"N{i}"))])
-        return _details_from_sums(per_session, names)
+        return _details_from_sums(_sums_by_session(narrow, k), names)
     sizes = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_size"))
-    # at most rows / hot_threshold keys pass this filter: a bounded broadcast
-    hot = sizes.where(F.col("_size") > F.lit(int(hot_threshold))).select("session_id", F.lit(True).alias("_hot"))
-    narrow = add_bucket(narrow.join(F.broadcast(hot), "session_id", "left"), "score", splits)
-    narrow = narrow.withColumn(_B, F.when(F.col("_hot"), F.col(_B)).otherwise(F.lit(0))).drop("_hot")
-    p = narrow.repartition("session_id", _B)
-    per_score = p.groupBy("session_id", _B, "score").agg(
-        F.count(F.lit(1)).alias("_c"), *[F.sum(y).cast("long").alias(f"_p{i}") for i, y in enumerate(ys)])
-    w_in = Window.partitionBy("session_id", _B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
-                                        for i, n in enumerate(neg)])
-    per_bucket = per_score.groupBy("session_id", _B).agg(*[
-        a for i, n in enumerate(neg) for a in (
-            F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"_u{i}"),
-            F.sum(f"_p{i}").alias(f"_P{i}"), F.sum(n).alias(f"_N{i}"))])
-    w_b = Window.partitionBy("session_id").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select("*", *[F.coalesce(F.sum(f"_N{i}").over(w_b), F.lit(0)).alias(f"_nl{i}")
-                                          for i in range(len(ys))])
-    per_session = per_bucket.groupBy("session_id").agg(*[
-        a for i in range(len(ys)) for a in (
-            F.sum(F.col(f"_u{i}") + F.col(f"_P{i}").cast("double") * F.col(f"_nl{i}")).alias(f"U{i}"),
-            F.sum(f"_P{i}").alias(f"P{i}"), F.sum(f"_N{i}").alias(f"N{i}"))])
-    return _details_from_sums(per_session, names)
+    hot_ids = [r[0] for r in sizes.where(F.col("_size") > F.lit(int(hot_threshold))).select("session_id").collect()]
+    if not hot_ids:
+        return _details_from_sums(_sums_by_session(narrow, k), names)
+    spark = labeled.sparkSession
+    # bounded by rows / hot_threshold (see above): a broadcast with a proven size
+    key_type = narrow.schema["session_id"].dataType.simpleString()
+    hot = spark.createDataFrame([(h, True) for h in hot_ids], f"session_id {key_type}, _hot boolean")
+    flagged = narrow.join(F.broadcast(hot), "session_id", "left")
+    normal = flagged.where(F.col("_hot").isNull()).drop("_hot")
+    hot_rows = flagged.where(F.col("_hot").isNotNull()).drop("_hot")
+    sums = _sums_by_session(normal, k).unionByName(_sums_for_hot_sessions(hot_rows, k, splits))
+    return _details_from_sums(sums, names)
 
 
 def _details_from_sums(per_session: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -205,3 +205,20 @@ def test_compare_and_summary(spark):
     with pytest.raises(KeyError):
         M.lookup(details, "watch_coverage_30s", "median")
     assert math.isfinite(row["average_gauc_weighted"])
+
+
+def test_hot_session_with_one_score_value(spark):
+    """A hot session whose scores are all NULL / NaN (cleaned to 0.0): every
+    pair ties, AUC 0.5; the hot path combines equal scores map-side."""
+    rows = [{"rid": "hot", "score": None if i % 2 else float("nan"), "viewTimeSec": 40 if i % 3 == 0 else 0,
+             "events": ["watchCoverageRecord"]} for i in range(60)]
+    rows += [{"rid": "n", "score": 0.9, "viewTimeSec": 40, "events": ["watchCoverageRecord"]},
+             {"rid": "n", "score": 0.1, "viewTimeSec": 0, "events": ["watchCoverageRecord"]}]
+    df = make_impressions(spark, rows)
+    _, details = M.gauc(df, WC30, hot_threshold=10, session_buckets=16, score_buckets=4)
+    got = {r["session_id"]: r["auc"] for r in details.collect()}
+    assert got == {"hot": 0.5, "n": 1.0}
+    import re
+    plan = re.sub(r"#\d+L?", "", details._jdf.queryExecution().executedPlan().toString())
+    # per-score counts are partial-aggregated before the hot path's first shuffle
+    assert "hashpartitioning(session_id, score" in plan
