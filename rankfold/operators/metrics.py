@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 from typing import Iterable, Optional, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -207,18 +208,90 @@ def _details_from_sums(per_session: DataFrame, names: Sequence[str]) -> DataFram
 
 
 # ---------------------------------------------------------------- M5-M8
-def gauc_summary(details: DataFrame, exact_median: bool = True) -> DataFrame:
-    """M5-M7 per target.  The exact median keeps one count per distinct AUC value
-    (bounded by the number of distinct fractions U/(P*N)); ``exact_median=False``
-    switches to ``percentile_approx`` for very many sessions."""
-    med = F.percentile(F.col("auc"), F.lit(0.5)) if exact_median else F.percentile_approx("auc", 0.5, 100000)
-    return details.groupBy("target").agg(
-        F.avg("auc").alias("GAUCSimple"),
-        (F.sum(F.col("auc") * F.col("size")) / F.sum("size")).alias("GAUCWeighted"),
-        F.count(F.lit(1)).alias("n_groups"),
-        F.stddev_pop("auc").alias("std"),
-        F.min("auc").alias("min"), F.max("auc").alias("max"),
-        med.cast("double").alias("median"))
+MEDIAN_ACCURACY = 100_000
+
+
+def _base_summary_aggs():
+    return [F.avg("auc").alias("GAUCSimple"),
+            (F.sum(F.col("auc") * F.col("size")) / F.sum("size")).alias("GAUCWeighted"),
+            F.count(F.lit(1)).alias("n_groups"), F.stddev_pop("auc").alias("std"),
+            F.min("auc").alias("min"), F.max("auc").alias("max")]
+
+
+SUMMARY_SCHEMA = ("target string, GAUCSimple double, GAUCWeighted double, n_groups long, std double, "
+                  "min double, max double, median double")
+
+
+def gauc_summary(details: DataFrame, exact_median: bool = True, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """M5-M7 per target: simple and weighted GAUC, count, population std, min,
+    max and median (numpy's: the mean of the two middle values).
+
+    The exact median never gathers all AUC values in one task.  Pass 1 computes
+    the other statistics and ``percentile_approx`` brackets around the middle
+    rank (rank error <= n / accuracy).  Pass 2 counts the values below the
+    bracket and returns (value, count) only for values inside it - at most
+    about 4 n / accuracy distinct values per target.  The middle values are then
+    picked on the driver; if the bracket missed (never expected), it widens.
+    ``exact_median=False`` returns the approximate median of pass 1.
+    """
+    spark = details.sparkSession
+    d = details.select("target", "auc", "size").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        eps = 2.0 / accuracy
+        first = d.groupBy("target").agg(
+            *_base_summary_aggs(),
+            F.percentile_approx("auc", [max(0.0, 0.5 - eps), 0.5, min(1.0, 0.5 + eps)], accuracy).alias("_q"),
+        ).collect()
+        rows = [r.asDict() for r in first]
+        for row in rows:
+            row["_q"] = [float(x) for x in row["_q"]]
+            row["median"] = row["_q"][1]
+        if exact_median and rows:
+            _exact_medians(d, rows)
+        cols = [c.split()[0] for c in SUMMARY_SCHEMA.split(", ")]
+        return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], SUMMARY_SCHEMA)
+    finally:
+        d.unpersist()
+
+
+def _exact_medians(d: DataFrame, rows: list[dict]) -> None:
+    """Fill ``median`` exactly for every target row (two jobs for all targets)."""
+    todo = {r["target"]: r for r in rows}
+    brackets = {t: (r["_q"][0], r["_q"][2]) for t, r in todo.items()}
+    for _ in range(3):
+        lo = F.lit(None).cast("double")
+        hi = F.lit(None).cast("double")
+        for t, (a, b) in brackets.items():
+            lo = F.when(F.col("target") == F.lit(t), F.lit(a)).otherwise(lo)
+            hi = F.when(F.col("target") == F.lit(t), F.lit(b)).otherwise(hi)
+        marked = d.where(F.col("target").isin(*brackets)).select("target", "auc", lo.alias("_lo"), hi.alias("_hi"))
+        below = {r["target"]: int(r["b"]) for r in
+                 marked.groupBy("target").agg(F.count_if(F.col("auc") < F.col("_lo")).alias("b")).collect()}
+        cands: dict[str, list] = {}
+        for r in marked.where((F.col("auc") >= F.col("_lo")) & (F.col("auc") <= F.col("_hi"))) \
+                       .groupBy("target", "auc").agg(F.count(F.lit(1)).alias("c")).collect():
+            cands.setdefault(r["target"], []).append((float(r["auc"]), int(r["c"])))
+        missed = {}
+        for t, row in todo.items():
+            n = int(row["n_groups"])
+            k1, k2 = (n - 1) // 2, n // 2
+            cs = sorted(cands.get(t, []))
+            b0 = below.get(t, 0)
+            if b0 <= k1 and b0 + sum(c for _, c in cs) > k2:
+                vals, pos = {}, b0
+                for v, c in cs:
+                    for k in (k1, k2):
+                        if pos <= k < pos + c:
+                            vals[k] = v
+                    pos += c
+                row["median"] = (vals[k1] + vals[k2]) / 2.0
+            else:  # the bracket missed the middle ranks (not expected): widen
+                missed[t] = (-math.inf, math.inf)
+        if not missed:
+            return
+        todo = {t: todo[t] for t in missed}
+        brackets = missed
+    raise RuntimeError("median bracket did not cover the middle ranks")
 
 
 # ---------------------------------------------------------------- M2
@@ -300,7 +373,8 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
          platform_col: str = Cols.PLATFORM, formula_path_col: str = Cols.FORMULA_PATH,
          calculate_regular_auc: bool = True, score_buckets: Optional[int] = None,
          session_buckets: int = SPLIT_RESOLUTION, exact_median: bool = True,
-         hot_threshold: Optional[int] = HOT_SESSION_ROWS) -> tuple[DataFrame, DataFrame]:
+         hot_threshold: Optional[int] = HOT_SESSION_ROWS,
+         details_only: bool = False) -> tuple[Optional[DataFrame], DataFrame]:
     """Public entry: ``(metrics, group_details)``.
 
     ``metrics`` has one row per target: target, total_samples, total_positives,
@@ -323,6 +397,8 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     # no session can exceed the threshold when the whole slice does not
     hot = hot_threshold if hot_threshold is not None and n_rows > hot_threshold else None
     details = session_details(labeled, names, session_col, score_col, _pick(qs, session_buckets), hot)
+    if details_only:
+        return None, details
     summ = gauc_summary(details, exact_median)
     out = stats
     if calculate_regular_auc:

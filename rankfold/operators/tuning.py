@@ -86,7 +86,8 @@ def evaluate_weights(data: SearchData, like_weight: float, dislike_weight: float
         save_model(model, model_path)
     scored = score(data.validation, coefficients(model))
     metrics, _ = M.gauc(scored, data.target_configs, score_col=Cols.MODEL_SCORE, platforms=platforms,
-                        nav_screen=nav_screen, formula_path=formula_path, calculate_regular_auc=False)
+                        nav_screen=nav_screen, formula_path=formula_path, calculate_regular_auc=False,
+                        exact_median=False)  # the objective does not use the median
     return float(M.lookup(metrics, data.target_name, metric)), int(n_pairs)
 
 

@@ -55,7 +55,7 @@ def q_gauc_by_target(spark, sf_dir):
 @register("gauc_group_details")
 def q_gauc_group_details(spark, sf_dir):
     """M3, M4: one row per valid (target, session)."""
-    d = evaluate(impressions(spark, sf_dir), materialize_metrics=False)["group_details"]
+    d = evaluate(impressions(spark, sf_dir), details_only=True)["group_details"]
     return d.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
                     r9("positive_rate").alias("positive_rate"))
 
@@ -364,7 +364,7 @@ from rankfold.operators import runlog as RL  # noqa: E402
 
 
 def _details(spark, sf_dir):
-    return evaluate(impressions(spark, sf_dir), materialize_metrics=False)["group_details"]
+    return evaluate(impressions(spark, sf_dir), details_only=True)["group_details"]
 
 
 @register("runlog_aucs")
@@ -411,13 +411,13 @@ def q_gauc_events(spark, sf_dir):
 SKEW_HOT_ROWS = 10_000
 
 
-def _skewed(spark, sf_dir, materialize=True):
+def _skewed(spark, sf_dir, details_only=False):
     """Sessions keyed by platform: three keys, each holding a fifth to two
     fifths of all rows.  A hot threshold of 10,000 rows sends them through the
     bucketed path (split by score into up to 1,024 buckets) at test scale; the
     result does not depend on the threshold."""
     return evaluate(impressions(spark, sf_dir), DEFAULT_TARGETS, score_col="score_alt", session_col="platform",
-                    hot_threshold=SKEW_HOT_ROWS, materialize_metrics=materialize)
+                    hot_threshold=SKEW_HOT_ROWS, details_only=details_only)
 
 
 @register("gauc_skewed_sessions")
@@ -429,6 +429,6 @@ def q_gauc_skewed_sessions(spark, sf_dir):
 @register("gauc_skewed_details")
 def q_gauc_skewed_details(spark, sf_dir):
     """M4 per hot session."""
-    d = _skewed(spark, sf_dir, materialize=False)["group_details"]
+    d = _skewed(spark, sf_dir, details_only=True)["group_details"]
     return d.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
                     r9("positive_rate").alias("positive_rate"))
