@@ -101,7 +101,7 @@ def q_metric_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- slices and extracts
-from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, NAV_VIDEO_FOR_YOU,  # noqa: E402
+from rankfold.config import (DEFAULT_FORMULA_PATH, NAV_VIDEO_FOR_YOU,  # noqa: E402
                              PLATFORM_VK_VIDEO_ANDROID)
 from rankfold.sources import extracts as X  # noqa: E402
 
@@ -286,7 +286,6 @@ def q_selected_matrix_train_test(spark, sf_dir):
 
 # ---------------------------------------------------------------- ranker, scoring, search
 from rankfold.operators import ranker as RK  # noqa: E402
-from rankfold.operators import tuning as TU  # noqa: E402
 
 RANK_VOCAB = [1, 2, 3, 4, 5]
 FIXED_COEF = [0.05, -2.0, 3.0, 0.01, 0.0005]

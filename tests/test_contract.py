@@ -5,7 +5,6 @@ import math
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import make_impressions
 from rankfold.config import BIG_NEGATIVE, DEFAULT_TARGETS
