@@ -255,7 +255,7 @@ def gauc_summary(details: DataFrame, exact_median: bool = True, accuracy: int =
 
 
 def _exact_medians(d: DataFrame, rows: list[dict]) -> None:
-    """Fill ``median`` exactly for every target row (two jobs for all targets)."""
+    """Fill ``median`` exactly for every target row (one job for all targets)."""
     todo = {r["target"]: r for r in rows}
     brackets = {t: (r["_q"][0], r["_q"][2]) for t, r in todo.items()}
     for _ in range(3):
@@ -265,12 +265,18 @@ def _exact_medians(d: DataFrame, rows: list[dict]) -> None:
             lo = F.when(F.col("target") == F.lit(t), F.lit(a)).otherwise(lo)
             hi = F.when(F.col("target") == F.lit(t), F.lit(b)).otherwise(hi)
         marked = d.where(F.col("target").isin(*brackets)).select("target", "auc", lo.alias("_lo"), hi.alias("_hi"))
-        below = {r["target"]: int(r["b"]) for r in
-                 marked.groupBy("target").agg(F.count_if(F.col("auc") < F.col("_lo")).alias("b")).collect()}
+        # one grouped pass: key NULL collects the rows outside the bracket
+        # (with the count of those below it), other keys are the candidates
+        inside = (F.col("auc") >= F.col("_lo")) & (F.col("auc") <= F.col("_hi"))
+        grouped = marked.groupBy("target", F.when(inside, F.col("auc")).alias("_v")).agg(
+            F.count(F.lit(1)).alias("c"), F.count_if(F.col("auc") < F.col("_lo")).alias("b")).collect()
+        below: dict[str, int] = {}
         cands: dict[str, list] = {}
-        for r in marked.where((F.col("auc") >= F.col("_lo")) & (F.col("auc") <= F.col("_hi"))) \
-                       .groupBy("target", "auc").agg(F.count(F.lit(1)).alias("c")).collect():
-            cands.setdefault(r["target"], []).append((float(r["auc"]), int(r["c"])))
+        for r in grouped:
+            if r["_v"] is None:
+                below[r["target"]] = int(r["b"])
+            else:
+                cands.setdefault(r["target"], []).append((float(r["_v"]), int(r["c"])))
         missed = {}
         for t, row in todo.items():
             n = int(row["n_groups"])
