@@ -42,11 +42,21 @@ def _py_str(c):
     return F.concat(F.lit("'"), F.regexp_replace(c, "'", "\\\\'"), F.lit("'"))
 
 
-def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_time: Optional[float] = None) -> DataFrame:
+_SUMMARY_NUMBERS = ("GAUCSimple", "GAUCWeighted", "n_groups", "std", "min", "max", "median")
+
+
+def _py_value(c):
+    """Python-literal text of a column value (True / False / None, numbers)."""
+    return F.when(c.isNull(), F.lit("None")).otherwise(c.cast("string"))
+
+
+def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_time: Optional[float] = None,
+                    metrics: Optional[DataFrame] = None) -> DataFrame:
     """Write group details as printed-dict messages, one per (target, chunk of
     at most ~``chunk_sessions`` sessions): ``{'<target>': {'group_details':
-    [{'session_id': ..., 'auc': ..., ...}, ...]}}``.  Output has the run-log
-    shape ``record struct<message, time struct<timestamp>>``."""
+    [{'session_id': ..., 'auc': ..., ...}, ...]}}``.  With ``metrics`` (one row
+    per target) each message also carries that target's summary fields.
+    Output has the run-log shape ``record struct<message, time struct<timestamp>>``."""
     counts = details.groupBy("target").agg(F.count(F.lit(1)).alias("_n"))
     k = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_sessions)))).cast("long")
     d = details.join(F.broadcast(counts), "target")  # one row per target
@@ -60,8 +70,16 @@ def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_tim
         F.lit(", 'positive_rate': "), F.col("positive_rate").cast("string"), F.lit("}"))
     msgs = d.groupBy("target", "_chunk").agg(F.array_join(F.collect_list(item), ", ").alias("_items"))
     t0 = float(start_time if start_time is not None else time.time())
-    message = F.concat(F.lit("{"), _py_str(F.col("target")), F.lit(": {'group_details': ["), F.col("_items"),
-                       F.lit("], 'GAUC_valid': True}}"))
+    summary_text = F.lit("'GAUC_valid': True")
+    if metrics is not None:
+        m = metrics.select("target", *_SUMMARY_NUMBERS, "GAUC_valid")
+        msgs = msgs.join(F.broadcast(m), "target", "left")  # one row per target
+        parts = [F.concat(F.lit(f"'{f}': "), _py_value(F.col(f))) for f in _SUMMARY_NUMBERS]
+        parts.append(F.concat(F.lit("'GAUC_valid': "),
+                              F.when(F.col("GAUC_valid"), F.lit("True")).otherwise(F.lit("False"))))
+        summary_text = F.concat_ws(", ", *parts)
+    message = F.concat(F.lit("{"), _py_str(F.col("target")), F.lit(": {"), summary_text,
+                       F.lit(", 'group_details': ["), F.col("_items"), F.lit("]}}"))
     return msgs.select(F.struct(message.alias("message"),
                                 F.struct((F.lit(t0) + F.col("_chunk").cast("double")).alias("timestamp"))
                                 .alias("time")).alias("record"))

@@ -203,3 +203,17 @@ def test_streaming_ingest(spark, tmp_dir):
     q = ingest_stream(spark, src, sink, os.path.join(tmp_dir, "ckpt"), platforms=["android"])
     q.awaitTermination(120)
     assert spark.read.parquet(sink).count() == 2
+
+
+def test_rendered_summary_fields_are_selectable(spark):
+    details = _details(spark)
+    metrics = spark.createDataFrame(
+        [("watch_coverage_30s", 0.75, 0.7, 2, 0.25, 0.5, 1.0, 0.75, True),
+         ("action_play", 0.25, 0.25, 1, 0.0, 0.25, 0.25, 0.25, True)],
+        "target string, GAUCSimple double, GAUCWeighted double, n_groups long, std double, min double, "
+        "max double, median double, GAUC_valid boolean")
+    logs = RL.render_messages(details, chunk_sessions=10, start_time=1.0, metrics=metrics)
+    got = RL.select_result(logs, "watch_coverage_30s", "GAUCWeighted").collect()
+    assert [r["value"] for r in got] == [0.7]
+    assert RL.select_result(logs, "action_play", "n_groups").first()["value"] == 1
+    assert sorted(r["session_id"] for r in RL.all_session_aucs(logs).collect()) == ["it's", "s1", "s2"]
