@@ -217,3 +217,34 @@ def test_rendered_summary_fields_are_selectable(spark):
     assert [r["value"] for r in got] == [0.7]
     assert RL.select_result(logs, "action_play", "n_groups").first()["value"] == 1
     assert sorted(r["session_id"] for r in RL.all_session_aucs(logs).collect()) == ["it's", "s1", "s2"]
+
+
+def test_streaming_ingest_partitioned_and_incremental(spark, tmp_dir):
+    from rankfold.streaming.ingest import ingest_stream
+    src = os.path.join(tmp_dir, "landing2")
+    _write_ndjson(src, RAW_ROWS)
+    sink, ckpt = os.path.join(tmp_dir, "table2"), os.path.join(tmp_dir, "ckpt2")
+    ingest_stream(spark, src, sink, ckpt, partition_by="platform").awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 3
+    with open(os.path.join(src, "part-1.jsonl"), "w") as f:
+        f.write(json.dumps(RAW_ROWS[0]) + "\n")
+    ingest_stream(spark, src, sink, ckpt, partition_by="platform").awaitTermination(120)
+    got = spark.read.parquet(sink)
+    assert got.count() == 4  # only the new file was processed on the second run
+    assert {r["platform"] for r in got.select("platform").distinct().collect()} == {"android", "ios"}
+
+
+def test_command_line_reads_ndjson(spark, tmp_dir, capsys):
+    from rankfold.__main__ import main
+    path = os.path.join(tmp_dir, "imp.jsonl")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        for i in range(6):
+            f.write(json.dumps({"rid": f"r{i // 3}", "score": str(i / 10), "events": ["watchCoverageRecord"],
+                                "viewTimeSec": 40 * (i % 2), "durationSeconds": 100, "navScreen": "video_for_you",
+                                "platform": "android", "formulaPath": "fstorage:vk_video_266_1769078359_f",
+                                "typeId": 1776, "userType": "vk", "recommenderId": 200,
+                                "features": [[1, i]]}) + "\n")
+    main(["evaluate", path, os.path.join(tmp_dir, "out"), "--targets", "watch_coverage_30s"])
+    m = spark.read.parquet(os.path.join(tmp_dir, "out", "metrics")).first()
+    assert m["total_samples"] == 6 and m["n_groups"] == 2
