@@ -102,6 +102,29 @@ def score(df: DataFrame, coef: Sequence[float], features: str = "features",
     return df.withColumn(score_col, F.nanvl(s, F.lit(BIG_NEGATIVE)))
 
 
+def score_with_model(df: DataFrame, predict, features: str = "features", score_col: str = Cols.MODEL_SCORE,
+                     noise: float = 0.0, seed: int = 0) -> DataFrame:
+    """R3 for any user model: ``predict(X: np.ndarray[float32, (rows, V)]) ->
+    np.ndarray`` runs on Arrow batches inside the tasks (``mapInPandas``);
+    NaN predictions become -3.4e38, optional seeded Gaussian noise per batch.
+    Use :func:`score` for linear models (stays in the JVM)."""
+    import numpy as np
+    from pyspark.sql import types as T
+
+    schema = T.StructType(df.schema.fields + [T.StructField(score_col, T.DoubleType())])
+
+    def run(batches):
+        for i, pdf in enumerate(batches):
+            x = np.array(pdf[features].tolist(), dtype=np.float32) if len(pdf) else np.zeros((0, 0), np.float32)
+            pred = np.asarray(predict(x), dtype=np.float64).reshape(-1) if len(pdf) else np.zeros(0)
+            if noise:
+                pred = pred + noise * np.random.default_rng([seed, i, len(pdf)]).normal(size=pred.size)
+            pdf[score_col] = np.nan_to_num(pred, nan=BIG_NEGATIVE)
+            yield pdf
+
+    return df.mapInPandas(run, schema)
+
+
 def score_stats(scored: DataFrame, score_col: str = Cols.MODEL_SCORE) -> DataFrame:
     """Min, max, population std of the predictions."""
     return scored.agg(F.min(score_col).alias("min"), F.max(score_col).alias("max"),

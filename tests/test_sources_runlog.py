@@ -248,3 +248,12 @@ def test_command_line_reads_ndjson(spark, tmp_dir, capsys):
     main(["evaluate", path, os.path.join(tmp_dir, "out"), "--targets", "watch_coverage_30s"])
     m = spark.read.parquet(os.path.join(tmp_dir, "out", "metrics")).first()
     assert m["total_samples"] == 6 and m["n_groups"] == 2
+
+
+def test_score_with_user_model(spark):
+    import numpy as np
+    df = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, float("nan")])], "rid string, features array<float>")
+    scored = RK.score_with_model(df, lambda x: x[:, 0] * 2 + x[:, 1]).orderBy("rid").collect()
+    assert scored[0]["model_score"] == 4.0 and scored[1]["model_score"] == -3.4e38
+    linear = RK.score_with_model(df.limit(1), lambda x: x @ np.array([0.5, 0.25])).first()["model_score"]
+    assert linear == RK.score(df.limit(1), [0.5, 0.25]).first()["model_score"]
