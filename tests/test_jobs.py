@@ -97,3 +97,10 @@ def test_command_line(spark, tmp_dir, capsys):
     assert spark.read.parquet(os.path.join(tmp_dir, "ex")).count() == 5
     out = capsys.readouterr().out
     assert "value" in out and "total_targets" in out
+
+
+def test_search_time_budget(spark):
+    df = _train_rows(spark, 10)
+    data = TU.prepare_search(df, df, [1, 2])
+    trials = TU.search(spark, data, n_trials=5, timeout=0.0, max_iter=5)
+    assert trials.count() == 1  # the budget is checked before each further trial

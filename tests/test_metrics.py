@@ -222,3 +222,12 @@ def test_hot_session_with_one_score_value(spark):
     plan = re.sub(r"#\d+L?", "", details._jdf.queryExecution().executedPlan().toString())
     # per-score counts are partial-aggregated before the hot path's first shuffle
     assert "hashpartitioning(session_id, score" in plan
+
+
+def test_approximate_median_mode(spark):
+    df = _random_sessions(spark, seed=21)
+    exact, _ = _metrics(df)
+    approx, _ = _metrics(df, exact_median=False)
+    e, a = exact["watch_coverage_30s"], approx["watch_coverage_30s"]
+    assert abs(e["median"] - a["median"]) <= 0.1
+    assert e["GAUCWeighted"] == a["GAUCWeighted"]
