@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import fast_sketch, language, mixing, packing, pii
+from rankfold.llm import bottom_k, fast_sketch, html_layout, language, line_dedup, mixing, packing, pii, pivot_index, url_filter
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Host, path and action of the rules of the URL query.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, action string")
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules).drop("component")
+
+
+def pivot_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(_documents(spark, sf_dir).select("doc_id", "text", "lang"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "mixture")
@@ -21,6 +34,18 @@ def fast_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fast_sketch.near_duplicates(_documents(spark, sf_dir), width=2, percent=80)
 
 
+def layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.fingerprints(_documents(spark, sf_dir))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(_documents(spark, sf_dir)))
 
@@ -35,8 +60,13 @@ def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_redirect_filter": redirect_filter,
+    "op2_pivot_neighbours": pivot_neighbours,
     "op3_language_mixture": language_mixture,
     "op4_fast_similarity": fast_similarity,
+    "op5_layout_text": layout_text,
+    "op6_repeated_lines": repeated_lines,
+    "op7_bottom_k_fingerprints": bottom_k_fingerprints,
     "op8_best_fit_packing": best_fit_packing,
     "op9_skip_chain_pii": skip_chain_pii,
     "op10_weighted_mix": weighted_mix,
