@@ -118,3 +118,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def hex_unit(digest: Column) -> Column:
     """The first 13 hex digits (52 bits) of a digest as a double strictly between 0 and 1."""
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+
+
+def share_of(hash64: Column) -> Column:
+    """A 64-bit hash as a double in [0, 1)."""
+    return F.shiftrightunsigned(hash64, 11).cast("double") / F.lit(float(1 << 53))
+
+
+def hash_sample(df: DataFrame, hash64: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df``, those whose hash is least: a filter in every task, not a sort of them all."""
+    n = df.count()
+    return df.where(share_of(hash64) < F.lit(min(1.0, rows / max(n, 1))))

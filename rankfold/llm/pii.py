@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rankfold.llm.common import text_chunks
+from rankfold.llm.common import hash_sample, text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -132,29 +132,31 @@ def links(text: str, nodes: list[tuple[int, int, int]]) -> list[tuple[int, int]]
     return sorted(out)
 
 
-def fit(docs: DataFrame, sample_docs: int = 1000, rounds: int = 300, agreement: float = 20.0, seed: int = 5) -> dict[str, np.ndarray]:
-    """Weights from at most ``sample_docs`` documents with a digit or an at sign, those with the least hash of their id.
+def fit(docs: DataFrame, sample_docs: int = 20_000, sample_mentions: int = 20_000, rounds: int = 300, agreement: float = 20.0, seed: int = 5) -> dict[str, np.ndarray]:
+    """Weights from the mentions of about ``sample_docs`` documents, chosen by a hash, and at most ``sample_mentions`` of them.
 
     ``node``: logistic regression of the pattern's label on the shape; ``chain``: log-ratio of label pairs of
     neighbours to independence; ``skip``: the same for linked mentions, with ``agreement`` prior counts on
     equal labels.  Without mentions the node weights are zero.
     """
-    kept = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("doc_id", F.lit(seed)).alias("h"), "text")
-    sample = kept.orderBy("h", "text").limit(sample_docs)
+    docs = docs.select("doc_id", "text")
+    sample = hash_sample(docs, F.xxhash64("doc_id", F.lit(seed)), sample_docs).where(F.col("text").rlike("[0-9@]"))
+    sample = sample.select(F.xxhash64("doc_id", "text").alias("h"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text"):
             rows = []
-            for text in batch.column(1).to_pylist():
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 nodes = mentions(text, base_spans(text))
                 near = links(text, nodes)
                 label = [NONE if x < 0 else x for *_, x in nodes]
-                rows += [(label[k], features(text, s, e), label[k - 1] if k else -1, [label[a] for a, b in near if b == k]) for k, (s, e, _) in enumerate(nodes)]
-            columns = zip(*rows, strict=True) if rows else ([], [], [], [])
-            kinds = (pa.int32(), pa.list_(pa.float64()), pa.int32(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["label", "x", "before", "near"])
+                rows += [(h, k, label[k], features(text, s, e), label[k - 1] if k else -1, [label[a] for a, b in near if b == k]) for k, (s, e, _) in enumerate(nodes)]
+            columns = zip(*rows, strict=True) if rows else ([],) * 6
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.int32(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["h", "k", "label", "x", "before", "near"])
 
-    table = sample.mapInArrow(run, "label int, x array<double>, before int, near array<int>").toArrow()
+    seen = sample.mapInArrow(run, "h long, k int, label int, x array<double>, before int, near array<int>")
+    table = seen.orderBy("h", "k").limit(sample_mentions).toArrow()
     label = table.column("label").to_numpy().astype(int)
     n, width = len(label), len(features("", 0, 0))
     x = np.array(table.column("x").to_pylist()).reshape(n, width)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import checkpoint, components
+from rankfold.llm.common import checkpoint, components, hash_sample
 
 #: Pivots of one dimension and their order, rarest first.
 Pivots = dict[int, np.ndarray]
@@ -31,13 +31,13 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 def choose_pivots(classes: DataFrame, pivots: int, sample: int, apart: float) -> Pivots:
-    """Pivots of each dimension from the ``sample`` distinct vectors with the least hash (a bound on what the driver sees).
+    """Pivots of each dimension from at most ``sample`` distinct vectors, chosen by their hash (a bound on what the driver sees).
 
     A vector closer than ``apart`` to a chosen pivot is passed over, so a large group of near copies gives one
     pivot; if the sample runs out, seeded random directions fill up.  Pivots are ordered by how few
     sample vectors have them among their nearest.
     """
-    rows = classes.orderBy("d1", "d2").limit(sample).select("embedding").collect()
+    rows = hash_sample(classes, F.col("d1"), sample).orderBy("d1", "d2").limit(sample).select("embedding").collect()
     by_size: dict[int, list] = {}
     for row in rows:
         by_size.setdefault(len(row[0]), []).append(row[0])
