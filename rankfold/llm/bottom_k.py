@@ -65,7 +65,7 @@ def fingerprint(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def with_next(docs: DataFrame, range_chars: int = 8_000_000, max_ranges: int = 10_000, k: int = 128, width: int = 5) -> DataFrame:
+def with_next(docs: DataFrame, range_chars: int = 2_000_000, max_ranges: int = 10_000, k: int = 128, width: int = 5) -> DataFrame:
     """``doc_id, n_chars, text, sketch, next_text, next_sketch`` in descending doc_id; the last one's next is the first.
 
     Ids are cut at approximate quantiles into ranges of about ``range_chars`` of text (at most ``max_ranges``);
