@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankfold.llm import fast_sketch, language, mixing, packing, pii
-from rankfold.llm.common import checkpoint, shared_folder
+from rankfold.llm.common import shared_folder
 
 ORACLE_SQL = None
 
@@ -29,13 +29,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group that shares 0.8 of its five-word shingles.
 
     Of rows that repeat an id and a text one stays; rows without an id stay, as no group can name them.
+    The documents are dealt by id once, at every size, whatever the planner thinks of the list of ids.
     """
-    found = checkpoint(fast_sketch.near_duplicates(docs, width=5, percent=80))
-    dropped = found.where("doc_id is not null and not kept").select("doc_id").distinct()
-    docs = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    once = docs.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return docs.join(twice, "doc_id", "left_anti").select(*docs.columns).union(once)
+    found = fast_sketch.near_duplicates(docs, width=5, percent=80)
+    kept = found.where("kept").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    named = named.join(kept.hint("merge"), "doc_id", "left_semi")
+    once = named.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy("_h"))).where("_n = 1")
+    return once.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
