@@ -114,6 +114,8 @@ class Builder(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.open[-1].children.append(Node("br", {}))
+        elif tag == "p" and not self.count.get("p"):
+            self.open[-1].children.append(Node("p", {}))
         elif self.count.get(tag) and tag != "html":
             while self.open[-1].tag != tag:
                 if self.open[-1].tag in ("td", "th", "table") and tag not in ("td", "th", "tr", "tbody", "thead", "tfoot", "table"):
