@@ -38,10 +38,18 @@ def with_global_index(df: DataFrame, order_cols: Sequence[str], index_col: str =
     return out.withColumn(index_col, F.col("_off") + F.col("_local")).drop("_mid", "_pid", "_local", "_off")
 
 
+def key_at(df: DataFrame, order_cols: Sequence[str], index: int, num_partitions: Optional[int] = None):
+    """The order columns of the row at ``index`` of the total order, or None; only the keys are sorted."""
+    idx = with_global_index(df.select(*order_cols), order_cols, "_gidx", num_partitions)
+    return idx.where(F.col("_gidx") == F.lit(int(index))).select(*order_cols).first()
+
+
 def first_n(df: DataFrame, order_cols: Sequence[str], n: int, num_partitions: Optional[int] = None) -> DataFrame:
-    """The first ``n`` rows in ``order_cols`` order without a single merge task:
-    rows are range-partitioned, numbered as above and filtered by index."""
-    if df.count() <= n:  # one cheap pass; the cut does not bite, skip the sort
+    """The first ``n`` rows in ``order_cols`` order: the key of the first row outside is looked up, then the
+    full rows are filtered by it where they lie."""
+    cut = key_at(df, order_cols, n, num_partitions)
+    if cut is None:
         return df
-    idx = with_global_index(df, order_cols, "_gidx", num_partitions)
-    return idx.where(F.col("_gidx") < F.lit(int(n))).drop("_gidx")
+    schema = df.select(*order_cols).schema
+    last = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, schema.fields)])
+    return df.where(F.struct(*order_cols) < last)

@@ -87,15 +87,6 @@ def label_stats(labeled: DataFrame, target_names: Sequence[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- bucketing
-def score_splits(df: DataFrame, score_col: str, n_buckets: int, rel_err: float = 1e-3) -> list[float]:
-    """Interior split points at score quantiles (distinct, sorted, finite)."""
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.select(clean_score(score_col).alias("_s")).approxQuantile("_s", probs, rel_err)
-    return sorted({float(q) for q in qs if q is not None and math.isfinite(q)})
-
-
 def add_bucket(df: DataFrame, score_col: str, splits: Sequence[float]) -> DataFrame:
     """Deterministic bucket index by binary search (``Bucketizer``) over literals."""
     if not splits:
@@ -106,39 +97,43 @@ def add_bucket(df: DataFrame, score_col: str, splits: Sequence[float]) -> DataFr
     return b.transform(df).withColumn(_B, F.col(_B + "_d").cast("int")).drop(_B + "_d")
 
 
-def auto_buckets(n_rows: int, rows_per_bucket: int = 2_000_000, lo: int = 16, hi: int = 20_000) -> int:
-    return int(min(hi, max(lo, math.ceil(n_rows / rows_per_bucket))))
+def auto_buckets(n_rows: int, rows_per_bucket: int = 2_000_000, lo: int = 16) -> int:
+    return int(max(lo, math.ceil(n_rows / rows_per_bucket)))
 
 
 # ---------------------------------------------------------------- M3 / M4
-HOT_SESSION_ROWS = 2_000_000
-
-
-def _sums_by_session(narrow: DataFrame, k: int) -> DataFrame:
-    """Whole sessions: one shuffle by session, per-score counts, one ordered
-    window, per-session sums (U_i, P_i, N_i for each of the k targets)."""
-    neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
-    per_score = narrow.repartition("session_id").groupBy("session_id", "score").agg(
-        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
-    w = Window.partitionBy("session_id").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"_nb{i}")
-                                        for i, n in enumerate(neg)])
-    return per_score.groupBy("session_id").agg(*[
-        a for i, n in enumerate(neg) for a in (
-            F.sum(F.col(f"_p{i}").cast("double") * (F.col(f"_nb{i}") + n / 2.0)).alias(f"U{i}"),
-            F.sum(f"_p{i}").alias(f"P{i}"), F.sum(n).alias(f"N{i}"))])
-
-
-def _sums_for_hot_sessions(hot_rows: DataFrame, k: int, splits: Sequence[float]) -> DataFrame:
-    """Hot sessions: counts per (session, score) are combined map-side before
-    the first shuffle (rows with equal scores - e.g. all NULL / NaN scores -
-    collapse there), then the per-score rows are cut into score buckets, so
-    the ordered work runs per (session, bucket); a last window runs over the
-    <= B bucket rows of each hot session."""
+#: Rows of one session above which it is cut into score buckets of its own, and the steps of its quantiles.
+SESSION_ROWS = 2_000_000
+SESSION_STEPS = 1000
+
+
+def _session_cuts(narrow: DataFrame, session_rows: int) -> DataFrame:
+    """(session, cuts): score quantiles of the sessions with more than ``session_rows`` rows, from their own scores."""
+    large = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(int(session_rows)))
+    parts = F.ceil(F.col("_n") / F.lit(float(session_rows)))
+    probs = [i / SESSION_STEPS for i in range(1, SESSION_STEPS)]
+    rows = narrow.join(large.select("session_id", parts.cast("int").alias("_parts")), "session_id")
+    q = rows.groupBy("session_id").agg(F.percentile_approx("score", probs, 4 * SESSION_STEPS).alias("_q"), F.first("_parts").alias("_parts"))
+    # one cut per part, spread over the steps
+    step = F.greatest(F.lit(1), F.floor(F.lit(SESSION_STEPS) / F.col("_parts"))).cast("int")
+    cuts = F.array_distinct(F.filter("_q", lambda x, i: (i + 1) % step == 0))
+    return q.select("session_id", cuts.alias("_cuts"))
+
+
+def _sums_by_session(narrow: DataFrame, k: int, session_rows: int) -> DataFrame:
+    """Per-session sums U_i, P_i, N_i of the k targets, in one plan for sessions of any size.
+
+    Counts per (session, score) are combined before the shuffle.  A session
+    has one score bucket per ``session_rows`` rows, cut at its own quantiles;
+    the ordered work runs per (session, bucket), a last window over the
+    buckets of a session.  Which sessions are large is a table that is joined.
+    """
     neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
-    per_score = hot_rows.groupBy("session_id", "score").agg(
+    per_score = narrow.groupBy("session_id", "score").agg(
         F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
-    per_score = add_bucket(per_score, "score", splits)
+    per_score = per_score.join(_session_cuts(narrow, session_rows), "session_id", "left")
+    bucket = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("score"))), F.lit(0))
+    per_score = per_score.withColumn(_B, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket)).drop("_cuts")
     w_in = Window.partitionBy("session_id", _B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
                                         for i, n in enumerate(neg)])
@@ -156,41 +151,16 @@ def _sums_for_hot_sessions(hot_rows: DataFrame, k: int, splits: Sequence[float])
 
 
 def session_details(labeled: DataFrame, target_names: Sequence[str], session_col: str = Cols.RID,
-                    score_col: str = Cols.SCORE, splits: Sequence[float] = (),
-                    hot_threshold: Optional[int] = HOT_SESSION_ROWS) -> DataFrame:
+                    score_col: str = Cols.SCORE, session_rows: int = SESSION_ROWS) -> DataFrame:
     """M3 + M4: one row per valid (target, session): session_id, auc, size,
     positives, negatives, positive_rate.  Sessions need >= 1 positive and
-    >= 1 negative; NULL sessions are not groups.
-
-    Plan: narrow rows (session, score, one 0/1 column per target; targets
-    stay columns until the end) are shuffled once by session and finished
-    inside their task.  *Hot* sessions - more than ``hot_threshold`` rows -
-    are found first by a partial-aggregated count; at most
-    ``rows / hot_threshold`` keys can qualify, so the list is a bounded single
-    result.  When there are none, that is the whole plan.  Otherwise the hot
-    sessions' rows take a separate path: per-score counts combined map-side,
-    then score buckets at ``splits`` (see :func:`_sums_for_hot_sessions`).
-    """
+    >= 1 negative; NULL sessions are not groups.  Targets stay columns until
+    the end (see :func:`_sums_by_session` for the plan)."""
     names = list(target_names)
-    k = len(names)
     narrow = labeled.select(F.col(session_col).alias("session_id"), clean_score(score_col).alias("score"),
                             *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)]
                             ).where(F.col("session_id").isNotNull())
-    if not splits or hot_threshold is None:
-        return _details_from_sums(_sums_by_session(narrow, k), names)
-    sizes = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_size"))
-    hot_ids = [r[0] for r in sizes.where(F.col("_size") > F.lit(int(hot_threshold))).select("session_id").collect()]
-    if not hot_ids:
-        return _details_from_sums(_sums_by_session(narrow, k), names)
-    spark = labeled.sparkSession
-    # bounded by rows / hot_threshold (see above): a broadcast with a proven size
-    key_type = narrow.schema["session_id"].dataType.simpleString()
-    hot = spark.createDataFrame([(h, True) for h in hot_ids], f"session_id {key_type}, _hot boolean")
-    flagged = narrow.join(F.broadcast(hot), "session_id", "left")
-    normal = flagged.where(F.col("_hot").isNull()).drop("_hot")
-    hot_rows = flagged.where(F.col("_hot").isNotNull()).drop("_hot")
-    sums = _sums_by_session(normal, k).unionByName(_sums_for_hot_sessions(hot_rows, k, splits))
-    return _details_from_sums(sums, names)
+    return _details_from_sums(_sums_by_session(narrow, len(names), session_rows), names)
 
 
 def _details_from_sums(per_session: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -218,6 +188,11 @@ def _base_summary_aggs():
             F.min("auc").alias("min"), F.max("auc").alias("max")]
 
 
+DETAILS_SCHEMA = ("target string, session_id string, auc double, size long, positives long, negatives long, "
+                  "positive_rate double")
+METRICS_SCHEMA = ("target string, total_samples long, total_positives long, positive_rate double, AUC double, "
+                  "AUC_valid boolean, AUC_error string, GAUCSimple double, GAUCWeighted double, n_groups long, "
+                  "std double, min double, max double, median double, GAUC_valid boolean")
 SUMMARY_SCHEMA = ("target string, GAUCSimple double, GAUCWeighted double, n_groups long, std double, "
                   "min double, max double, median double")
 
@@ -302,9 +277,12 @@ def _exact_medians(d: DataFrame, rows: list[dict]) -> None:
 
 # ---------------------------------------------------------------- M2
 def global_auc(labeled: DataFrame, target_names: Sequence[str], score_col: str = Cols.SCORE,
-               splits: Sequence[float] = ()) -> DataFrame:
+               splits: Optional[Sequence[float]] = None) -> DataFrame:
     """M2: exact AUC over all rows per target (NULL sessions included).
 
+    Without ``splits`` a first pass takes the score quantiles, one bucket per
+    two million rows.
+
     Per-(bucket, score) counts for every target at once are combined map-side
     before the shuffle; the ordered windows run per bucket, then once over the
     <= B bucket rows.  Fewer than two classes -> AUC 0.0, ``AUC_valid`` false,
@@ -313,6 +291,9 @@ def global_auc(labeled: DataFrame, target_names: Sequence[str], score_col: str =
     names = list(target_names)
     narrow = labeled.select(clean_score(score_col).alias("score"),
                             *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)])
+    if splits is None:
+        n, qs = _quantiles(narrow, F.col("score"))
+        splits = _pick(qs, auto_buckets(n))
     narrow = add_bucket(narrow, "score", splits)
     k = len(names)
     per_score = narrow.groupBy(_B, "score").agg(
@@ -350,14 +331,23 @@ def global_auc(labeled: DataFrame, target_names: Sequence[str], score_col: str =
 
 
 # ---------------------------------------------------------------- M13
-SPLIT_RESOLUTION = 1024
+#: Steps of the score quantiles, that is the most buckets of the global AUC; rows of equal score are one row there.
+SPLIT_RESOLUTION = 4096
 
 
-def _prepass(labeled: DataFrame, names: Sequence[str], score_col: str):
+def _quantile_agg(score):
     probs = [i / SPLIT_RESOLUTION for i in range(1, SPLIT_RESOLUTION)]
+    return F.percentile_approx(score, probs, 4 * SPLIT_RESOLUTION).alias("_q")
+
+
+def _quantiles(df: DataFrame, score):
+    row = df.agg(F.count(F.lit(1)).alias("_n"), _quantile_agg(score)).first()
+    return int(row["_n"] or 0), [float(q) for q in (row["_q"] or [])]
+
+
+def _prepass(labeled: DataFrame, names: Sequence[str], score_col: str):
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(LABEL_PREFIX + t)).alias(f"_p{i}") for i, t in enumerate(names)]
-    aggs.append(F.percentile_approx(clean_score(score_col), probs, 4 * SPLIT_RESOLUTION).alias("_q"))
-    row = labeled.agg(*aggs).first()
+    row = labeled.agg(*aggs, _quantile_agg(clean_score(score_col))).first()
     n = int(row["_n"] or 0)
     pos = [int(row[f"_p{i}"] or 0) for i in range(len(names))]
     qs = [float(q) for q in (row["_q"] or [])]
@@ -378,8 +368,7 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
          formula_path: Optional[str] = None, nav_screen_col: str = Cols.NAV_SCREEN,
          platform_col: str = Cols.PLATFORM, formula_path_col: str = Cols.FORMULA_PATH,
          calculate_regular_auc: bool = True, score_buckets: Optional[int] = None,
-         session_buckets: int = SPLIT_RESOLUTION, exact_median: bool = True,
-         hot_threshold: Optional[int] = HOT_SESSION_ROWS,
+         exact_median: bool = True, session_rows: int = SESSION_ROWS,
          details_only: bool = False) -> tuple[Optional[DataFrame], DataFrame]:
     """Public entry: ``(metrics, group_details)``.
 
@@ -392,7 +381,7 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     labeled, names = with_labels(sliced, target_configs)
     spark = df.sparkSession
     if not names:
-        return (spark.createDataFrame([], "target string"), spark.createDataFrame([], "target string"))
+        return spark.createDataFrame([], METRICS_SCHEMA), spark.createDataFrame([], DETAILS_SCHEMA)
     # One pre-pass: row count, positives per target and score quantiles at a
     # fixed resolution.  Both bucketings come from it; the per-target counts
     # become a tiny literal table, so the final job does not recount.
@@ -400,21 +389,21 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     stats = spark.createDataFrame(
         [(t, n_rows, int(positives[i]), (positives[i] / n_rows) if n_rows else 0.0) for i, t in enumerate(names)],
         "target string, total_samples long, total_positives long, positive_rate double")
-    # no session can exceed the threshold when the whole slice does not
-    hot = hot_threshold if hot_threshold is not None and n_rows > hot_threshold else None
-    details = session_details(labeled, names, session_col, score_col, _pick(qs, session_buckets), hot)
+    details = session_details(labeled, names, session_col, score_col, session_rows)
     if details_only:
         return None, details
     summ = gauc_summary(details, exact_median)
     out = stats
     if calculate_regular_auc:
-        b = score_buckets or auto_buckets(n_rows, hi=SPLIT_RESOLUTION)
+        b = score_buckets or auto_buckets(n_rows)
         aucs = global_auc(labeled, names, score_col, _pick(qs, b))
         out = out.join(aucs, "target", "left").select(
             *stats.columns,
             F.coalesce("AUC", F.lit(0.0)).alias("AUC"),
             F.coalesce("AUC_valid", F.lit(False)).alias("AUC_valid"),
             F.when(F.col("AUC_valid").isNull(), F.lit("Insufficient classes: []")).otherwise(F.col("AUC_error")).alias("AUC_error"))
+    else:  # not asked for: zeros, marked invalid
+        out = out.select("*", F.lit(0.0).alias("AUC"), F.lit(False).alias("AUC_valid"), F.lit(None).cast("string").alias("AUC_error"))
     zero = F.lit(0.0)
     metrics = out.join(summ, "target", "left").select(
         *out.columns,

@@ -9,7 +9,7 @@ shuffle each; AQE splits skewed sessions of a sort-merge join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.config import MIN_PAIR_WEIGHT, Cols
@@ -48,18 +48,23 @@ def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool
     out = j.select("rid", "target", "winner_pos", "loser_pos", (F.col("weight") * gap).alias("pair_weight"),
                    gap.alias("gap"), *[c for c in j.columns if c.endswith(("_w", "_l")) and c not in ("t_w", "t_l")])
     if normalize:
-        from pyspark.sql import Window
-        total = F.sum("gap").over(Window.partitionBy("rid", "target"))
-        out = out.withColumn("pair_weight", F.col("pair_weight") / total)
+        total = pair_totals(features, session_col).select("rid", "target", "total_raw_weight")
+        out = out.join(total, ["rid", "target"]).withColumn("pair_weight", F.col("pair_weight") / F.col("total_raw_weight")).drop("total_raw_weight")
     return out.where(F.abs(F.col("pair_weight")) >= F.lit(float(min_abs_weight))).drop("gap")
 
 
 def pair_totals(features: DataFrame, session_col: str = Cols.RID) -> DataFrame:
     """Per (session, target) the number of unordered pairs with different
-    targets and the total raw weight sum |t1 - t2| (equal pairs add 0)."""
-    j = _winner_loser(features, session_col)
-    return j.groupBy("rid", "target").agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.sum(F.col("t_w") - F.col("t_l")).alias("total_raw_weight"))
+    targets and the total raw weight sum |t1 - t2| (equal pairs add 0), from
+    running sums over the distinct targets: no pair is formed."""
+    long = unnest_targets(features, session_col).where(F.col("target").isNotNull())
+    per = long.groupBy("rid", "name", "target").agg(F.count(F.lit(1)).alias("c"))
+    below = Window.partitionBy("rid", "name").orderBy("target").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("*", F.coalesce(F.sum("c").over(below), F.lit(0)).alias("b"),
+                     F.coalesce(F.sum(F.col("c") * F.col("target").cast("double")).over(below), F.lit(0.0)).alias("s"))
+    return per.groupBy("rid", F.col("name").alias("target")).agg(
+        F.sum(F.col("c") * F.col("b")).alias("n_pairs"),
+        F.sum(F.col("c") * (F.col("target").cast("double") * F.col("b") - F.col("s"))).alias("total_raw_weight")).where("n_pairs > 0")
 
 
 # ---------------------------------------------------------------- export / import

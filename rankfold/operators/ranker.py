@@ -51,39 +51,29 @@ def pair_training_set(features: DataFrame, pairs: Optional[DataFrame] = None,
                     F.zip_with("_xw", "_xl", lambda a, b: a - b).alias("diff"), "pair_weight")
 
 
-def mirrored(training: DataFrame, mirror: bool = True) -> DataFrame:
-    """Logistic rows for the pairwise loss.  ``mirror``: (+diff, 1) and
-    (-diff, 0) for every pair; otherwise each pair appears once, with its sign
-    flipped by a hash of the pair (same weighted-mean objective, half the rows)."""
+def pairwise_rows(training: DataFrame, both: bool = False) -> DataFrame:
+    """Logistic rows for the pairwise loss: each pair once, its sign flipped by
+    a hash of the pair (the objective of both signs at half the rows).  With
+    ``both`` every pair appears as (+diff, 1) and (-diff, 0)."""
     w = F.col("pair_weight").alias("weight")
-    if mirror:
-        pos = training.select(array_to_vector("diff").alias("features"), F.lit(1.0).alias("label"), w)
-        neg = training.select(array_to_vector(F.transform("diff", lambda d: -d)).alias("features"),
-                              F.lit(0.0).alias("label"), w)
-        return pos.unionByName(neg)
     keys = [c for c in ("rid", "target", "winner_pos", "loser_pos") if c in training.columns]
-    flip = (F.xxhash64(*keys) % 2) != 0
-    feats = F.when(flip, F.transform("diff", lambda d: -d)).otherwise(F.col("diff"))
-    return training.select(array_to_vector(feats).alias("features"),
-                           F.when(flip, F.lit(0.0)).otherwise(F.lit(1.0)).alias("label"), w)
+    flips = F.array(F.lit(False), F.lit(True)) if both else F.array((F.xxhash64(*(keys or ["diff"])) % 2) != 0)
+    rows = training.withColumn("_flip", F.explode(flips))
+    feats = F.when(F.col("_flip"), F.transform("diff", lambda d: -d)).otherwise(F.col("diff"))
+    return rows.select(array_to_vector(feats).alias("features"), F.when(F.col("_flip"), F.lit(0.0)).otherwise(F.lit(1.0)).alias("label"), w)
 
 
 def fit_pairwise(training: DataFrame, max_iter: int = 150, reg_param: float = 1e-3,
-                 tol: float = 1e-6, mirror: Optional[bool] = None,
-                 mirror_below: int = 50_000) -> LogisticRegressionModel:
+                 tol: float = 1e-6) -> LogisticRegressionModel:
     """R2: weighted pairwise-logit fit (distributed L-BFGS over the pairs).
-    ``mirror=None`` mirrors small pair sets (both classes guaranteed) and
-    hash-flips large ones (half the rows)."""
+    Both signs of every pair are used only if the hash gave all pairs one sign."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False,
                             maxIter=max_iter, regParam=reg_param, elasticNetParam=0.0, standardization=True,
                             tol=tol)
-    if mirror is not None:
-        return lr.fit(mirrored(training, mirror))
-    # materialise once (lineage-recoverable cache) for the size check and the fit
-    cached = training.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = training.persist(StorageLevel.MEMORY_AND_DISK)  # read for the signs and by every iteration
     try:
-        n = cached.count()
-        return lr.fit(mirrored(cached, n < mirror_below))
+        signs = pairwise_rows(cached).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
+        return lr.fit(pairwise_rows(cached, both=signs["lo"] == signs["hi"]))
     finally:
         cached.unpersist()
 
@@ -106,7 +96,8 @@ def score_with_model(df: DataFrame, predict, features: str = "features", score_c
                      noise: float = 0.0, seed: int = 0) -> DataFrame:
     """R3 for any user model: ``predict(X: np.ndarray[float32, (rows, V)]) ->
     np.ndarray`` runs on Arrow batches inside the tasks (``mapInPandas``);
-    NaN predictions become -3.4e38, optional seeded Gaussian noise per batch.
+    NaN predictions become -3.4e38; the optional Gaussian noise is seeded per
+    partition, in the plan.
     Use :func:`score` for linear models (stays in the JVM)."""
     import numpy as np
     from pyspark.sql import types as T
@@ -114,15 +105,15 @@ def score_with_model(df: DataFrame, predict, features: str = "features", score_c
     schema = T.StructType(df.schema.fields + [T.StructField(score_col, T.DoubleType())])
 
     def run(batches):
-        for i, pdf in enumerate(batches):
+        for pdf in batches:
             x = np.array(pdf[features].tolist(), dtype=np.float32) if len(pdf) else np.zeros((0, 0), np.float32)
             pred = np.asarray(predict(x), dtype=np.float64).reshape(-1) if len(pdf) else np.zeros(0)
-            if noise:
-                pred = pred + noise * np.random.default_rng([seed, i, len(pdf)]).normal(size=pred.size)
-            pdf[score_col] = np.nan_to_num(pred, nan=BIG_NEGATIVE)
+            pdf[score_col] = pred
             yield pdf
 
-    return df.mapInPandas(run, schema)
+    scored = df.mapInPandas(run, schema)
+    s = F.col(score_col) + F.lit(float(noise)) * F.randn(seed) if noise else F.col(score_col)
+    return scored.withColumn(score_col, F.nanvl(F.coalesce(s, F.lit(float("nan"))), F.lit(BIG_NEGATIVE)))
 
 
 def score_stats(scored: DataFrame, score_col: str = Cols.MODEL_SCORE) -> DataFrame:

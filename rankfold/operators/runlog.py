@@ -39,7 +39,10 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- rendering (the writer side)
 def _py_str(c):
-    return F.concat(F.lit("'"), F.regexp_replace(c, "'", "\\\\'"), F.lit("'"))
+    """Python string literal of a column: backslashes, apostrophes and line ends escaped."""
+    for plain, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        c = F.replace(c, F.lit(plain), F.lit(escaped))
+    return F.concat(F.lit("'"), c, F.lit("'"))
 
 
 _SUMMARY_NUMBERS = ("GAUCSimple", "GAUCWeighted", "n_groups", "std", "min", "max", "median")
@@ -59,7 +62,7 @@ def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_tim
     Output has the run-log shape ``record struct<message, time struct<timestamp>>``."""
     counts = details.groupBy("target").agg(F.count(F.lit(1)).alias("_n"))
     k = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_sessions)))).cast("long")
-    d = details.join(F.broadcast(counts), "target")  # one row per target
+    d = details.join(counts, "target")
     d = d.withColumn("_chunk", F.pmod(F.xxhash64("session_id"), k))
     item = F.concat(
         F.lit("{'session_id': "), _py_str(F.col("session_id")),
@@ -73,7 +76,7 @@ def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_tim
     summary_text = F.lit("'GAUC_valid': True")
     if metrics is not None:
         m = metrics.select("target", *_SUMMARY_NUMBERS, "GAUC_valid")
-        msgs = msgs.join(F.broadcast(m), "target", "left")  # one row per target
+        msgs = msgs.join(m, "target", "left")
         parts = [F.concat(F.lit(f"'{f}': "), _py_value(F.col(f))) for f in _SUMMARY_NUMBERS]
         parts.append(F.concat(F.lit("'GAUC_valid': "),
                               F.when(F.col("GAUC_valid"), F.lit("True")).otherwise(F.lit("False"))))
@@ -86,22 +89,44 @@ def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_tim
 
 
 # ---------------------------------------------------------------- G1
+_TOKEN = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""
+
+
+def _json_string(token):
+    """A Python string literal (either quote) as a JSON string."""
+    body = F.substring(token, F.lit(2), F.length(token) - 2)
+    for old, new in (("\\\\", "\u0001"), ("\\'", "'"), ('\\"', '"'), ('"', '\\"')):
+        body = F.replace(body, F.lit(old), F.lit(new))
+    body = F.regexp_replace(body, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    return F.concat(F.lit('"'), F.replace(body, F.lit("\u0001"), F.lit("\\\\")), F.lit('"'))
+
+
 def repair_message(message) -> F.Column:
-    """G1: printed dict -> JSON text (quotes, True / False / None)."""
+    """G1: printed dict -> JSON text.  The message is cut into string literals
+    and the rest; quotes and escapes change only inside the first, True / False
+    / None only in the second."""
     m = F.col(message) if isinstance(message, str) else message
-    m = F.regexp_replace(m, r"\\'", "\u0001")   # keep escaped apostrophes inside strings
-    m = F.regexp_replace(m, "'", '"')
-    m = F.regexp_replace(m, "\u0001", "'")
-    m = F.regexp_replace(m, r"\bTrue\b", "true")
-    m = F.regexp_replace(m, r"\bFalse\b", "false")
-    return F.regexp_replace(m, r"\bNone\b", "null")
 
+    def repaired(t):
+        plain = t
+        for word, value in (("True", "true"), ("False", "false"), ("None", "null")):
+            plain = F.regexp_replace(plain, rf"\b{word}\b", value)
+        return F.when(t.startswith("'") | t.startswith('"'), _json_string(t)).otherwise(plain)
 
-def parse_messages(logs: DataFrame, message_col: str = "message") -> DataFrame:
-    """G1: add ``parsed`` (map target -> result struct); non-dict lines -> NULL."""
-    is_dict = F.trim(F.col(message_col)).startswith("{")
-    parsed = F.when(is_dict, F.from_json(repair_message(message_col), RESULT_TYPE))
-    return logs.withColumn("parsed", parsed)
+    return F.array_join(F.transform(F.regexp_extract_all(m, F.lit(_TOKEN), 0), repaired), "")
+
+
+def parse_messages(logs: DataFrame, message_col: str = "message", strict: bool = True) -> DataFrame:
+    """G1: add ``parsed`` (map target -> result struct); lines that are no dict
+    give NULL.  A message that starts like a dict and does not parse raises, or
+    gives NULL with ``strict=False``."""
+    text = F.trim(F.col(message_col))
+    parsed = F.from_json(repair_message(message_col), RESULT_TYPE)
+    out = logs.withColumn("parsed", F.when(text.startswith("{"), parsed))
+    if strict:
+        broken = F.raise_error(F.concat(F.lit("unreadable result message: "), F.substring(text, 1, 200))).cast(RESULT_TYPE)
+        out = out.withColumn("parsed", F.when(text.startswith("{") & F.col("parsed").isNull(), broken).otherwise(F.col("parsed")))
+    return out
 
 
 # ---------------------------------------------------------------- G2 / G3
@@ -111,7 +136,7 @@ def select_result(logs: DataFrame, target: str, field: str = "group_details",
     optionally only the ``position``-th from the end by timestamp (e.g. -10);
     returns (timestamp, value) with ``value`` = ``parsed[target][field]``."""
     if field not in SUMMARY_FIELDS:
-        raise ValueError(f"Error! Not found field: {field!r}")
+        raise ValueError(f"no such summary field: {field!r}")
     flat = logs
     if "message" not in logs.columns and "record" in logs.columns:
         flat = logs.select(F.col("record.message").alias("message"),
@@ -123,8 +148,12 @@ def select_result(logs: DataFrame, target: str, field: str = "group_details",
         if n is None:
             raise ValueError("position counts from the end and must be negative")
         # top-n by time (small n): one TakeOrderedAndProject, then the n-th row
-        last = hits.orderBy(F.desc("timestamp")).limit(n)
-        hits = with_global_index(last, ["timestamp"], "_i").where(F.col("_i") == 0).drop("_i")
+        last = hits.orderBy(F.desc("timestamp"), F.desc("message")).limit(n)
+        nth = last.orderBy(F.asc("timestamp"), F.asc("message")).limit(1)
+        found = last.count()
+        if found < n:
+            raise IndexError(f"message {position} of {found} for target {target!r}")
+        hits = nth
     return hits.select("timestamp", F.col("parsed")[target][field].alias("value"))
 
 
@@ -164,14 +193,17 @@ def auc_density(aucs: DataFrame, value_col: str = "auc", run_col: Optional[str]
     stats = stats.where((F.col("n") >= 2) & (F.col("sd") > 0)) \
                  .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     distinct = v.groupBy("run", "a").agg(F.count(F.lit(1)).alias("c"))
-    # one row per run: size bounded by the number of runs
-    j = distinct.join(F.broadcast(stats.select("run", "n", "h")), "run")
-    ex = j.select("run", "a", "c", "n", "h", F.explode(F.array(*[F.lit(float(x)) for x in xs])).alias("x"))
-    z = (F.col("x") - F.col("a")) / F.col("h")
-    dens = ex.groupBy("run", "x").agg(
-        (F.sum(F.col("c") * F.exp(F.lit(-0.5) * z * z)) / (F.first("n") * F.first("h") * math.sqrt(2 * math.pi)))
-        .alias("density"))
-    return dens
+    j = distinct.join(stats.select("run", "n", "h"), "run")
+
+    def kernel(x):
+        z = (F.lit(float(x)) - F.col("a")) / F.col("h")
+        return F.sum(F.col("c") * F.exp(F.lit(-0.5) * z * z))
+
+    # one sum per grid point in one aggregate; the grid is unnested from its one row per run
+    sums = j.groupBy("run").agg(F.first("n").alias("n"), F.first("h").alias("h"), *[kernel(x).alias(f"_{i}") for i, x in enumerate(xs)])
+    points_ = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.col(f"_{i}").alias("k")) for i, x in enumerate(xs)])
+    rows = sums.select("run", "n", "h", F.inline(points_))
+    return rows.select("run", "x", (F.col("k") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def cut_to_shortest(aucs: DataFrame, run_col: str, order_col: str) -> DataFrame:
@@ -180,5 +212,5 @@ def cut_to_shortest(aucs: DataFrame, run_col: str, order_col: str) -> DataFrame:
     idx = with_global_index(aucs, [run_col, order_col], "_g")
     per_run = idx.groupBy(run_col).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
     m = per_run.agg(F.min("_n")).first()[0] or 0
-    j = idx.join(F.broadcast(per_run.select(run_col, "_start")), run_col)  # one row per run
+    j = idx.join(per_run.select(run_col, "_start"), run_col)
     return j.where(F.col("_g") - F.col("_start") < F.lit(int(m))).drop("_g", "_start")

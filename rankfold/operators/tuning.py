@@ -11,7 +11,7 @@ Parquet ``trials`` table, so a restarted search resumes where it stopped.
 
 from __future__ import annotations
 
-import os
+import json
 import time
 from dataclasses import dataclass
 from typing import Optional, Sequence
@@ -29,7 +29,7 @@ from rankfold.operators.features import feature_table
 from rankfold.operators.ranker import coefficients, fit_pairwise, pair_training_set, save_model, score
 
 TRIAL_SCHEMA = ("trial long, like_weight double, dislike_weight double, consumption_time_weight double, "
-                "value double, n_pairs long, seconds double")
+                "value double, n_pairs long, seconds double, settings string")
 
 
 @dataclass
@@ -81,24 +81,34 @@ def evaluate_weights(data: SearchData, like_weight: float, dislike_weight: float
     n_pairs = pairs.count()
     if n_pairs == 0:
         return 0.0, 0
-    model = fit_pairwise(pairs, max_iter=max_iter, reg_param=reg_param, mirror=n_pairs < 50_000)
+    model = fit_pairwise(pairs, max_iter=max_iter, reg_param=reg_param)
     if model_path:
         save_model(model, model_path)
     scored = score(data.validation, coefficients(model))
     metrics, _ = M.gauc(scored, data.target_configs, score_col=Cols.MODEL_SCORE, platforms=platforms,
-                        nav_screen=nav_screen, formula_path=formula_path, calculate_regular_auc=False,
-                        exact_median=False)  # the objective does not use the median
+                        nav_screen=nav_screen, formula_path=formula_path, calculate_regular_auc=metric.startswith("AUC"),
+                        exact_median=False)  # no objective uses the median
     return float(M.lookup(metrics, data.target_name, metric)), int(n_pairs)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store Spark reads it from."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Optional[float] = 120.0,
            seed: int = 0, trials_path: Optional[str] = None, model_dir: Optional[str] = None, **kw) -> DataFrame:
     """Run trials in order until ``n_trials`` or ``timeout`` seconds;
-    trials already in ``trials_path`` are skipped (resume).  With
+    trials already in ``trials_path`` with the same settings (seed, target,
+    ranges, options) are skipped, and only those of these settings returned.  With
     ``model_dir`` every trial's model is saved as ``<model_dir>/trial_<n>``."""
+    settings = json.dumps({"seed": seed, "target": data.target_name, "ranges": WEIGHT_RANGES,
+                           **{k: list(v) if isinstance(v, (list, tuple)) else v for k, v in kw.items()}}, sort_keys=True, default=str)
     done: set[int] = set()
-    if trials_path and os.path.exists(trials_path):
-        done = {int(r["trial"]) for r in spark.read.parquet(trials_path).select("trial").collect()}
+    if trials_path and path_exists(spark, trials_path):
+        mine = spark.read.schema(TRIAL_SCHEMA).parquet(trials_path).where(F.col("settings") == settings)
+        done = {int(r["trial"]) for r in mine.select("trial").collect()}
     rows = []
     start = time.time()
     for w in trial_weights(n_trials, seed):
@@ -111,12 +121,12 @@ def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Op
         value, n_pairs = evaluate_weights(data, w["like_weight"], w["dislike_weight"],
                                           w["consumption_time_weight"], model_path=mp, **kw)
         row = (w["trial"], w["like_weight"], w["dislike_weight"], w["consumption_time_weight"], value, n_pairs,
-               time.time() - t0)
+               time.time() - t0, settings)
         rows.append(row)
         if trials_path:
             spark.createDataFrame([row], TRIAL_SCHEMA).write.mode("append").parquet(trials_path)
     if trials_path:
-        return spark.read.parquet(trials_path)
+        return spark.read.schema(TRIAL_SCHEMA).parquet(trials_path).where(F.col("settings") == settings)
     return spark.createDataFrame(rows, TRIAL_SCHEMA)
 
 

@@ -416,7 +416,7 @@ def _skewed(spark, sf_dir, details_only=False):
     bucketed path (split by score into up to 1,024 buckets) at test scale; the
     result does not depend on the threshold."""
     return evaluate(impressions(spark, sf_dir), DEFAULT_TARGETS, score_col="score_alt", session_col="platform",
-                    hot_threshold=SKEW_HOT_ROWS, details_only=details_only)
+                    session_rows=SKEW_HOT_ROWS, details_only=details_only)
 
 
 @register("gauc_skewed_sessions")

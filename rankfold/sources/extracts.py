@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_RECOMMENDER_ID, DEFAULT_TYPE_ID,
                              DEFAULT_USER_TYPE, NAV_VIDEO_FOR_YOU, PLATFORM_VK_VIDEO_ANDROID, Cols)
-from rankfold.operators.indexing import first_n
+from rankfold.operators.features import with_positions
+from rankfold.operators.indexing import first_n, key_at
 
 # Raw NDJSON schema: score and feature values as text, so every spelling of a
 # non-finite number ("nan", "inf", "NaN", "-Infinity") survives and is
@@ -45,16 +46,23 @@ def _to_double(c):
 
 
 def read_impressions(spark: SparkSession, path: str, extra_columns: Optional[dict] = None,
-                     score_columns: Iterable[str] = ("score",)) -> DataFrame:
+                     score_columns: Iterable[str] = ("score",), malformed: str = "fail") -> DataFrame:
     """NDJSON impressions with an explicit schema; missing paths raise.
+    A malformed line raises when it is read (``malformed="fail"``) or is left
+    out (``"drop"``); it never counts as a row.  ``pos`` is the place of a row
+    among those of its session, in the order of the files and their lines.
     ``extra_columns`` maps more column names to Spark types (e.g. a model score
     written by :func:`write_impressions`)."""
     fields = list(RAW_SCHEMA.fields)
     for name, typ in (extra_columns or {}).items():
         fields.append(T.StructField(name, T.StringType() if name in score_columns else typ))
     schema = T.StructType(fields)
-    raw = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    return normalize_raw(raw, score_columns)
+    mode = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[malformed]
+    raw = spark.read.schema(schema).option("mode", mode).json(path)
+    raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_line"))
+    placed = with_positions(raw, Cols.RID, ["_file", "_block", "_line"]).drop("_file", "_block", "_line")
+    return normalize_raw(placed, score_columns)
 
 
 def normalize_raw(raw: DataFrame, score_columns: Iterable[str] = ("score",)) -> DataFrame:
@@ -90,11 +98,11 @@ def training_extract(df: DataFrame, limit: Optional[int] = 500_000, whole_sessio
         return sel
     if not whole_sessions:
         return first_n(sel, ["rid", tiebreak], limit)
-    from rankfold.operators.indexing import with_global_index
-    idx = with_global_index(sel, ["rid", tiebreak], "_g")
-    # a session fits when its last row is inside the cut
-    keep = idx.groupBy("rid").agg(F.max("_g").alias("_last")).where(F.col("_last") < F.lit(int(limit)))
-    return idx.join(keep.select("rid"), "rid", "left_semi").drop("_g")
+    # a session fits when it ends before the session of the first row outside the cut begins
+    cut = key_at(sel, ["rid", tiebreak], limit)
+    if cut is None:
+        return sel
+    return sel.where(F.col("rid").isNull() | (F.col("rid") < F.lit(cut[0]))) if cut[0] is not None else sel.limit(0)
 
 
 def slice_projection(df: DataFrame, platform: str = PLATFORM_VK_VIDEO_ANDROID,

@@ -24,7 +24,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
                   nav_screen: Optional[str] = None, platforms: Optional[Iterable[str]] = None,
                   formula_path: Optional[str] = None, partition_by: Optional[str] = None,
                   max_files_per_trigger: Optional[int] = None, available_now: bool = True) -> StreamingQuery:
-    reader = spark.readStream.schema(RAW_SCHEMA)
+    reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = normalize_raw(reader.json(source_dir))

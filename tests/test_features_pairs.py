@@ -1,4 +1,4 @@
-"""Graded targets, dense vectors, text round trip, pairs (FIXTURES goldens and properties)."""
+"""Graded targets, dense vectors, text round trip, pairs (invented cases and properties)."""
 
 import math
 import random
@@ -8,25 +8,32 @@ from pyspark.sql import functions as F
 
 from conftest import make_impressions
 from rankfold.config import BIG_NEGATIVE
+from rankfold.functions import targets as C
 from rankfold.functions.targets import consumption_time
 from rankfold.functions.vectors import dense_vector, index_vector, text_to_vector, text_width, vector_to_text
 from rankfold.operators import features as FT
 from rankfold.operators import pairs as PR
 
-# (viewTimeSec, durationSeconds) -> consumption-time target (FIXTURES section 5)
-CT_GOLDEN = [
-    (0, 3440, 0.0), (1, 10, 0.0008547920522982931), (2, 10621, 0.01538567053870227),
-    (25, 4000, 0.0068821736030673), (44, 508, 0.0016635753763527003), (288, 388, 0.9523712663430494),
-    (2151, 2151, 4.845733975849749), (3116, 4126, 5.787959269719276), (7200, 7200, 11.983787778391909),
-    (10000, 23482, 11.99999986972889),
-]
+# invented (viewTimeSec, durationSeconds)
+CT_CASES = [(0, 900), (1, 7), (3, 5000), (30, 1200), (61, 400), (250, 260), (1000, 1000), (2500, 3000), (9000, 9000), (20000, 40000)]
+
+
+def plain_consumption(v, d):
+    """The formula of the target, evaluated in plain Python."""
+    if not v or not d or v <= 0 or d <= 0:
+        return 0.0
+    skip = C.CT_LONG_VIDEO_NWT if d > C.CT_LONG_VIDEO_SEC else min(C.CT_QUAD * d * d + C.CT_LIN * d + C.CT_CONST, d / 2)
+    click = C.CT_CLICK_SHARE * skip
+    watched = d / (d - skip + click) * max(v - skip, click)
+    share = min(watched, C.CT_UPPER) * C._MAX_TARGET
+    return share / ((min(d, C.CT_UPPER) ** C.CT_SMOOTH + C.CT_EPS) * C._TARGET_REGAIN)
 
 
 def test_consumption_time_goldens(spark):
-    df = spark.createDataFrame([(v, d) for v, d, _ in CT_GOLDEN], "v bigint, d bigint")
+    df = spark.createDataFrame(CT_CASES, "v bigint, d bigint")
     got = [r[0] for r in df.select(consumption_time("v", "d")).collect()]
-    for (v, d, want), g in zip(CT_GOLDEN, got):
-        assert g == pytest.approx(want, rel=1e-12, abs=1e-15), (v, d)
+    for (v, d), g in zip(CT_CASES, got):
+        assert g == pytest.approx(plain_consumption(v, d), rel=1e-12, abs=1e-15), (v, d)
 
 
 def test_consumption_time_guards(spark):
@@ -35,28 +42,28 @@ def test_consumption_time_guards(spark):
 
 
 def _objective_rows(spark):
-    """Three rows of one session like the objective fixture (FIXTURES section 2)."""
-    feats = [[[8090.0, 0.06046394], [14836.0, 0.00003962], [14823.0, 0.04797924], [51.0, 0.0]],
-             [[8090.0, 0.23163407], [14836.0, 0.00003291], [14823.0, 0.66482335]],
-             [[14823.0, 0.89145339], [8090.0, 0.34307805], [14836.0, 0.00003127], [9.0, 1e7]]]
-    vd = [(0, 3440), (0, 2360), (2, 10621)]
+    """Three invented rows of one session: two unwatched, one watched for a moment."""
+    feats = [[[7.0, 0.25], [40.0, 0.5], [33.0, 0.125], [2.0, 0.0]],
+             [[7.0, 0.75], [40.0, 0.0625], [33.0, 0.5]],
+             [[33.0, 1.5], [7.0, 0.375], [40.0, 0.03125], [9.0, 2.0]]]
+    vd = [(0, 900), (0, 1200), (3, 5000)]
     return make_impressions(spark, [
         {"rid": "obj", "events": ["actionPlay", "watchCoverageRecord", "card_view"], "viewTimeSec": v,
          "durationSeconds": d, "features": f} for (v, d), f in zip(vd, feats)])
 
 
 def test_objective_golden_pairs(spark):
-    ft = FT.feature_table(_objective_rows(spark), [8090, 14836, 14823], 5.0, 14.0, 0.41)
+    ft = FT.feature_table(_objective_rows(spark), [7, 40, 33], 5.0, 14.0, 0.41)
     rows = sorted(ft.collect(), key=lambda r: r["pos"])
     assert [r["like_target"] for r in rows] == [0.0, 0.0, 0.0]
     assert [r["dislike_target"] for r in rows] == [1.0, 1.0, 1.0]
-    assert rows[2]["consumption_time_target"] == pytest.approx(0.01538567053870227)
-    assert rows[0]["features"] == pytest.approx([0.06046394, 0.00003962, 0.04797924], rel=1e-6)
+    assert rows[2]["consumption_time_target"] == pytest.approx(plain_consumption(3, 5000))
+    assert rows[0]["features"] == pytest.approx([0.25, 0.5, 0.125], rel=1e-6)
     pairs = PR.pair_table(ft).collect()
     assert len(pairs) == 2
     assert {(p["winner_pos"], p["loser_pos"]) for p in pairs} == {(2, 0), (2, 1)}
     assert all(p["target"] == "consumption_time" for p in pairs)
-    assert pairs[0]["pair_weight"] == pytest.approx(0.00630812492, rel=1e-8)
+    assert pairs[0]["pair_weight"] == pytest.approx(0.41 * plain_consumption(3, 5000), rel=1e-8)
 
 
 def test_dense_vector_rules(spark):

@@ -1,4 +1,4 @@
-"""Metric goldens (synthetic sessions shaped like the reference fixtures),
+"""Metric goldens (invented sessions),
 edge cases of the semantic contract and AUC properties."""
 
 import math
@@ -15,13 +15,13 @@ WC30 = {"watch_coverage_30s": DEFAULT_TARGETS["watch_coverage_30s"]}
 
 # (score, viewTimeSec, has watchCoverageRecord) -> expected AUC
 GOLDEN = [
-    ([(0.4068, 3116, True), (0.4134, 25, True)], 0.0),
-    ([(0.4393, 653, True), (0.4416, 0, True), (0.4704, 3, True)], 0.0),
-    ([(0.2654, 5, True), (0.2189, 288, True), (0.2305, 16, True)], 0.0),
-    ([(0.1271, 32, True), (0.1493, 44, True), (0.3508, 1, True), (0.4151, 1, True), (0.3508, 1, True)], 0.0),
-    ([(0.0342, 0, True), (0.1683, 2151, True), (0.1754, 0, False)], 0.5),
-    ([(0.7907, 1585, True), (0.6124, 4, True)], 1.0),
-    ([(0.5372, 279, True), (0.2050, 0, False)], 1.0),
+    ([(0.2, 90, True), (0.6, 10, True)], 0.0),
+    ([(0.1, 40, True), (0.3, 0, True), (0.9, 5, True)], 0.0),
+    ([(0.7, 3, True), (0.2, 45, True), (0.4, 29, True)], 0.0),
+    ([(0.1, 31, True), (0.15, 60, True), (0.5, 2, True), (0.8, 4, True), (0.5, 6, True)], 0.0),
+    ([(0.05, 1, True), (0.25, 700, True), (0.45, 100, False)], 0.5),
+    ([(0.95, 300, True), (0.35, 12, True)], 1.0),
+    ([(0.65, 30, True), (0.15, 500, False)], 1.0),
 ]
 
 
@@ -165,9 +165,9 @@ def test_gauc_against_brute_force_and_bucket_invariance(spark):
     df = _random_sessions(spark)
     rows = [r.asDict() for r in df.collect()]
     aucs, sizes = _brute_gauc(rows)
-    for buckets, hot in ((1, None), (3, 0), (64, 0), (64, 4), (1024, None)):
-        # hot=0: every session is split into score buckets (the skew path)
-        res, _ = _metrics(df, session_buckets=buckets, score_buckets=buckets, hot_threshold=hot)
+    for buckets, rows_ in ((1, 10**9), (3, 1), (64, 2), (64, 4), (1024, 10**9)):
+        # few rows a bucket: every session is cut at its own quantiles
+        res, _ = _metrics(df, score_buckets=buckets, session_rows=rows_)
         r = res["watch_coverage_30s"]
         assert r["n_groups"] == len(aucs)
         assert r["GAUCSimple"] == pytest.approx(sum(aucs) / len(aucs), abs=1e-12)
@@ -215,15 +215,39 @@ def test_hot_session_with_one_score_value(spark):
     rows += [{"rid": "n", "score": 0.9, "viewTimeSec": 40, "events": ["watchCoverageRecord"]},
              {"rid": "n", "score": 0.1, "viewTimeSec": 0, "events": ["watchCoverageRecord"]}]
     df = make_impressions(spark, rows)
-    _, details = M.gauc(df, WC30, hot_threshold=10, session_buckets=16, score_buckets=4)
+    _, details = M.gauc(df, WC30, session_rows=10, score_buckets=4)
     got = {r["session_id"]: r["auc"] for r in details.collect()}
     assert got == {"hot": 0.5, "n": 1.0}
     import re
     plan = re.sub(r"#\d+L?", "", details._jdf.queryExecution().executedPlan().toString())
-    # per-score counts are partial-aggregated before the hot path's first shuffle
+    # per-score counts are partial-aggregated before the first shuffle
     assert "hashpartitioning(session_id, score" in plan
 
 
+def test_large_session_in_a_narrow_band_has_buckets_of_its_own(spark):
+    """A session whose scores fill a small part of the slice's range is cut at its own quantiles."""
+    rnd = random.Random(3)
+    rows = [("wide", rnd.random(), rnd.random() < 0.5) for _ in range(900)]
+    rows += [("narrow", 0.5 + rnd.random() / 1e6, rnd.random() < 0.5) for _ in range(300)]
+    df = spark.createDataFrame(rows, "session_id string, score double, _y0 boolean").withColumn("_y0", F.col("_y0").cast("int"))
+    cuts = {r["session_id"]: r["_cuts"] for r in M._session_cuts(df, 20).collect()}
+    assert len(cuts["narrow"]) >= 14 and all(0.5 <= c <= 0.500001 for c in cuts["narrow"])
+    sums = {r["session_id"]: r for r in M._sums_by_session(df, 1, 20).collect()}
+    for name in ("wide", "narrow"):
+        pos = [s for n, s, y in rows if n == name and y]
+        neg = [s for n, s, y in rows if n == name and not y]
+        assert sums[name]["U0"] == sum((p > q) + 0.5 * (p == q) for p in pos for q in neg)
+
+
+def test_no_targets_and_no_global_auc(spark):
+    from rankfold.plans.evaluate import evaluate
+
+    df = _random_sessions(spark)
+    assert evaluate(df, [])["metrics"].count() == 0 and evaluate(df, [])["summary"].first()["total_targets"] == 0
+    row = evaluate(df, WC30, calculate_regular_auc=False)["metrics"].first()
+    assert row["AUC"] == 0.0 and row["AUC_valid"] is False and row["GAUC_valid"]
+
+
 def test_approximate_median_mode(spark):
     df = _random_sessions(spark, seed=21)
     exact, _ = _metrics(df)

@@ -13,6 +13,7 @@ from rankfold.operators import matrices as MX
 from rankfold.operators import metrics as M
 from rankfold.operators import ranker as RK
 from rankfold.operators import runlog as RL
+from rankfold.config import DEFAULT_FORMULA_PATH
 from rankfold.operators.indexing import first_n, with_global_index
 from rankfold.sources import extracts as X
 
@@ -257,3 +258,62 @@ def test_score_with_user_model(spark):
     assert scored[0]["model_score"] == 4.0 and scored[1]["model_score"] == -3.4e38
     linear = RK.score_with_model(df.limit(1), lambda x: x @ np.array([0.5, 0.25])).first()["model_score"]
     assert linear == RK.score(df.limit(1), [0.5, 0.25]).first()["model_score"]
+
+
+def test_printed_dicts_with_hard_ids_survive(spark):
+    ids = ["it's", 'a "quote"', "None of it", "is True", "back\\slash", "both ' and \"", "new\nline", "é"]
+    text = str({"t": {"GAUC_valid": True, "median": None, "group_details": [
+        {"session_id": s, "auc": 0.5, "size": 2, "positives": 1, "negatives": 1, "positive_rate": 0.5} for s in ids]}})
+    logs = spark.createDataFrame([(text, 1.0), ("plain line", 2.0)], "message string, timestamp double")
+    assert [r["session_id"] for r in RL.session_aucs(logs, "t").collect()] == ids
+    details = RL.session_aucs(logs, "t").withColumn("target", F.lit("t's"))
+    back = RL.all_session_aucs(RL.render_messages(details))
+    assert sorted(r["session_id"] for r in back.collect()) == sorted(ids)
+    broken = spark.createDataFrame([("{'t': {'group_details': [", 1.0)], "message string, timestamp double")
+    with pytest.raises(Exception, match="unreadable result message"):
+        RL.parse_messages(broken).collect()
+    assert RL.parse_messages(broken, strict=False).first()["parsed"] is None
+
+
+def test_nth_message_from_the_end_is_exact(spark):
+    rows = [(str({"t": {"n_groups": k, "group_details": []}}), float(k // 2)) for k in range(3)]
+    logs = spark.createDataFrame(rows, "message string, timestamp double")
+    assert [RL.select_result(logs, "t", "n_groups", -k).first()["value"] for k in (1, 2, 3)] == [2, 1, 0]
+    with pytest.raises(IndexError):
+        RL.select_result(logs, "t", "n_groups", -10)
+
+
+def _ndjson(path, lines):
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_malformed_lines_never_count(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bad")
+    _ndjson(path, ['{"rid": "a", "score": 1.0}', "{broken", "no json"])
+    with pytest.raises(Exception):
+        X.read_impressions(spark, path).collect()
+    assert [r["pos"] for r in X.read_impressions(spark, path, malformed="drop").collect()] == [0]
+
+
+def test_command_line_reads_ndjson_in_every_command(spark, tmp_dir):
+    import json
+
+    from rankfold.__main__ import main
+    from rankfold.config import DEFAULT_RECOMMENDER_ID, DEFAULT_TYPE_ID, DEFAULT_USER_TYPE
+
+    rnd = random.Random(4)
+    lines = [json.dumps({
+        "rid": f"r{k % 8}", "score": rnd.random(), "viewTimeSec": rnd.choice([0, 50, 400]), "durationSeconds": 600,
+        "events": ["watchCoverageRecord"] + (["like"] if k % 3 else []), "navScreen": "video_for_you", "platform": "vk_video_android",
+        "formulaPath": DEFAULT_FORMULA_PATH, "typeId": DEFAULT_TYPE_ID, "userType": DEFAULT_USER_TYPE,
+        "recommenderId": DEFAULT_RECOMMENDER_ID, "features": [[1, rnd.random()], [2, rnd.random()]]}) for k in range(48)]
+    src = os.path.join(tmp_dir, "in")
+    _ndjson(src, lines)
+    out = lambda name: os.path.join(tmp_dir, name)
+    main(["--format", "json", "evaluate", src, out("ev"), "--targets", "watch_coverage_30s"])
+    main(["--format", "json", "tune", src, src, out("trials"), "--n-trials", "1", "--vocab-ids", "1,2", "--iterations", "5", "--model-dir", out("m")])
+    main(["--format", "json", "score", src, out("m/trial_0"), out("sc"), "--vocab-ids", "1,2"])
+    main(["--format", "json", "extract", src, out("ex"), "--limit", "5"])
+    assert spark.read.parquet(out("ex")).count() == 5 and spark.read.parquet(out("sc/scored")).count() == 48
