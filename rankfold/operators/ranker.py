@@ -5,9 +5,8 @@ The reference trains a boosted-tree ranker with a pairwise-logit loss.  Here
 the same loss is fitted on a linear scorer: for a pair (winner w, loser l)
 with weight p the loss is ``p * log(1 + exp(-(s(w) - s(l))))``, which is a
 weighted logistic regression without intercept on ``x_w - x_l`` with label 1.
-Small pair sets are mirrored (``x_l - x_w``, label 0) so both classes exist;
-large ones flip the sign of half the pairs by hash instead.  The weighted-mean
-objective is the same either way.
+Each pair appears once, its sign flipped by a hash of the pair, at every size;
+both signs are used only if the hash gave all pairs the same one.
 """
 
 from __future__ import annotations

@@ -7,6 +7,7 @@ running sums, and pairs through a plain self-join.
 
 from __future__ import annotations
 
+from rankfold.config import DEFAULT_FORMULA_PATH
 from rankfold.config import DEFAULT_TARGETS
 from rankfold.sources.testdata import IMPRESSIONS_DUCKDB
 
@@ -93,7 +94,7 @@ _METRIC_SELECT = """SELECT target, total_samples, total_positives, round(positiv
   GAUC_valid FROM metrics"""
 
 _SLICE = ("navScreen = 'video_for_you' AND platform IN ('android', 'vk_video_android') "
-          "AND formulaPath = 'fstorage:vk_video_266_1769078359_f'")
+          f"AND formulaPath = '{DEFAULT_FORMULA_PATH}'")
 
 ORACLE["gauc_by_target"] = metric_ctes() + _METRIC_SELECT
 ORACLE["eval_slice"] = metric_ctes(_SLICE) + _METRIC_SELECT
@@ -138,10 +139,17 @@ SELECT rid, pos, typeId, userType, recommenderId, navScreen, platform, formulaPa
        durationSeconds, score, array_to_string(events, ',') AS events_str, CAST(len(features) AS INTEGER) AS n_features
 FROM impressions WHERE {_F3} ORDER BY rid, pos LIMIT 500000"""
 
+ORACLE["train_extract_cut"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, viewTimeSec, durationSeconds, score FROM impressions WHERE {_F3} ORDER BY rid, pos LIMIT 2000"""
+
+ORACLE["train_extract_sessions"] = f"""WITH {IMPRESSIONS_DUCKDB},
+ranked AS (SELECT rid, pos, viewTimeSec, durationSeconds, score, row_number() OVER (ORDER BY rid, pos) AS k FROM impressions WHERE {_F3})
+SELECT rid, pos, viewTimeSec, durationSeconds, score FROM ranked QUALIFY max(k) OVER (PARTITION BY rid) <= 2000"""
+
 ORACLE["slice_projection"] = f"""WITH {IMPRESSIONS_DUCKDB}
 SELECT navScreen, rid, array_to_string(events, ',') AS events_str, viewTimeSec, platform, score, formulaPath
 FROM impressions WHERE platform = 'vk_video_android' AND navScreen = 'video_for_you'
-  AND formulaPath = 'fstorage:vk_video_266_1769078359_f'"""
+  AND formulaPath = '{DEFAULT_FORMULA_PATH}'"""
 
 ORACLE["event_pattern_label"] = f"""WITH {IMPRESSIONS_DUCKDB}
 SELECT rid, pos, CAST(coalesce(len(list_filter(events, lambda e: regexp_matches(e, 'action(Play|Like)'))) > 0, false)

@@ -115,6 +115,20 @@ def q_train_extract_topk(spark, sf_dir):
                       F.array_join("events", ",").alias("events_str"), F.size("features").alias("n_features"))
 
 
+@register("train_extract_cut")
+def q_train_extract_cut(spark, sf_dir):
+    """S3: the ordered limit where it bites (the limit is the operator)."""
+    ext = X.training_extract(impressions(spark, sf_dir), limit=2000)
+    return ext.select("rid", "pos", "viewTimeSec", "durationSeconds", "score")
+
+
+@register("train_extract_sessions")
+def q_train_extract_sessions(spark, sf_dir):
+    """S3: only the sessions that fit into the limit whole."""
+    ext = X.training_extract(impressions(spark, sf_dir), limit=2000, whole_sessions=True)
+    return ext.select("rid", "pos", "viewTimeSec", "durationSeconds", "score")
+
+
 @register("slice_projection")
 def q_slice_projection(spark, sf_dir):
     """Three equalities, seven columns."""

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from rankfold.config import DEFAULT_FORMULA_PATH
 
-OTHER_FORMULA_PATH = "fstorage:vk_video_266_1700000000_f"
+OTHER_FORMULA_PATH = "other-formula"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
