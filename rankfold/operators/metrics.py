@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from rankfold.config import Cols, resolve_targets
 from rankfold.functions.labels import clean_score, label_expr
+from rankfold.session import reliable_checkpoint
 
 LABEL_PREFIX = "label_"
 _B = "_bucket"
@@ -112,7 +113,8 @@ def _session_cuts(narrow: DataFrame, session_rows: int) -> DataFrame:
     large = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(int(session_rows)))
     parts = F.ceil(F.col("_n") / F.lit(float(session_rows)))
     probs = [i / SESSION_STEPS for i in range(1, SESSION_STEPS)]
-    rows = narrow.join(large.select("session_id", parts.cast("int").alias("_parts")), "session_id")
+    # at most rows / session_rows keys, whatever the sessions
+    rows = narrow.join(F.broadcast(large.select("session_id", parts.cast("int").alias("_parts"))), "session_id")
     q = rows.groupBy("session_id").agg(F.percentile_approx("score", probs, 4 * SESSION_STEPS).alias("_q"), F.first("_parts").alias("_parts"))
     # one cut per part, spread over the steps
     step = F.greatest(F.lit(1), F.floor(F.lit(SESSION_STEPS) / F.col("_parts"))).cast("int")
@@ -131,7 +133,9 @@ def _sums_by_session(narrow: DataFrame, k: int, session_rows: int) -> DataFrame:
     neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
     per_score = narrow.groupBy("session_id", "score").agg(
         F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
-    per_score = per_score.join(_session_cuts(narrow, session_rows), "session_id", "left")
+    # materialised in the shared folder; one cut per session_rows rows in all, so its size is bounded by rows / session_rows
+    cuts = reliable_checkpoint(_session_cuts(narrow, session_rows))
+    per_score = per_score.join(F.broadcast(cuts), "session_id", "left")
     bucket = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("score"))), F.lit(0))
     per_score = per_score.withColumn(_B, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket)).drop("_cuts")
     w_in = Window.partitionBy("session_id", _B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
