@@ -183,6 +183,8 @@ def _details_from_sums(per_session: DataFrame, names: Sequence[str]) -> DataFram
 
 # ---------------------------------------------------------------- M5-M8
 MEDIAN_ACCURACY = 100_000
+#: Parts of a bracket of the exact median; with the number of targets it bounds what a pass returns.
+MEDIAN_PARTS = 1024
 
 
 def _base_summary_aggs():
@@ -205,12 +207,10 @@ def gauc_summary(details: DataFrame, exact_median: bool = True, accuracy: int =
     """M5-M7 per target: simple and weighted GAUC, count, population std, min,
     max and median (numpy's: the mean of the two middle values).
 
-    The exact median never gathers all AUC values in one task.  Pass 1 computes
+    The exact median never gathers all AUC values in one task or on the driver.  Pass 1 computes
     the other statistics and ``percentile_approx`` brackets around the middle
-    rank (rank error <= n / accuracy).  Pass 2 counts the values below the
-    bracket and returns (value, count) only for values inside it - at most
-    about 4 n / accuracy distinct values per target.  The middle values are then
-    picked on the driver; if the bracket missed (never expected), it widens.
+    rank; further passes narrow each bracket to the middle values and return at
+    most MEDIAN_PARTS + 2 rows per target, whatever the number of sessions.
     ``exact_median=False`` returns the approximate median of pass 1.
     """
     spark = details.sparkSession
@@ -234,49 +234,42 @@ def gauc_summary(details: DataFrame, exact_median: bool = True, accuracy: int =
 
 
 def _exact_medians(d: DataFrame, rows: list[dict]) -> None:
-    """Fill ``median`` exactly for every target row (one job for all targets)."""
+    """Fill ``median`` exactly for every target row, one job for all targets per pass.
+
+    A pass cuts each target's bracket into MEDIAN_PARTS equal parts (and one on either side) and returns
+    the count, least and greatest value of each.  Middle ranks in two parts are the ends of those parts; in
+    one part, its least and greatest value are the next bracket, until they are equal.
+    """
     todo = {r["target"]: r for r in rows}
     brackets = {t: (r["_q"][0], r["_q"][2]) for t, r in todo.items()}
-    for _ in range(3):
-        lo = F.lit(None).cast("double")
-        hi = F.lit(None).cast("double")
+    while todo:
+        low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
         for t, (a, b) in brackets.items():
-            lo = F.when(F.col("target") == F.lit(t), F.lit(a)).otherwise(lo)
-            hi = F.when(F.col("target") == F.lit(t), F.lit(b)).otherwise(hi)
-        marked = d.where(F.col("target").isin(*brackets)).select("target", "auc", lo.alias("_lo"), hi.alias("_hi"))
-        # one grouped pass: key NULL collects the rows outside the bracket
-        # (with the count of those below it), other keys are the candidates
-        inside = (F.col("auc") >= F.col("_lo")) & (F.col("auc") <= F.col("_hi"))
-        grouped = marked.groupBy("target", F.when(inside, F.col("auc")).alias("_v")).agg(
-            F.count(F.lit(1)).alias("c"), F.count_if(F.col("auc") < F.col("_lo")).alias("b")).collect()
-        below: dict[str, int] = {}
-        cands: dict[str, list] = {}
-        for r in grouped:
-            if r["_v"] is None:
-                below[r["target"]] = int(r["b"])
-            else:
-                cands.setdefault(r["target"], []).append((float(r["_v"]), int(r["c"])))
-        missed = {}
-        for t, row in todo.items():
-            n = int(row["n_groups"])
-            k1, k2 = (n - 1) // 2, n // 2
-            cs = sorted(cands.get(t, []))
-            b0 = below.get(t, 0)
-            if b0 <= k1 and b0 + sum(c for _, c in cs) > k2:
-                vals, pos = {}, b0
-                for v, c in cs:
-                    for k in (k1, k2):
-                        if pos <= k < pos + c:
-                            vals[k] = v
-                    pos += c
-                row["median"] = (vals[k1] + vals[k2]) / 2.0
-            else:  # the bracket missed the middle ranks (not expected): widen
-                missed[t] = (-math.inf, math.inf)
-        if not missed:
-            return
-        todo = {t: todo[t] for t in missed}
-        brackets = missed
-    raise RuntimeError("median bracket did not cover the middle ranks")
+            low = F.when(F.col("target") == F.lit(t), F.lit(a)).otherwise(low)
+            high = F.when(F.col("target") == F.lit(t), F.lit(b)).otherwise(high)
+        marked = d.where(F.col("target").isin(*brackets)).select("target", "auc", low.alias("_lo"), high.alias("_hi"))
+        place = F.floor((F.col("auc") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * MEDIAN_PARTS)
+        part = (F.when(F.col("auc") < F.col("_lo"), F.lit(-1)).when(F.col("auc") > F.col("_hi"), F.lit(MEDIAN_PARTS))
+                 .otherwise(F.least(F.lit(MEDIAN_PARTS - 1), F.coalesce(place, F.lit(0)))).cast("int"))
+        found = marked.groupBy("target", part.alias("_part")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("auc").alias("a"), F.max("auc").alias("b")).collect()
+        parts: dict[str, list] = {}
+        for r in sorted(found, key=lambda r: r["_part"]):
+            parts.setdefault(r["target"], []).append((int(r["c"]), float(r["a"]), float(r["b"])))
+        brackets = {}
+        for t, row in list(todo.items()):
+            n, before, middle = int(row["n_groups"]), 0, []
+            for c, a, b in parts[t]:
+                middle += [(a, b)] * sum(before <= k < before + c for k in ((n - 1) // 2, n // 2))
+                before += c
+            (a, b), (a2, b2) = middle
+            if n % 2 == 0 and (a, b) != (a2, b2):  # ranks next to each other in two parts
+                a, b = b, a2
+            elif a != b:
+                brackets[t] = (a, b)
+                continue
+            row["median"] = (a + b) / 2.0
+            del todo[t]
 
 
 # ---------------------------------------------------------------- M2

@@ -69,20 +69,18 @@ def pair_totals(features: DataFrame, session_col: str = Cols.RID) -> DataFrame:
 
 # ---------------------------------------------------------------- export / import
 def row_index(features: DataFrame, session_col: str = Cols.RID) -> DataFrame:
-    """X10 global form: ``row_index`` over (session, pos) order -> (rid, pos, row_index)."""
-    keys = features.select(F.col(session_col).alias("rid"), F.col(Cols.POS).alias("pos"))
-    return with_global_index(keys, ["rid", "pos"], "row_index")
+    """X10 global form: ``row_index`` over (session, pos) order -> (rid, pos, targets, row_index)."""
+    rows = features.select(F.col(session_col).alias("rid"), F.col(Cols.POS).alias("pos"), "targets")
+    return with_global_index(rows, ["rid", "pos"], "row_index")
 
 
-def export_pairs(pairs: DataFrame, index: DataFrame) -> DataFrame:
-    """``key`` = winner row index, ``value`` = "loser\\tweight", ``target``."""
-    wi = index.select(F.col("rid").alias("_r1"), F.col("pos").alias("winner_pos"), F.col("row_index").alias("_wi"))
-    li = index.select(F.col("rid").alias("_r2"), F.col("pos").alias("loser_pos"), F.col("row_index").alias("_li"))
-    j = pairs.join(wi, (pairs.rid == wi._r1) & (pairs.winner_pos == wi.winner_pos)) \
-             .join(li, (pairs.rid == li._r2) & (pairs.loser_pos == li.loser_pos))
-    return j.select(F.col("_wi").cast("string").alias("key"),
-                    F.concat_ws("\t", F.col("_li").cast("string"), F.col("pair_weight").cast("string")).alias("value"),
-                    "target")
+def export_pairs(pairs: DataFrame) -> DataFrame:
+    """``key`` = winner row index, ``value`` = "loser\\tweight", ``target``.
+    ``pairs`` is ``pair_table(row_index(features), carry=("row_index",))``: the
+    index comes along with the pairs and is not joined to them."""
+    return pairs.select(F.col("row_index_w").cast("string").alias("key"),
+                        F.concat_ws("\t", F.col("row_index_l").cast("string"), F.col("pair_weight").cast("string")).alias("value"),
+                        "target")
 
 
 def import_pairs(exported: DataFrame, n_rows: int) -> DataFrame:
@@ -101,9 +99,19 @@ def import_pairs(exported: DataFrame, n_rows: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P9 / P10
-def win_labels(features: DataFrame, pairs: DataFrame, session_col: str = Cols.RID) -> DataFrame:
-    """Wins per row (over all targets) divided by the maximum wins."""
-    wins = pairs.groupBy("rid", F.col("winner_pos").alias("pos")).agg(F.count(F.lit(1)).alias("wins"))
+def win_labels(features: DataFrame, session_col: str = Cols.RID, min_abs_weight: float = MIN_PAIR_WEIGHT) -> DataFrame:
+    """Wins per row (over all targets) divided by the maximum wins.
+
+    A row wins against each row of its session whose target is lower by so much that the pair's weight is
+    at least ``min_abs_weight``: a running count in the order of weight times target, no pair is
+    formed.  Targets are finite or NULL (no win, no loss) and a target name has one weight, as in the feature table.
+    """
+    if min_abs_weight <= 0:
+        raise ValueError("min_abs_weight must be positive")
+    long = unnest_targets(features, session_col).where(F.col("target").isNotNull())
+    scaled = long.select("rid", "pos", "name", (F.abs("weight") * F.col("target")).cast("double").alias("v"))
+    lower = f"count(1) OVER (PARTITION BY rid, name ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND {float(min_abs_weight)!r}D PRECEDING)"
+    wins = scaled.withColumn("c", F.expr(lower)).groupBy("rid", "pos").agg(F.sum("c").alias("wins"))
     rows = features.select(F.col(session_col).alias("rid"), Cols.POS)
     out = rows.join(wins, ["rid", "pos"], "left").withColumn("wins", F.coalesce("wins", F.lit(0)))
     # the maximum as a scalar subquery: the wins aggregate is planned once

@@ -221,18 +221,16 @@ def q_pair_totals(spark, sf_dir):
 @register("pair_export_roundtrip")
 def q_pair_export_roundtrip(spark, sf_dir):
     """Pairs exported with global row indices, parsed back."""
-    ft = _feature_table(spark, sf_dir)
-    idx = PR.row_index(ft)
+    idx = PR.row_index(_feature_table(spark, sf_dir))
     n = idx.count()
-    back = PR.import_pairs(PR.export_pairs(PR.pair_table(ft), idx), n)
+    back = PR.import_pairs(PR.export_pairs(PR.pair_table(idx, carry=("row_index",))), n)
     return back.select("winner", "loser", "target", r9("pair_weight").alias("pair_weight"))
 
 
 @register("win_labels")
 def q_win_labels(spark, sf_dir):
     """Wins per row over all targets / max wins."""
-    ft = _feature_table(spark, sf_dir)
-    return PR.win_labels(ft, PR.pair_table(ft)).select("rid", "pos", "wins", "win_label")
+    return PR.win_labels(_feature_table(spark, sf_dir)).select("rid", "pos", "wins", "win_label")
 
 
 @register("group_sizes")

@@ -144,14 +144,27 @@ def test_export_import_and_labels(spark):
     idx = PR.row_index(ft)
     n = idx.count()
     assert sorted(r[0] for r in idx.select("row_index").collect()) == list(range(n))
-    back = PR.import_pairs(PR.export_pairs(pairs, idx), n)
+    back = PR.import_pairs(PR.export_pairs(PR.pair_table(idx, carry=("row_index",))), n)
     assert back.count() == pairs.count()
     bad = spark.createDataFrame([("0", "1"), ("x", "1\t0.5"), ("0", f"{n}\t0.5"), ("0", "1\t0.5")],
                                 "key string, value string").withColumn("target", F.lit("like"))
     assert PR.import_pairs(bad, n).count() == 1
-    labels = PR.win_labels(ft, pairs).collect()
+    labels = PR.win_labels(ft).collect()
+    plain = {}
+    for p in pairs.collect():
+        plain[p["rid"], p["winner_pos"]] = plain.get((p["rid"], p["winner_pos"]), 0) + 1
+    assert {(r["rid"], r["pos"]): r["wins"] for r in labels if r["wins"]} == plain and len(labels) == ft.count()
     assert max(r["win_label"] for r in labels) == pytest.approx(1.0)
     ids, stats = PR.group_sizes(ft)
     s = stats.first()
     assert sorted(r["group_id"] for r in ids.collect()) == list(range(s["n_groups"]))
     assert s["min_size"] >= 1
+
+
+def test_win_labels_of_a_long_session(spark):
+    """100,000 rows in one session: five thousand million pairs, none of them formed."""
+    n = 100_000
+    t = F.struct(F.lit("like").alias("name"), (F.col("id") % 1000).cast("double").alias("target"), F.lit(2.0).alias("weight"))
+    ft = spark.range(n).select(F.lit("s").alias("rid"), F.col("id").cast("int").alias("pos"), F.array(t).alias("targets"))
+    got = PR.win_labels(ft).agg(F.sum("wins"), F.max("win_label")).first()
+    assert tuple(got) == (100 * 100 * 1000 * 999 // 2, 1.0)

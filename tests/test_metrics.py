@@ -255,3 +255,16 @@ def test_approximate_median_mode(spark):
     e, a = exact["watch_coverage_30s"], approx["watch_coverage_30s"]
     assert abs(e["median"] - a["median"]) <= 0.1
     assert e["GAUCWeighted"] == a["GAUCWeighted"]
+
+
+def test_median_narrows_to_the_middle_values(spark, monkeypatch):
+    """Two parts a pass and a coarse first bracket: many passes, the same median as numpy."""
+    import numpy as np
+
+    monkeypatch.setattr(M, "MEDIAN_PARTS", 2)
+    rng = np.random.default_rng(4)
+    values = {"odd": rng.random(301), "even": rng.random(300), "ties": rng.integers(0, 4, 250) / 4, "two": np.array([0.25, 1.0]), "one": np.array([0.5])}
+    rows = [(t, float(v), 2) for t, vs in values.items() for v in vs]
+    details = spark.createDataFrame(rows, "target string, auc double, size long")
+    got = {r["target"]: r["median"] for r in M.gauc_summary(details, accuracy=4).collect()}
+    assert got == {t: float(np.median(vs)) for t, vs in values.items()}
