@@ -54,16 +54,20 @@ def _py_value(c):
 
 
 def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_time: Optional[float] = None,
-                    metrics: Optional[DataFrame] = None) -> DataFrame:
+                    metrics: Optional[DataFrame] = None, chunk: Optional[F.Column] = None) -> DataFrame:
     """Write group details as printed-dict messages, one per (target, chunk of
     at most ~``chunk_sessions`` sessions): ``{'<target>': {'group_details':
     [{'session_id': ..., 'auc': ..., ...}, ...]}}``.  With ``metrics`` (one row
     per target) each message also carries that target's summary fields.
-    Output has the run-log shape ``record struct<message, time struct<timestamp>>``."""
-    counts = details.groupBy("target").agg(F.count(F.lit(1)).alias("_n"))
-    k = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_sessions)))).cast("long")
-    d = details.join(counts, "target")
-    d = d.withColumn("_chunk", F.pmod(F.xxhash64("session_id"), k))
+    Output has the run-log shape ``record struct<message, time struct<timestamp>>``.
+    ``chunk`` (a whole number per row) names the messages instead of ``chunk_sessions``;
+    a message's time is ``start_time`` plus its chunk."""
+    if chunk is None:
+        counts = details.groupBy("target").agg(F.count(F.lit(1)).alias("_n"))
+        k = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_sessions)))).cast("long")
+        d = details.join(counts, "target").withColumn("_chunk", F.pmod(F.xxhash64("session_id"), k))
+    else:
+        d = details.withColumn("_chunk", chunk)
     item = F.concat(
         F.lit("{'session_id': "), _py_str(F.col("session_id")),
         F.lit(", 'auc': "), F.col("auc").cast("string"),

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import time
 from dataclasses import dataclass
-from typing import Optional, Sequence
+from typing import Callable, Optional, Sequence
 
 import numpy as np
 from pyspark import StorageLevel
@@ -98,12 +98,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Optional[float] = 120.0,
-           seed: int = 0, trials_path: Optional[str] = None, model_dir: Optional[str] = None, **kw) -> DataFrame:
+           seed: int = 0, trials_path: Optional[str] = None, model_dir: Optional[str] = None,
+           grid: Optional[Sequence[Sequence[float]]] = None, objective: Optional[Callable] = None, **kw) -> DataFrame:
     """Run trials in order until ``n_trials`` or ``timeout`` seconds;
     trials already in ``trials_path`` with the same settings (seed, target,
     ranges, options) are skipped, and only those of these settings returned.  With
-    ``model_dir`` every trial's model is saved as ``<model_dir>/trial_<n>``."""
+    ``model_dir`` every trial's model is saved as ``<model_dir>/trial_<n>``.
+    ``grid`` gives the (like, dislike, consumption time) weights of each trial instead of draws, and
+    ``objective`` is called like :func:`evaluate_weights`, which it replaces."""
+    objective = objective or evaluate_weights
+    trials = [dict(zip(WEIGHT_RANGES, map(float, g), strict=True), trial=i) for i, g in enumerate(grid)] if grid else trial_weights(n_trials, seed)
     settings = json.dumps({"seed": seed, "target": data.target_name, "ranges": WEIGHT_RANGES,
+                           **({"grid": [list(map(float, g)) for g in grid]} if grid else {}),
+                           **({"objective": objective.__name__} if objective is not evaluate_weights else {}),
                            **{k: list(v) if isinstance(v, (list, tuple)) else v for k, v in kw.items()}}, sort_keys=True, default=str)
     done: set[int] = set()
     if trials_path and path_exists(spark, trials_path):
@@ -111,14 +118,14 @@ def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Op
         done = {int(r["trial"]) for r in mine.select("trial").collect()}
     rows = []
     start = time.time()
-    for w in trial_weights(n_trials, seed):
+    for w in trials:
         if w["trial"] in done:
             continue
         if timeout is not None and time.time() - start > timeout and rows:
             break
         t0 = time.time()
         mp = f"{model_dir.rstrip('/')}/trial_{w['trial']}" if model_dir else None
-        value, n_pairs = evaluate_weights(data, w["like_weight"], w["dislike_weight"],
+        value, n_pairs = objective(data, w["like_weight"], w["dislike_weight"],
                                           w["consumption_time_weight"], model_path=mp, **kw)
         row = (w["trial"], w["like_weight"], w["dislike_weight"], w["consumption_time_weight"], value, n_pairs,
                time.time() - t0, settings)

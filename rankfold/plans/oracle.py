@@ -39,10 +39,10 @@ def long_labels(source: str = "impressions", score: str = "score", where: str =
 
 
 def metric_ctes(where: str = "TRUE", source_cte: str = IMPRESSIONS_DUCKDB, targets=None, session: str = "rid",
-                score: str = "score") -> str:
+                score: str = "score", long_sql: str = "") -> str:
     """CTEs: long, stats, details, summ, aucs, metrics (all targets)."""
     return f"""WITH {source_cte},
-long AS ({long_labels(where=where, targets=targets, session=session, score=score)}),
+long AS ({long_sql or long_labels(where=where, targets=targets, session=session, score=score)}),
 stats AS (
   SELECT target, CAST(count(*) AS BIGINT) AS total_samples, CAST(sum(label) AS BIGINT) AS total_positives,
          CASE WHEN count(*) > 0 THEN sum(label) / count(*) ELSE 0.0 END AS positive_rate
@@ -191,7 +191,7 @@ tgt AS (
   FROM impressions WHERE {_TRAIN_WHERE}),
 tgt2 AS (SELECT *, 2.0 * (2.0 * like_target + dislike_target) + consumption_time_target AS label_value FROM tgt),
 ft AS (SELECT * FROM tgt2 WHERE len(list_distinct([like_target, dislike_target, consumption_time_target])) > 1),
-long AS (
+long AS MATERIALIZED (
   SELECT rid, pos, 'like' AS name, like_target AS target, CAST(5.0 AS DOUBLE) AS weight FROM ft
   UNION ALL SELECT rid, pos, 'dislike', dislike_target, CAST(14.0 AS DOUBLE) FROM ft
   UNION ALL SELECT rid, pos, 'consumption_time', consumption_time_target, CAST(0.41 AS DOUBLE) FROM ft),
@@ -323,3 +323,61 @@ ORACLE["gauc_events"] = metric_ctes(source_cte=EVENT_SESSIONS_DUCKDB, targets=EV
 ORACLE["gauc_skewed_sessions"] = metric_ctes(session="platform", score="score_alt") + _METRIC_SELECT
 ORACLE["gauc_skewed_details"] = metric_ctes(session="platform", score="score_alt") + """SELECT target, session_id,
   round(auc, 9) AS auc, size, positives, negatives, round(positive_rate, 9) AS positive_rate FROM details"""
+
+
+# ---------------------------------------------------------------- operators the queries above do not reach
+ORACLE["session_positions"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos AS line, row_number() OVER (PARTITION BY rid ORDER BY score, pos) - 1 AS pos FROM impressions"""
+ORACLE["feature_map"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, len(list_distinct(list_transform({_VALID_PAIRS}, lambda f: CAST(f[1] AS INTEGER)))) AS n_ids,
+  {", ".join(f"round(list_filter({_VALID_PAIRS}, lambda f: CAST(f[1] AS INTEGER) = {i})[-1][2], 8) AS m_{i}" for i in (2, 5, 1, 9))}
+FROM impressions"""
+ORACLE["vocab_resolve"] = """WITH names AS (
+  SELECT p_brand AS feature_name, row_number() OVER (ORDER BY min(p_partkey)) - 1 AS idx FROM part GROUP BY p_brand),
+ids AS (SELECT p_brand AS feature_name, max(p_partkey) % 17 AS feature_id FROM part GROUP BY p_brand),
+known AS (SELECT * FROM names JOIN ids USING (feature_name) WHERE feature_id % 5 <> 0),
+last AS (SELECT * FROM known k WHERE NOT EXISTS (SELECT 1 FROM known l WHERE l.feature_id = k.feature_id AND l.idx > k.idx))
+SELECT row_number() OVER (ORDER BY idx) - 1 AS idx, feature_name, feature_id FROM last"""
+ORACLE["ndjson_roundtrip"] = f"""WITH {IMPRESSIONS_DUCKDB}
+SELECT rid, pos, score, array_to_string(events, ',') AS events_str, viewTimeSec, durationSeconds, navScreen, platform,
+  formulaPath, typeId, userType, recommenderId, len(features) AS n_features, features[1][2] AS first_value FROM impressions"""
+ORACLE["pair_table_normalized"] = TARGET_CTES + """, totals AS (SELECT a.rid, a.name AS target, sum(a.target - b.target) AS total
+  FROM long a JOIN long b ON a.rid = b.rid AND a.name = b.name AND a.target > b.target GROUP BY a.rid, a.name)
+SELECT a.rid, a.name AS target, a.pos AS winner_pos, b.pos AS loser_pos, round(a.weight * (a.target - b.target) / t.total, 6) AS pair_weight
+FROM long a JOIN long b ON a.rid = b.rid AND a.name = b.name AND a.target > b.target JOIN totals t ON t.rid = a.rid AND t.target = a.name
+WHERE abs(a.weight * (a.target - b.target) / t.total) >= 1e-8"""
+ORACLE["pair_check"] = TARGET_CTES + """SELECT rid, target, count(*) AS n_pairs, CAST(sum(winner_pos) AS BIGINT) AS winners,
+  CAST(sum(loser_pos) AS BIGINT) AS losers, round(sum(pair_weight), 6) AS pair_weight FROM pairs GROUP BY rid, target"""
+ORACLE["pair_export_check"] = TARGET_CTES + """, idx AS (SELECT rid, pos, row_number() OVER (ORDER BY rid, pos) - 1 AS row_index FROM ft)
+SELECT p.target, CAST(floor(w.row_index / 100) AS BIGINT) AS block, count(*) AS n_pairs, CAST(sum(l.row_index) AS BIGINT) AS losers,
+       round(sum(p.pair_weight), 6) AS pair_weight
+FROM pairs p JOIN idx w ON p.rid = w.rid AND p.winner_pos = w.pos JOIN idx l ON p.rid = l.rid AND p.loser_pos = l.pos GROUP BY ALL"""
+ORACLE["gauc_without_positives"] = metric_ctes(targets={
+    "action_play": DEFAULT_TARGETS["action_play"], "never": TargetConfig("never", "noSuchEvent")}) + _METRIC_SELECT
+ORACLE["metric_lookup"] = metric_ctes() + """, wide AS (SELECT target, unnest(['AUC', 'GAUCWeighted', 'n_groups']) AS metric,
+  unnest([AUC, GAUCWeighted, CAST(n_groups AS DOUBLE)]) AS value FROM metrics)
+SELECT target, metric, round(value, 9) AS value FROM wide"""
+ORACLE["runlog_nth"] = metric_ctes() + """SELECT session_id, round(auc, 9) AS auc, size, positives, negatives
+FROM details WHERE target = 'action_play' AND CAST(session_id AS BIGINT) % 40 = 30"""
+
+
+def _trial_grid_sql() -> str:
+    grid = [(1.0, 1.0, 1.0), (5.0, 14.0, 0.41), (0.5, 2.0, 10.0)]
+
+    def score(weights) -> str:
+        x = [f"CAST(coalesce(CAST(round(list_filter(features, lambda f: CAST(f[1] AS INTEGER) = {i})[-1][2], 8) AS FLOAT), 0.0) AS DOUBLE)"
+             for i in (2, 3, 1)]
+        return "(0.0 + " + " + ".join(f"{v} * CAST({w!r} AS DOUBLE)" for v, w in zip(x, (weights[0], -weights[1], weights[2]))) + ")"
+
+    label = _label_sql(DEFAULT_TARGETS["watch_coverage_30s"])
+    long_sql = " UNION ALL ".join(f"SELECT '{k}' AS target, rid, {_clean(score(w))} AS score, {label} AS label FROM impressions"
+                                  for k, w in enumerate(grid))
+    rows = ", ".join(f"({k}, {a!r}, {b!r}, {c!r})" for k, (a, b, c) in enumerate(grid))
+    return metric_ctes(long_sql=long_sql) + f""", g AS (SELECT * FROM (VALUES {rows}) v(trial, l, d, c))
+SELECT CAST(trial AS BIGINT) AS trial, CAST(l AS DOUBLE) AS like_weight, CAST(d AS DOUBLE) AS dislike_weight,
+       CAST(c AS DOUBLE) AS consumption_time_weight, round(GAUCWeighted, 9) AS value,
+       row_number() OVER (ORDER BY GAUCWeighted DESC, trial) = 1 AS best
+FROM g JOIN metrics ON target = CAST(trial AS VARCHAR)"""
+
+
+ORACLE["trial_grid"] = _trial_grid_sql()

@@ -218,12 +218,16 @@ def q_pair_totals(spark, sf_dir):
     return t.select("rid", "target", "n_pairs", r9("total_raw_weight").alias("total_raw_weight"))
 
 
+def _exported_pairs(spark, sf_dir):
+    idx = PR.row_index(_feature_table(spark, sf_dir))
+    n = idx.count()
+    return PR.import_pairs(PR.export_pairs(PR.pair_table(idx, carry=("row_index",))), n)
+
+
 @register("pair_export_roundtrip")
 def q_pair_export_roundtrip(spark, sf_dir):
     """Pairs exported with global row indices, parsed back."""
-    idx = PR.row_index(_feature_table(spark, sf_dir))
-    n = idx.count()
-    back = PR.import_pairs(PR.export_pairs(PR.pair_table(idx, carry=("row_index",))), n)
+    back = _exported_pairs(spark, sf_dir)
     return back.select("winner", "loser", "target", r9("pair_weight").alias("pair_weight"))
 
 
@@ -443,3 +447,122 @@ def q_gauc_skewed_details(spark, sf_dir):
     d = _skewed(spark, sf_dir, details_only=True)["group_details"]
     return d.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
                     r9("positive_rate").alias("positive_rate"))
+
+
+# ---------------------------------------------------------------- operators the queries above do not reach
+POSITION_ORDER = ["score", "line"]
+
+
+@register("session_positions")
+def q_session_positions(spark, sf_dir):
+    """Positions inside each session by the caller's order columns."""
+    imp = impressions(spark, sf_dir).withColumnRenamed("pos", "line").select("rid", "line", "score")
+    return FT.with_positions(imp, tiebreak=POSITION_ORDER).select("rid", "line", "pos")
+
+
+@register("feature_map")
+def q_feature_map(spark, sf_dir):
+    """The valid pairs as a map, last value of a repeated id."""
+    from rankfold.functions.vectors import feature_map
+    m = impressions(spark, sf_dir).select("rid", "pos", feature_map("features").alias("m"))
+    return m.select("rid", "pos", F.size("m").alias("n_ids"),
+                    *[F.try_element_at("m", F.lit(i)).alias(f"m_{i}") for i in VOCAB])
+
+
+@register("vocab_resolve")
+def q_vocab_resolve(spark, sf_dir):
+    """S5 (file order), X1, X2: brand names resolved through a dictionary that lacks some and repeats ids."""
+    from pyspark.sql import Window
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    names = part.groupBy(F.col("p_brand").alias("feature_name")).agg(F.min("p_partkey").alias("first"))
+    # a few dozen brands, whatever the number of parts
+    names = names.select("feature_name", (F.row_number().over(Window.orderBy("first")) - 1).alias("idx"))
+    ids = part.groupBy(F.col("p_brand").alias("feature_name")).agg((F.max("p_partkey") % 17).alias("feature_id"))
+    return FT.resolve_vocabulary(names, ids.where("feature_id % 5 != 0")).select("idx", "feature_name", "feature_id")
+
+
+@register("ndjson_roundtrip")
+def q_ndjson_roundtrip(spark, sf_dir):
+    """Impressions as NDJSON lines, read back by the raw schema and its conversions."""
+    imp = impressions(spark, sf_dir)
+    lines = imp.select("rid", "pos", F.to_json(F.struct(*[f.name for f in X.RAW_SCHEMA.fields])).alias("line"))
+    raw = lines.select("pos", F.from_json("line", X.RAW_SCHEMA, {"mode": "FAILFAST"}).alias("r")).select("pos", "r.*")
+    back = X.normalize_raw(raw)
+    return back.select("rid", "pos", "score", F.array_join("events", ",").alias("events_str"), "viewTimeSec",
+                       "durationSeconds", "navScreen", "platform", "formulaPath", "typeId", "userType", "recommenderId",
+                       F.size("features").alias("n_features"), F.col("features")[0][1].alias("first_value"))
+
+
+@register("pair_table_normalized")
+def q_pair_table_normalized(spark, sf_dir):
+    """P5: pair weights divided by the total raw weight of their session and target."""
+    p = PR.pair_table(_feature_table(spark, sf_dir), normalize=True)
+    return p.select("rid", "target", "winner_pos", "loser_pos", r6("pair_weight").alias("pair_weight"))
+
+
+@register("pair_check")
+def q_pair_check(spark, sf_dir):
+    """Count and sums of the pairs of every session and target."""
+    p = PR.pair_table(_feature_table(spark, sf_dir)).groupBy("rid", "target")
+    return p.agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("winner_pos").alias("winners"), F.sum("loser_pos").alias("losers"),
+                 r6(F.sum("pair_weight")).alias("pair_weight"))
+
+
+@register("pair_export_check")
+def q_pair_export_check(spark, sf_dir):
+    """Count and sums of the pairs read back, per target and block of 100 winners."""
+    back = _exported_pairs(spark, sf_dir).groupBy("target", F.floor(F.col("winner") / 100).alias("block"))
+    return back.agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("loser").alias("losers"), r6(F.sum("pair_weight")).alias("pair_weight"))
+
+
+NO_EVENT_TARGETS = {"action_play": DEFAULT_TARGETS["action_play"], "never": TargetConfig("never", "noSuchEvent")}
+
+
+@register("gauc_without_positives")
+def q_gauc_without_positives(spark, sf_dir):
+    """M8: a target without any valid session gives zeros, marked invalid."""
+    return _metrics_out(evaluate(impressions(spark, sf_dir), NO_EVENT_TARGETS)["metrics"])
+
+
+@register("metric_lookup")
+def q_metric_lookup(spark, sf_dir):
+    """Single values of the summary's target details."""
+    d = evaluate(impressions(spark, sf_dir))["target_details"]
+    rows = [(t, m, float(M.lookup(d, t, m))) for t in DEFAULT_TARGETS for m in ("AUC", "GAUCWeighted", "n_groups")]
+    return spark.createDataFrame(rows, "target string, metric string, value double").select("target", "metric", r9("value").alias("value"))
+
+
+LOG_RUNS = 40
+LOG_POSITION = -10
+
+
+@register("runlog_nth")
+def q_runlog_nth(spark, sf_dir):
+    """Session AUCs of the tenth message from the end (a message per session id modulo 40)."""
+    chunk = F.pmod(F.col("session_id").cast("long"), F.lit(LOG_RUNS))
+    logs = RL.render_messages(_details(spark, sf_dir), start_time=0.0, chunk=chunk)
+    out = RL.session_aucs(logs, "action_play", position=LOG_POSITION)
+    return out.select("session_id", r9("auc").alias("auc"), "size", "positives", "negatives")
+
+
+TRIAL_GRID = [(1.0, 1.0, 1.0), (5.0, 14.0, 0.41), (0.5, 2.0, 10.0)]
+
+
+@register("trial_grid")
+def q_trial_grid(spark, sf_dir):
+    """A fixed grid of weights, the objective from a linear score with these weights as coefficients."""
+    from rankfold.functions.vectors import dense_vector
+    from rankfold.operators import tuning as TU
+    imp = impressions(spark, sf_dir).withColumn("features", dense_vector("features", [2, 3, 1]))
+    name = "watch_coverage_30s"
+    data = TU.SearchData(imp, imp, name, {name: DEFAULT_TARGETS[name]})
+
+    def weighted_score(data, like_weight, dislike_weight, consumption_time_weight, model_path=None):
+        scored = RK.score(data.validation, [like_weight, -dislike_weight, consumption_time_weight])
+        m, _ = M.gauc(scored, data.target_configs, score_col="model_score", calculate_regular_auc=False, exact_median=False)
+        return float(M.lookup(m, data.target_name, "GAUCWeighted")), 0
+
+    trials = TU.search(spark, data, timeout=None, grid=TRIAL_GRID, objective=weighted_score)
+    best = TU.best_trial(trials).select("trial", F.lit(True).alias("best"))
+    return trials.join(best, "trial", "left").select("trial", "like_weight", "dislike_weight", "consumption_time_weight",
+                                                     r9("value").alias("value"), F.coalesce("best", F.lit(False)).alias("best"))
