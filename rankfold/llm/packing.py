@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,9 @@ from rankfold.llm.common import checkpoint, text_chunks
 
 #: Names of public vocabulary files: the vocabulary is also there as ranks for the faster byte-pair encoder.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: White space of the vocabulary's pattern, and the length from which runs of it are cut out: its regular expression fails near a million.
+_RUNS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_LONG = 1 << 16
 
 
 def load_encoder(vocabulary: str = VOCABULARY):
@@ -35,6 +39,31 @@ def load_encoder(vocabulary: str = VOCABULARY):
     return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def id_maker(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
+    """Ids of a text with white space of any length.
+
+    The pattern makes one token sequence of a run but for its last character, which goes with the next word, so a long run
+    is encoded by itself and the text before and after it as usual.
+    """
+    encoder = load_encoder(vocabulary)
+    plain = encoder.encode_ordinary
+
+    def encode(text: str) -> list[int]:
+        # a run of twice the length holds a whole block of white space
+        if not any(text[i : i + _LONG].isspace() for i in range(0, len(text) - _LONG + 1, _LONG)):
+            return plain(text)
+        ids, at = [], 0
+        for m in _RUNS.finditer(text):
+            if m.end() - m.start() >= _LONG:
+                end = m.end() - (m.end() < len(text))
+                ids += plain(text[at : m.start()])
+                ids += encoder._encode_single_piece(text[m.start() : end])
+                at = end
+        return ids + plain(text[at:])
+
+    return encode
+
+
 def token_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of ``doc_id, text``; a longer document's first piece is the short one.
 
@@ -43,7 +72,7 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabul
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load_encoder(vocabulary).encode_ordinary
+        encode = id_maker(vocabulary)
         for batch in text_chunks(batches, "text", 8 << 20):
             rows, piece, start, length, crc = [], [], [], [], []
             for r, text in enumerate(batch.column(1)):

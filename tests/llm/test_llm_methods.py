@@ -280,6 +280,20 @@ def test_ids_equal_those_of_tokenizers(spark):
     assert [mine.encode_ordinary(t) for t in texts] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_ids_of_long_white_space(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" " * 2_000_000, "a b" + "\t" * 1_000_000 + "c", "x" + "\n " * 600_000 + "'s y", " \n" * 600_000 + "1", "　" * 1_000_000 + "\x1c  z"]
+    texts += ["\x1c" * 200_000 + " " * 200_000 + "!", ("w" + " " * 131_072 + "\n") * 3, " " * 65_536 + "\na" + " " * 70_000 + "b" + "\xa0" * 65_535]
+    want = {k: whole.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts)}
+    encode = packing.id_maker()
+    assert {k: encode(t) for k, t in enumerate(texts)} == want
+    rows = packing.token_pieces(frame(spark, list(enumerate(texts)), "doc_id long, text string")).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {r[0]: r[1] - 1 for r in rows} == {k: len(v) for k, v in want.items()}
+
+
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 200), max_size=30))
 @settings(max_examples=150, deadline=None)
 @example({22: 17})
