@@ -24,6 +24,8 @@ from rankfold.llm.common import checkpoint, text_chunks
 
 #: Names of public vocabulary files: the vocabulary is also there as ranks for the faster byte-pair encoder.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Tokens that the vocabulary adds to the byte pairs; a text that holds one has its id.
+ADDED = {"<|endoftext|>": 50256}
 #: White space of the vocabulary's pattern, and the length from which runs of it are cut out: its regular expression fails near a million.
 _RUNS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _LONG = 1 << 16
@@ -36,17 +38,20 @@ def load_encoder(vocabulary: str = VOCABULARY):
 
     with open(public_tokenizers.path(vocabulary), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
 
 
 def id_maker(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
-    """Ids of a text with white space of any length.
+    """Ids of a text with added tokens and with white space of any length.
 
-    The pattern makes one token sequence of a run but for its last character, which goes with the next word, so a long run
-    is encoded by itself and the text before and after it as usual.
+    The pattern makes one token sequence of a run but for its last character, which goes with the next word (before an added
+    token or the end it takes that one too), so a long run is encoded by itself and the text before and after it as usual.
     """
     encoder = load_encoder(vocabulary)
-    plain = encoder.encode_ordinary
+    added = tuple(ADDED)
+
+    def plain(text: str) -> list[int]:
+        return encoder.encode(text, allowed_special="all")
 
     def encode(text: str) -> list[int]:
         # a run of twice the length holds a whole block of white space
@@ -55,7 +60,7 @@ def id_maker(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
         ids, at = [], 0
         for m in _RUNS.finditer(text):
             if m.end() - m.start() >= _LONG:
-                end = m.end() - (m.end() < len(text))
+                end = m.end() - (m.end() < len(text) and not text.startswith(added, m.end()))
                 ids += plain(text[at : m.start()])
                 ids += encoder._encode_single_piece(text[m.start() : end])
                 at = end

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -280,6 +281,20 @@ def test_ids_equal_those_of_tokenizers(spark):
     assert [mine.encode_ordinary(t) for t in texts] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_ids_of_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y \n", "<|endoftext <|ENDOFTEXT|> |>", "a  \n <|endoftext|>  's"]
+    texts += [f"a{' ' * n}<|endoftext|>{' ' * n}b" for n in (1, 2, 200_000)] + ["", "plain"]
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    encode = packing.id_maker()
+    assert [encode(t) for t in texts] == want and want[0] == [64, 220, 50256, 275]
+    rows = packing.token_pieces(frame(spark, list(enumerate(texts)), "doc_id long, text string")).where("doc_id = 0").collect()
+    assert [(r["length"], r["ids_crc32"]) for r in rows] == [(5, zlib.crc32(np.array([64, 220, 50256, 275, 2], "<u4").tobytes()))]
+
+
 def test_ids_of_long_white_space(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
