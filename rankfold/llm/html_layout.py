@@ -18,7 +18,21 @@ from pyspark.sql import DataFrame
 from rankfold.llm.common import text_chunks
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_HIDDEN = frozenset("head script style template noscript title iframe object svg math datalist audio video canvas noframes".split())
+_HIDDEN = frozenset("head script style template noscript title iframe object datalist audio video canvas noframes".split())
+#: What is not shown inside svg and math; other svg text is shown inside ``text`` and ``foreignObject``, which holds HTML.
+_UNSEEN = {
+    "svg": _HIDDEN | frozenset("defs desc metadata symbol clippath mask marker pattern lineargradient radialgradient".split()),
+    "math": _HIDDEN | frozenset(("annotation", "annotation-xml", "mphantom")),
+}
+_LABELS = frozenset(("text", "foreignobject"))
+#: Elements of svg and math whose content is HTML, and HTML elements that end an open svg or math.
+_HOLDS_HTML = {"svg": frozenset(("foreignobject", "desc", "title")), "math": frozenset(("mi", "mo", "mn", "ms", "mtext"))}
+_LEAVES = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Parts of a formula above or beside each other, and those after a base: a blank stands between them.
+_STACKED = frozenset("mfrac mtable mtr mlabeledtr".split())
+_SCRIPTED = frozenset("msub msup msubsup munder mover munderover mroot mmultiscripts".split())
 _HEAD = frozenset("base basefont bgsound link meta title style script noscript template".split())
 #: Blocks with a blank line around them, and those that only start a new line.
 _SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset menu hr".split())
@@ -41,19 +55,23 @@ _CLOSES = {
     "optgroup": (frozenset(("option", "optgroup")), frozenset(("select",))),
 }
 _P_ENDS = _BLOCK - frozenset(("html", "body", "option", "optgroup", "tr", "caption", "legend", "summary"))
-_P_SCOPE = frozenset(("table", "td", "th", "caption", "button", "object"))
+_P_SCOPE = frozenset(("table", "td", "th", "caption", "button", "object", "foreignobject", "mtext"))
 _NO_SHOW = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _SPACE = re.compile(r"[\x20\x09\x0A\x0C\x0D]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "kind", "label", "apart")
 
-    def __init__(self, tag: str, attrs: dict[str, str | None]):
+    def __init__(self, tag: str, attrs: dict[str, str | None], kind: str = "", label: bool = False, apart: bool = False):
         self.tag, self.attrs, self.children = tag, attrs, []
+        #: "svg", "math" or "" for HTML; text of svg that is shown; words that are not joined to those around them
+        self.kind, self.label, self.apart = kind, label, apart
 
     def visible(self) -> bool:
-        if self.tag in _HIDDEN or "hidden" in self.attrs or (self.tag == "dialog" and "open" not in self.attrs):
+        if self.kind == "svg" and (self.attrs.get("display") == "none" or self.attrs.get("visibility") in ("hidden", "collapse")):
+            return False
+        if self.tag in _UNSEEN.get(self.kind, _HIDDEN) or "hidden" in self.attrs or (self.tag == "dialog" and "open" not in self.attrs):
             return False
         return not _NO_SHOW.search(self.attrs.get("style") or "")
 
@@ -88,7 +106,27 @@ class Builder(HTMLParser):
         while found and len(self.open) > found:
             self._pop()
 
+    def _kind(self) -> str:
+        """Whether a new element is one of "svg", "math" or HTML ("")."""
+        top = self.open[-1]
+        return "" if top.tag in _HOLDS_HTML.get(top.kind, ()) else top.kind
+
+    def _foreign(self, tag: str, attrs: list[tuple[str, str | None]], kind: str) -> None:
+        top, named = self.open[-1], dict(attrs)
+        label = kind == "svg" and tag != "svg" and (top.label or tag in _LABELS)
+        chunk = kind == "svg" and (tag == "text" or (tag == "tspan" and ("x" in named or "y" in named)))
+        self._push(Node(tag, named, kind, label, chunk or (kind == top.kind == "math" and (top.tag in _STACKED or (top.tag in _SCRIPTED and bool(top.children))))))
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in _LEAVES or (tag == "font" and any(a in ("color", "face", "size") for a, _ in attrs)):
+            while self._kind():
+                self._pop()
+        kind = tag if tag in ("svg", "math") else self._kind()
+        if kind:
+            if kind == tag:
+                self._close(frozenset(("head",)), frozenset())
+            self._foreign(tag, attrs, kind)
+            return
         if tag in ("html", "body"):
             if tag == "body":
                 self._close(frozenset(("head",)), frozenset())
@@ -110,6 +148,8 @@ class Builder(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
+        if self.open[-1].kind and self.open[-1].tag == tag:
+            self._pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -126,7 +166,8 @@ class Builder(HTMLParser):
     def handle_data(self, data: str) -> None:
         if len(self.open) > 1 and self.open[-1].tag == "head" and data.strip():
             self._pop()
-        self.open[-1].children.append(data)
+        if self.open[-1].kind != "svg" or self.open[-1].label:
+            self.open[-1].children.append(data)
 
 
 class Writer:
@@ -150,6 +191,12 @@ class Writer:
                 self.parts.append(word)
                 self.space = False
 
+    def part(self, raw: int) -> None:
+        """What follows is a word of its own."""
+        if raw and self.parts:
+            self.parts.append(" ")
+        self.space = True
+
     def flush(self) -> None:
         if self.parts:
             self.line("".join(self.parts))
@@ -223,6 +270,10 @@ def render(html: str, wide: int = 60) -> str:
             elif tag == "tr" and tables:
                 out.flush()
                 tables[-1].append([])
+            elif node.apart:
+                out.part(raw)
+            elif tag == "math" and node.attrs.get("display") == "block":
+                out.block(1)
             elif tag in _BLOCK:
                 out.block(1 if tag not in _SPACED or (lists and tag in ("ul", "ol", "menu")) else 2)
             if tag == "table":
@@ -257,6 +308,10 @@ def render(html: str, wide: int = 60) -> str:
             span = node.attrs.get("colspan") or "1"
             tables[-1][-1] += [cell.lines, *([[]] * (min(int(span), 100) - 1 if span.isascii() and span.isdigit() else 0))]
             continue
+        if node.apart:
+            out.part(raw)
+        elif tag == "math" and node.attrs.get("display") == "block":
+            out.block(1)
         if tag == "pre":
             raw -= 1
         if tag in _BLOCK:

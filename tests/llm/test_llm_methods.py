@@ -182,6 +182,20 @@ def test_layout():
     assert html_layout.render("<p>a<div>b</p>c<span>d") == "a\n\nb\n\ncd"
 
 
+def test_layout_formulas_and_charts():
+    show = html_layout.render
+    formula = "<mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup>"
+    assert show(f"<p>So <math><semantics><mrow>{formula}</mrow><annotation>no</annotation><annotation-xml>no</annotation-xml></semantics></math> holds") == "So E=mc 2 holds"
+    assert show(f"a<math display=block>{formula}<mspace/><mfrac><mn>1</mn><mn>2</mn></mfrac></math>b") == "a\nE=mc 2 1 2\nb"
+    unseen = "<title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><text display=none>no</text>"
+    chart = f"<svg>{unseen}<g>no<path d='M0'/><text>Sales</text><text x=1>2024 <tspan x=0>in</tspan><tspan x=0 dy=9>EUR</tspan></text></g></svg>"
+    assert show(f"<p>See {chart}here.</p>") == "See Sales 2024 in EUR here."
+    assert show("<svg><defs/><text>shown</text></svg>") == "shown" and show("<svg/>x<math/>y<desc>z</desc>") == "xyz"
+    assert show("<p>a<svg><foreignObject><div>b</div></foreignObject></svg>") == "a\nb"
+    assert show("<svg><g><p>left open</p>after") == "left open\n\nafter"
+    assert show("<pre>a<svg><text>b</text><text>c</text></svg>\nd</pre>").split() == ["a", "b", "c", "d"]
+
+
 @given(st.text(alphabet="<>/ab \"'=&;!-tdrplui", max_size=120))
 @settings(max_examples=200, deadline=None)
 def test_layout_never_fails(page):
