@@ -54,20 +54,23 @@ def _py_value(c):
 
 
 def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_time: Optional[float] = None,
-                    metrics: Optional[DataFrame] = None, chunk: Optional[F.Column] = None) -> DataFrame:
+                    metrics: Optional[DataFrame] = None, chunk: Optional[F.Column] = None,
+                    part: Optional[F.Column] = None) -> DataFrame:
     """Write group details as printed-dict messages, one per (target, chunk of
     at most ~``chunk_sessions`` sessions): ``{'<target>': {'group_details':
     [{'session_id': ..., 'auc': ..., ...}, ...]}}``.  With ``metrics`` (one row
     per target) each message also carries that target's summary fields.
     Output has the run-log shape ``record struct<message, time struct<timestamp>>``.
     ``chunk`` (a whole number per row) names the messages instead of ``chunk_sessions``;
-    a message's time is ``start_time`` plus its chunk."""
+    a message's time is ``start_time`` plus its chunk.  ``part`` cuts a chunk into
+    several messages of its time, which ``select_result`` reads as one with ``parts=True``."""
     if chunk is None:
         counts = details.groupBy("target").agg(F.count(F.lit(1)).alias("_n"))
         k = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_sessions)))).cast("long")
         d = details.join(counts, "target").withColumn("_chunk", F.pmod(F.xxhash64("session_id"), k))
     else:
         d = details.withColumn("_chunk", chunk)
+    d = d.withColumn("_part", F.lit(0) if part is None else part)
     item = F.concat(
         F.lit("{'session_id': "), _py_str(F.col("session_id")),
         F.lit(", 'auc': "), F.col("auc").cast("string"),
@@ -75,7 +78,7 @@ def render_messages(details: DataFrame, chunk_sessions: int = 100_000, start_tim
         F.lit(", 'positives': "), F.col("positives").cast("string"),
         F.lit(", 'negatives': "), F.col("negatives").cast("string"),
         F.lit(", 'positive_rate': "), F.col("positive_rate").cast("string"), F.lit("}"))
-    msgs = d.groupBy("target", "_chunk").agg(F.array_join(F.collect_list(item), ", ").alias("_items"))
+    msgs = d.groupBy("target", "_chunk", "_part").agg(F.array_join(F.collect_list(item), ", ").alias("_items"))
     t0 = float(start_time if start_time is not None else time.time())
     summary_text = F.lit("'GAUC_valid': True")
     if metrics is not None:
@@ -135,10 +138,11 @@ def parse_messages(logs: DataFrame, message_col: str = "message", strict: bool =
 
 # ---------------------------------------------------------------- G2 / G3
 def select_result(logs: DataFrame, target: str, field: str = "group_details",
-                  position: Optional[int] = None) -> DataFrame:
+                  position: Optional[int] = None, parts: bool = False) -> DataFrame:
     """The messages that hold a result for ``target`` (selected by shape),
     optionally only the ``position``-th from the end by timestamp (e.g. -10);
-    returns (timestamp, value) with ``value`` = ``parsed[target][field]``."""
+    with ``parts`` the messages of one time are parts of one, and all of them
+    come out; returns (timestamp, value) with ``value`` = ``parsed[target][field]``."""
     if field not in SUMMARY_FIELDS:
         raise ValueError(f"no such summary field: {field!r}")
     flat = logs
@@ -151,6 +155,12 @@ def select_result(logs: DataFrame, target: str, field: str = "group_details",
         n = abs(int(position)) if position < 0 else None
         if n is None:
             raise ValueError("position counts from the end and must be negative")
+        if parts:
+            times = [r[0] for r in hits.select("timestamp").distinct().orderBy(F.desc("timestamp")).limit(n).collect()]
+            if len(times) < n:
+                raise IndexError(f"message {position} of {len(times)} for target {target!r}")
+            return hits.where(F.col("timestamp").eqNullSafe(F.lit(times[-1]).cast("double"))).select(
+                "timestamp", F.col("parsed")[target][field].alias("value"))
         # top-n by time (small n): one TakeOrderedAndProject, then the n-th row
         last = hits.orderBy(F.desc("timestamp"), F.desc("message")).limit(n)
         nth = last.orderBy(F.asc("timestamp"), F.asc("message")).limit(1)
@@ -161,9 +171,9 @@ def select_result(logs: DataFrame, target: str, field: str = "group_details",
     return hits.select("timestamp", F.col("parsed")[target][field].alias("value"))
 
 
-def session_aucs(logs: DataFrame, target: str, position: Optional[int] = None) -> DataFrame:
+def session_aucs(logs: DataFrame, target: str, position: Optional[int] = None, parts: bool = False) -> DataFrame:
     """One row per session entry of the selected result(s)."""
-    r = select_result(logs, target, "group_details", position)
+    r = select_result(logs, target, "group_details", position, parts)
     return r.select(F.inline("value")).select("session_id", "auc", "size", "positives", "negatives",
                                               "positive_rate")
 

@@ -534,14 +534,17 @@ def q_metric_lookup(spark, sf_dir):
 
 LOG_RUNS = 40
 LOG_POSITION = -10
+LOG_SESSIONS = 1000
 
 
 @register("runlog_nth")
 def q_runlog_nth(spark, sf_dir):
-    """Session AUCs of the tenth message from the end (a message per session id modulo 40)."""
-    chunk = F.pmod(F.col("session_id").cast("long"), F.lit(LOG_RUNS))
-    logs = RL.render_messages(_details(spark, sf_dir), start_time=0.0, chunk=chunk)
-    out = RL.session_aucs(logs, "action_play", position=LOG_POSITION)
+    """Session AUCs of the tenth message from the end (one per session id modulo 40, in parts of at most
+    1,000 sessions by spans of ids, so that more sessions make more parts and no longer ones)."""
+    number = F.col("session_id").cast("long")
+    part = F.floor(number / F.lit(LOG_RUNS * LOG_SESSIONS))
+    logs = RL.render_messages(_details(spark, sf_dir), start_time=0.0, chunk=F.pmod(number, F.lit(LOG_RUNS)), part=part)
+    out = RL.session_aucs(logs, "action_play", position=LOG_POSITION, parts=True)
     return out.select("session_id", r9("auc").alias("auc"), "size", "positives", "negatives")
 
 

@@ -317,3 +317,17 @@ def test_command_line_reads_ndjson_in_every_command(spark, tmp_dir):
     main(["--format", "json", "score", src, out("m/trial_0"), out("sc"), "--vocab-ids", "1,2"])
     main(["--format", "json", "extract", src, out("ex"), "--limit", "5"])
     assert spark.read.parquet(out("ex")).count() == 5 and spark.read.parquet(out("sc/scored")).count() == 48
+
+
+def test_large_chunks_are_written_in_parts(spark):
+    rows = [("t", str(k), k / 1000, 2, 1, 1, 0.5) for k in range(1000)] + [("u", "7", 0.5, 2, 1, 1, 0.5)]
+    details = spark.createDataFrame(rows, "target string, session_id string, auc double, size long, positives long, negatives long, positive_rate double")
+    number = F.col("session_id").cast("long")
+    logs = RL.render_messages(details, start_time=5.0, chunk=F.pmod(number, F.lit(4)), part=F.floor(number / 100))
+    sizes = [r["value"] for r in RL.select_result(logs, "t").select(F.size("value").alias("value")).collect()]
+    assert sizes == [25] * 40
+    for back in (1, 2, 4):
+        got = RL.session_aucs(logs, "t", position=-back, parts=True).collect()
+        assert sorted(int(r["session_id"]) for r in got) == list(range(4 - back, 1000, 4))
+    with pytest.raises(IndexError):
+        RL.session_aucs(logs, "t", position=-5, parts=True)
