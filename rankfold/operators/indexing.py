@@ -28,8 +28,12 @@ def with_global_index(df: DataFrame, order_cols: Sequence[str], index_col: str =
     # data size; numbering happens after the checkpoint, so any layout works.
     ordered = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
                else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
-    ordered = reliable_checkpoint(ordered)
-    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id())
+    return _numbered(reliable_checkpoint(ordered), index_col)
+
+
+def _numbered(stored: DataFrame, index_col: str) -> DataFrame:
+    """A checkpointed frame with the rows numbered where they lie."""
+    tagged = stored.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumns({"_pid": F.shiftright("_mid", 33), "_local": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))})
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: the window over it is tiny
@@ -46,10 +50,15 @@ def key_at(df: DataFrame, order_cols: Sequence[str], index: int, num_partitions:
 
 def first_n(df: DataFrame, order_cols: Sequence[str], n: int, num_partitions: Optional[int] = None) -> DataFrame:
     """The first ``n`` rows in ``order_cols`` order: the key of the first row outside is looked up, then the
-    full rows are filtered by it where they lie."""
-    cut = key_at(df, order_cols, n, num_partitions)
-    if cut is None:
+    full rows are filtered by it where they lie.  Of rows that tie with it as many come out as are missing."""
+    idx = with_global_index(df.select(*order_cols), order_cols, "_gidx", num_partitions)
+    ends = {r["_gidx"]: r[:-1] for r in idx.where(F.col("_gidx").isin(int(n) - 1, int(n))).select(*order_cols, "_gidx").collect()}
+    if n not in ends:
         return df
     schema = df.select(*order_cols).schema
-    last = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, schema.fields)])
-    return df.where(F.struct(*order_cols) < last)
+    last = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(ends[n], schema.fields)])
+    below = df.where(F.struct(*order_cols) < last)
+    if n - 1 not in ends or not all(a == b or (a != a and b != b) for a, b in zip(ends[n - 1], ends[n])):
+        return below
+    tied = _numbered(reliable_checkpoint(df.where(F.struct(*order_cols).eqNullSafe(last))), "_gidx")
+    return below.union(tied.where(F.col("_gidx") < F.lit(n - below.count())).select(*df.columns))

@@ -331,3 +331,13 @@ def test_large_chunks_are_written_in_parts(spark):
         assert sorted(int(r["session_id"]) for r in got) == list(range(4 - back, 1000, 4))
     with pytest.raises(IndexError):
         RL.session_aucs(logs, "t", position=-5, parts=True)
+
+
+def test_first_n_with_ties_at_the_cut(spark):
+    rows = [("a", 1, 0), ("b", 2, 1), ("b", 2, 2), ("b", 2, 3), ("c", 1, 4), (None, None, 5), (None, None, 6)]
+    df = spark.createDataFrame(rows, "rid string, pos int, k int").repartition(3)
+    order = [(r[0] is not None, r[0] or "", r[1] or 0) for r in rows]
+    for n in range(9):
+        got = first_n(df, ["rid", "pos"], n).collect()
+        assert len({r["k"] for r in got}) == len(got) == min(n, 7)
+        assert sorted(order[r["k"]] for r in got) == sorted(order)[:n]
