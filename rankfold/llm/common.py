@@ -15,6 +15,20 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SPACES = {c: " " for c in range(9, 14)}
+
+
+def words_of(text: str) -> list[str]:
+    """The words of ``WORD``, in order."""
+    return [w for w in text.translate(_SPACES).split(" ") if w]
+
+
+def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` without the columns of these names, in any case, as Spark compares names."""
+    away = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in away])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a folder of its own only for local sessions without one."""
     sc = spark.sparkContext

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import bottom_k, fast_sketch, html_layout, language, line_dedup, mixing, packing, pii, pivot_index, url_filter
+from rankfold.llm import bottom_k, fast_sketch, html_layout, language, line_dedup, mixing, packing, periodic_runs, pii, pivot_index, url_filter
+from rankfold.llm.common import WORD
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,40 @@ def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "epochs", "taken")
 
 
+def _with_planted_period(docs: DataFrame) -> DataFrame:
+    """The words of a tenth of the documents, chosen by a checksum of ``doc_id``, repeat with a period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        word = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(word, " ")).otherwise(F.lit(""))
+
+    # the words are bound once, as the variable of a lambda
+    text = F.get(F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), planted), F.lit(0))
+    return docs.withColumn("text", F.when(F.col("text").isNotNull() & (h % 10 == 0), text).otherwise(F.col("text")))
+
+
+def periodic_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(_with_planted_period(_documents(spark, sf_dir).select("doc_id", "text")))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("s"), (-r.period).alias("p"))))
+    listed = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n")))
+    found = found.withColumn("_top", top)
+    return found.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("_top.s")).alias("start"),
+        F.col("_top.length").alias("length"),
+        (-F.col("_top.p")).alias("period"),
+        F.expr("1000 * _top.length div -_top.p").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_redirect_filter": redirect_filter,
     "op2_pivot_neighbours": pivot_neighbours,
@@ -70,4 +105,5 @@ QUERIES = {
     "op8_best_fit_packing": best_fit_packing,
     "op9_skip_chain_pii": skip_chain_pii,
     "op10_weighted_mix": weighted_mix,
+    "op11_periodic_runs": periodic_word_runs,
 }
