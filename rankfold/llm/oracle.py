@@ -106,10 +106,39 @@ run AS (
 SELECT doc_id, size, source_size, target, epochs, (epochs * size + greatest(0, least(size, budget - before)))::BIGINT AS taken FROM run
 """
 
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+ones AS MATERIALIZED (SELECT lang, v, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(w) AS v FROM cut) GROUP BY ALL),
+twos AS MATERIALIZED (
+  SELECT lang, p.x, p.y, count(*)::HUGEINT AS f FROM (SELECT lang, unnest([{'x': w[i], 'y': w[i + 1]} for i in range(1, len(w))]) AS p FROM cut) GROUP BY ALL),
+threes AS MATERIALIZED (
+  SELECT lang, p.x, p.y, p.z, count(*)::HUGEINT AS f
+  FROM (SELECT lang, unnest([{'x': w[i], 'y': w[i + 1], 'z': w[i + 2]} for i in range(1, len(w) - 1)]) AS p FROM cut) GROUP BY ALL HAVING f >= 10),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang),
+long_ones AS (
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.f AS a, a.f AS f1, yz.f AS f23, xy.f AS f12, c.f AS f3,
+    1000000::HUGEINT * t.f * t.f // (a.f * yz.f) AS s1, 1000000::HUGEINT * t.f * t.f // (xy.f * c.f) AS s2
+  FROM threes t JOIN ones a ON a.lang = t.lang AND a.v = t.x JOIN ones c ON c.lang = t.lang AND c.v = t.z
+  JOIN twos xy ON xy.lang = t.lang AND xy.x = t.x AND xy.y = t.y JOIN twos yz ON yz.lang = t.lang AND yz.x = t.y AND yz.y = t.z),
+most AS (
+  SELECT lang, x, y, max(f) AS m FROM (SELECT lang, x, y, f FROM threes UNION ALL SELECT lang, y AS x, z AS y, f FROM threes) GROUP BY ALL),
+kept AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, a.f AS l, b.f AS r, 1000000::HUGEINT * t.f * t.f // (a.f * b.f) AS score
+  FROM twos t JOIN ones a ON a.lang = t.lang AND a.v = t.x JOIN ones b ON b.lang = t.lang AND b.v = t.y
+  LEFT JOIN most ON most.lang = t.lang AND most.x = t.x AND most.y = t.y WHERE t.f >= 10 AND (m IS NULL OR 100 * m < 50 * t.f)
+  UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN f1 ELSE f12 END, CASE WHEN s1 <= s2 THEN f23 ELSE f3 END, least(s1, s2) FROM long_ones),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_redirect_filter": _URLS,
     "op2_pivot_neighbours": _VECTORS,
     "op4_fast_similarity": _NEAR,
     "op6_repeated_lines": _LINES,
     "op10_weighted_mix": _MIX,
+    "op13_phrase_collocations": _PHRASES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import bottom_k, fast_sketch, html_layout, language, line_dedup, mixing, packing, periodic_runs, pii, pivot_index, url_filter
+from rankfold.llm import bottom_k, collocations, fast_sketch, html_layout, language, line_dedup, mixing, packing, periodic_runs, pii, pivot_index, url_filter
 from rankfold.llm.common import WORD
 
 
@@ -94,6 +94,10 @@ def periodic_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir).select("lang", "text"))
+
+
 QUERIES = {
     "op1_redirect_filter": redirect_filter,
     "op2_pivot_neighbours": pivot_neighbours,
@@ -106,4 +110,5 @@ QUERIES = {
     "op9_skip_chain_pii": skip_chain_pii,
     "op10_weighted_mix": weighted_mix,
     "op11_periodic_runs": periodic_word_runs,
+    "op13_phrase_collocations": phrase_collocations,
 }
