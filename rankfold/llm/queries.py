@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import bottom_k, collocations, fast_sketch, html_layout, language, line_dedup, mixing, packing, periodic_runs, pii, pivot_index, url_filter
+from rankfold.llm import bottom_k, collocations, fast_sketch, html_layout, language, line_dedup, mixing, packing, periodic_runs, pii, pivot_index, toxicity, url_filter
 from rankfold.llm.common import WORD
 
 
@@ -94,6 +94,12 @@ def periodic_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return found.withColumn("held_out", toxicity.held_out(5)).select("doc_id", "held_out", "score", "predicted", "n_hits", "n_quoted", "hits")
+
+
 def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir).select("lang", "text"))
 
@@ -110,5 +116,6 @@ QUERIES = {
     "op9_skip_chain_pii": skip_chain_pii,
     "op10_weighted_mix": weighted_mix,
     "op11_periodic_runs": periodic_word_runs,
+    "op12_lexicon_toxicity": lexicon_toxicity,
     "op13_phrase_collocations": phrase_collocations,
 }
