@@ -69,16 +69,26 @@ FROM sized d LEFT JOIN classes ON d.n > 0 AND d.s = classes.s LEFT JOIN least ON
 
 _LINES = r"""
 WITH cut AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
+  SELECT doc_id, unnest(regexp_extract_all(text, u.p, 1)) AS unit, unnest(regexp_extract_all(text, u.p, 2)) AS gap,
+    generate_subscripts(regexp_extract_all(text, u.p, 1), 1) AS k
+  FROM documents, (SELECT '((?:[^\n.!?]|[.!?]+[^\n.!?\x20\x09])*[.!?]*)(\n|[\x20\x09]+|$)' AS p) u),
 placed AS (
-  SELECT doc_id, line, k, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s,
-    regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM cut),
+  SELECT *, coalesce(sum(length(unit) + length(gap)) OVER before, 0)::BIGINT AS s,
+    coalesce(sum((gap = chr(10))::INT) OVER before, 0) AS line, regexp_extract_all(unit, '[^\x20\x09-\x0D]+') AS w
+  FROM cut WINDOW before AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 ranked AS (
-  SELECT *, len(w) >= 5 AND row_number() OVER (PARTITION BY len(w) >= 5,
-    translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ORDER BY doc_id, k) > 1 AS gone FROM placed)
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
-  coalesce(string_agg(s::BIGINT || ':' || (s::BIGINT + length(line)), ',' ORDER BY k) FILTER (gone), '') AS removed
-FROM ranked GROUP BY doc_id
+  SELECT *, len(w) > 0 AND row_number() OVER (PARTITION BY len(w) > 0,
+    translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ORDER BY doc_id, k) > 1 AS gone,
+    lag(gap, 1, '') OVER (PARTITION BY doc_id ORDER BY k) AS gap_before FROM placed),
+joined AS (
+  SELECT doc_id, k, CASE WHEN lag(line) OVER kept < line THEN chr(10) || unit WHEN lag(line) OVER kept = line THEN gap_before || unit ELSE unit END AS piece
+  FROM ranked WHERE NOT gone AND (k = 1 OR gap_before <> '') WINDOW kept AS (PARTITION BY doc_id ORDER BY k)),
+texts AS (SELECT doc_id, string_agg(piece, '' ORDER BY k) AS text FROM joined GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, count(*) FILTER (len(w) > 0) AS n_units, count(*) FILTER (gone) AS n_removed, coalesce(sum(len(w)) FILTER (gone), 0)::BIGINT AS removed_words,
+    coalesce(sum(length(unit)) FILTER (gone), 0)::BIGINT AS removed_chars, coalesce(string_agg(s || ':' || (s + length(unit)), ',' ORDER BY k) FILTER (gone), '') AS removed
+  FROM ranked GROUP BY doc_id)
+SELECT doc_id, coalesce(text, '') AS text, n_units, n_removed, removed_words, removed_chars, removed FROM counts LEFT JOIN texts USING (doc_id)
 """
 
 _MIX = r"""

@@ -83,8 +83,8 @@ def test_packing(docs, none):
 def test_lines(docs, none):
     rows = line_dedup.without_repeats(docs)
     assert rows.count() == len(ROWS) and rows.where("doc_id = 2 and text is null and n_units = 0").count() == 1
-    assert rows.where("doc_id = 3 and text = '' and n_units = 1").count() == 1
-    assert rows.where("doc_id is null and n_removed = 1").count() == 1 and rows.where("doc_id = 7 and n_removed = 0").count() == 1
+    assert rows.where("doc_id = 3 and text = '' and n_units = 0").count() == 1
+    assert rows.where("doc_id is null and n_removed = 1 and removed_words = 11 and removed_chars = 49").count() == 1 and rows.where("doc_id = 7 and n_removed = 0").count() == 1
     assert line_dedup.without_repeats(none).count() == 0
 
 
