@@ -2,7 +2,7 @@
 
 The lexicon is a trie.  A Levenshtein automaton runs beside it: a state is the set of ``(trie node, edits so far)`` that the letters
 read until now allow, where an edit is a letter left out, added, replaced or swapped with its neighbour, and
-repeated letters and look-alike signs cost nothing.  States and steps are made when first met and kept, so a word costs one table
+repeated letters and look-alike signs cost nothing; the first letter has to be right.  States and steps are made when first met and kept, so a word costs one table
 look-up a letter, and most words reach the empty state after two or three.
 
 A hit counts by its context window: quotation marks around it and words of reporting lower its score, words that address
@@ -42,6 +42,8 @@ _STRIP = ".,;:!?\"'()[]{}<>«»“”„‘’…*_~`#%&-|/\\"
 _OPEN, _CLOSE = "\"“„«‘", "\"”»“’"
 
 WINDOW = 12
+#: States of the automaton kept between two words.
+ROOM = 20_000
 FEATURES = ("bias", "score", "share", "most", "kinds", "misspelt", "quoted")
 #: Weights without training rows of both kinds.
 PRIOR = (-3.0, 2.0, 0.3, 1.0, 0.0, 0.0, 0.0)
@@ -73,11 +75,15 @@ class Matcher:
                 node = self.children[node][c]
                 self.budget[node] = max(self.budget[node], edits_of(t))
             self.term[node] = t
+        self._forget()
+
+    def _forget(self) -> None:
+        """Only the empty and the start state are known; the others are made again when met."""
         self.ids: dict[frozenset, int] = {frozenset(): 0}
         self.states = [frozenset()]
         self.steps: list[dict[str, int]] = [{}]
         self.ends: list[tuple[str, int] | None] = [None]
-        self.start = self._state(self._closed({(0, 0, ""): None}))
+        self.start = self._state(frozenset([(0, 0, "")]))
 
     def _closed(self, made: dict) -> frozenset:
         """With the states that leave out letters of the term."""
@@ -115,12 +121,12 @@ class Matcher:
                 continue
             if self.letter[node] and self.letter[node] in same:
                 made[node, e, ""] = None
-            if e < self.budget[node]:
+            if node and e < self.budget[node]:
                 made[node, e + 1, ""] = None
             for letter, child in self.children[node].items():
                 if letter in same:
                     made[child, e, ""] = None
-                elif e < self.budget[child]:
+                elif node and e < self.budget[child]:
                     made[child, e + 1, ""] = None
                     swapped = self.children[child].get(c)
                     if swapped is not None and e < self.budget[swapped]:
@@ -130,6 +136,8 @@ class Matcher:
 
     def find(self, word: str) -> tuple[str, int] | None:
         """The term nearest to the word, with its edits, or None; ties go to the first by alphabet."""
+        if len(self.states) > ROOM:
+            self._forget()
         number = self.start
         for c in word:
             step = self.steps[number].get(c)
@@ -204,37 +212,57 @@ def _training(docs: DataFrame, labels: DataFrame, folds: int, sample_rows: int,
     return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), "doc_id").select(F.xxhash64("doc_id", "text").alias("h"), "text", "toxic")
 
 
+def _evidence(counts: DataFrame, bad: int, good: int, evidence: float, odds: float) -> DataFrame:
+    """``word, ratio`` of the words whose counts ``b`` and ``g`` differ by a likelihood ratio (G squared) of ``evidence`` and a factor of ``odds``."""
+    b, g, share = F.col("b"), F.col("g"), bad / (bad + good)
+    gain = b * F.log(b / ((b + g) * share)) + F.when(g > 0, g * F.log(g / ((b + g) * (1 - share)))).otherwise(0.0)
+    ratio = (b / bad) / ((g + 0.5) / good)
+    return counts.where((b > 0) & (2 * gain >= evidence) & (ratio >= odds)).select("word", ratio.alias("ratio"))
+
+
 def learned_terms(training: DataFrame, evidence: float = 15.0, odds: float = 10.0) -> dict[str, float]:
     """Words (letters only, four or more) far more frequent in toxic texts, with a weight of 0.3 to 1 that rises with the ratio.
 
-    Documents are counted, not occurrences.  A word needs a likelihood ratio (G squared) of ``evidence`` and must be ``odds`` times as
-    frequent among toxic texts as among the others.
+    First texts are counted, a repeated text once; then, for the words that pass, the different pairs of neighbours they have, so that the
+    words of a passage with many near copies don't look like evidence.
     """
+    training = training.select("h", "text", "toxic").dropDuplicates(["h"])
+    sizes = {r["toxic"]: r["count"] for r in training.groupBy("toxic").count().collect()}
+    bad, good = sizes.get(1, 0), sizes.get(0, 0)
+    if not bad or not good:
+        return {}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def plain(text: str) -> list[str]:
+        return [w.strip(_STRIP).lower() for w in words_of(text)]
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text"):
             seen: Counter = Counter()
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen.update((w, toxic) for w in {w.strip(_STRIP).lower() for w in words_of(text)} if len(w) >= 4 and w.isalpha())
+            for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                seen.update((w, toxic) for w in set(plain(text)) if len(w) >= 4 and w.isalpha())
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in seen], pa.string()), pa.array([t for _, t in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], ["word", "toxic", "c"])
 
-    sizes = {r["toxic"]: r["count"] for r in training.groupBy("toxic").count().collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
-    if not bad or not good:
-        return {}
-    counts = training.select("text", "toxic").mapInArrow(run, "word string, toxic int, c long").groupBy("word").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("c")).otherwise(0)).alias("b"), F.sum(F.when(F.col("toxic") == 0, F.col("c")).otherwise(0)).alias("g")
-    )
-    b, g = F.col("b"), F.col("g")
-    share = bad / (bad + good)
-    gain = b * F.log(b / ((b + g) * share)) + F.when(g > 0, g * F.log(g / ((b + g) * (1 - share)))).otherwise(0.0)
-    ratio = (b / bad) / ((g + 0.5) / good)
-    often = counts.where((b > 0) & (2 * gain >= evidence) & (ratio >= odds))
-    # as every term is ten times as frequent in the sample's toxic texts, there are few of them
-    return {r["word"]: round(float(np.clip(np.log(r["r"]) / np.log(50.0), 0.3, 1.0)), 6) for r in often.select("word", ratio.alias("r")).orderBy("word").collect()}
+    def sums(df: DataFrame) -> DataFrame:
+        by = {1: "b", 0: "g"}
+        return df.groupBy("word").agg(*(F.sum(F.when(F.col("toxic") == t, F.col("c")).otherwise(0)).alias(n) for t, n in by.items()))
+
+    often = {r["word"] for r in _evidence(sums(training.mapInArrow(texts, "word string, toxic int, c long")), bad, good, evidence, odds).select("word").collect()}
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, "text"):
+            rows = set()
+            for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                words = ["", *plain(text), ""]
+                rows.update((words[k], toxic, words[k - 1], words[k + 1]) for k in range(1, len(words) - 1) if words[k] in often)
+            cells = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 1 else pa.string()) for k, c in enumerate(cells)], ["word", "toxic", "before", "after"])
+
+    places = training.mapInArrow(neighbours, "word string, toxic int, before string, after string").distinct().withColumn("c", F.lit(1))
+    kept = _evidence(sums(places), bad, good, evidence, odds)
+    return {r["word"]: round(float(np.clip(np.log(r["ratio"]) / np.log(50.0), 0.3, 1.0)), 6) for r in kept.orderBy("word").collect()}
 
 
-def fit(docs: DataFrame, labels: DataFrame, terms: tuple[str, ...] = TERMS, folds: int = 5, sample_rows: int = 20_000, ridge: float = 1.0, seed: int = 11) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, terms: tuple[str, ...] = TERMS, folds: int = 5, sample_rows: int = 10_000, ridge: float = 1.0, seed: int = 11) -> dict:
     """``terms`` and ``weights`` from the labelled documents outside fold 0; labels other than 0 and 1 are not read.
 
     Without training rows of both kinds the weights are ``PRIOR``.
