@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_SPACES = {c: " " for c in range(9, 14)}
-
-
 def words_of(text: str) -> list[str]:
     """The words of ``WORD``, in order."""
-    return [w for w in text.translate(_SPACES).split(" ") if w]
+    for c in "\t\n\x0b\x0c\r":
+        text = text.replace(c, " ")
+    return [w for w in text.split(" ") if w]
 
 
 def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -1,10 +1,10 @@
 """Periodic runs of words: maximal stretches that repeat themselves with a smallest period.
 
 Scale-tiled distribution.  A document's words are cut into tiles, one set of overlapping tiles for each octave of
-periods ``[P, 2P)``.  Within a tile, every multiple ``b`` of P is a boundary; two Z-functions, forwards and
+periods ``[P, 2P)``; the first octave has all periods below 2P, with 2P the least length of a run.  Within a tile, every multiple ``b`` of P is a boundary; two Z-functions, forwards and
 backwards from ``b``, give how far the words at ``b`` agree with those ``q`` further on, for every q of the octave
-in time linear in the octave.  As a run of period q has at least 2q words, it holds a boundary b with ``b + q``
-inside too, so no run is missed.  A boundary sees a few periods to either side; what it finds there is a fragment.  The
+in time linear in the octave.  As the words of a run of period q agree with those q further on over at least P words, one of
+them is at a boundary, so no run is missed.  A boundary sees a few periods to either side; what it finds there is a fragment.  The
 fragments of all tiles are shuffled by document and period, and touching ones are stitched to runs.
 
 A tile is solved by itself.  Those of short documents are solved where the document is read; those of
@@ -30,6 +30,15 @@ LOOK = 16
 RUNS = "array<struct<start: long, length: long, period: long>>"
 
 
+def first_octave(shortest: int) -> int:
+    return max(1, -(-shortest // 2))
+
+
+def periods(octave: int, shortest: int) -> tuple[int, int]:
+    """The periods that the boundaries at multiples of ``octave`` are for, the upper one exclusive."""
+    return (1 if octave == first_octave(shortest) else octave), 2 * octave
+
+
 def reach(octave: int, shortest: int) -> int:
     """Words that a boundary sees to the left, and beyond ``2 * octave`` to the right."""
     return max(2 * octave, shortest, LOOK)
@@ -40,10 +49,10 @@ def tiles(n: int, longest: int, shortest: int, core: int = 1 << 16) -> Iterator[
 
     ``n`` words, of documents of at most ``longest`` words.
     """
-    octave = 1
-    while 2 * octave <= longest and longest >= shortest:
+    octave = first_octave(shortest)
+    while longest >= shortest and 2 * periods(octave, shortest)[0] <= longest:
         wide, step = reach(octave, shortest), max(core // octave, 16) * octave
-        for first in range(0, n - octave, step):
+        for first in range(0, n, step):
             last = min(first + step, n)
             yield octave, first, last, max(0, first - wide), min(n, last + 2 * octave + wide)
         octave *= 2
@@ -53,12 +62,17 @@ def z_function(s: list) -> list[int]:
     """For each position the length of the longest common prefix of ``s`` and its rest from there."""
     n, out, left, right = len(s), [0] * len(s), 0, 0
     for i in range(1, n):
-        k = min(out[i - left], right - i) if i < right else 0
+        k = 0
+        if i < right:
+            k = out[i - left]
+            if k < right - i:
+                out[i] = k
+                continue
+            k = right - i
         while i + k < n and s[k] == s[i + k]:
             k += 1
-        out[i] = k
-        if i + k > right:
-            left, right = i, i + k
+        if k:
+            out[i], left, right = k, i, i + k
     return out
 
 
@@ -95,21 +109,21 @@ def _grams(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, int]:
 
 def _suspects(ids: np.ndarray, octave: int, at: np.ndarray, shortest: int) -> np.ndarray:
     """Boundaries (of ``at``) with a period whose agreement is long enough, or too long to tell after ``LOOK`` words."""
-    n = len(ids)
+    n, (low, high) = len(ids), periods(octave, shortest)
     grams, size = _grams(ids, shortest)
     rows, columns = [], []
     whole, rest = at[at + 2 * octave <= n], at[at + 2 * octave > n]
     if len(whole):
-        view = np.lib.stride_tricks.sliding_window_view(grams, octave)
-        same = view[whole + octave] == grams[whole][:, None]
+        view = np.lib.stride_tricks.sliding_window_view(grams, high - low)
+        same = view[whole + low] == grams[whole][:, None]
         skip = int(np.searchsorted(whole, size))
         left = whole[skip:] - size
-        same[skip:] |= view[left + octave] == grams[left][:, None]
+        same[skip:] |= view[left + low] == grams[left][:, None]
         r, c = np.nonzero(same)
         rows.append(whole[r])
-        columns.append(c + octave)
+        columns.append(c + low)
     for b in rest.tolist():
-        c = np.arange(octave, n - b + (b > 0))
+        c = np.arange(low, n - b + (b > 0))
         rows.append(np.full(len(c), b))
         columns.append(c)
     b, q = np.concatenate([*rows, at[:0]]), np.concatenate([*columns, at[:0]])
@@ -135,19 +149,18 @@ def solve(ids: np.ndarray, octave: int, first: int, last: int, shortest: int) ->
     Only agreements of ``max(period, shortest - period)`` words or more, touching ones of a period already joined; periods
     whose block is a power of a shorter one are left out, as the shorter period has the same run.
     """
-    n, wide = len(ids), reach(octave, shortest)
+    n, wide, (low, high) = len(ids), reach(octave, shortest), periods(octave, shortest)
     found: dict[int, list[list[int]]] = {}
     for b in _suspects(ids, octave, np.arange(first, last, octave), shortest).tolist():
-        lo = max(0, b - wide)
-        window = ids[lo : b + 2 * octave + wide].tolist()
-        ahead = z_function(window[b - lo :])
-        back = window[: b - lo][::-1]
-        behind = z_function([*back, -1, *window[: b - lo + 2 * octave][::-1]])
-        base = len(back) + 1 + min(b + 2 * octave, n) - 1
-        for q in range(octave, min(2 * octave, n - b + 1)):
-            f = ahead[q] if q < len(ahead) else 0
-            g = min(behind[base - (b + q - 1)], len(back)) if back else 0
-            if f + g >= max(q, shortest - q) and b + q <= n and _primitive(q, ahead):
+        lo, end, top = max(0, b - wide), min(b + high, n), min(high, n - b + 1)
+        window = ids[lo : b + high + wide].tolist()
+        ahead = [*z_function(window[b - lo :]), 0]
+        # backwards from b: the words before b, then all up to the last that a period leads to
+        behind = z_function([*window[: b - lo][::-1], -1, *window[: end - lo][::-1]])
+        # word b + q - 1 is at place k - q there
+        k = b - lo + 1 + end - b
+        for q, f, g in zip(range(low, top), ahead[low:top], behind[k - top + 1 : k - low + 1][::-1]):
+            if f + g >= q and f + g >= shortest - q and _primitive(q, ahead):
                 parts = found.setdefault(q, [])
                 if parts and b - g <= parts[-1][1]:
                     parts[-1][1] = max(parts[-1][1], b + f)
@@ -158,8 +171,8 @@ def solve(ids: np.ndarray, octave: int, first: int, last: int, shortest: int) ->
 
 def word_ids(words: list[str]) -> np.ndarray:
     """Words as numbers, equal words by equal numbers."""
-    known: dict[str, int] = {}
-    return np.array([known.setdefault(w, len(known)) for w in words], np.int32)
+    number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    return np.fromiter(map(number.__getitem__, words), np.int32, len(words))
 
 
 _FRAGMENT = pa.list_(pa.struct([("q", pa.int64()), ("x", pa.int64()), ("y", pa.int64())]))
