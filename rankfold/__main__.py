@@ -53,7 +53,14 @@ def _vocab_args(p):
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="rankfold")
     ap.add_argument("--format", default="auto", choices=["auto", "json", "parquet"])
-    sub = ap.add_subparsers(dest="cmd", required=True)
+    common = argparse.ArgumentParser(add_help=False)  # the option may also stand behind the command
+    common.add_argument("--format", default=argparse.SUPPRESS, choices=["auto", "json", "parquet"])
+    commands = ap.add_subparsers(dest="cmd", required=True)
+
+    class sub:
+        @staticmethod
+        def add_parser(name):
+            return commands.add_parser(name, parents=[common])
 
     ev = sub.add_parser("evaluate")
     ev.add_argument("input")
@@ -72,6 +79,9 @@ def main(argv=None) -> None:
     tu.add_argument("--seed", type=int, default=0)
     tu.add_argument("--target-name", default="watch_coverage_30s")
     tu.add_argument("--iterations", type=int, default=150)
+    tu.add_argument("--metric", default="GAUCWeighted", help="a field of the target details")
+    tu.add_argument("--together", type=int, default=8, help="trials fitted and measured in common passes")
+    _slice_args(tu)
     tu.add_argument("--model-dir", default=None, help="save each trial's model as <dir>/trial_<n>")
     _vocab_args(tu)
 
@@ -80,6 +90,9 @@ def main(argv=None) -> None:
     sc.add_argument("model_path")
     sc.add_argument("output")
     sc.add_argument("--target-name", default="watch_coverage_30s")
+    sc.add_argument("--metric", default=None, help="print this field of the target details only")
+    sc.add_argument("--no-slice", action="store_true")
+    _slice_args(sc)
     _vocab_args(sc)
 
     ex = sub.add_parser("extract")
@@ -106,15 +119,22 @@ def main(argv=None) -> None:
                                     _read(spark, args.validation, args.format), _vocab(spark, args),
                                     trials_path=args.trials_path, n_trials=args.n_trials, timeout=args.timeout,
                                     seed=args.seed, target_name=args.target_name, max_iter=args.iterations,
-                                    model_dir=args.model_dir)
+                                    model_dir=args.model_dir, metric=args.metric, together=args.together,
+                                    platforms=args.platforms.split(","), nav_screen=args.nav_screen, formula_path=args.formula_path)
         print(json.dumps(best.first().asDict()))
     elif args.cmd == "score":
+        from rankfold.operators.metrics import lookup
         from rankfold.plans.jobs import score_and_measure
-        out = score_and_measure(_read(spark, args.validation, args.format), args.model_path, _vocab(spark, args),
+        vocab = _vocab(spark, args) if args.vocab_ids or args.feature_names else None  # the model names its own
+        out = score_and_measure(_read(spark, args.validation, args.format), args.model_path, vocab,
                                 {args.target_name: DEFAULT_TARGETS[args.target_name]},
-                                output_path=f"{args.output}/scored")
+                                output_path=f"{args.output}/scored", sliced=not args.no_slice, platforms=args.platforms.split(","),
+                                nav_screen=args.nav_screen, formula_path=args.formula_path)
         out["metrics"].write.mode("overwrite").parquet(f"{args.output}/metrics")
-        print(json.dumps([r.asDict() for r in out["target_details"].collect()]))
+        if args.metric:
+            print(json.dumps({args.metric: lookup(out["target_details"], args.target_name, args.metric)}))
+        else:
+            print(json.dumps([r.asDict() for r in out["target_details"].collect()]))
     elif args.cmd == "extract":
         from rankfold.plans.jobs import write_training_extract
         write_training_extract(_read(spark, args.input, args.format), args.output, limit=args.limit,

@@ -1,29 +1,28 @@
-"""Pairwise linear ranker on Spark ML (R1-R5) and the impute -> scale ->
+"""Pairwise linear ranker (R1-R5) and the impute -> scale ->
 logistic-regression recipe (R8).
 
 The reference trains a boosted-tree ranker with a pairwise-logit loss.  Here
-the same loss is fitted on a linear scorer: for a pair (winner w, loser l)
-with weight p the loss is ``p * log(1 + exp(-(s(w) - s(l))))``, which is a
-weighted logistic regression without intercept on ``x_w - x_l`` with label 1.
-Each pair appears once, its sign flipped by a hash of the pair, at every size;
-both signs are used only if the hash gave all pairs the same one.
+the same loss is fitted on a linear scorer, over sessions and without a row per pair (see ``pairfit``).  A fitted
+model is a small table: vocabulary id, coefficient and settings.
 """
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass, field
 from typing import Optional, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.config import BIG_NEGATIVE, MIN_PAIR_WEIGHT, Cols
-from rankfold.operators.pairs import pair_table
+from rankfold.config import BIG_NEGATIVE, GRADED_TARGET_NAMES, Cols
 from rankfold.functions.vectors import dot
+from rankfold.operators.pairfit import fit_rankers, session_blocks
 
 
 def clean_vector(features: str = "features", missing: float = BIG_NEGATIVE):
@@ -32,53 +31,34 @@ def clean_vector(features: str = "features", missing: float = BIG_NEGATIVE):
                        .otherwise(x.cast("double")))
 
 
-def pair_training_set(features: DataFrame, pairs: Optional[DataFrame] = None,
-                      min_abs_weight: float = MIN_PAIR_WEIGHT) -> DataFrame:
-    """One row per pair: ``diff = x_winner - x_loser`` and ``pair_weight``.
-
-    The pair self-join stays narrow (no vectors); winner and loser vectors are
-    then joined on (rid, pos), both sides hash-partitioned by session.  (Carrying
-    the vectors through the self-join measured slower: wide rows in the join
-    buffers.)"""
-    if pairs is None:
-        pairs = pair_table(features, min_abs_weight=min_abs_weight)
-    vec = features.select("rid", "pos", clean_vector().alias("_x"))
-    w = vec.select("rid", F.col("pos").alias("winner_pos"), F.col("_x").alias("_xw"))
-    lo = vec.select("rid", F.col("pos").alias("loser_pos"), F.col("_x").alias("_xl"))
-    j = pairs.join(w, ["rid", "winner_pos"]).join(lo, ["rid", "loser_pos"])
-    return j.select("rid", "target", "winner_pos", "loser_pos",
-                    F.zip_with("_xw", "_xl", lambda a, b: a - b).alias("diff"), "pair_weight")
-
-
-def pairwise_rows(training: DataFrame, both: bool = False) -> DataFrame:
-    """Logistic rows for the pairwise loss: each pair once, its sign flipped by
-    a hash of the pair (the objective of both signs at half the rows).  With
-    ``both`` every pair appears as (+diff, 1) and (-diff, 0)."""
-    w = F.col("pair_weight").alias("weight")
-    keys = [c for c in ("rid", "target", "winner_pos", "loser_pos") if c in training.columns]
-    flips = F.array(F.lit(False), F.lit(True)) if both else F.array((F.xxhash64(*(keys or ["diff"])) % 2) != 0)
-    rows = training.withColumn("_flip", F.explode(flips))
-    feats = F.when(F.col("_flip"), F.transform("diff", lambda d: -d)).otherwise(F.col("diff"))
-    return rows.select(array_to_vector(feats).alias("features"), F.when(F.col("_flip"), F.lit(0.0)).otherwise(F.lit(1.0)).alias("label"), w)
-
-
-def fit_pairwise(training: DataFrame, max_iter: int = 150, reg_param: float = 1e-3,
-                 tol: float = 1e-6) -> LogisticRegressionModel:
-    """R2: weighted pairwise-logit fit (distributed L-BFGS over the pairs).
-    Both signs of every pair are used only if the hash gave all pairs one sign."""
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False,
-                            maxIter=max_iter, regParam=reg_param, elasticNetParam=0.0, standardization=True,
-                            tol=tol)
-    cached = training.persist(StorageLevel.MEMORY_AND_DISK)  # read for the signs and by every iteration
+@dataclass
+class LinearModel:
+    """Coefficients by vocabulary id, and how they were fitted."""
+
+    vocab: list[int]
+    coefficients: list[float]
+    settings: dict = field(default_factory=dict)
+
+
+def target_weights(features: DataFrame) -> list[float]:
+    """The weights of the graded targets that a feature table was made with (zeros when it is empty)."""
+    row = features.select(F.transform("targets", lambda t: t["weight"])).first()
+    return [float(w) for w in row[0]] if row else [0.0] * len(GRADED_TARGET_NAMES)
+
+
+def fit_pairwise(features: DataFrame, vocab: Sequence[int], max_iter: int = 150, reg_param: float = 1e-3, tol: float = 1e-6) -> LinearModel:
+    """R1 + R2: pairwise-logit fit on a feature table with the weights of its targets."""
+    weights = target_weights(features)
+    blocks = session_blocks(features).persist(StorageLevel.MEMORY_AND_DISK)  # made here, read by every pass
     try:
-        signs = pairwise_rows(cached).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
-        return lr.fit(pairwise_rows(cached, both=signs["lo"] == signs["hi"]))
+        fit = fit_rankers(blocks, [weights], len(vocab), max_iter, reg_param, tol)[0]
     finally:
-        cached.unpersist()
+        blocks.unpersist()
+    return LinearModel(list(vocab), fit.coefficients, {"weights": weights, "reg_param": reg_param, "n_pairs": fit.n_pairs, "loss": fit.loss, "residual": fit.residual})
 
 
-def coefficients(model: LogisticRegressionModel) -> list[float]:
-    return [float(c) for c in model.coefficients.toArray()]
+def coefficients(model: LinearModel) -> list[float]:
+    return [float(c) for c in model.coefficients]
 
 
 def score(df: DataFrame, coef: Sequence[float], features: str = "features",
@@ -121,33 +101,39 @@ def score_stats(scored: DataFrame, score_col: str = Cols.MODEL_SCORE) -> DataFra
                       F.stddev_pop(score_col).alias("std"))
 
 
-def save_model(model: LogisticRegressionModel, path: str) -> None:
-    """Persist with Spark ML (shared storage path)."""
-    model.write().overwrite().save(path)
+MODEL_SCHEMA = "position int, feature_id int, coefficient double, settings string"
+
+
+def save_model(model: LinearModel, path: str) -> None:
+    """The model as a Parquet table of one row per vocabulary id."""
+    spark = SparkSession.active()
+    rows = [(k, int(i), float(c), json.dumps(model.settings, sort_keys=True)) for k, (i, c) in enumerate(zip(model.vocab, model.coefficients, strict=True))]
+    spark.createDataFrame(rows, MODEL_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def load_model(path: str) -> LogisticRegressionModel:
-    """Load a saved pairwise model."""
-    return LogisticRegressionModel.load(path)
+def load_model(path: str) -> LinearModel:
+    """A saved model (as many rows as the vocabulary has ids)."""
+    rows = SparkSession.active().read.schema(MODEL_SCHEMA).parquet(path).orderBy("position").collect()
+    return LinearModel([r["feature_id"] for r in rows], [r["coefficient"] for r in rows], json.loads(rows[0]["settings"]) if rows else {})
 
 
 # ---------------------------------------------------------------- R8
 def linear_classifier(x_train: DataFrame, feature_cols: Sequence[str], c: float = 10.0, max_iter: int = 5000,
-                    label_col: str = "label"):
+                      label_col: str = "label", tol: float = 1e-6):
     """Mean imputation -> standardisation (with mean) -> L2 logistic
     regression with ``regParam = 1 / (C * n)`` (the same optimum as an
     inverse-strength-C penalty).  Columns that are entirely missing are
     dropped first (the imputer cannot fill them)."""
-    present = x_train.agg(*[F.count(F.when(~F.isnan(F.col(c_)), 1)).alias(c_) for c_ in feature_cols]).first()
-    cols = [c_ for c_ in feature_cols if present[c_] > 0]
-    n = x_train.count()
+    # one pass for the columns that are present and the number of rows
+    seen = x_train.agg(F.count(F.lit(1)), *[F.count(F.when(~F.isnan(F.col(c_)), 1)) for c_ in feature_cols]).first()
+    n, cols = seen[0], [c_ for c_, k in zip(feature_cols, seen[1:], strict=True) if k > 0]
     imputed = [f"{c_}_imp" for c_ in cols]
     stages = [
         Imputer(inputCols=list(cols), outputCols=imputed, strategy="mean"),
         VectorAssembler(inputCols=imputed, outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         LogisticRegression(featuresCol="_scaled", labelCol=label_col, regParam=1.0 / (c * max(n, 1)),
-                           elasticNetParam=0.0, maxIter=max_iter, standardization=False),
+                           elasticNetParam=0.0, maxIter=max_iter, standardization=False, tol=tol),
     ]
     return Pipeline(stages=stages).fit(x_train.withColumn(label_col, F.col(label_col).cast("double"))), cols
 

@@ -1,11 +1,9 @@
 """Target-weight search (R6) and best trial.
 
 Everything that does not depend on the three weights is computed once and
-cached: the feature table, the pair gaps ``t_winner - t_loser`` with their
-difference vectors, and the dense validation features.  A trial only
-multiplies gaps by its weights, drops pairs under 1e-8, fits the pairwise
-model, scores the validation slice and measures weighted GAUC.  Trials run
-one after another over the cached data; finished trials are appended to a
+kept: the session blocks of the training rows and the dense validation features.  Trials run together: one pass over the
+blocks serves every fit (``pairfit``), and one pass over the validation slice scores each row with every model and measures
+session AUC by (trial, session).  What a trial adds grows with rows, not pairs.  Finished trials are appended to a
 Parquet ``trials`` table, so a restarted search resumes where it stopped.
 """
 
@@ -21,12 +19,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_TARGETS, MIN_PAIR_WEIGHT,
+from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_TARGETS, GRADED_TARGET_NAMES, MIN_PAIR_WEIGHT,
                              NAV_VIDEO_FOR_YOU, WEIGHT_RANGES, Cols)
 from rankfold.functions.vectors import dense_vector
 from rankfold.operators import metrics as M
 from rankfold.operators.features import feature_table
-from rankfold.operators.ranker import coefficients, fit_pairwise, pair_training_set, save_model, score
+from rankfold.operators.pairfit import fit_rankers, session_blocks
+from rankfold.operators.pairs import pair_table
+from rankfold.operators.ranker import LinearModel, save_model, score
 
 TRIAL_SCHEMA = ("trial long, like_weight double, dislike_weight double, consumption_time_weight double, "
                 "value double, n_pairs long, seconds double, settings string")
@@ -34,21 +34,22 @@ TRIAL_SCHEMA = ("trial long, like_weight double, dislike_weight double, consumpt
 
 @dataclass
 class SearchData:
-    training: DataFrame      # rid, target, diff, pair_weight (= gap, weight 1)
+    training: DataFrame      # session blocks of the training rows (with unit weights)
     validation: DataFrame    # impressions + dense ``features`` array<float>
     target_name: str
     target_configs: dict
+    features: Optional[DataFrame] = None   # the feature table that the blocks are made of
+    vocab: Sequence[int] = ()
 
 
 def prepare_search(train: DataFrame, validation: DataFrame, vocab: Sequence[int],
                    target_name: str = "watch_coverage_30s", target_configs: Optional[dict] = None) -> SearchData:
     ft = feature_table(train, vocab, 1.0, 1.0, 1.0)
-    # every pair with different targets, gap = pair_weight at unit weights
-    training = pair_training_set(ft, min_abs_weight=0.0).persist(StorageLevel.MEMORY_AND_DISK)
+    training = session_blocks(ft).persist(StorageLevel.MEMORY_AND_DISK)
     val = validation.withColumn("features", dense_vector(Cols.FEATURES, vocab)) \
                     .persist(StorageLevel.MEMORY_AND_DISK)
     cfgs = target_configs or {target_name: DEFAULT_TARGETS[target_name]}
-    return SearchData(training, val, target_name, cfgs)
+    return SearchData(training, val, target_name, cfgs, ft, list(vocab))
 
 
 def trial_weights(n_trials: int, seed: int = 0) -> list[dict]:
@@ -64,31 +65,56 @@ def trial_weights(n_trials: int, seed: int = 0) -> list[dict]:
 
 def weighted_pairs(data: SearchData, like_weight: float, dislike_weight: float,
                    consumption_time_weight: float) -> DataFrame:
-    w = (F.when(F.col("target") == "like", F.lit(float(like_weight)))
-          .when(F.col("target") == "dislike", F.lit(float(dislike_weight)))
-          .otherwise(F.lit(float(consumption_time_weight))))
-    t = data.training.withColumn("pair_weight", F.col("pair_weight") * w)
+    """The training pairs of a trial, for inspection; the fit itself forms no pair table."""
+    w = F.lit(0.0)
+    for name, weight in zip(GRADED_TARGET_NAMES, (like_weight, dislike_weight, consumption_time_weight), strict=True):
+        w = F.when(F.col("target") == name, F.lit(float(weight))).otherwise(w)
+    t = pair_table(data.features, min_abs_weight=0.0).withColumn("pair_weight", F.col("pair_weight") * w)
     return t.where(F.abs("pair_weight") >= F.lit(MIN_PAIR_WEIGHT))
 
 
-def evaluate_weights(data: SearchData, like_weight: float, dislike_weight: float,
-                     consumption_time_weight: float, metric: str = "GAUCWeighted", max_iter: int = 150,
-                     reg_param: float = 1e-3, platforms=CLI_PLATFORMS, nav_screen=NAV_VIDEO_FOR_YOU,
-                     formula_path=DEFAULT_FORMULA_PATH, model_path: Optional[str] = None) -> tuple[float, int]:
-    """One trial: (objective value, number of training pairs); the fitted
-    model is saved to ``model_path`` when given."""
-    pairs = weighted_pairs(data, like_weight, dislike_weight, consumption_time_weight)
-    n_pairs = pairs.count()
-    if n_pairs == 0:
-        return 0.0, 0
-    model = fit_pairwise(pairs, max_iter=max_iter, reg_param=reg_param)
-    if model_path:
-        save_model(model, model_path)
-    scored = score(data.validation, coefficients(model))
-    metrics, _ = M.gauc(scored, data.target_configs, score_col=Cols.MODEL_SCORE, platforms=platforms,
-                        nav_screen=nav_screen, formula_path=formula_path, calculate_regular_auc=metric.startswith("AUC"),
-                        exact_median=False)  # no objective uses the median
-    return float(M.lookup(metrics, data.target_name, metric)), int(n_pairs)
+def _session_metric(metric: str):
+    """The aggregate over sessions of a metric that one pass by (trial, session) gives; None for those measured trial by trial."""
+    return {"GAUCWeighted": lambda: F.sum(F.col("auc") * F.col("size")) / F.sum("size"), "GAUCSimple": lambda: F.avg("auc"),
+            "n_groups": lambda: F.count(F.lit(1))}.get(metric)
+
+
+def evaluate_together(data: SearchData, weights: Sequence[Sequence[float]], metric: str = "GAUCWeighted", max_iter: int = 150,
+                      reg_param: float = 1e-3, platforms=CLI_PLATFORMS, nav_screen=NAV_VIDEO_FOR_YOU,
+                      formula_path=DEFAULT_FORMULA_PATH, model_paths: Optional[Sequence[Optional[str]]] = None) -> list[tuple[float, int]]:
+    """(objective value, number of training pairs) of each (like, dislike, consumption time) weight triple.
+
+    The models are fitted in common passes.  Without a training pair the value is 0.0, without a valid session too.
+    """
+    fits = fit_rankers(data.training, weights, len(data.vocab), max_iter, reg_param)
+    for fit, w, path in zip(fits, weights, model_paths or [None] * len(fits), strict=True):
+        if path and fit.n_pairs:
+            save_model(LinearModel(list(data.vocab), fit.coefficients, {"weights": [float(x) for x in w], "reg_param": reg_param, "n_pairs": fit.n_pairs}), path)
+    sliced = M.eval_slice(data.validation, nav_screen, platforms, formula_path)
+    useful = [k for k, fit in enumerate(fits) if fit.n_pairs]
+    values = dict.fromkeys(range(len(fits)), 0.0)
+    measure = _session_metric(metric)
+    if measure and useful:
+        labeled, _ = M.with_labels(sliced, {data.target_name: data.target_configs[data.target_name]})
+        for k in useful:
+            labeled = score(labeled, fits[k].coefficients, score_col=f"_score{k}")
+        models = F.array(*[F.struct(F.lit(k).alias("trial"), F.col(f"_score{k}").alias("trial_score")) for k in useful])
+        stacked = labeled.select(Cols.RID, M.LABEL_PREFIX + data.target_name, F.inline(models))
+        stacked = stacked.withColumn("_key", F.when(F.col(Cols.RID).isNotNull(), F.struct("trial", Cols.RID)))
+        details = M.session_details(stacked, [data.target_name], "_key", "trial_score")
+        for r in details.groupBy(F.col("session_id.trial").alias("trial")).agg(measure().alias("value")).collect():
+            values[r["trial"]] = float(r["value"] or 0.0)
+    for k in [] if measure else useful:
+        metrics, _ = M.gauc(score(sliced, fits[k].coefficients), data.target_configs, score_col=Cols.MODEL_SCORE,
+                            calculate_regular_auc=metric.startswith("AUC"), exact_median=False)  # no objective uses the median
+        values[k] = float(M.lookup(metrics, data.target_name, metric))
+    return [(values[k], fit.n_pairs) for k, fit in enumerate(fits)]
+
+
+def evaluate_weights(data: SearchData, like_weight: float, dislike_weight: float, consumption_time_weight: float,
+                     model_path: Optional[str] = None, **kw) -> tuple[float, int]:
+    """One trial by itself, see :func:`evaluate_together`."""
+    return evaluate_together(data, [(like_weight, dislike_weight, consumption_time_weight)], model_paths=[model_path], **kw)[0]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -99,18 +125,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Optional[float] = 120.0,
            seed: int = 0, trials_path: Optional[str] = None, model_dir: Optional[str] = None,
-           grid: Optional[Sequence[Sequence[float]]] = None, objective: Optional[Callable] = None, **kw) -> DataFrame:
-    """Run trials in order until ``n_trials`` or ``timeout`` seconds;
+           grid: Optional[Sequence[Sequence[float]]] = None, objective: Optional[Callable] = None, together: int = 8, **kw) -> DataFrame:
+    """Run trials, up to ``together`` at a time, until ``n_trials`` or ``timeout`` seconds (looked at between them);
     trials already in ``trials_path`` with the same settings (seed, target,
     ranges, options) are skipped, and only those of these settings returned.  With
     ``model_dir`` every trial's model is saved as ``<model_dir>/trial_<n>``.
     ``grid`` gives the (like, dislike, consumption time) weights of each trial instead of draws, and
-    ``objective`` is called like :func:`evaluate_weights`, which it replaces."""
-    objective = objective or evaluate_weights
+    ``objective`` is called like :func:`evaluate_weights`, one trial at a time."""
     trials = [dict(zip(WEIGHT_RANGES, map(float, g), strict=True), trial=i) for i, g in enumerate(grid)] if grid else trial_weights(n_trials, seed)
     settings = json.dumps({"seed": seed, "target": data.target_name, "ranges": WEIGHT_RANGES,
                            **({"grid": [list(map(float, g)) for g in grid]} if grid else {}),
-                           **({"objective": objective.__name__} if objective is not evaluate_weights else {}),
+                           **({"objective": objective.__name__} if objective else {}),
                            **{k: list(v) if isinstance(v, (list, tuple)) else v for k, v in kw.items()}}, sort_keys=True, default=str)
     done: set[int] = set()
     if trials_path and path_exists(spark, trials_path):
@@ -118,20 +143,25 @@ def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Op
         done = {int(r["trial"]) for r in mine.select("trial").collect()}
     rows = []
     start = time.time()
-    for w in trials:
-        if w["trial"] in done:
-            continue
-        if timeout is not None and time.time() - start > timeout and rows:
+    todo = [w for w in trials if w["trial"] not in done]
+    while todo:
+        spent = time.time() - start
+        if timeout is not None and rows and spent > timeout:
             break
+        # a budget lets the first trial run alone; its time bounds how many may follow together
+        fits = 1 if objective or (timeout is not None and not rows) else together
+        if timeout is not None and rows and not objective:
+            fits = max(1, min(together, int((timeout - spent) / max(rows[0][6], 1e-3))))
+        batch, todo = todo[:fits], todo[fits:]
         t0 = time.time()
-        mp = f"{model_dir.rstrip('/')}/trial_{w['trial']}" if model_dir else None
-        value, n_pairs = objective(data, w["like_weight"], w["dislike_weight"],
-                                          w["consumption_time_weight"], model_path=mp, **kw)
-        row = (w["trial"], w["like_weight"], w["dislike_weight"], w["consumption_time_weight"], value, n_pairs,
-               time.time() - t0, settings)
-        rows.append(row)
+        paths = [f"{model_dir.rstrip('/')}/trial_{w['trial']}" if model_dir else None for w in batch]
+        triples = [tuple(w[k] for k in WEIGHT_RANGES) for w in batch]
+        found = [objective(data, *triples[0], model_path=paths[0], **kw)] if objective else evaluate_together(data, triples, model_paths=paths, **kw)
+        seconds = (time.time() - t0) / len(batch)
+        new = [(w["trial"], *triple, value, n_pairs, seconds, settings) for w, triple, (value, n_pairs) in zip(batch, triples, found, strict=True)]
+        rows += new
         if trials_path:
-            spark.createDataFrame([row], TRIAL_SCHEMA).write.mode("append").parquet(trials_path)
+            spark.createDataFrame(new, TRIAL_SCHEMA).coalesce(1).write.mode("append").parquet(trials_path)
     if trials_path:
         return spark.read.schema(TRIAL_SCHEMA).parquet(trials_path).where(F.col("settings") == settings)
     return spark.createDataFrame(rows, TRIAL_SCHEMA)

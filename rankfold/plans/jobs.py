@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from typing import Optional, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.config import DEFAULT_TARGETS, EV_ACTION_PLAY, Cols
+from rankfold.config import CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_TARGETS, EV_ACTION_PLAY, NAV_VIDEO_FOR_YOU, Cols
 from rankfold.functions.vectors import dense_vector
 from rankfold.operators import matrices as MX
 from rankfold.operators import metrics as M
@@ -41,26 +42,37 @@ def tune_weights(spark: SparkSession, train: DataFrame, validation: DataFrame, v
         data.validation.unpersist()
 
 
-def score_and_measure(validation: DataFrame, model_path: str, vocab: Sequence[int],
+def score_and_measure(validation: DataFrame, model_path: str, vocab: Optional[Sequence[int]] = None,
                       target_configs=None, sliced: bool = True, output_path: Optional[str] = None,
-                      noise: float = 0.0, seed: int = 0) -> dict[str, DataFrame]:
+                      noise: float = 0.0, seed: int = 0, platforms=CLI_PLATFORMS, nav_screen: Optional[str] = NAV_VIDEO_FOR_YOU,
+                      formula_path: Optional[str] = DEFAULT_FORMULA_PATH) -> dict[str, DataFrame]:
     """Entry B: load the saved model, score, measure; optionally write the
-    scored table (Parquet) next to the metrics."""
-    coef = RK.coefficients(RK.load_model(model_path))
-    scored = RK.score(validation.withColumn("features", dense_vector(Cols.FEATURES, vocab)), coef,
+    scored table (Parquet) next to the metrics.
+
+    The model table names its vocabulary; ``vocab``, where given, must be the same ids in the same order.  The slice is the
+    one of :func:`evaluate`; an argument of None does not filter."""
+    model = RK.load_model(model_path)
+    if vocab is not None and list(vocab) != model.vocab:
+        raise ValueError(f"the model was fitted on the ids {model.vocab}, not {list(vocab)}")
+    scored = RK.score(validation.withColumn("features", dense_vector(Cols.FEATURES, model.vocab)), model.coefficients,
                       noise=noise, seed=seed)
     if output_path:
         scored.write.mode("overwrite").parquet(output_path)
         scored = validation.sparkSession.read.parquet(output_path)
     targets = target_configs or {"watch_coverage_30s": DEFAULT_TARGETS["watch_coverage_30s"]}
-    return evaluate(scored, targets, score_col=Cols.MODEL_SCORE, sliced=sliced)
+    return evaluate(scored, targets, score_col=Cols.MODEL_SCORE, sliced=sliced, platforms=platforms, nav_screen=nav_screen,
+                    formula_path=formula_path)
 
 
 def linear_model_auc(train: DataFrame, test: DataFrame, target_label: str = EV_ACTION_PLAY,
                      max_features: int = 213, c: float = 10.0) -> DataFrame:
     """Entry D: B8 matrices -> R8 classifier -> AUC of predictions and probabilities."""
     x_train, x_test, ids = MX.train_test_split(train, test, target_label, max_features=max_features)
-    model, _ = RK.linear_classifier(x_train, [f"feat_{i}" for i in ids], c=c)
+    x_train = x_train.persist(StorageLevel.MEMORY_AND_DISK)  # read for the columns, the imputer, the scaler and every iteration
+    try:
+        model, _ = RK.linear_classifier(x_train, [f"feat_{i}" for i in ids], c=c)
+    finally:
+        x_train.unpersist()
     pred = RK.predict_classifier(model, x_test)
     parts = []
     for kind, col in (("prediction", "prediction"), ("probability", "p1")):

@@ -381,3 +381,65 @@ FROM g JOIN metrics ON target = CAST(trial AS VARCHAR)"""
 
 
 ORACLE["trial_grid"] = _trial_grid_sql()
+
+
+# ---------------------------------------------------------------- fitted models
+def _value_sql(fid: int, digits: str = "8") -> str:
+    """A dense value of a feature id, missing ones as 0."""
+    return f"CAST(coalesce(CAST(round(list_filter(features, lambda f: CAST(f[1] AS INTEGER) = {fid})[-1][2], {digits}) AS FLOAT), 0.0) AS DOUBLE)"
+
+
+_EARLY_CTES = TARGET_CTES.replace("FROM impressions WHERE", "FROM impressions WHERE day < DATE '1998-04-25' AND")
+_LATER = _SLICE + " AND day >= DATE '1998-04-25'"
+
+
+def _gradient_sql() -> str:
+    ids, coef = [1, 2, 3, 4, 5], [0.05, -2.0, 3.0, 0.01, 0.0005]
+    xs = ", ".join(f"{_value_sql(i)} AS x{i}" for i in ids)
+    score = " + ".join(f"x{i} * CAST({c!r} AS DOUBLE)" for i, c in zip(ids, coef))
+    terms = " UNION ALL ".join([
+        "SELECT 'loss' AS term, sum(p * (ln(1 + exp(-abs(d))) + greatest(-d, 0.0))) / sum(p) AS value FROM margins",
+        "SELECT 'weight', sum(p) FROM margins", "SELECT 'pairs', CAST(count(*) AS DOUBLE) FROM margins",
+        *(f"SELECT '{i}', sum(-p * q * (w{i} - l{i})) / (SELECT sum(p) FROM margins) FROM margins" for i in ids)])
+    sides = ", ".join(f"w.x{i} AS w{i}, l.x{i} AS l{i}" for i in ids)
+    return _EARLY_CTES + f""", vec AS (SELECT rid, pos, {xs} FROM ft), scored AS (SELECT *, {score} AS s FROM vec),
+diffs AS (SELECT pair_weight AS p, w.s - l.s AS d, {sides} FROM pairs JOIN scored w ON w.rid = pairs.rid AND w.pos = winner_pos
+  JOIN scored l ON l.rid = pairs.rid AND l.pos = loser_pos),
+margins AS MATERIALIZED (SELECT *, CASE WHEN d >= 0 THEN exp(-d) / (1 + exp(-d)) ELSE 1 / (1 + exp(d)) END AS q FROM diffs)
+SELECT term, round(value, 6) AS value FROM ({terms})"""
+
+
+def _newton(rows: str, steps: int, penalty0: str, penalty1: str) -> str:
+    """CTEs b1 .. b<steps>: Newton steps for a weighted logistic loss over ``rows`` (a, b, p, y) with two coefficients."""
+    out = "b0 AS (SELECT CAST(0.0 AS DOUBLE) AS z0, CAST(0.0 AS DOUBLE) AS z1)"
+    for k in range(steps):
+        out += f""",
+b{k + 1} AS MATERIALIZED (
+  SELECT z0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS z0, z1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS z1 FROM (
+    SELECT z0, z1, sum(p * (q - y) * a) / sum(p) + {penalty0} * z0 AS g0, sum(p * (q - y) * b) / sum(p) + {penalty1} * z1 AS g1,
+      sum(p * q * (1 - q) * a * a) / sum(p) + {penalty0} AS h00, sum(p * q * (1 - q) * a * b) / sum(p) AS h01,
+      sum(p * q * (1 - q) * b * b) / sum(p) + {penalty1} AS h11
+    FROM (SELECT *, 1 / (1 + exp(-(z0 * a + z1 * b))) AS q FROM {rows}, b{k}) GROUP BY z0, z1))"""
+    return out
+
+
+ORACLE["pairwise_gradient"] = _gradient_sql()
+ORACLE["pairwise_fit"] = _EARLY_CTES + f""", vec AS (SELECT rid, pos, {_value_sql(2)} AS x0, {_value_sql(3)} AS x1 FROM ft),
+sd AS (SELECT stddev_pop(x0) AS s0, stddev_pop(x1) AS s1 FROM vec),
+d AS MATERIALIZED (SELECT (w.x0 - l.x0) / s0 AS a, (w.x1 - l.x1) / s1 AS b, pair_weight AS p, 1 AS y FROM sd, pairs
+  JOIN vec w ON w.rid = pairs.rid AND w.pos = winner_pos JOIN vec l ON l.rid = pairs.rid AND l.pos = loser_pos),
+{_newton("d", 12, "0.001", "0.001")}
+SELECT 2 AS feature_id, round(z0 / s0, 5) AS coefficient FROM b12, sd UNION ALL SELECT 3, round(z1 / s1, 5) FROM b12, sd"""
+ORACLE["saved_model_gauc"] = metric_ctes(_LATER, targets={"watch_coverage_30s": DEFAULT_TARGETS["watch_coverage_30s"]},
+                                         score=_score_sql()) + _METRIC_SELECT
+ORACLE["linear_classifier_fit"] = f"""WITH {IMPRESSIONS_DUCKDB},
+early AS (SELECT * FROM impressions WHERE day < DATE '1998-04-25'),
+ids AS (SELECT min(feature_id) AS fid FROM (
+  SELECT CAST(f[1] AS INTEGER) AS feature_id FROM (SELECT unnest(list_filter(features, lambda f: len(f) >= 2 AND f[1] IS NOT NULL)) AS f FROM early)
+  GROUP BY 1 HAVING count(*) >= 10)),
+x AS (SELECT CAST(coalesce(CAST(list_filter({_VALID_PAIRS}, lambda f: CAST(f[1] AS INTEGER) = fid)[-1][2] AS FLOAT), 0.0) AS DOUBLE) AS v,
+  CASE WHEN {_has('actionPlay')} THEN 1 ELSE 0 END AS y FROM early, ids),
+m AS (SELECT avg(v) AS mean, stddev_samp(v) AS sd, 1.0 / (10.0 * count(*)) AS reg FROM x),
+d AS MATERIALIZED (SELECT 1.0 AS a, (v - mean) / sd AS b, 1.0 AS p, y FROM x, m),
+{_newton("d", 12, "0.0", "(SELECT reg FROM m)")}
+SELECT fid AS feature_id, round(z0, 4) AS intercept, round(z1, 4) AS coefficient FROM b12, ids"""

@@ -338,14 +338,62 @@ def q_pairwise_ranker_gauc(spark, sf_dir):
     5 / 14 / 0.41), score the later days, metrics for watch_coverage_30s."""
     train, val = _split(spark, sf_dir)
     from rankfold.functions.vectors import dense_vector
-    ft = FT.feature_table(train, RANK_VOCAB, *WEIGHTS)
-    model = RK.fit_pairwise(RK.pair_training_set(ft))
+    model = RK.fit_pairwise(FT.feature_table(train, RANK_VOCAB, *WEIGHTS), RANK_VOCAB)
     scored = RK.score(val.withColumn("features", dense_vector("features", RANK_VOCAB)), RK.coefficients(model))
     m = evaluate(scored, {"watch_coverage_30s": DEFAULT_TARGETS["watch_coverage_30s"]},
                  score_col="model_score", sliced=True)["metrics"]
     return _metrics_out(m)
 
 
+@register("pairwise_gradient")
+def q_pairwise_gradient(spark, sf_dir):
+    """Mean pairwise-logit loss, its gradient, pairs and weight at fixed coefficients, from row weights (no pair table)."""
+    from rankfold.operators import pairfit as PF
+    train, _ = _split(spark, sf_dir)
+    blocks = PF.session_blocks(FT.feature_table(train, RANK_VOCAB, *WEIGHTS), block_rows=4)  # sessions of several blocks too
+    loss, weight, pairs, slope = PF.losses(blocks, FIXED_COEF, WEIGHTS, several=True)
+    rows = [("loss", loss[0] / weight[0]), ("weight", weight[0]), ("pairs", float(pairs[0]))]
+    rows += [(str(i), g / weight[0]) for i, g in zip(RANK_VOCAB, slope[0].tolist())]
+    return spark.createDataFrame([(k, float(v)) for k, v in rows], "term string, value double").select("term", r6("value").alias("value"))
+
+
+FIT_VOCAB = [2, 3]
+
+
+@register("pairwise_fit")
+def q_pairwise_fit(spark, sf_dir):
+    """The fitted coefficients of two features (the oracle makes Newton steps over the pairs)."""
+    train, _ = _split(spark, sf_dir)
+    model = RK.fit_pairwise(FT.feature_table(train, FIT_VOCAB, *WEIGHTS), FIT_VOCAB, tol=1e-11)
+    rows = list(zip(model.vocab, RK.coefficients(model)))
+    return spark.createDataFrame(rows, "feature_id int, coefficient double").select("feature_id", F.round("coefficient", 5).alias("coefficient"))
+
+
+@register("saved_model_gauc")
+def q_saved_model_gauc(spark, sf_dir):
+    """A model table with fixed coefficients is written, read back, scored and measured on the later days' slice."""
+    import uuid
+
+    from rankfold.plans.jobs import score_and_measure
+    from rankfold.session import checkpoint_dir
+    _, val = _split(spark, sf_dir)
+    path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    RK.save_model(RK.LinearModel(RANK_VOCAB, FIXED_COEF), path)
+    return _metrics_out(score_and_measure(val, path, RANK_VOCAB)["metrics"])
+
+
+@register("linear_classifier_fit")
+def q_linear_classifier_fit(spark, sf_dir):
+    """Intercept and coefficient of the recipe on one feature (the oracle makes Newton steps)."""
+    train, test = _split(spark, sf_dir)
+    x_train, _, ids = MX.train_test_split(train, test, "actionPlay", max_features=1)
+    model, _ = RK.linear_classifier(x_train, [f"feat_{i}" for i in ids], tol=1e-12)
+    fit = model.stages[-1]
+    rows = [(int(ids[0]), float(fit.intercept), float(fit.coefficients[0]))]
+    return spark.createDataFrame(rows, "feature_id int, intercept double, coefficient double").select(
+        "feature_id", F.round("intercept", 4).alias("intercept"), F.round("coefficient", 4).alias("coefficient"))
+
+
 @register("trial_best")
 def q_trial_best(spark, sf_dir):
     """Three seeded trials of the weight search, best one."""

@@ -51,11 +51,14 @@ def test_model_save_load_and_score_job(spark, tmp_dir):
     # consumption time only: it grows with feature 1 (the like target, by
     # construction, points the other way)
     ft = FT.feature_table(df, [1, 2], 0.0, 0.0, 1.0)
-    model = RK.fit_pairwise(RK.pair_training_set(ft), max_iter=30)
+    model = RK.fit_pairwise(ft, [1, 2], max_iter=30)
     path = os.path.join(tmp_dir, "model")
     RK.save_model(model, path)
     assert RK.coefficients(RK.load_model(path)) == pytest.approx(RK.coefficients(model))
-    out = J.score_and_measure(df, path, [1, 2], output_path=os.path.join(tmp_dir, "scored"))
+    assert RK.load_model(path).vocab == [1, 2] and RK.load_model(path).settings["weights"] == [0.0, 0.0, 1.0]
+    with pytest.raises(ValueError):
+        J.score_and_measure(df, path, [2, 1])
+    out = J.score_and_measure(df, path, output_path=os.path.join(tmp_dir, "scored"))
     m = out["metrics"].first()
     assert m["GAUC_valid"] and m["GAUCWeighted"] == pytest.approx(1.0)
 
@@ -91,12 +94,15 @@ def test_command_line(spark, tmp_dir, capsys):
     main(["tune", src, src, os.path.join(tmp_dir, "trials"), "--n-trials", "2", "--vocab-ids", "1,2",
           "--iterations", "10", "--model-dir", os.path.join(tmp_dir, "models")])
     main(["score", src, os.path.join(tmp_dir, "models", "trial_1"), os.path.join(tmp_dir, "sc"),
-          "--vocab-ids", "1,2"])
+          "--vocab-ids", "1,2", "--format", "parquet"])
+    main(["tune", src, src, os.path.join(tmp_dir, "trials2"), "--n-trials", "1", "--vocab-ids", "1,2", "--metric", "AUC",
+          "--platforms", "android", "--nav-screen", "nowhere"])
+    main(["score", src, os.path.join(tmp_dir, "models", "trial_0"), os.path.join(tmp_dir, "sc2"), "--metric", "GAUCSimple", "--no-slice"])
     assert spark.read.parquet(os.path.join(tmp_dir, "sc", "scored")).count() == 48
     main(["extract", src, os.path.join(tmp_dir, "ex"), "--limit", "5"])
     assert spark.read.parquet(os.path.join(tmp_dir, "ex")).count() == 5
     out = capsys.readouterr().out
-    assert "value" in out and "total_targets" in out
+    assert "value" in out and "total_targets" in out and '"value": 0.0' in out and '{"GAUCSimple": ' in out
 
 
 def test_search_time_budget(spark):

@@ -130,11 +130,11 @@ def test_pairwise_ranker_learns_direction(spark):
     rows = []
     for i in range(400):
         a, b = rnd.random(), rnd.random()
-        rows.append(("s", "like", [a - b, rnd.random() - 0.5], 1.0 if a > b else 0.0))
-    tr = spark.createDataFrame([(r[0], r[1], r[2] if r[3] else [-x for x in r[2]], 1.0) for r in rows],
-                               "rid string, target string, diff array<double>, pair_weight double")
-    model = RK.fit_pairwise(tr, max_iter=50)
-    coef = RK.coefficients(model)
+        for pos, v in enumerate((a, b)):
+            rows.append((f"s{i}", pos, [v, rnd.random()], [("like", float(v == max(a, b)), 1.0)]))
+    ft = spark.createDataFrame(rows, "rid string, pos int, features array<float>, targets array<struct<name: string, target: double, weight: double>>")
+    three = ft.withColumn("targets", F.expr("concat(targets, array(struct('dislike' as name, 1D as target, 1D as weight), struct('ct' as name, 0D as target, 1D as weight)))"))
+    coef = RK.coefficients(RK.fit_pairwise(three, [1, 2], max_iter=50))
     assert coef[0] > 0 and abs(coef[0]) > abs(coef[1])
     scored = RK.score(spark.createDataFrame([([1.0, float("nan")],), ([float("nan"), 0.0],)],
                                             "features array<float>"), coef)
