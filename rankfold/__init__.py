@@ -16,3 +16,10 @@ from rankfold.config import Cols, TargetConfig, DEFAULT_TARGETS  # noqa: F401
 from rankfold.session import get_spark, checkpoint_dir  # noqa: F401
 
 __all__ = ["Cols", "TargetConfig", "DEFAULT_TARGETS", "get_spark", "checkpoint_dir"]
+
+import sys  # noqa: E402
+
+from pyspark import cloudpickle  # noqa: E402
+
+# functions that run in tasks travel with the job, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -108,8 +108,8 @@ SESSION_ROWS = 2_000_000
 SESSION_STEPS = 1000
 
 
-def _session_cuts(narrow: DataFrame, session_rows: int) -> DataFrame:
-    """(session, cuts): score quantiles of the sessions with more than ``session_rows`` rows, from their own scores."""
+def session_cuts(narrow: DataFrame, session_rows: int) -> DataFrame:
+    """(session_id, _cuts): score quantiles of the sessions with more than ``session_rows`` rows, from their own scores."""
     large = narrow.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(int(session_rows)))
     parts = F.ceil(F.col("_n") / F.lit(float(session_rows)))
     probs = [i / SESSION_STEPS for i in range(1, SESSION_STEPS)]
@@ -134,7 +134,7 @@ def _sums_by_session(narrow: DataFrame, k: int, session_rows: int) -> DataFrame:
     per_score = narrow.groupBy("session_id", "score").agg(
         F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
     # materialised in the shared folder; one cut per session_rows rows in all, so its size is bounded by rows / session_rows
-    cuts = reliable_checkpoint(_session_cuts(narrow, session_rows))
+    cuts = reliable_checkpoint(session_cuts(narrow, session_rows))
     per_score = per_score.join(F.broadcast(cuts), "session_id", "left")
     bucket = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("score"))), F.lit(0))
     per_score = per_score.withColumn(_B, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket)).drop("_cuts")

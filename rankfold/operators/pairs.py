@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from rankfold.config import MIN_PAIR_WEIGHT, Cols
 from rankfold.operators.indexing import with_global_index
+from rankfold.operators.metrics import SESSION_ROWS, session_cuts
+from rankfold.session import reliable_checkpoint
 
 
 def unnest_targets(features: DataFrame, session_col: str = Cols.RID, carry: tuple = ()) -> DataFrame:
@@ -53,18 +55,45 @@ def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool
     return out.where(F.abs(F.col("pair_weight")) >= F.lit(float(min_abs_weight))).drop("gap")
 
 
-def pair_totals(features: DataFrame, session_col: str = Cols.RID) -> DataFrame:
+def _cuts(long: DataFrame, value: str, session_rows: int) -> DataFrame | None:
+    """``rid, name, _cuts``: quantiles of ``value`` that cut the sessions above ``session_rows`` rows; None without such a session.
+
+    Written to the shared folder; it has at most one cut for ``session_rows`` rows of the input.
+    """
+    found = session_cuts(long.select(F.struct("rid", "name").alias("session_id"), F.col(value).alias("score")), session_rows)
+    found = reliable_checkpoint(found.select("session_id.rid", "session_id.name", "_cuts"))
+    return None if found.isEmpty() else found
+
+
+def _with_part(rows: DataFrame, cuts: DataFrame | None, value: str) -> DataFrame:
+    """``rows`` with ``part``, the number of cuts of the session below ``value`` (0 in sessions that have none)."""
+    if cuts is None:
+        return rows.withColumn("part", F.lit(0))
+    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(value))), F.lit(0))
+    return rows.join(F.broadcast(cuts), ["rid", "name"], "left").withColumn("part", F.when(F.col("_cuts").isNull(), 0).otherwise(part)).drop("_cuts")
+
+
+def pair_totals(features: DataFrame, session_col: str = Cols.RID, session_rows: int = SESSION_ROWS) -> DataFrame:
     """Per (session, target) the number of unordered pairs with different
     targets and the total raw weight sum |t1 - t2| (equal pairs add 0), from
-    running sums over the distinct targets: no pair is formed."""
-    long = unnest_targets(features, session_col).where(F.col("target").isNotNull())
-    per = long.groupBy("rid", "name", "target").agg(F.count(F.lit(1)).alias("c"))
-    below = Window.partitionBy("rid", "name").orderBy("target").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("*", F.coalesce(F.sum("c").over(below), F.lit(0)).alias("b"),
-                     F.coalesce(F.sum(F.col("c") * F.col("target").cast("double")).over(below), F.lit(0.0)).alias("s"))
-    return per.groupBy("rid", F.col("name").alias("target")).agg(
-        F.sum(F.col("c") * F.col("b")).alias("n_pairs"),
-        F.sum(F.col("c") * (F.col("target").cast("double") * F.col("b") - F.col("s"))).alias("total_raw_weight")).where("n_pairs > 0")
+    running sums over the distinct targets: no pair is formed.
+
+    Rows are dealt once, by session, target name and part of the session's range of targets; the ordered work runs within a
+    part, and the sums of the parts (one row each) give the rest.  With b rows of sum s below a part and n rows of sum t in
+    it, the pairs across are n*b and weigh t*b - n*s."""
+    long = unnest_targets(features, session_col).where(F.col("target").isNotNull()).select("rid", "name", F.col("target").cast("double").alias("v"))
+    parted = _with_part(long, _cuts(long, "v", session_rows), "v").repartition("rid", "name", "part")
+    per = parted.groupBy("rid", "name", "part", "v").agg(F.count(F.lit(1)).alias("c"))
+    below = Window.partitionBy("rid", "name", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("*", F.coalesce(F.sum("c").over(below), F.lit(0)).alias("b"), F.coalesce(F.sum(F.col("c") * F.col("v")).over(below), F.lit(0.0)).alias("s"))
+    parts = per.groupBy("rid", "name", "part").agg(
+        F.sum("c").alias("n"), F.sum(F.col("c") * F.col("v")).alias("t"), F.sum(F.col("c") * F.col("b")).alias("pairs"),
+        F.sum(F.col("c") * (F.col("v") * F.col("b") - F.col("s"))).alias("weight"))
+    lower = Window.partitionBy("rid", "name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("*", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("b"), F.coalesce(F.sum("t").over(lower), F.lit(0.0)).alias("s"))
+    return parts.groupBy("rid", F.col("name").alias("target")).agg(
+        F.sum(F.col("pairs") + F.col("n") * F.col("b")).alias("n_pairs"),
+        F.sum(F.col("weight") + F.col("t") * F.col("b") - F.col("n") * F.col("s")).alias("total_raw_weight")).where("n_pairs > 0")
 
 
 # ---------------------------------------------------------------- export / import
@@ -99,19 +128,32 @@ def import_pairs(exported: DataFrame, n_rows: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P9 / P10
-def win_labels(features: DataFrame, session_col: str = Cols.RID, min_abs_weight: float = MIN_PAIR_WEIGHT) -> DataFrame:
+def win_labels(features: DataFrame, session_col: str = Cols.RID, min_abs_weight: float = MIN_PAIR_WEIGHT,
+               session_rows: int = SESSION_ROWS) -> DataFrame:
     """Wins per row (over all targets) divided by the maximum wins.
 
     A row wins against each row of its session whose target is lower by so much that the pair's weight is
-    at least ``min_abs_weight``: a running count in the order of weight times target, no pair is
-    formed.  Targets are finite or NULL (no win, no loss) and a target name has one weight, as in the feature table.
+    at least ``min_abs_weight``: with v = weight times target, the rows up to ``v - min_abs_weight``.  That border is a point of its own
+    beside the row's v; points are dealt by session, target name and part of the session's range, counted in order within a part, and the
+    rows of the parts below are added.  No pair is formed.  Targets are finite or NULL (no win, no loss) and a target name has one
+    weight, as in the feature table.
     """
     if min_abs_weight <= 0:
         raise ValueError("min_abs_weight must be positive")
     long = unnest_targets(features, session_col).where(F.col("target").isNotNull())
     scaled = long.select("rid", "pos", "name", (F.abs("weight") * F.col("target")).cast("double").alias("v"))
-    lower = f"count(1) OVER (PARTITION BY rid, name ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND {float(min_abs_weight)!r}D PRECEDING)"
-    wins = scaled.withColumn("c", F.expr(lower)).groupBy("rid", "pos").agg(F.sum("c").alias("wins"))
+    cuts = _cuts(scaled, "v", session_rows)
+    points = scaled.select("rid", "name", F.inline(F.array(
+        F.struct("v", F.lit(0).alias("border"), "pos"), F.struct((F.col("v") - F.lit(float(min_abs_weight))).alias("v"), F.lit(1).alias("border"), "pos"))))
+    upto = Window.partitionBy("rid", "name", "part").orderBy("v", "border").rowsBetween(Window.unboundedPreceding, 0)
+    counted = _with_part(points, cuts, "v").withColumn("c", F.sum(1 - F.col("border")).over(upto)).where("border = 1")
+    if cuts is not None:  # rows below each part, of the sessions that have parts
+        sums = _with_part(scaled.join(F.broadcast(cuts.select("rid", "name")), ["rid", "name"]), cuts, "v").groupBy("rid", "name", "part").agg(F.count(F.lit(1)).alias("n"))
+        lower = cuts.select("rid", "name", F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("part")).join(sums, ["rid", "name", "part"], "left")
+        before = Window.partitionBy("rid", "name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        lower = lower.select("rid", "name", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("b"))
+        counted = counted.join(lower, ["rid", "name", "part"], "left").withColumn("c", F.col("c") + F.coalesce("b", F.lit(0)))
+    wins = counted.groupBy("rid", "pos").agg(F.sum("c").alias("wins"))
     rows = features.select(F.col(session_col).alias("rid"), Cols.POS)
     out = rows.join(wins, ["rid", "pos"], "left").withColumn("wins", F.coalesce("wins", F.lit(0)))
     # the maximum as a scalar subquery: the wins aggregate is planned once

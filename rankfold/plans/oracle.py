@@ -160,7 +160,7 @@ FROM impressions"""
 # ---------------------------------------------------------------- targets and features
 def _ct_sql(v: str = "CAST(viewTimeSec AS DOUBLE)", d: str = "CAST(durationSeconds AS DOUBLE)") -> str:
     from rankfold.functions import targets as T
-    regain = repr(T._TARGET_REGAIN)
+    regain = repr(T.CT_UPPER ** (1.0 - T.CT_SMOOTH))
     nwt = (f"(CASE WHEN {d} > 7200.0 THEN 850.0 ELSE least({T.CT_QUAD!r} * {d} * {d} + {T.CT_LIN!r} * {d} "
            f"+ {T.CT_CONST!r}, {d} / 2.0) END)")
     cw = f"(0.01 * {nwt})"
@@ -443,3 +443,30 @@ m AS (SELECT avg(v) AS mean, stddev_samp(v) AS sd, 1.0 / (10.0 * count(*)) AS re
 d AS MATERIALIZED (SELECT 1.0 AS a, (v - mean) / sd AS b, 1.0 AS p, y FROM x, m),
 {_newton("d", 12, "0.0", "(SELECT reg FROM m)")}
 SELECT fid AS feature_id, round(z0, 4) AS intercept, round(z1, 4) AS coefficient FROM b12, ids"""
+
+
+ORACLE["pair_normalized_check"] = TARGET_CTES + """, plain AS (SELECT a.rid, a.name AS target, a.weight * (a.target - b.target) AS w, a.target - b.target AS gap
+  FROM long a JOIN long b ON a.rid = b.rid AND a.name = b.name AND a.target > b.target),
+weighed AS (SELECT rid, target, w / sum(gap) OVER (PARTITION BY rid, target) AS w FROM plain)
+SELECT rid, target, count(*) AS n_pairs, round(sum(w), 6) AS total, round(sum(w * w), 6) AS squares FROM weighed WHERE abs(w) >= 1e-8 GROUP BY ALL"""
+
+# hot sessions: counts by value instead of the pairs themselves
+_HOT_CTES = TARGET_CTES.replace("SELECT rid, pos, features,", "SELECT platform AS rid, pos, features,") + """,
+vals AS (SELECT rid, name, target AS v, any_value(weight) AS weight, count(*) AS c FROM long GROUP BY rid, name, target)"""
+ORACLE["pair_totals_hot"] = _HOT_CTES + """, sums AS (SELECT rid, name, v, c, coalesce(sum(c) OVER w, 0) AS b, coalesce(sum(c * v) OVER w, 0) AS s FROM vals
+  WINDOW w AS (PARTITION BY rid, name ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT rid, name AS target, CAST(sum(c * b) AS BIGINT) AS n_pairs, round(sum(c * (v * b - s)) / sum(c * b), 9) AS mean_raw_weight
+FROM sums GROUP BY rid, name HAVING sum(c * b) > 0"""
+ORACLE["win_labels_hot"] = _HOT_CTES + """, scaled AS (SELECT rid, name, weight * v AS v, sum(c) AS c FROM vals GROUP BY ALL),
+beaten AS (SELECT rid, name, v, coalesce(sum(c) OVER (PARTITION BY rid, name ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND 1e-8 PRECEDING), 0) AS k FROM scaled),
+mine AS (SELECT rid, pos, row_number() OVER () AS row, like_target, dislike_target, consumption_time_target FROM ft),
+won AS (SELECT m.rid, row, sum(k) AS wins FROM (
+    SELECT rid, row, 'like' AS name, 5.0 * like_target AS v FROM mine UNION ALL SELECT rid, row, 'dislike', 14.0 * dislike_target FROM mine
+    UNION ALL SELECT rid, row, 'consumption_time', CAST(0.41 AS DOUBLE) * consumption_time_target FROM mine) m
+  JOIN beaten USING (rid, name, v) GROUP BY ALL)
+SELECT rid, CAST(wins AS BIGINT) AS wins, count(*) AS n FROM won GROUP BY ALL"""
+ORACLE["dense_wide"] = """WITH p AS (SELECT c_custkey, unnest(range(1, 401)) AS i FROM customer),
+last AS (SELECT c_custkey, (c_custkey * i) % 997 AS id, max(i) / 8.0 AS v FROM p GROUP BY ALL),
+hit AS (SELECT * FROM last WHERE id % 3 = 0 AND id <= 795)
+SELECT c_custkey, CAST(count(id) AS INTEGER) AS found, CAST(coalesce(sum(v), 0) - (266 - count(id)) AS DOUBLE) AS total,
+  CAST(coalesce(max(v) FILTER (WHERE id = 495), -1) AS DOUBLE) AS v100 FROM customer LEFT JOIN hit USING (c_custkey) GROUP BY c_custkey"""

@@ -152,6 +152,7 @@ from rankfold.operators import pairs as PR  # noqa: E402
 
 WEIGHTS = (5.0, 14.0, 0.41)
 VOCAB = [2, 5, 1, 9]
+WIDE_VOCAB = list(range(795, -1, -3))
 
 
 def _feature_table(spark, sf_dir, vocab=VOCAB, keep_informative_only=True):
@@ -548,6 +549,45 @@ def q_pair_table_normalized(spark, sf_dir):
     return p.select("rid", "target", "winner_pos", "loser_pos", r6("pair_weight").alias("pair_weight"))
 
 
+@register("pair_normalized_check")
+def q_pair_normalized_check(spark, sf_dir):
+    """P5: count, sum of weights (1 for every session and target) and sum of squared weights of the normalised pairs."""
+    p = PR.pair_table(_feature_table(spark, sf_dir), normalize=True).groupBy("rid", "target")
+    return p.agg(F.count(F.lit(1)).alias("n_pairs"), r6(F.sum("pair_weight")).alias("total"), r6(F.sum(F.col("pair_weight") * F.col("pair_weight"))).alias("squares"))
+
+
+def _by_platform(spark, sf_dir):
+    """The feature table with one session per platform: three of a third of all rows or so."""
+    imp = impressions(spark, sf_dir)
+    ft = FT.feature_table(imp.withColumn("rid", F.concat_ws(":", "rid", "platform")), [], *WEIGHTS)
+    return ft.select(F.element_at(F.split("rid", ":"), -1).alias("rid"), F.xxhash64("rid", "pos").alias("pos"), "targets")
+
+
+@register("pair_totals_hot")
+def q_pair_totals_hot(spark, sf_dir):
+    """P4 with sessions of a fifth to two fifths of all rows, cut into parts of 5,000 rows."""
+    t = PR.pair_totals(_by_platform(spark, sf_dir), session_rows=5000)
+    return t.select("rid", "target", "n_pairs", F.round(F.col("total_raw_weight") / F.col("n_pairs"), 9).alias("mean_raw_weight"))
+
+
+@register("win_labels_hot")
+def q_win_labels_hot(spark, sf_dir):
+    """P9 with the same sessions: rows and their wins per session and share of wins."""
+    w = PR.win_labels(_by_platform(spark, sf_dir), session_rows=5000)
+    return w.groupBy("rid", "wins").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("dense_wide")
+def q_dense_wide(spark, sf_dir):
+    """X3 at the reference's width: 400 pairs a row on 266 vocabulary ids, ids repeated and unknown ones too."""
+    from rankfold.functions.vectors import dense_vector
+    key = F.col("c_custkey")
+    pairs = F.transform(F.sequence(F.lit(1), F.lit(400)), lambda i: F.array((key * i % 997).cast("double"), i / 8.0))
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", dense_vector(pairs, WIDE_VOCAB, default=-1.0).alias("v"))
+    return rows.select("c_custkey", F.size(F.filter("v", lambda x: x >= 0)).alias("found"),
+                       F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("total"), F.col("v")[100].cast("double").alias("v100"))
+
+
 @register("pair_check")
 def q_pair_check(spark, sf_dir):
     """Count and sums of the pairs of every session and target."""
