@@ -90,7 +90,7 @@ def _counts(docs: DataFrame, size: int, rounds: list[dict[str, np.ndarray]], bit
     names = [f"w{k + 1}" for k in range(size)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "text", 8 << 20):
+        for batch in text_chunks(batches, "text", 4 << 20):
             raw, ends = text_bytes(batch.column(1))
             langs = batch.column(0).to_pylist()
             for lang in set(langs):
@@ -151,6 +151,16 @@ def _survivors(pairs: DataFrame, triples: DataFrame, thresholds: DataFrame, insi
     return found.join(thresholds, "lang").where("score >= t").drop("t")
 
 
+def score_at(phrases: DataFrame, rank: int) -> DataFrame:
+    """``lang, t``: the score of the ``rank``-th phrase of each language that has so many.
+
+    Phrases are counted by score, of which there are no more than 1,000,001, before anything is ordered.
+    """
+    down = Window.partitionBy("lang").orderBy(F.desc("score"))
+    counts = phrases.groupBy("lang", "score").agg(F.count("*").alias("c")).withColumn("k", F.sum("c").over(down))
+    return counts.where(F.col("k") >= rank).groupBy("lang").agg(F.max("score").alias("t"))
+
+
 def collocations(docs: DataFrame, least: int = 10, limit: int = 2000, inside: int = 50, bits: int = 1 << 24) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best ``limit`` phrases of 2 and 3 words of each language of ``docs`` (``text, lang``).
 
@@ -169,12 +179,10 @@ def collocations(docs: DataFrame, least: int = 10, limit: int = 2000, inside: in
     # the bound is a score whose right part is as frequent as the phrase
     pairs = checkpoint(counted.select("lang", "w1", "w2", "a", "l", "r", ratio(a, l, r).alias("score"), ratio(a, l, a).alias("bound")))
     everywhere = bit_table(pairs, 2, bits)
-    place = Window.partitionBy("lang").orderBy(F.desc("score"))
     rounds: list[dict[str, np.ndarray]] = []
     triples, open_langs, depth, done = None, pairs.select("lang").distinct(), 2 * limit, []
     while True:
-        at_depth = pairs.withColumn("k", F.row_number().over(place)).where(F.col("k") == depth).select("lang", F.col("score").alias("t"))
-        thresholds = checkpoint(open_langs.join(at_depth, "lang", "left").select("lang", F.coalesce("t", F.lit(0)).alias("t")))
+        thresholds = checkpoint(open_langs.join(score_at(pairs, depth), "lang", "left").select("lang", F.coalesce("t", F.lit(0)).alias("t")))
         near = pairs.join(thresholds, "lang").where("bound >= t")
         rounds.append({"pairs": everywhere, "open": bit_table(near, 2, bits), "top": bit_table(near.where("score >= t"), 2, bits)})
         new = _counts(docs, 3, rounds, bits).where(F.col("c") >= least).withColumnRenamed("c", "a")
@@ -191,6 +199,7 @@ def collocations(docs: DataFrame, least: int = 10, limit: int = 2000, inside: in
     best = done[0]
     for more in done[1:]:
         best = best.union(more)
+    best = best.join(score_at(best, limit), "lang", "left").where(F.col("t").isNull() | (F.col("score") >= F.col("t")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= limit)
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
