@@ -5,20 +5,19 @@ Exact AUC with ties counted as 1/2 is the Mann-Whitney statistic
     U = sum over distinct scores s of  pos(s) * (neg_below(s) + neg(s) / 2)
     AUC = U / (P * N)
 
-``neg_below`` is a running sum in score order.  To compute it without a single
+``neg_below`` is a running sum in score order.  The rows are read once, into a kept table of counts: for each (session, score)
+the rows and, for every target as a column, the positives.  Session details, global AUC, label counts, quantiles and the
+cuts of large sessions all come from it.  To order without a single
 un-partitioned window (global AUC) and without one task per hot session
 (GAUC), scores are cut into buckets at split points taken from the score
-distribution and put into the plan as literals (so a recompute after executor
-loss assigns identical buckets).  The running sum then has two levels:
+distribution; those of the global AUC are literals of the plan, those of large sessions a written table, so a recompute after executor
+loss assigns identical buckets.  The running sum then has two levels:
 
     neg_below(s) = negatives in lower buckets of the group      (window over
                                                                   <= B rows/group)
                  + negatives below s inside its own bucket       (window over one
                                                                   bucket of one group)
 
-For GAUC only hot sessions are bucketed; ordinary sessions are one bucket and
-finish in the task that holds them.  All targets are carried as columns, so
-one pass serves every target.
 Split points only change balance, never the result.
 """
 
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 
 from rankfold.config import Cols, resolve_targets
 from rankfold.functions.labels import clean_score, label_expr
-from rankfold.session import reliable_checkpoint
+from rankfold.session import written
 
 LABEL_PREFIX = "label_"
 _B = "_bucket"
@@ -49,13 +48,6 @@ def with_labels(df: DataFrame, target_configs, events: str = Cols.EVENTS,
     return df.select("*", *cols), [name for name, _ in targets]
 
 
-def stack_labels(df: DataFrame, target_names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """M9: unpivot label columns to ``(target, *keep, label)`` rows."""
-    entries = [F.struct(F.lit(t).alias("target"), F.col(LABEL_PREFIX + t).cast("int").alias("label"))
-               for t in target_names]
-    return df.select(*keep, F.inline(F.array(*entries)))
-
-
 def eval_slice(df: DataFrame, nav_screen: Optional[str] = None, platforms: Optional[Iterable[str]] = None,
                formula_path: Optional[str] = None, nav_screen_col: str = Cols.NAV_SCREEN,
                platform_col: str = Cols.PLATFORM, formula_path_col: str = Cols.FORMULA_PATH) -> DataFrame:
@@ -122,19 +114,25 @@ def session_cuts(narrow: DataFrame, session_rows: int) -> DataFrame:
     return q.select("session_id", cuts.alias("_cuts"))
 
 
-def _sums_by_session(narrow: DataFrame, k: int, session_rows: int) -> DataFrame:
-    """Per-session sums U_i, P_i, N_i of the k targets, in one plan for sessions of any size.
+def score_counts(labeled: DataFrame, target_names: Sequence[str], session_col: str = Cols.RID, score_col: str = Cols.SCORE) -> DataFrame:
+    """The kept table: ``session_id, score, _c`` and positives ``_p<i>`` of each target, combined before the one shuffle."""
+    narrow = labeled.select(F.col(session_col).alias("session_id"), clean_score(score_col).alias("score"),
+                            *[F.col(LABEL_PREFIX + t).cast("long").alias(f"_y{i}") for i, t in enumerate(target_names)])
+    return written(narrow.groupBy("session_id", "score").agg(
+        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").alias(f"_p{i}") for i in range(len(target_names))]))
+
 
-    Counts per (session, score) are combined before the shuffle.  A session
-    has one score bucket per ``session_rows`` rows, cut at its own quantiles;
+def _sums_by_session(per_score: DataFrame, k: int, session_rows: int) -> DataFrame:
+    """Per-session sums U_i, P_i, N_i of the k targets from :func:`score_counts`, in one plan for sessions of any size.
+
+    A session has one score bucket per ``session_rows`` distinct scores, cut at its own quantiles;
     the ordered work runs per (session, bucket), a last window over the
     buckets of a session.  Which sessions are large is a table that is joined.
     """
     neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
-    per_score = narrow.groupBy("session_id", "score").agg(
-        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
-    # materialised in the shared folder; one cut per session_rows rows in all, so its size is bounded by rows / session_rows
-    cuts = reliable_checkpoint(session_cuts(narrow, session_rows))
+    per_score = per_score.where(F.col("session_id").isNotNull())
+    # one cut per session_rows rows in all, so its size is bounded by rows / session_rows
+    cuts = written(session_cuts(per_score.select("session_id", "score"), session_rows))
     per_score = per_score.join(F.broadcast(cuts), "session_id", "left")
     bucket = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("score"))), F.lit(0))
     per_score = per_score.withColumn(_B, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket)).drop("_cuts")
@@ -155,16 +153,14 @@ def _sums_by_session(narrow: DataFrame, k: int, session_rows: int) -> DataFrame:
 
 
 def session_details(labeled: DataFrame, target_names: Sequence[str], session_col: str = Cols.RID,
-                    score_col: str = Cols.SCORE, session_rows: int = SESSION_ROWS) -> DataFrame:
+                    score_col: str = Cols.SCORE, session_rows: int = SESSION_ROWS, counts: Optional[DataFrame] = None) -> DataFrame:
     """M3 + M4: one row per valid (target, session): session_id, auc, size,
     positives, negatives, positive_rate.  Sessions need >= 1 positive and
     >= 1 negative; NULL sessions are not groups.  Targets stay columns until
-    the end (see :func:`_sums_by_session` for the plan)."""
+    the end (see :func:`_sums_by_session` for the plan).  ``counts`` is the :func:`score_counts` of the same arguments, if there."""
     names = list(target_names)
-    narrow = labeled.select(F.col(session_col).alias("session_id"), clean_score(score_col).alias("score"),
-                            *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)]
-                            ).where(F.col("session_id").isNotNull())
-    return _details_from_sums(_sums_by_session(narrow, len(names), session_rows), names)
+    counts = score_counts(labeled, names, session_col, score_col) if counts is None else counts
+    return _details_from_sums(_sums_by_session(counts, len(names), session_rows), names)
 
 
 def _details_from_sums(per_session: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -286,15 +282,19 @@ def global_auc(labeled: DataFrame, target_names: Sequence[str], score_col: str =
     error text.
     """
     names = list(target_names)
-    narrow = labeled.select(clean_score(score_col).alias("score"),
-                            *[F.col(LABEL_PREFIX + t).cast("int").alias(f"_y{i}") for i, t in enumerate(names)])
+    counts = labeled.select(clean_score(score_col).alias("score"), F.lit(1).alias("_c"),
+                            *[F.col(LABEL_PREFIX + t).cast("long").alias(f"_p{i}") for i, t in enumerate(names)])
     if splits is None:
-        n, qs = _quantiles(narrow, F.col("score"))
+        n, qs = _quantiles(counts, F.col("score"))
         splits = _pick(qs, auto_buckets(n))
-    narrow = add_bucket(narrow, "score", splits)
+    return auc_from_counts(counts, names, splits)
+
+
+def auc_from_counts(counts: DataFrame, names: Sequence[str], splits: Sequence[float]) -> DataFrame:
+    """:func:`global_auc` from rows of ``score, _c`` and positives ``_p<i>`` of each target."""
     k = len(names)
-    per_score = narrow.groupBy(_B, "score").agg(
-        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").cast("long").alias(f"_p{i}") for i in range(k)])
+    per_score = add_bucket(counts, "score", splits).groupBy(_B, "score").agg(
+        F.sum("_c").alias("_c"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(k)])
     neg = [F.col("_c") - F.col(f"_p{i}") for i in range(k)]
     w_in = Window.partitionBy(_B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
@@ -342,15 +342,6 @@ def _quantiles(df: DataFrame, score):
     return int(row["_n"] or 0), [float(q) for q in (row["_q"] or [])]
 
 
-def _prepass(labeled: DataFrame, names: Sequence[str], score_col: str):
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(LABEL_PREFIX + t)).alias(f"_p{i}") for i, t in enumerate(names)]
-    row = labeled.agg(*aggs, _quantile_agg(clean_score(score_col))).first()
-    n = int(row["_n"] or 0)
-    pos = [int(row[f"_p{i}"] or 0) for i in range(len(names))]
-    qs = [float(q) for q in (row["_q"] or [])]
-    return n, pos, qs
-
-
 def _pick(qs: Sequence[float], n_buckets: int) -> list[float]:
     """Split points for ``n_buckets`` buckets from quantiles at 1/R steps."""
     if n_buckets <= 1 or not qs:
@@ -379,21 +370,23 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     spark = df.sparkSession
     if not names:
         return spark.createDataFrame([], METRICS_SCHEMA), spark.createDataFrame([], DETAILS_SCHEMA)
-    # One pre-pass: row count, positives per target and score quantiles at a
-    # fixed resolution.  Both bucketings come from it; the per-target counts
-    # become a tiny literal table, so the final job does not recount.
-    n_rows, positives, qs = _prepass(labeled, names, score_col)
+    counts = score_counts(labeled, names, session_col, score_col)  # the only read of the source
+    details = session_details(labeled, names, session_col, score_col, session_rows, counts)
+    if details_only:
+        return None, details
+    # row count, positives per target and score quantiles at a fixed resolution; the
+    # per-target counts become a tiny literal table, so the final job does not recount
+    row = counts.agg(F.sum("_c").alias("_n"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(names))], _quantile_agg(F.col("score"))).first()
+    n_rows, qs = int(row["_n"] or 0), [float(q) for q in (row["_q"] or [])]
+    positives = [int(row[f"_p{i}"] or 0) for i in range(len(names))]
     stats = spark.createDataFrame(
         [(t, n_rows, int(positives[i]), (positives[i] / n_rows) if n_rows else 0.0) for i, t in enumerate(names)],
         "target string, total_samples long, total_positives long, positive_rate double")
-    details = session_details(labeled, names, session_col, score_col, session_rows)
-    if details_only:
-        return None, details
     summ = gauc_summary(details, exact_median)
     out = stats
     if calculate_regular_auc:
         b = score_buckets or auto_buckets(n_rows)
-        aucs = global_auc(labeled, names, score_col, _pick(qs, b))
+        aucs = auc_from_counts(counts, names, _pick(qs, b))
         out = out.join(aucs, "target", "left").select(
             *stats.columns,
             F.coalesce("AUC", F.lit(0.0)).alias("AUC"),

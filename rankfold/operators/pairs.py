@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rankfold.config import MIN_PAIR_WEIGHT, Cols
 from rankfold.operators.indexing import with_global_index
 from rankfold.operators.metrics import SESSION_ROWS, session_cuts
-from rankfold.session import reliable_checkpoint
+from rankfold.session import written
 
 
 def unnest_targets(features: DataFrame, session_col: str = Cols.RID, carry: tuple = ()) -> DataFrame:
@@ -61,7 +61,7 @@ def _cuts(long: DataFrame, value: str, session_rows: int) -> DataFrame | None:
     Written to the shared folder; it has at most one cut for ``session_rows`` rows of the input.
     """
     found = session_cuts(long.select(F.struct("rid", "name").alias("session_id"), F.col(value).alias("score")), session_rows)
-    found = reliable_checkpoint(found.select("session_id.rid", "session_id.name", "_cuts"))
+    found = written(found.select("session_id.rid", "session_id.name", "_cuts"))
     return None if found.isEmpty() else found
 
 

@@ -1,11 +1,10 @@
 """Run logs and AUC distributions.
 
 A run log is NDJSON with ``record.message`` (a printed Python dict) and
-``record.time.timestamp``.  Messages are repaired to JSON with word-bounded
-replacements and parsed with ``from_json`` - no driver-side parsing.  Session
-AUC densities are Gaussian kernel sums evaluated on a fixed grid: each
-distinct AUC value (with its count) is expanded to the grid with ``explode``,
-so no join multiplies tables.
+``record.time.timestamp``.  Messages are cut into string literals and the rest, repaired to JSON piece by piece
+and parsed with ``from_json`` - no driver-side parsing.  Session
+AUC densities are Gaussian kernel sums on a fixed grid: tasks sum the kernels of the distinct
+AUC values (with their counts) of an Arrow batch at once, and one small aggregate adds the sums.
 """
 
 from __future__ import annotations
@@ -14,11 +13,14 @@ import math
 import time
 from typing import Optional, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.config import SUMMARY_FIELDS
 from rankfold.operators.indexing import with_global_index
+from rankfold.session import written
 
 DETAIL_TYPE = ("struct<session_id:string,auc:double,size:bigint,positives:bigint,negatives:bigint,"
                "positive_rate:double>")
@@ -118,7 +120,12 @@ def repair_message(message) -> F.Column:
         plain = t
         for word, value in (("True", "true"), ("False", "false"), ("None", "null")):
             plain = F.regexp_replace(plain, rf"\b{word}\b", value)
-        return F.when(t.startswith("'") | t.startswith('"'), _json_string(t)).otherwise(plain)
+        # most pieces hold nothing to repair but their quotes
+        wordless = ~(t.contains("True") | t.contains("False") | t.contains("None"))
+        body = F.substring(t, F.lit(2), F.length(t) - 2)
+        simple = F.concat(F.lit('"'), body, F.lit('"'))
+        literal = F.when(body.contains("\\") | body.contains('"'), _json_string(t)).otherwise(simple)
+        return F.when(t.startswith("'") | t.startswith('"'), literal).when(wordless, t).otherwise(plain)
 
     return F.array_join(F.transform(F.regexp_extract_all(m, F.lit(_TOKEN), 0), repaired), "")
 
@@ -138,7 +145,7 @@ def parse_messages(logs: DataFrame, message_col: str = "message", strict: bool =
 
 # ---------------------------------------------------------------- G2 / G3
 def select_result(logs: DataFrame, target: str, field: str = "group_details",
-                  position: Optional[int] = None, parts: bool = False) -> DataFrame:
+                  position: Optional[int] = None, parts: bool = False, strict: bool = True) -> DataFrame:
     """The messages that hold a result for ``target`` (selected by shape),
     optionally only the ``position``-th from the end by timestamp (e.g. -10);
     with ``parts`` the messages of one time are parts of one, and all of them
@@ -149,7 +156,7 @@ def select_result(logs: DataFrame, target: str, field: str = "group_details",
     if "message" not in logs.columns and "record" in logs.columns:
         flat = logs.select(F.col("record.message").alias("message"),
                            F.col("record.time.timestamp").cast("double").alias("timestamp"))
-    p = parse_messages(flat)
+    p = parse_messages(flat, strict=strict)
     hits = p.where(F.col("parsed").isNotNull() & F.map_contains_key("parsed", F.lit(target)))
     if position is not None:
         n = abs(int(position)) if position < 0 else None
@@ -171,20 +178,28 @@ def select_result(logs: DataFrame, target: str, field: str = "group_details",
     return hits.select("timestamp", F.col("parsed")[target][field].alias("value"))
 
 
-def session_aucs(logs: DataFrame, target: str, position: Optional[int] = None, parts: bool = False) -> DataFrame:
-    """One row per session entry of the selected result(s)."""
-    r = select_result(logs, target, "group_details", position, parts)
+def session_aucs(logs: DataFrame, target: str, position: Optional[int] = None, parts: bool = False, strict: bool = True) -> DataFrame:
+    """One row per session entry of the selected result(s).  ``strict=False`` passes over unreadable results, which
+    :func:`unreadable` counts."""
+    r = select_result(logs, target, "group_details", position, parts, strict)
     return r.select(F.inline("value")).select("session_id", "auc", "size", "positives", "negatives",
                                               "positive_rate")
 
 
-def all_session_aucs(logs: DataFrame) -> DataFrame:
+def unreadable(logs: DataFrame) -> int:
+    """Messages that start like a result and do not parse (e.g. one that holds ``nan`` or a tuple)."""
+    flat = logs.select(F.col("record.message").alias("message")) if "message" not in logs.columns else logs
+    p = parse_messages(flat, strict=False)
+    return p.where(F.trim("message").startswith("{") & F.col("parsed").isNull()).count()
+
+
+def all_session_aucs(logs: DataFrame, strict: bool = True) -> DataFrame:
     """G3 for every target at once: each message is parsed a single time and
     its map entries are unnested to (target, session entries)."""
     flat = logs
     if "message" not in logs.columns and "record" in logs.columns:
         flat = logs.select(F.col("record.message").alias("message"))
-    p = parse_messages(flat).where(F.col("parsed").isNotNull())
+    p = parse_messages(flat, strict=strict).where(F.col("parsed").isNotNull())
     per_target = p.select(F.explode("parsed").alias("target", "result"))
     return per_target.select("target", F.inline("result.group_details")).select(
         "target", "session_id", "auc", "size", "positives", "negatives", "positive_rate")
@@ -200,23 +215,30 @@ def auc_density(aucs: DataFrame, value_col: str = "auc", run_col: Optional[str]
     """Gaussian kernel density on ``points`` per run, bandwidth by Scott's
     rule ``h = stddev_samp * n^(-1/5)``.  Runs with fewer than two values or
     zero spread have no density.  Output: (run, x, density)."""
-    xs = list(points) if points is not None else grid()
+    xs = np.array(list(points) if points is not None else grid(), float)
     run = F.col(run_col) if run_col else F.lit("all")
-    v = aucs.select(run.alias("run"), F.col(value_col).cast("double").alias("a")).where(F.col("a").isNotNull())
-    stats = v.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("a").alias("sd"))
-    stats = stats.where((F.col("n") >= 2) & (F.col("sd") > 0)) \
-                 .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    distinct = v.groupBy("run", "a").agg(F.count(F.lit(1)).alias("c"))
-    j = distinct.join(stats.select("run", "n", "h"), "run")
-
-    def kernel(x):
-        z = (F.lit(float(x)) - F.col("a")) / F.col("h")
-        return F.sum(F.col("c") * F.exp(F.lit(-0.5) * z * z))
-
-    # one sum per grid point in one aggregate; the grid is unnested from its one row per run
-    sums = j.groupBy("run").agg(F.first("n").alias("n"), F.first("h").alias("h"), *[kernel(x).alias(f"_{i}") for i, x in enumerate(xs)])
-    points_ = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.col(f"_{i}").alias("k")) for i, x in enumerate(xs)])
-    rows = sums.select("run", "n", "h", F.inline(points_))
+    v = aucs.select(run.cast("string").alias("run"), F.col(value_col).cast("double").alias("a")).where(F.col("a").isNotNull())
+    # the values are read once; what follows works on the distinct ones
+    distinct = written(v.groupBy("run", "a").agg(F.count(F.lit(1)).alias("c")))
+    n, shifted = F.sum("c"), F.col("a") - 0.5
+    spread = (F.sum(F.col("c") * shifted * shifted) - F.sum(F.col("c") * shifted) * F.sum(F.col("c") * shifted) / n) / (n - 1)
+    stats = distinct.groupBy("run").agg(n.alias("n"), F.sqrt(F.greatest(F.when(n >= 2, spread), F.lit(0.0))).alias("sd"), (F.max("a") > F.min("a")).alias("wide"))
+    stats = stats.where((F.col("n") >= 2) & F.col("wide")).select("run", "n", (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"))
+
+    def kernels(batches):
+        for batch in batches:
+            runs = batch.column(0).dictionary_encode()
+            a, c, h = (batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (1, 2, 3))
+            code, sums = runs.indices.to_numpy(zero_copy_only=False), np.zeros((len(runs.dictionary), len(xs)))
+            for k in range(0, len(a), 8192):
+                part = slice(k, k + 8192)
+                z = (xs[None, :] - a[part, None]) / h[part, None]
+                np.add.at(sums, code[part], c[part, None] * np.exp(-0.5 * z * z))
+            names = runs.dictionary.take(pa.array(np.repeat(np.arange(len(sums)), len(xs))))
+            yield pa.RecordBatch.from_arrays([names, pa.array(np.tile(xs, len(sums))), pa.array(sums.ravel())], ["run", "x", "k"])
+
+    sums = distinct.join(stats.select("run", "h"), "run").select("run", "a", "c", "h").mapInArrow(kernels, "run string, x double, k double")
+    rows = sums.groupBy("run", "x").agg(F.sum("k").alias("k")).join(stats, "run")
     return rows.select("run", "x", (F.col("k") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
 
 

@@ -64,7 +64,7 @@ def q_gauc_group_details(spark, sf_dir):
 def q_auc_by_target(spark, sf_dir):
     """M2, M9: exact global AUC with the near tie-free score (extended price)."""
     labeled, names = M.with_labels(impressions(spark, sf_dir), DEFAULT_TARGETS)
-    n, _, qs = M._prepass(labeled, names, "score_alt")
+    n, qs = M._quantiles(labeled, F.col("score_alt"))
     aucs = M.global_auc(labeled, names, "score_alt", M._pick(qs, M.auto_buckets(n, 4096)))
     return aucs.select("target", r9("AUC").alias("AUC"), "AUC_valid")
 
@@ -477,9 +477,8 @@ SKEW_HOT_ROWS = 10_000
 
 def _skewed(spark, sf_dir, details_only=False):
     """Sessions keyed by platform: three keys, each holding a fifth to two
-    fifths of all rows.  A hot threshold of 10,000 rows sends them through the
-    bucketed path (split by score into up to 1,024 buckets) at test scale; the
-    result does not depend on the threshold."""
+    fifths of all rows.  With 10,000 scores a bucket they are cut into several score buckets
+    at test scale; the result does not depend on that number."""
     return evaluate(impressions(spark, sf_dir), DEFAULT_TARGETS, score_col="score_alt", session_col="platform",
                     session_rows=SKEW_HOT_ROWS, details_only=details_only)
 

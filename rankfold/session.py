@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,13 @@ def get_spark(master: str | None = None, app: str = "rankfold", **conf: str) ->
     return spark
 
 
+def written(df):
+    """``df`` as a Parquet table of the shared checkpoint folder: read by column as often as needed, and no executor's loss undoes it."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is configured."""
     sc = spark.sparkContext
@@ -52,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         # Only reached when the cluster names no folder (tests / local runs).
         configured = os.environ.get("RANKFOLD_CHECKPOINT_DIR")
-        if not configured and not sc.master.startswith("local"):
+        if not configured and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = configured or tempfile.mkdtemp(prefix="rankfold-ckpt-")
     sc.setCheckpointDir(configured)
