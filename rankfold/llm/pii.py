@@ -1,20 +1,23 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
 The patterns give the base spans.  Nodes of the field are the mentions of a document: base spans, whose
-labels are observed, and other long digit runs and tokens with an at sign, whose labels are hidden.
+labels are observed, and other long digit runs and tokens with an at sign, whose labels are hidden: a card number in a
+run that is too long for one, a phone number without its plus, a number with a wrong digit.
 Neighbouring mentions share a chain potential; mentions with equal or similar keys (the same digits, the
 same last digits, the same address) share a skip potential however far apart they are.  Loopy belief
-propagation then gives the hidden labels, and a hidden mention that takes the label of a mention it is
-linked with becomes a span too, so one entity has one label throughout its document.
+propagation, in every document with a hidden mention and another one, gives the hidden labels, and a hidden mention that takes
+the label of a mention it is linked with becomes a span too, so one entity has one label throughout its document.
 
-Node weights are fitted by logistic regression and the two tables of potentials by counting labels, on a
-bounded sample of documents.
+Node potentials are a logistic function of the mention's shape and checksum, of what it is glued to, of the separator and the word
+before it.  The labels of hidden mentions are latent in training: expectation-maximisation alternates between beliefs over the
+whole sample and weights fitted to them, on a bounded sample of documents.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,17 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rankfold.llm.common import hash_sample, text_chunks
+from rankfold.llm.common import drop_columns, hash_sample, text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
+#: Characters between two mentions up to which they are neighbours in the chain.
+GAP = 80
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_RUN = re.compile(r"[0-9](?:[\x20().-]{0,2}[0-9])+")
+_RUN = re.compile(r"\(?[0-9](?:[\x20().-]{0,2}[0-9])+")
+_PIECE = re.compile(r"[^\x20]+")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _ANY = re.compile(r"[0-9@]")
 
@@ -86,11 +92,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _loose_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of seven digits or more with up to two separators between them; cut at blanks where a piece is as long as a card number."""
+    for m in _RUN.finditer(text):
+        pieces = [p.span() for p in _PIECE.finditer(m[0])]
+        long = [(s, e) for s, e in pieces if sum(c.isdigit() for c in m[0][s:e]) >= 12]
+        if long:
+            yield from ((m.start() + s, m.start() + e) for s, e in long)
+        elif sum(c.isdigit() for c in m[0]) >= 7:
+            yield m.span()
+
+
 def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Base spans and hidden mentions as ``(start, end, label)`` by start; hidden ones have label -1 and overlap no base span."""
     taken = sorted((s, e) for _, s, e in base)
-    rest = [(m.start(), m.end()) for m in _RUN.finditer(text) if sum(c.isdigit() for c in m[0]) >= 7]
-    rest += list(_at_words(text))
+    rest = [*_loose_runs(text), *_at_words(text)]
     out, k = [(s, e, kind) for kind, s, e in base], 0
     for s, e in sorted(rest):
         while k < len(taken) and taken[k][1] <= s:
@@ -100,13 +116,26 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
     return sorted(out)
 
 
+#: Hashed classes of the word before a mention.
+WORDS = 32
+
+
 def features(text: str, s: int, e: int) -> list[float]:
-    """Shape of a mention; no checksum, so that hidden mentions are judged like observed ones."""
+    """Shape, checksum and context of a mention."""
     m = text[s:e]
-    n = sum("0" <= c <= "9" for c in m)
+    digits = _digits(m)
+    n = len(digits)
     sizes = [7 <= n < 9, 9 <= n < 13, 13 <= n < 16, n == 16, 17 <= n < 20, n >= 20]
     marks = ["+" in m or text[s - 1 : s] == "+", "@" in m, m.count(".") == 3, "-" in m, " " in m, "(" in m, any(c.isalpha() for c in m)]
-    return [1.0, *map(float, sizes), *map(float, marks), float(text[max(s - 2, 0) : s].strip()[-1:] in (":", "=", "#"))]
+    checksum = [13 <= n <= 19 and _luhn(digits), 13 <= n <= 19 and not _luhn(digits)]
+    glued = [text[max(s - 1, 0) : s].isalnum(), text[e : e + 1].isalnum()]
+    before = text[max(s - 40, 0) : s]
+    word = re.findall(r"\w+", before)[-1:]
+    separators = [before.rstrip(" ")[-1:] in (":", "=", "#") and before != "", before[-1:] in ("\"", "'", "(", "[", "<") and before != ""]
+    place = [0.0] * WORDS
+    if word:
+        place[zlib.crc32(word[0].lower().encode()) % WORDS] = 1.0
+    return [1.0, *map(float, [*sizes, *marks, *checksum, *glued, *separators]), *place]
 
 
 def keys(text: str, s: int, e: int) -> list[str]:
@@ -132,12 +161,24 @@ def links(text: str, nodes: list[tuple[int, int, int]]) -> list[tuple[int, int]]
     return sorted(out)
 
 
-def fit(docs: DataFrame, sample_docs: int = 20_000, sample_mentions: int = 20_000, rounds: int = 300, agreement: float = 20.0, seed: int = 5) -> dict[str, np.ndarray]:
+def _logistic(x: np.ndarray, target: np.ndarray, node: np.ndarray, rounds: int, ridge: float = 1e-3) -> np.ndarray:
+    """Weights that make ``softmax(x @ node)`` follow ``target`` (a distribution a row), from ``node`` on."""
+    for _ in range(rounds if len(x) else 0):
+        z = x @ node
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        node = node - 2.0 * (x.T @ (p - target) / len(x) + ridge * node)
+    return node
+
+
+def fit(docs: DataFrame, sample_docs: int = 20_000, sample_mentions: int = 20_000, rounds: int = 200, steps: int = 4, agreement: float = 200.0, seed: int = 5) -> dict[str, np.ndarray]:
     """Weights from the mentions of about ``sample_docs`` documents, chosen by a hash, and at most ``sample_mentions`` of them.
 
-    ``node``: logistic regression of the pattern's label on the shape; ``chain``: log-ratio of label pairs of
-    neighbours to independence; ``skip``: the same for linked mentions, with ``agreement`` prior counts on
-    equal labels.  Without mentions the node weights are zero.
+    ``node``: logistic regression of the label on the features; ``chain``: log-ratio of label pairs of
+    neighbours to independence; ``skip``: the same for linked mentions, with prior odds ``agreement`` for equal labels.  Both
+    start at independence, so labels without evidence get none.  Labels that no pattern gives are latent: they
+    start as none (those linked with an observed one are left out of the first fit), and in each of ``steps`` rounds of
+    expectation-maximisation are the beliefs under the weights so far.  Without mentions the node weights are zero.
     """
     docs = docs.select("doc_id", "text")
     sample = hash_sample(docs, F.xxhash64("doc_id", F.lit(seed)), sample_docs).where(F.col("text").rlike("[0-9@]"))
@@ -149,38 +190,63 @@ def fit(docs: DataFrame, sample_docs: int = 20_000, sample_mentions: int = 20_00
             for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 nodes = mentions(text, base_spans(text))
                 near = links(text, nodes)
-                label = [NONE if x < 0 else x for *_, x in nodes]
-                rows += [(h, k, label[k], features(text, s, e), label[k - 1] if k else -1, [label[a] for a, b in near if b == k]) for k, (s, e, _) in enumerate(nodes)]
+                rows += [(h, k, label, features(text, s, e), bool(k) and s - nodes[k - 1][1] <= GAP, [a for a, b in near if b == k]) for k, (s, e, label) in enumerate(nodes)]
             columns = zip(*rows, strict=True) if rows else ([],) * 6
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.int32(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["h", "k", "label", "x", "before", "near"])
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.bool_(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["h", "k", "label", "x", "chained", "near"])
 
-    seen = sample.mapInArrow(run, "h long, k int, label int, x array<double>, before int, near array<int>")
+    seen = sample.mapInArrow(run, "h long, k int, label int, x array<double>, chained boolean, near array<int>").dropDuplicates(["h", "k"])
     table = seen.orderBy("h", "k").limit(sample_mentions).toArrow()
     label = table.column("label").to_numpy().astype(int)
-    n, width = len(label), len(features("", 0, 0))
+    n, width, labels = len(label), len(features("", 0, 0)), NONE + 1
     x = np.array(table.column("x").to_pylist()).reshape(n, width)
-    node = np.zeros((width, NONE + 1))
-    for _ in range(rounds if n else 0):
-        z = x @ node
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(n), label] -= 1
-        node -= 2.0 * (x.T @ p / n + 1e-3 * node)
-    prior = np.bincount(label, minlength=NONE + 1) + 1.0
-    prior /= prior.sum()
-    chain, skip = np.ones((NONE + 1, NONE + 1)), np.ones((NONE + 1, NONE + 1)) + agreement * np.eye(NONE + 1)
-    for own, before, near in zip(label, table.column("before").to_pylist(), table.column("near").to_pylist(), strict=True):
-        if before >= 0:
-            chain[before, own] += 1
-        for other in near:
-            skip[other, own] += 1
-            skip[own, other] += 1
-    return {"node": node, "chain": np.log(chain / chain.sum() / np.outer(prior, prior)), "skip": np.log(skip / skip.sum() / np.outer(prior, prior))}
+    # the sample as one field, document behind document
+    first = np.arange(n) - table.column("k").to_numpy()
+    chain_edges = [(k - 1, k) for k, there in enumerate(table.column("chained").to_pylist()) if there]
+    skip_edges = [(int(first[k]) + a, k) for k, near in enumerate(table.column("near").to_pylist()) for a in near]
+    observed = label >= 0
+    belief = np.zeros((n, labels))
+    belief[np.arange(n), np.where(observed, label, NONE)] = 1.0
+    told = np.ones(n, bool)
+    for a, b in skip_edges:
+        if observed[a] != observed[b]:
+            told[a if observed[b] else b] = False
+    node, chain, skip = np.zeros((width, labels)), np.zeros((labels, labels)), np.zeros((labels, labels))
+    for _ in range(steps):
+        node = _logistic(x[told], belief[told], node, rounds)
+        prior = belief.sum(0) + 0.1
+        prior /= prior.sum()
+        tables = []
+        for edges, equal in ((chain_edges, 0.0), (skip_edges, agreement)):
+            counts = np.outer(prior, prior) * 10.0 + equal * 10.0 * np.diag(prior)
+            seen_by = observed if equal else told  # what links agree on is learnt from the patterns' labels alone
+            both = [(a, b) for a, b in edges if seen_by[a] and seen_by[b]]
+            if both:
+                a, b = np.array(both).T
+                pairs = belief[a].T @ belief[b]
+                counts += pairs + pairs.T if equal else pairs
+            tables.append(np.log(counts / counts.sum() / np.outer(prior, prior)))
+        chain, skip = tables
+        if not n or observed.all():
+            break
+        belief = believe(_clamped(x @ node, label), [*((a, b, chain) for a, b in chain_edges), *((a, b, skip) for a, b in skip_edges)])
+        told[:] = True
+    return {"node": node, "chain": chain, "skip": skip}
+
+
+def _clamped(score: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Node potentials with observed labels (not negative) made certain."""
+    seen = np.flatnonzero(label >= 0)
+    score[seen] = -50.0
+    score[seen, label[seen]] = 0.0
+    return score
 
 
 def believe(node: np.ndarray, edges: list[tuple[int, int, np.ndarray]], rounds: int = 15, damping: float = 0.3) -> np.ndarray:
     """Sum-product beliefs ``(nodes, labels)`` of a pairwise field with log potentials, by damped loopy message passing."""
+    if not edges:
+        p = np.exp(node - node.max(1, keepdims=True))
+        return p / p.sum(1, keepdims=True)
     a = np.array([x for x, _, _ in edges], int)
     b = np.array([x for _, x, _ in edges], int)
     table = np.array([t for *_, t in edges]).reshape(len(edges), *([node.shape[1]] * 2))
@@ -201,19 +267,18 @@ def believe(node: np.ndarray, edges: list[tuple[int, int, np.ndarray]], rounds:
     return p / p.sum(1, keepdims=True)
 
 
-def added_spans(text: str, base: list[tuple[int, int, int]], model: dict[str, np.ndarray], threshold: float = 0.9, gap: int = 80) -> list[tuple[int, int, int]]:
-    """Hidden mentions that take the label of a mention they are linked with, at a belief of ``threshold`` or more."""
+def added_spans(text: str, base: list[tuple[int, int, int]], model: dict[str, np.ndarray], threshold: float = 0.9) -> list[tuple[int, int, int]]:
+    """Hidden mentions that take the label of a mention they are linked with, at a belief of ``threshold`` or more.
+
+    The field is run wherever there is a hidden mention and another one, hidden or not.
+    """
     nodes = mentions(text, base)
     hidden = [k for k, x in enumerate(nodes) if x[2] < 0]
-    near = links(text, nodes) if hidden and len(hidden) < len(nodes) else []
-    if not any((nodes[a][2] < 0) != (nodes[b][2] < 0) for a, b in near):
+    if not hidden or len(nodes) < 2:
         return []
-    score = np.array([features(text, s, e) for s, e, _ in nodes]) @ model["node"]
-    for k, (*_, seen) in enumerate(nodes):
-        if seen >= 0:
-            score[k] = -50.0
-            score[k, seen] = 0.0
-    chained = [(k - 1, k, model["chain"]) for k in range(1, len(nodes)) if nodes[k][0] - nodes[k - 1][1] <= gap]
+    near = links(text, nodes)
+    score = _clamped(np.array([features(text, s, e) for s, e, _ in nodes]) @ model["node"], np.array([x[2] for x in nodes]))
+    chained = [(k - 1, k, model["chain"]) for k in range(1, len(nodes)) if nodes[k][0] - nodes[k - 1][1] <= GAP]
     belief = believe(score, [*chained, *((a, b, model["skip"]) for a, b in near)])
     label = belief.argmax(1)
     partners: dict[int, set[int]] = {}
@@ -241,10 +306,10 @@ def find(docs: DataFrame, model: dict[str, np.ndarray], redact: bool = False) ->
     """``docs`` plus ``n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans``; ``redact`` also replaces the spans in ``text``.
 
     The counts and the digest are those of the base spans; ``spans`` has the added ones too.  A null text is
-    empty (and stays null).  Columns of these names in ``docs`` are replaced.
+    empty (and stays null).  Columns of these names in ``docs``, in any case, are replaced.
     """
     made = ["n_email", "n_ip", "n_card", "n_phone", "n_added", "base_sha256", "spans"]
-    docs = docs.select(*[c for c in docs.columns if c not in made])
+    docs = drop_columns(docs, made)
     names = docs.columns
     at = names.index("text")
 
@@ -253,12 +318,12 @@ def find(docs: DataFrame, model: dict[str, np.ndarray], redact: bool = False) ->
             counts, digest, spans, texts = [], [], [], []
             for text in batch.column(at).to_pylist():
                 base = base_spans(text or "")
-                more = added_spans(text, base, model) if base else []
+                more = added_spans(text, base, model) if text and _ANY.search(text) else []
                 counts.append([*(sum(x[0] == k for x in base) for k in range(NONE)), len(more)])
                 digest.append(hashlib.sha256(written(base).encode()).hexdigest())
                 spans.append(written([*base, *more]))
                 if redact:
-                    texts.append(redacted(text, [*base, *more]) if base else text)
+                    texts.append(redacted(text, [*base, *more]) if base or more else text)
             columns = list(batch.columns)
             if redact:
                 columns[at] = pa.array(texts, pa.string())

@@ -247,3 +247,96 @@ def test_score_beyond_64_bits(spark):
     df = spark.createDataFrame([(10**12, 10**12 + 1, 10**12 + 7), (3, 7, 9)], "a long, l long, r long")
     got = [r[0] for r in df.select(collocations.ratio(F.col("a"), F.col("l"), F.col("r"))).collect()]
     assert got == [10**6 * 10**24 // ((10**12 + 1) * (10**12 + 7)), 10**6 * 9 // 63]
+
+
+# op9: the field
+
+
+def exact_marginals(node, edges):
+    from itertools import product
+
+    n, k = node.shape
+    out = np.zeros_like(node)
+    for labels in product(range(k), repeat=n):
+        w = np.exp(sum(node[i, x] for i, x in enumerate(labels)) + sum(t[labels[a], labels[b]] for a, b, t in edges))
+        for i, x in enumerate(labels):
+            out[i, x] += w
+    return out / out.sum(1, keepdims=True)
+
+
+@pytest.mark.parametrize("strength, off, same", [(0.5, 0.05, 1.0), (3.0, 0.25, 0.95)])
+def test_loopy_beliefs_against_enumeration(strength, off, same):
+    """Two cycles over few nodes: close to the exact marginals for weak links, the same labels for strong ones."""
+    from rankfold.llm import pii
+
+    rng = np.random.default_rng(3)
+    worst, agree, many = 0.0, 0, 0
+    for _ in range(40):
+        n = int(rng.integers(3, 6))
+        node = rng.normal(0, 1.5, (n, 3))
+        skip = np.log(np.ones((3, 3)) + strength * np.eye(3))
+        chain = rng.normal(0, 0.3, (3, 3))
+        edges = [(k - 1, k, chain) for k in range(1, n)] + [(0, n - 1, skip), (0, 2, skip)]
+        got, want = pii.believe(node, edges, rounds=60), exact_marginals(node, edges)
+        worst = max(worst, float(np.abs(got - want).max()))
+        agree += int((got.argmax(1) == want.argmax(1)).sum())
+        many += n
+    assert worst < off and agree >= same * many
+
+
+def test_planted_mentions_are_added_and_decoys_are_not(spark):
+    from rankfold.llm import pii
+
+    rng = random.Random(6)
+
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        while True:
+            d = "4" + digits(15)
+            if pii._luhn(d):
+                return d
+
+    def no_card():
+        while True:
+            d = "4" + digits(15)
+            if not pii._luhn(d):
+                return d
+
+    filler = ["the report was sent to them", "please look at the account again", "und dann kam noch etwas", "call back about it"]
+    rows, want, decoys = [], {}, {}
+    for k in range(600):
+        c, area, line = card(), digits(3), digits(4)
+        phone = f"+1 ({area}) 555-{line}"
+        typo = ("5" if c[0] != "5" else "6") + c[1:]
+        kind = k % 6
+        first, second = [(c, f"{no_card()} {c}"), (phone, f"({area}) 555-{line}"), (c, typo), (c, no_card()), (phone, f"token {digits(7)}ab{digits(9)}"), ("mail a.b@c.org", no_card())][kind]
+        text = f"{rng.choice(filler)} {first} {' '.join(rng.choices(filler, k=rng.randint(1, 6)))} {second} {rng.choice(filler)}"
+        rows.append((k, text))
+        at = text.rindex(second)
+        if kind in (0, 1, 2):
+            piece = c if kind == 0 else second
+            start = text.rindex(piece)
+            want[k] = ["card", "phone", "card"][kind] + f":{start}:{start + len(piece)}"
+        else:
+            decoys[k] = at
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = pii.fit(docs)
+    hits = extra = 0
+    for r in pii.find(docs, model).collect():
+        base = {f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in pii.base_spans(r["text"])}
+        spans = set(filter(None, r["spans"].split(",")))
+        assert base <= spans and r["n_added"] == len(spans) - len(base)
+        added = spans - base
+        hits += want.get(r["doc_id"]) in added
+        extra += len(added - {want.get(r["doc_id"])})
+    assert hits >= 0.9 * len(want) and extra <= 0.05 * hits
+
+
+def test_pii_names_in_any_case(spark):
+    from rankfold.llm import pii
+
+    docs = spark.createDataFrame([(1, "a@b.org 4845168114407329", "x", "y")], "doc_id long, text string, Spans string, N_EMAIL string")
+    row = pii.find(docs, pii.fit(docs)).first()
+    assert row["n_email"] == 1 and row["n_card"] == 1
