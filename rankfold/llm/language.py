@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rankfold.llm.common import text_bytes, text_chunks
+from rankfold.llm.common import drop_columns, text_bytes, text_chunks
 
 #: Number of hashed trigram classes; a model is ``languages * CLASSES`` numbers.
 CLASSES = 1 << 16
@@ -32,9 +32,12 @@ _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document index, trigram class and count, sorted by document, then class."""
     data, ends = text_bytes(texts)
-    if len(data) < 3:
+    if not len(data):
         return (np.zeros(0, np.int64),) * 3
-    low = _FOLD[data]
+    # a blank on either side, so that a text of one letter has a trigram too
+    low = np.full(len(data) + 2 * len(texts), 0x20, np.uint8)
+    low[np.arange(len(data)) + np.repeat(2 * np.arange(len(texts)) + 1, np.diff(ends))] = _FOLD[data]
+    ends = ends + 2 * np.arange(len(texts) + 1)
     code = low[:-2].astype(np.uint32) << np.uint32(16) | low[1:-1].astype(np.uint32) << np.uint32(8) | low[2:]
     inside = code != 0x202020
     edge = ends[1:-1]
@@ -78,11 +81,11 @@ def fit(docs: DataFrame, smoothing: float = 0.5, max_languages: int = 500) -> tu
     The result has ``languages * CLASSES`` numbers, whatever the number of rows; more than ``max_languages``
     languages raise.  Without rows there are no languages and every document is ``und``.
     """
-    counts = trigram_counts(docs.where("lang is not null and text is not null"))
-    table = counts.toArrow()
-    langs = sorted(set(table.column("lang").to_pylist()))
-    if len(langs) > max_languages:
+    docs = docs.where("lang is not null and text is not null")
+    if docs.select("lang").distinct().limit(max_languages + 1).count() > max_languages:
         raise ValueError(f"more than {max_languages} languages")
+    table = trigram_counts(docs).toArrow()
+    langs = sorted(set(table.column("lang").to_pylist()))
     total = np.zeros((len(langs), CLASSES))
     row = np.searchsorted(np.array(langs), table.column("lang").to_numpy()) if langs else np.zeros(0, int)
     total[row, table.column("gram").to_numpy()] = table.column("n").to_numpy()
@@ -146,12 +149,12 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, rounds: int =
     """``docs`` (with ``text``) plus ``lang_pred``, ``score`` and ``mixture``.
 
     ``lang_pred`` is the most present language of the chosen set (ties: the first by name), ``score`` its
-    proportion, ``mixture`` the set as ``lang:proportion``.  A null text, one without a letter, or one with no
-    trigram is ``und`` with score 0.  The model is broadcast: ``languages * CLASSES`` floats.
+    proportion, ``mixture`` the set as ``lang:proportion``.  A null text or one without a letter
+    is ``und`` with score 0.  The model is broadcast: ``languages * CLASSES`` floats.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score", "mixture")]
-    docs = docs.select(*columns)
+    docs = drop_columns(docs, ["lang_pred", "score", "mixture"])
+    columns = docs.columns
     at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,4 +193,4 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     inside = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
     langs, model = fit(docs.where(inside).select("lang", "text"))
-    return predict(docs, langs, model).withColumn("held_out", held_out(F.col("doc_id")))
+    return predict(drop_columns(docs, ["held_out"]), langs, model).withColumn("held_out", held_out(F.col("doc_id")))
