@@ -65,22 +65,38 @@ def fingerprint(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def with_next(docs: DataFrame, range_chars: int = 2_000_000, max_ranges: int = 10_000, k: int = 128, width: int = 5) -> DataFrame:
+def id_ranges(docs: DataFrame, parts: int, fan: int = 1000) -> tuple[DataFrame, int]:
+    """``docs`` plus ``_range``, about ``parts`` ranges of descending doc_id (null: the last one), and their number.
+
+    Ids are cut at approximate quantiles; beyond ``fan`` ranges in two levels, the quantiles of each first range in a table
+    of at most ``fan * fan`` numbers, so that ranges keep their size while the text grows to ``fan * fan`` of them.
+    """
+    ids = F.col("doc_id").cast("double")
+    first, second = min(parts, fan), min(fan, -(-parts // fan))
+    at = docs.select(F.percentile_approx("doc_id", [i / first for i in range(1, first)], 50 * first).alias("q")).first()["q"]
+    splits = [float("-inf"), *sorted({float(x) for x in at or (0,)}), float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="_d", outputCol="_coarse", handleInvalid="keep").transform(docs.withColumn("_d", F.coalesce(ids, F.lit(float("nan")))))
+    coarse, fine = len(splits) - 1, F.lit(0)
+    if second > 1:
+        cuts = ranged.where("doc_id is not null").groupBy("_coarse").agg(F.percentile_approx("doc_id", [i / second for i in range(1, second)], 50 * second).alias("_cuts"))
+        ranged = ranged.join(F.broadcast(checkpoint(cuts)), "_coarse", "left")
+        fine = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("doc_id"))), F.lit(0))
+    last = coarse * second
+    place = F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(last - 1 - (F.col("_coarse") * second + fine))
+    return ranged.withColumn("_range", place.cast("int")).select(*docs.columns, "_range"), last + 1
+
+
+def with_next(docs: DataFrame, range_chars: int = 2_000_000, k: int = 128, width: int = 5, fan: int = 1000) -> DataFrame:
     """``doc_id, n_chars, text, sketch, next_text, next_sketch`` in descending doc_id; the last one's next is the first.
 
-    Ids are cut at approximate quantiles into ranges of about ``range_chars`` of text (at most ``max_ranges``);
+    Ids are cut into ranges of about ``range_chars`` of text;
     the text is shuffled once, by range.  The next document of a range's last one is the first of the range
     below, from a table with one row per range.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     seen = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    parts = max(2, min(max_ranges, -(-seen // range_chars)))
-    at = docs.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 50 * parts).alias("q")).first()["q"]
-    splits = [float("-inf"), *sorted({float(x) for x in at or (0,)}), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_d", outputCol="_range", handleInvalid="keep").transform(docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan")))))
-    last = len(splits) - 1
-    ranged = ranged.withColumn("_range", F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(last - 1 - F.col("_range")).cast("int"))
-    ranged = ranged.withColumn("_tie", F.xxhash64("text")).drop("_d")
+    ranged, _ = id_ranges(docs, max(2, -(-seen // range_chars)), fan)
+    ranged = ranged.withColumn("_tie", F.xxhash64("text"))
 
     keys = ranged.select("_range", "doc_id", "_tie")
     top = keys.groupBy("_range").agg(F.min(F.struct(F.col("doc_id").isNull().alias("o"), -F.col("doc_id").cast("decimal(20,0)"), "_tie")).alias("s"))
