@@ -133,15 +133,21 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int,
     return slots
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, parts: int = 256) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, part_rows: int = 50_000) -> DataFrame:
     """``pieces`` (``doc_id, piece, start, length, ids_crc32``) plus ``sequence_id`` and ``offset``.
 
-    The histogram has at most ``capacity`` rows and the plan, which is broadcast, a small multiple of them.
+    A piece of ``capacity`` tokens is a sequence by itself, with a negative number, and takes no part in the plan.  The others are ranked
+    within their length, in parts of about ``part_rows`` rows.  The histogram has fewer than ``capacity`` rows and the plan, which is
+    broadcast, a small multiple of them.
     Pieces longer than ``capacity`` are a caller's error; equal rows each get a place; an empty table gives
     an empty result.
     """
     spark = pieces.sparkSession
-    rows = checkpoint(pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int")))
+    pieces = checkpoint(pieces)
+    full = pieces.where(F.col("length") == capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    short = pieces.where(F.col("length") != capacity)
+    parts = max(1, -(-short.count() // part_rows))
+    rows = short.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int"))
     counts = checkpoint(rows.groupBy("length", "_part").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     if histogram and max(histogram) > capacity:
@@ -154,6 +160,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, parts: int = 256) -> DataFrame
     placed = ranked.join(F.broadcast(slots), F.expr("length = slot_length and _rank >= first and _rank < stop"))
     place = F.col("_rank") - F.col("first")
     sequence = F.col("sequence") + F.floor(place / F.col("per"))
-    return placed.select(
-        *[c for c in pieces.columns], sequence.cast("long").alias("sequence_id"), (F.col("base") + place % F.col("per") * F.col("length")).alias("offset")
+    placed = placed.select(
+        *[F.col(c) for c in pieces.columns], sequence.cast("long").alias("sequence_id"), (F.col("base") + place % F.col("per") * F.col("length")).alias("offset")
     )
+    return placed.union(full)
