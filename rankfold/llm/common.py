@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankfold.session import checkpoint_dir
+
 #: A word is a run of bytes other than space and 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -30,15 +31,7 @@ def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a folder of its own only for local sessions without one."""
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not sc.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            configured = tempfile.mkdtemp(prefix="rankfold-ckpt-")
-        sc.setCheckpointDir(configured)
-    return sc._jsc.sc().getCheckpointDir().get()
+    return checkpoint_dir(spark)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

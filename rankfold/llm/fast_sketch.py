@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.llm.common import checkpoint, components, mix64, text_bytes, text_chunks
@@ -298,3 +298,17 @@ def near_duplicates(
     out = sk.select("doc_id", "n_shingles", "d1", "d2").join(of_class, ["d1", "d2"], "left")
     lone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", lone.alias("component_id"), F.coalesce(F.col("doc_id") == lone, F.lit(False)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without all but the document of the least id of each group of near duplicates.
+
+    Of rows that repeat an id and a text one stays; rows without an id stay, as no group can name them.
+    The documents are dealt by id once, at every size, whatever the planner thinks of the list of ids.
+    """
+    found = near_duplicates(docs, width=width, percent=percent)
+    kept = found.where("kept").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").withColumn("_fs_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    named = named.join(kept.hint("merge"), "doc_id", "left_semi")
+    once = named.withColumn("_fs_n", F.row_number().over(Window.partitionBy("doc_id", "_fs_h").orderBy("_fs_h"))).where("_fs_n = 1")
+    return once.select(*docs.columns).union(docs.where("doc_id is null"))

@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -92,8 +93,20 @@ def test_language_held_out_accuracy_and_mixture(spark):
 
 
 def test_trigrams_do_not_cross_documents():
-    doc, gram, count = language.trigrams(pa.array(["abc", "d", None, "abcabc", "  1"]))
-    assert doc.tolist() == [0, 3, 3, 3] and sorted(count[1:].tolist()) == [1, 1, 2]
+    texts = ["abc", "d", None, "abcabc", "  1", "Ö"]
+    doc, gram, count = language.trigrams(pa.array(texts))
+    for k, text in enumerate(texts):
+        low = b" " + re.sub(rb"[^a-z\x80-\xff]", b" ", (text or "").lower().encode()) + b" " if text != "Ö" else b" " + text.encode() + b" "
+        want = sorted(Counter(low[i : i + 3] for i in range(len(low) - 2) if low[i : i + 3].strip()).values())
+        assert sorted(count[doc == k].tolist()) == want
+
+
+def test_short_letters_have_a_language(spark):
+    docs = frame(spark, [(k, w * 5, lang) for k, (w, lang) in enumerate([("the cat is here ", "en"), ("der Hund ist groß und schön ", "de")] * 20)], "doc_id long, text string, lang string")
+    langs, model = language.fit(docs)
+    short = frame(spark, [(k, t) for k, t in enumerate(["a", "ok", "de", "Ö", "1", " ", ""])], "doc_id long, text string")
+    found = {r["text"]: r["lang_pred"] for r in language.predict(short, langs, model).collect()}
+    assert all(found[t] in ("en", "de") for t in ("a", "ok", "de", "Ö")) and found["1"] == found[" "] == found[""] == "und"
 
 
 # op4
@@ -295,8 +308,9 @@ def test_fingerprints_against_plain_version(spark):
 
 def test_next_document_across_ranges_and_merging(spark):
     docs = frame(spark, [(k * 3, f"text {k} " * 5) for k in range(200)], "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r["next_text"] for r in bottom_k.with_next(docs, range_chars=300).collect()}
-    assert all(got[k * 3] == f"text {(k - 1) % 200} " * 5 for k in range(200))
+    for fan in (1000, 5):
+        got = {r["doc_id"]: r["next_text"] for r in bottom_k.with_next(docs, range_chars=300, fan=fan).collect()}
+        assert all(got[k * 3] == f"text {(k - 1) % 200} " * 5 for k in range(200))
     parts = bottom_k.with_sketch(docs.withColumn("g", F.col("doc_id") % 2), "text", "s", k=16)
     merged = {r["g"]: r["s"] for r in bottom_k.merge_groups(parts, ["g"], "s", k=16).collect()}
     every = parts.select("g", F.explode("s").alias("h")).distinct().collect()
@@ -474,8 +488,12 @@ def test_mix_against_plain_version(spark):
         taken[source[r["doc_id"]]] = taken.get(source[r["doc_id"]], 0) + r["taken"]
     assert all(abs(taken[s] - target[s]) <= 0.5 for s in order)
     docs = frame(spark, rows, "doc_id long, text string, source string")
-    copies = mixing.mixed_documents(docs).select(F.sum(mixing.word_count(F.col("text"))).alias("n")).first()["n"]
-    assert copies == sum(taken.values())
+    copies = mixing.mixed_documents(docs, small_sources=0).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()
+    assert all(abs(r["n"] - target[r["source"]]) <= 20.5 for r in copies)  # half of the longest document
+    texts = {k: t for k, t, _ in rows}
+    assert all(texts[r["doc_id"]] == r["text"] for r in mixing.mixed_documents(docs).collect())
+    named = docs.select("*", *[F.lit(1).alias(c) for c in ("s", "Target", "epochs", "cut_key", "SIZE", "taken", "extra", "r", "n", "base", "budget")])
+    assert mixing.mixed_documents(named).columns == named.columns and mixing.mix(named, keep_text=True).columns[:4] == ["doc_id", "text", "source", "s"]
     heavy = mixing.mix(docs, quality=F.when(F.col("doc_id") < 200, 8.0).otherwise(1.0)).withColumn("low", F.col("doc_id") < 200)
     share = {r["low"]: r["s"] for r in heavy.where("epochs < 2").groupBy("low").agg(F.avg(F.col("extra") / F.greatest("size", F.lit(1))).alias("s")).collect()}
     assert share[True] > share[False]
