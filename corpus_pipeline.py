@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.llm import fast_sketch, language, mixing, packing, pii
@@ -26,17 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group that shares 0.8 of its five-word shingles.
-
-    Of rows that repeat an id and a text one stays; rows without an id stay, as no group can name them.
-    The documents are dealt by id once, at every size, whatever the planner thinks of the list of ids.
-    """
-    found = fast_sketch.near_duplicates(docs, width=5, percent=80)
-    kept = found.where("kept").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    named = named.join(kept.hint("merge"), "doc_id", "left_semi")
-    once = named.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy("_h"))).where("_n = 1")
-    return once.select(*docs.columns).union(docs.where("doc_id is null"))
+    """Keeps the document with the least id of each group that shares 0.8 of its five-word shingles."""
+    return fast_sketch.without_near_duplicates(docs, width=5, percent=80)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +37,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in weights 3, 1, 2, repeating, to 150% of the words; a document taken twice is two rows."""
+    """Sources in weights 3, 1, 2, repeating, to 150% of the words; a document taken twice is two rows, and each is whole."""
     return mixing.mixed_documents(docs)
 
 
