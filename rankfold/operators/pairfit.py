@@ -82,12 +82,16 @@ def _loss(si: np.ndarray, sj: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np
     return w * (np.log1p(e) + np.maximum(-d, 0.0)), -w * np.where(d >= 0, e, 1.0) / (1.0 + e)
 
 
-def _summed(parts: DataFrame, size: int) -> np.ndarray:
-    """Sum of the vectors that tasks give as rows ``i, v``."""
-    out = np.zeros(size)
-    table = parts.groupBy("i").agg(F.sum("v").alias("v")).toArrow()
-    out[table.column("i").to_numpy()] = table.column("v").to_numpy()
-    return out
+#: Numbers that tasks may send to the driver at once; beyond, Spark adds them up first.
+DRIVER_NUMBERS = 1 << 20
+
+
+def _summed(parts: DataFrame, size: int, tasks: int | None = None) -> np.ndarray:
+    """Sum of the vectors that tasks give as rows ``i, v``; ``tasks`` is the number of them, where it is known."""
+    if tasks is None or tasks * size > DRIVER_NUMBERS:
+        parts = parts.groupBy("i").agg(F.sum("v").alias("v"))
+    table = parts.toArrow()
+    return np.bincount(table.column("i").to_numpy(), table.column("v").to_numpy(), size)
 
 
 def _rows(total: np.ndarray) -> pa.RecordBatch:
@@ -200,13 +204,13 @@ def _many_block_pass(blocks: DataFrame, beta: np.ndarray, weights: np.ndarray, l
     return many.join(sums, ["rid", "block"]).select("x", "g", "h").mapInArrow(multiply, "i int, v double")
 
 
-def losses(blocks: DataFrame, beta: np.ndarray, weights: np.ndarray, several: bool, least: float = MIN_PAIR_WEIGHT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def losses(blocks: DataFrame, beta: np.ndarray, weights: np.ndarray, several: bool, least: float = MIN_PAIR_WEIGHT, tasks: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each fit (row of ``beta`` and ``weights``): summed loss, summed pair weight, number of pairs, and the gradient of the loss."""
     beta, weights = np.atleast_2d(np.asarray(beta, float)), np.atleast_2d(np.asarray(weights, float))
     parts = _one_block_pass(blocks, beta, weights, least)
     if several:
         parts = parts.union(_many_block_pass(blocks, beta, weights, least))
-    total = _summed(parts, beta.size + 3 * len(beta)).reshape(len(beta), -1)
+    total = _summed(parts, beta.size + 3 * len(beta), None if several else tasks).reshape(len(beta), -1)
     return total[:, 0], total[:, 1], total[:, 2].astype(int), total[:, 3:]
 
 
@@ -237,9 +241,10 @@ def fit_rankers(blocks: DataFrame, weights: Sequence[Sequence[float]], width: in
     if not width:
         return [Fit([], 0.0, 0.0, 0, 0) for _ in range(k)]
     scale, several = _moments(blocks, width)
+    tasks = blocks.rdd.getNumPartitions() if blocks.is_cached else None
 
     def at(z: np.ndarray, which: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        loss, weight, pairs, slope = losses(blocks, z / scale, weights[which], several)
+        loss, weight, pairs, slope = losses(blocks, z / scale, weights[which], several, tasks=tasks)
         weight = np.where(weight > 0, weight, 1.0)
         return loss / weight + 0.5 * reg_param * (z * z).sum(1), slope / scale / weight[:, None] + reg_param * z, pairs
 

@@ -55,14 +55,17 @@ def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool
     return out.where(F.abs(F.col("pair_weight")) >= F.lit(float(min_abs_weight))).drop("gap")
 
 
-def _cuts(long: DataFrame, value: str, session_rows: int) -> DataFrame | None:
+def _cuts(features: DataFrame, session_col: str, long: DataFrame, value: str, session_rows: int) -> DataFrame | None:
     """``rid, name, _cuts``: quantiles of ``value`` that cut the sessions above ``session_rows`` rows; None without such a session.
 
     Written to the shared folder; it has at most one cut for ``session_rows`` rows of the input.
     """
-    found = session_cuts(long.select(F.struct("rid", "name").alias("session_id"), F.col(value).alias("score")), session_rows)
-    found = written(found.select("session_id.rid", "session_id.name", "_cuts"))
-    return None if found.isEmpty() else found
+    large = features.groupBy(F.col(session_col).alias("rid")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > session_rows).select("rid")
+    if large.isEmpty():
+        return None
+    rows = long.join(large, "rid", "left_semi")
+    found = session_cuts(rows.select(F.struct("rid", "name").alias("session_id"), F.col(value).alias("score")), session_rows)
+    return written(found.select("session_id.rid", "session_id.name", "_cuts"))
 
 
 def _with_part(rows: DataFrame, cuts: DataFrame | None, value: str) -> DataFrame:
@@ -82,7 +85,7 @@ def pair_totals(features: DataFrame, session_col: str = Cols.RID, session_rows:
     part, and the sums of the parts (one row each) give the rest.  With b rows of sum s below a part and n rows of sum t in
     it, the pairs across are n*b and weigh t*b - n*s."""
     long = unnest_targets(features, session_col).where(F.col("target").isNotNull()).select("rid", "name", F.col("target").cast("double").alias("v"))
-    parted = _with_part(long, _cuts(long, "v", session_rows), "v").repartition("rid", "name", "part")
+    parted = _with_part(long, _cuts(features, session_col, long, "v", session_rows), "v").repartition("rid", "name", "part")
     per = parted.groupBy("rid", "name", "part", "v").agg(F.count(F.lit(1)).alias("c"))
     below = Window.partitionBy("rid", "name", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select("*", F.coalesce(F.sum("c").over(below), F.lit(0)).alias("b"), F.coalesce(F.sum(F.col("c") * F.col("v")).over(below), F.lit(0.0)).alias("s"))
@@ -142,17 +145,24 @@ def win_labels(features: DataFrame, session_col: str = Cols.RID, min_abs_weight:
         raise ValueError("min_abs_weight must be positive")
     long = unnest_targets(features, session_col).where(F.col("target").isNotNull())
     scaled = long.select("rid", "pos", "name", (F.abs("weight") * F.col("target")).cast("double").alias("v"))
-    cuts = _cuts(scaled, "v", session_rows)
+    cuts = _cuts(features, session_col, scaled, "v", session_rows)
+    if cuts is None:  # every session is ordered by one task: Spark's own range frame finds the border
+        lower = f"count(1) OVER (PARTITION BY rid, name ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND {float(min_abs_weight)!r}D PRECEDING)"
+        return _win_table(features, session_col, scaled.withColumn("c", F.expr(lower)))
     points = scaled.select("rid", "name", F.inline(F.array(
         F.struct("v", F.lit(0).alias("border"), "pos"), F.struct((F.col("v") - F.lit(float(min_abs_weight))).alias("v"), F.lit(1).alias("border"), "pos"))))
     upto = Window.partitionBy("rid", "name", "part").orderBy("v", "border").rowsBetween(Window.unboundedPreceding, 0)
     counted = _with_part(points, cuts, "v").withColumn("c", F.sum(1 - F.col("border")).over(upto)).where("border = 1")
-    if cuts is not None:  # rows below each part, of the sessions that have parts
-        sums = _with_part(scaled.join(F.broadcast(cuts.select("rid", "name")), ["rid", "name"]), cuts, "v").groupBy("rid", "name", "part").agg(F.count(F.lit(1)).alias("n"))
-        lower = cuts.select("rid", "name", F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("part")).join(sums, ["rid", "name", "part"], "left")
-        before = Window.partitionBy("rid", "name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        lower = lower.select("rid", "name", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("b"))
-        counted = counted.join(lower, ["rid", "name", "part"], "left").withColumn("c", F.col("c") + F.coalesce("b", F.lit(0)))
+    # rows below each part, of the sessions that have parts
+    sums = _with_part(scaled.join(F.broadcast(cuts.select("rid", "name")), ["rid", "name"]), cuts, "v").groupBy("rid", "name", "part").agg(F.count(F.lit(1)).alias("n"))
+    lower = cuts.select("rid", "name", F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("part")).join(sums, ["rid", "name", "part"], "left")
+    before = Window.partitionBy("rid", "name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    lower = lower.select("rid", "name", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("b"))
+    return _win_table(features, session_col, counted.join(lower, ["rid", "name", "part"], "left").withColumn("c", F.col("c") + F.coalesce("b", F.lit(0))))
+
+
+def _win_table(features: DataFrame, session_col: str, counted: DataFrame) -> DataFrame:
+    """Wins ``c`` by row and target, added up and divided by the greatest sum."""
     wins = counted.groupBy("rid", "pos").agg(F.sum("c").alias("wins"))
     rows = features.select(F.col(session_col).alias("rid"), Cols.POS)
     out = rows.join(wins, ["rid", "pos"], "left").withColumn("wins", F.coalesce("wins", F.lit(0)))
