@@ -21,11 +21,15 @@ from rankfold.config import CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_TARGETS
 from rankfold.session import get_spark
 
 
-def _read(spark, path: str, fmt: str):
-    from rankfold.sources.extracts import read_impressions
+def _read(spark, path: str, fmt: str, where=None):
+    """The table at ``path``; ``where`` is applied before rows are numbered."""
+    from rankfold.sources.extracts import read_impressions, with_file_positions
     if fmt == "json" or (fmt == "auto" and path.rstrip("/").endswith((".json", ".jsonl", ".ndjson"))):
-        return read_impressions(spark, path)
-    return spark.read.parquet(path)
+        return read_impressions(spark, path, where=where)
+    df = spark.read.parquet(path)
+    if "pos" not in df.columns:
+        return with_file_positions(df, where)
+    return df if where is None else df.where(where)
 
 
 def _vocab(spark, args) -> list[int]:
@@ -137,7 +141,9 @@ def main(argv=None) -> None:
             print(json.dumps([r.asDict() for r in out["target_details"].collect()]))
     elif args.cmd == "extract":
         from rankfold.plans.jobs import write_training_extract
-        write_training_extract(_read(spark, args.input, args.format), args.output, limit=args.limit,
+        from rankfold.sources.extracts import extract_predicate
+        kept = extract_predicate(nav_screen=args.nav_screen, platforms=args.platforms.split(","), formula_path=args.formula_path)
+        write_training_extract(_read(spark, args.input, args.format, kept), args.output, limit=args.limit,
                                whole_sessions=args.whole_sessions, nav_screen=args.nav_screen,
                                platforms=args.platforms.split(","), formula_path=args.formula_path)
 

@@ -470,3 +470,9 @@ last AS (SELECT c_custkey, (c_custkey * i) % 997 AS id, max(i) / 8.0 AS v FROM p
 hit AS (SELECT * FROM last WHERE id % 3 = 0 AND id <= 795)
 SELECT c_custkey, CAST(count(id) AS INTEGER) AS found, CAST(coalesce(sum(v), 0) - (266 - count(id)) AS DOUBLE) AS total,
   CAST(coalesce(max(v) FILTER (WHERE id = 495), -1) AS DOUBLE) AS v100 FROM customer LEFT JOIN hit USING (c_custkey) GROUP BY c_custkey"""
+
+ORACLE["ndjson_file_roundtrip"] = ORACLE["ndjson_roundtrip"]
+ORACLE["runlog_file"] = ORACLE["gauc_group_details"]
+ORACLE["vocab_file"] = ORACLE["vocab_resolve"]
+ORACLE["label_stats_empty"] = f"""WITH {IMPRESSIONS_DUCKDB}, none AS (SELECT count(*) AS n FROM impressions WHERE score < -1e300)
+SELECT unnest([{", ".join(f"'{t}'" for t in DEFAULT_TARGETS)}]) AS target, n AS total_samples, n AS total_positives, CAST(n AS DOUBLE) AS positive_rate FROM none"""

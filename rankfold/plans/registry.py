@@ -656,3 +656,56 @@ def q_trial_grid(spark, sf_dir):
     best = TU.best_trial(trials).select("trial", F.lit(True).alias("best"))
     return trials.join(best, "trial", "left").select("trial", "like_weight", "dislike_weight", "consumption_time_weight",
                                                      r9("value").alias("value"), F.coalesce("best", F.lit(False)).alias("best"))
+
+
+# ---------------------------------------------------------------- readers over files in the shared folder
+def _shared_path(spark, name):
+    import uuid
+
+    from rankfold.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("ndjson_file_roundtrip")
+def q_ndjson_file_roundtrip(spark, sf_dir):
+    """Impressions written as NDJSON files in (rid, pos) order and read by the file reader, which numbers the positions."""
+    path = _shared_path(spark, "impressions")
+    imp = impressions(spark, sf_dir)
+    ordered = imp.repartitionByRange("rid", "pos").sortWithinPartitions("rid", "pos")
+    ordered.select(F.to_json(F.struct(*[f.name for f in X.RAW_SCHEMA.fields])).alias("value")).write.text(path)
+    back = X.read_impressions(spark, path)
+    return back.select("rid", "pos", "score", F.array_join("events", ",").alias("events_str"), "viewTimeSec",
+                       "durationSeconds", "navScreen", "platform", "formulaPath", "typeId", "userType", "recommenderId",
+                       F.size("features").alias("n_features"), F.col("features")[0][1].alias("first_value"))
+
+
+@register("runlog_file")
+def q_runlog_file(spark, sf_dir):
+    """The run log written as NDJSON files and read back by its reader."""
+    path = _shared_path(spark, "runlog")
+    RL.render_messages(_details(spark, sf_dir), chunk_sessions=1000).write.json(path)
+    out = RL.all_session_aucs(RL.read_run_log(spark, path))
+    return out.select("target", "session_id", r9("auc").alias("auc"), "size", "positives", "negatives",
+                      r9("positive_rate").alias("positive_rate"))
+
+
+@register("vocab_file")
+def q_vocab_file(spark, sf_dir):
+    """The brand names as a name file, read in file order and resolved."""
+    path = _shared_path(spark, "names")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    # a vocabulary of a few dozen brands: one file
+    names = part.groupBy("p_brand").agg(F.min("p_partkey").alias("first")).repartition(1).sortWithinPartitions("first")
+    names.select(F.concat(F.lit("  "), "p_brand", F.lit(" ")).alias("value")).write.text(path)
+    ids = part.groupBy(F.col("p_brand").alias("feature_name")).agg((F.max("p_partkey") % 17).alias("feature_id"))
+    return FT.resolve_vocabulary(FT.read_feature_names(spark, path), ids.where("feature_id % 5 != 0")).select("idx", "feature_name", "feature_id")
+
+
+@register("label_stats_empty")
+def q_label_stats_empty(spark, sf_dir):
+    """An empty slice gives zeros for every target, an empty target list no row."""
+    empty = impressions(spark, sf_dir).where("score < -1e300")
+    labeled, names = M.with_labels(empty, DEFAULT_TARGETS)
+    stats = M.label_stats(labeled, names).select("target", "total_samples", "total_positives", r9("positive_rate").alias("positive_rate"))
+    nothing, _ = M.gauc(impressions(spark, sf_dir), [])
+    return stats.union(nothing.select("target", "total_samples", "total_positives", "positive_rate"))

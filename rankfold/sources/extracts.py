@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Iterable, Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +45,30 @@ def _to_double(c):
              .otherwise(c.try_cast("double")))
 
 
+_FILE_ORDER = ["_file", "_block", "_line"]
+
+
+def with_file_positions(df: DataFrame, where: Optional[Column] = None, session_col: str = Cols.RID) -> DataFrame:
+    """``df``, read from files, with ``pos``: the place of a row among those of its session, in the order of the files and their lines.
+
+    ``where`` is applied first, so it reaches the scan; only what it leaves is numbered.  A row without a session is one by
+    itself.
+    """
+    kept = df if where is None else df.where(where)
+    tagged = kept.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                         F.monotonically_increasing_id().alias("_line"))
+    alone = F.when(F.col(session_col).isNull(), F.xxhash64(*_FILE_ORDER))
+    order = Window.partitionBy(session_col, alone).orderBy(*_FILE_ORDER)
+    return tagged.withColumn(Cols.POS, F.row_number().over(order) - 1).drop(*_FILE_ORDER)
+
+
 def read_impressions(spark: SparkSession, path: str, extra_columns: Optional[dict] = None,
-                     score_columns: Iterable[str] = ("score",), malformed: str = "fail") -> DataFrame:
+                     score_columns: Iterable[str] = ("score",), malformed: str = "fail", where: Optional[Column] = None) -> DataFrame:
     """NDJSON impressions with an explicit schema; missing paths raise.
     A malformed line raises when it is read (``malformed="fail"``) or is left
     out (``"drop"``); it never counts as a row.  ``pos`` is the place of a row
-    among those of its session, in the order of the files and their lines.
+    among those of its session, in the order of the files and their lines; with ``where``
+    (a condition on the raw columns) among those that it leaves.
     ``extra_columns`` maps more column names to Spark types (e.g. a model score
     written by :func:`write_impressions`)."""
     fields = list(RAW_SCHEMA.fields)
@@ -59,10 +77,7 @@ def read_impressions(spark: SparkSession, path: str, extra_columns: Optional[dic
     schema = T.StructType(fields)
     mode = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[malformed]
     raw = spark.read.schema(schema).option("mode", mode).json(path)
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-                     F.monotonically_increasing_id().alias("_line"))
-    placed = with_positions(raw, Cols.RID, ["_file", "_block", "_line"]).drop("_file", "_block", "_line")
-    return normalize_raw(placed, score_columns)
+    return normalize_raw(with_file_positions(raw, where), score_columns)
 
 
 def normalize_raw(raw: DataFrame, score_columns: Iterable[str] = ("score",)) -> DataFrame:
@@ -93,7 +108,9 @@ def training_extract(df: DataFrame, limit: Optional[int] = 500_000, whole_sessio
     """S3: project 12 columns, filter (F3), order by rid (+ tie-break), first
     ``limit`` rows.  The cut is distributed (range partitions + offsets), not
     one merge task.  ``whole_sessions`` keeps only sessions that fit entirely."""
-    sel = df.where(extract_predicate(**predicate)).select(*EXTRACT_COLUMNS, tiebreak)
+    kept = df.where(extract_predicate(**predicate))
+    # a table without positions gets them by a digest of the row, among the rows that stay
+    sel = kept.select(*EXTRACT_COLUMNS, tiebreak) if tiebreak in df.columns else with_positions(kept.select(*EXTRACT_COLUMNS)).withColumnRenamed(Cols.POS, tiebreak)
     if limit is None:
         return sel
     if not whole_sessions:
