@@ -58,11 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the cluster names no folder (tests / local runs).
-        configured = os.environ.get("RANKFOLD_CHECKPOINT_DIR")
-        if not configured and not sc.master.startswith("local["):
+        # one process with threads only; several executors need a folder that all of them see
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = configured or tempfile.mkdtemp(prefix="rankfold-ckpt-")
+        configured = os.environ.get("RANKFOLD_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="rankfold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
