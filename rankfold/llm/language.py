@@ -22,6 +22,8 @@ from rankfold.llm.common import drop_columns, text_bytes, text_chunks
 #: Number of hashed trigram classes; a model is ``languages * CLASSES`` numbers.
 CLASSES = 1 << 16
 UNKNOWN = "und"
+#: Bytes of text that a task works on at a time; its arrays hold some hundred bytes for each.
+CHUNK = 1 << 19
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
@@ -60,7 +62,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
-        for batch in text_chunks(batches, "text"):
+        for batch in text_chunks(batches, "text", CHUNK):
             doc, gram, n = trigrams(batch.column(1))
             langs = batch.column(0).dictionary_encode()
             of = langs.indices.to_numpy()[doc]
@@ -159,7 +161,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, rounds: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
-        for batch in text_chunks(batches, "text"):
+        for batch in text_chunks(batches, "text", CHUNK):
             texts = batch.column(at)
             n = batch.num_rows
             shares = mixtures(*trigrams(texts), n, table, rounds, penalty)
