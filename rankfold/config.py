@@ -57,9 +57,6 @@ MIN_PAIR_WEIGHT = 1e-8
 # Weight-search ranges (like, dislike, consumption time).
 WEIGHT_RANGES = {"like_weight": (0.0, 1000.0), "dislike_weight": (0.0, 1000.0),
                  "consumption_time_weight": (0.0, 100.0)}
-# Loss names of the pairwise learner.
-LOSS_PAIR_LOGIT = "PairLogit"
-LOSS_PAIR_LOGIT_PAIRWISE = "PairLogitPairwise"
 # Summary field names (the run-log lookup accepts only these).
 SUMMARY_FIELDS = ("GAUCSimple", "GAUCWeighted", "n_groups", "std", "min", "max",
                   "median", "group_details", "target_details", "GAUC_valid")
