@@ -114,6 +114,13 @@ def session_cuts(narrow: DataFrame, session_rows: int) -> DataFrame:
     return q.select("session_id", cuts.alias("_cuts"))
 
 
+def part_of(value, cuts: str = "_cuts"):
+    """Number of the ascending ``cuts`` below ``value``, 0 without cuts: a search by halves, so its steps are the logarithm of their number."""
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(SESSION_STEPS.bit_length()))])
+    c = F.col(value) if isinstance(value, str) else value
+    return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get(F.col(cuts), at + half - 1) < c, at + half).otherwise(at))
+
+
 def score_counts(labeled: DataFrame, target_names: Sequence[str], session_col: str = Cols.RID, score_col: str = Cols.SCORE) -> DataFrame:
     """The kept table: ``session_id, score, _c`` and positives ``_p<i>`` of each target, combined before the one shuffle."""
     narrow = labeled.select(F.col(session_col).alias("session_id"), clean_score(score_col).alias("score"),
@@ -134,8 +141,7 @@ def _sums_by_session(per_score: DataFrame, k: int, session_rows: int) -> DataFra
     # one cut per session_rows rows in all, so its size is bounded by rows / session_rows
     cuts = written(session_cuts(per_score.select("session_id", "score"), session_rows))
     per_score = per_score.join(F.broadcast(cuts), "session_id", "left")
-    bucket = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("score"))), F.lit(0))
-    per_score = per_score.withColumn(_B, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket)).drop("_cuts")
+    per_score = per_score.withColumn(_B, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part_of("score"))).drop("_cuts")
     w_in = Window.partitionBy("session_id", _B).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     per_score = per_score.select("*", *[F.coalesce(F.sum(n).over(w_in), F.lit(0)).alias(f"_nb{i}")
                                         for i, n in enumerate(neg)])

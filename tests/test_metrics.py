@@ -268,3 +268,13 @@ def test_median_narrows_to_the_middle_values(spark, monkeypatch):
     details = spark.createDataFrame(rows, "target string, auc double, size long")
     got = {r["target"]: r["median"] for r in M.gauc_summary(details, accuracy=4).collect()}
     assert got == {t: float(np.median(vs)) for t, vs in values.items()}
+
+
+def test_part_of_a_value_is_found_in_few_steps(spark):
+    """The number of cuts below a value, for as many cuts as a session can have, without looking at each of them."""
+    rows = [(list(map(float, range(n))), v) for n in (0, 1, 2, 3, 64, 999, M.SESSION_STEPS) for v in (-1.0, 0.0, 0.5, 1.0, 63.0, 998.0, 998.5, 5000.0, float("nan"))]
+    df = spark.createDataFrame(rows + [([1.0, 2.0], None)], "_cuts array<double>, v double")
+    got = df.select("_cuts", "v", M.part_of("v").alias("part"), F.expr("size(filter(_cuts, c -> c < v))").alias("plain"))
+    assert [r["part"] for r in got.collect()] == [r["plain"] for r in got.collect()]
+    counts = spark.createDataFrame([("a", 1.0, 1, 0)], "session_id string, score double, _c long, _p0 long")
+    assert "filter(" not in M._sums_by_session(counts, 1, 10)._jdf.queryExecution().executedPlan().toString()
