@@ -113,21 +113,26 @@ def _json_string(token):
 def repair_message(message) -> F.Column:
     """G1: printed dict -> JSON text.  The message is cut into string literals
     and the rest; quotes and escapes change only inside the first, True / False
-    / None only in the second."""
+    / None only in the second.  Without an escape or a quotation mark every apostrophe
+    bounds a literal, so such a message is cut at them and needs no pattern."""
     m = F.col(message) if isinstance(message, str) else message
 
-    def repaired(t):
+    def unquoted(t):
         plain = t
         for word, value in (("True", "true"), ("False", "false"), ("None", "null")):
             plain = F.regexp_replace(plain, rf"\b{word}\b", value)
-        # most pieces hold nothing to repair but their quotes
-        wordless = ~(t.contains("True") | t.contains("False") | t.contains("None"))
+        # most pieces hold nothing to repair
+        return F.when(t.contains("True") | t.contains("False") | t.contains("None"), plain).otherwise(t)
+
+    def repaired(t):
         body = F.substring(t, F.lit(2), F.length(t) - 2)
         simple = F.concat(F.lit('"'), body, F.lit('"'))
         literal = F.when(body.contains("\\") | body.contains('"'), _json_string(t)).otherwise(simple)
-        return F.when(t.startswith("'") | t.startswith('"'), literal).when(wordless, t).otherwise(plain)
+        return F.when(t.startswith("'") | t.startswith('"'), literal).otherwise(unquoted(t))
 
-    return F.array_join(F.transform(F.regexp_extract_all(m, F.lit(_TOKEN), 0), repaired), "")
+    pieces = F.array_join(F.transform(F.split(m, "'"), lambda t, i: F.when(i % 2 == 0, unquoted(t)).otherwise(t)), '"')
+    tokens = F.array_join(F.transform(F.regexp_extract_all(m, F.lit(_TOKEN), 0), repaired), "")
+    return F.when(m.contains("\\") | m.contains('"'), tokens).otherwise(pieces)
 
 
 def parse_messages(logs: DataFrame, message_col: str = "message", strict: bool = True) -> DataFrame:
@@ -163,11 +168,12 @@ def select_result(logs: DataFrame, target: str, field: str = "group_details",
         if n is None:
             raise ValueError("position counts from the end and must be negative")
         if parts:
+            # read twice, for its times and for the chosen one: the messages are made and parsed once
+            hits = written(hits.select("timestamp", F.col("parsed")[target][field].alias("value")))
             times = [r[0] for r in hits.select("timestamp").distinct().orderBy(F.desc("timestamp")).limit(n).collect()]
             if len(times) < n:
                 raise IndexError(f"message {position} of {len(times)} for target {target!r}")
-            return hits.where(F.col("timestamp").eqNullSafe(F.lit(times[-1]).cast("double"))).select(
-                "timestamp", F.col("parsed")[target][field].alias("value"))
+            return hits.where(F.col("timestamp").eqNullSafe(F.lit(times[-1]).cast("double")))
         # top-n by time (small n): one TakeOrderedAndProject, then the n-th row
         last = hits.orderBy(F.desc("timestamp"), F.desc("message")).limit(n)
         nth = last.orderBy(F.asc("timestamp"), F.asc("message")).limit(1)

@@ -341,3 +341,27 @@ def test_first_n_with_ties_at_the_cut(spark):
         got = first_n(df, ["rid", "pos"], n).collect()
         assert len({r["k"] for r in got}) == len(got) == min(n, 7)
         assert sorted(order[r["k"]] for r in got) == sorted(order)[:n]
+
+
+def test_messages_without_escapes_need_no_pattern(spark):
+    """Cut at apostrophes or by the pattern: the same JSON, also for words inside literals and an odd number of apostrophes."""
+    texts = ["{'a': True, 'True': None, 'b None': False}", "{'x': [1, -2.5e-7], 'y': {'z': 'it is False'}}", "", "INFO True", "{'open: True", "None", "{'': ''}"]
+    df = spark.createDataFrame([(m,) for m in texts] + [(m + '\\"',) for m in texts[:2]], "m string")
+    got = [r[0] for r in df.select(RL.repair_message("m")).collect()]
+    assert json.loads(got[0]) == {"a": True, "True": None, "b None": False} and json.loads(got[1])["y"] == {"z": "it is False"}
+    assert got[2:4] == ["", "INFO true"] and got[5:7] == ["null", '{"": ""}']
+    plan = df.select(RL.repair_message("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan
+
+
+def test_messages_are_parsed_once_for_a_position(spark, monkeypatch):
+    """The nth message in parts: times and values come from a kept table, the log is in the plan of that one alone."""
+    kept, real = [], RL.written
+    monkeypatch.setattr(RL, "written", lambda df: kept.append(df) or real(df))
+    details = spark.createDataFrame([("t", str(i), 0.5, 2, 1, 1, 0.5) for i in range(30)],
+                                    "target string, session_id string, auc double, size long, positives long, negatives long, positive_rate double")
+    number = F.col("session_id").cast("long")
+    logs = RL.render_messages(details, start_time=0.0, chunk=number % 5, part=F.floor(number / 10))
+    out = RL.session_aucs(logs, "t", position=-2, parts=True)
+    assert sorted(int(r["session_id"]) for r in out.collect()) == [3, 8, 13, 18, 23, 28]
+    assert len(kept) == 1 and "from_json" not in out._jdf.queryExecution().optimizedPlan().toString()
