@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from rankfold.config import MIN_PAIR_WEIGHT, Cols
 from rankfold.operators.indexing import with_global_index
-from rankfold.operators.metrics import SESSION_ROWS, session_cuts
-from rankfold.session import written
+from rankfold.operators.metrics import SESSION_ROWS, part_of, session_cuts
+from rankfold.session import dealt, written
 
 
 def unnest_targets(features: DataFrame, session_col: str = Cols.RID, carry: tuple = ()) -> DataFrame:
@@ -24,6 +24,11 @@ def unnest_targets(features: DataFrame, session_col: str = Cols.RID, carry: tupl
                            F.inline("targets")).where(F.col("rid").isNotNull())
 
 
+def _kept(features: DataFrame, session_col: str, carry: tuple = ()) -> DataFrame:
+    """Session, position and targets, written once: the feature table is made a single time, however often its targets are read."""
+    return written(features.select(session_col, Cols.POS, "targets", *carry))
+
+
 def _winner_loser(features: DataFrame, session_col: str, carry: tuple = ()) -> DataFrame:
     """Self-join of the unnested table on (rid, name) keeping winner.target >
     loser.target.  Both sides are the same plan, so its shuffle is reused."""
@@ -45,12 +50,14 @@ def pair_table(features: DataFrame, session_col: str = Cols.RID, normalize: bool
     pair_weight`` for every pair with different targets and |weight| >= 1e-8.
     ``pair_weight = weight * |t_winner - t_loser|``.  Columns named in
     ``carry`` come along as ``<c>_w`` / ``<c>_l``."""
+    if normalize:  # read for the pairs and for the totals
+        features = _kept(features, session_col, tuple(carry))
     j = _winner_loser(features, session_col, tuple(carry))
     gap = F.col("t_w") - F.col("t_l")
     out = j.select("rid", "target", "winner_pos", "loser_pos", (F.col("weight") * gap).alias("pair_weight"),
                    gap.alias("gap"), *[c for c in j.columns if c.endswith(("_w", "_l")) and c not in ("t_w", "t_l")])
     if normalize:
-        total = pair_totals(features, session_col).select("rid", "target", "total_raw_weight")
+        total = _totals(features, session_col).select("rid", "target", "total_raw_weight")
         out = out.join(total, ["rid", "target"]).withColumn("pair_weight", F.col("pair_weight") / F.col("total_raw_weight")).drop("total_raw_weight")
     return out.where(F.abs(F.col("pair_weight")) >= F.lit(float(min_abs_weight))).drop("gap")
 
@@ -72,8 +79,7 @@ def _with_part(rows: DataFrame, cuts: DataFrame | None, value: str) -> DataFrame
     """``rows`` with ``part``, the number of cuts of the session below ``value`` (0 in sessions that have none)."""
     if cuts is None:
         return rows.withColumn("part", F.lit(0))
-    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(value))), F.lit(0))
-    return rows.join(F.broadcast(cuts), ["rid", "name"], "left").withColumn("part", F.when(F.col("_cuts").isNull(), 0).otherwise(part)).drop("_cuts")
+    return rows.join(F.broadcast(cuts), ["rid", "name"], "left").withColumn("part", F.when(F.col("_cuts").isNull(), 0).otherwise(part_of(value))).drop("_cuts")
 
 
 def pair_totals(features: DataFrame, session_col: str = Cols.RID, session_rows: int = SESSION_ROWS) -> DataFrame:
@@ -84,8 +90,14 @@ def pair_totals(features: DataFrame, session_col: str = Cols.RID, session_rows:
     Rows are dealt once, by session, target name and part of the session's range of targets; the ordered work runs within a
     part, and the sums of the parts (one row each) give the rest.  With b rows of sum s below a part and n rows of sum t in
     it, the pairs across are n*b and weigh t*b - n*s."""
+    return _totals(_kept(features, session_col), session_col, session_rows)
+
+
+def _totals(features: DataFrame, session_col: str, session_rows: int = SESSION_ROWS) -> DataFrame:
+    """:func:`pair_totals` of a kept table."""
     long = unnest_targets(features, session_col).where(F.col("target").isNotNull()).select("rid", "name", F.col("target").cast("double").alias("v"))
-    parted = _with_part(long, _cuts(features, session_col, long, "v", session_rows), "v").repartition("rid", "name", "part")
+    points = features.agg(F.sum(F.size("targets"))).first()[0] or 0
+    parted = dealt(_with_part(long, _cuts(features, session_col, long, "v", session_rows), "v"), points, "rid", "name", "part")
     per = parted.groupBy("rid", "name", "part", "v").agg(F.count(F.lit(1)).alias("c"))
     below = Window.partitionBy("rid", "name", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select("*", F.coalesce(F.sum("c").over(below), F.lit(0)).alias("b"), F.coalesce(F.sum(F.col("c") * F.col("v")).over(below), F.lit(0.0)).alias("s"))
@@ -143,28 +155,31 @@ def win_labels(features: DataFrame, session_col: str = Cols.RID, min_abs_weight:
     """
     if min_abs_weight <= 0:
         raise ValueError("min_abs_weight must be positive")
+    features = _kept(features, session_col)
+    n_points = features.agg(F.sum(F.size("targets"))).first()[0] or 0
     long = unnest_targets(features, session_col).where(F.col("target").isNotNull())
     scaled = long.select("rid", "pos", "name", (F.abs("weight") * F.col("target")).cast("double").alias("v"))
     cuts = _cuts(features, session_col, scaled, "v", session_rows)
     if cuts is None:  # every session is ordered by one task: Spark's own range frame finds the border
         lower = f"count(1) OVER (PARTITION BY rid, name ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND {float(min_abs_weight)!r}D PRECEDING)"
-        return _win_table(features, session_col, scaled.withColumn("c", F.expr(lower)))
+        return _win_table(features, session_col, dealt(scaled, n_points, "rid", "name").withColumn("c", F.expr(lower)), n_points)
     points = scaled.select("rid", "name", F.inline(F.array(
         F.struct("v", F.lit(0).alias("border"), "pos"), F.struct((F.col("v") - F.lit(float(min_abs_weight))).alias("v"), F.lit(1).alias("border"), "pos"))))
     upto = Window.partitionBy("rid", "name", "part").orderBy("v", "border").rowsBetween(Window.unboundedPreceding, 0)
-    counted = _with_part(points, cuts, "v").withColumn("c", F.sum(1 - F.col("border")).over(upto)).where("border = 1")
+    counted = dealt(_with_part(points, cuts, "v"), 2 * n_points, "rid", "name", "part").withColumn("c", F.sum(1 - F.col("border")).over(upto)).where("border = 1")
     # rows below each part, of the sessions that have parts
     sums = _with_part(scaled.join(F.broadcast(cuts.select("rid", "name")), ["rid", "name"]), cuts, "v").groupBy("rid", "name", "part").agg(F.count(F.lit(1)).alias("n"))
     lower = cuts.select("rid", "name", F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("part")).join(sums, ["rid", "name", "part"], "left")
     before = Window.partitionBy("rid", "name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     lower = lower.select("rid", "name", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("b"))
-    return _win_table(features, session_col, counted.join(lower, ["rid", "name", "part"], "left").withColumn("c", F.col("c") + F.coalesce("b", F.lit(0))))
+    return _win_table(features, session_col, counted.join(lower, ["rid", "name", "part"], "left").withColumn("c", F.col("c") + F.coalesce("b", F.lit(0))), n_points)
 
 
-def _win_table(features: DataFrame, session_col: str, counted: DataFrame) -> DataFrame:
+def _win_table(features: DataFrame, session_col: str, counted: DataFrame, points: int) -> DataFrame:
     """Wins ``c`` by row and target, added up and divided by the greatest sum."""
-    wins = counted.groupBy("rid", "pos").agg(F.sum("c").alias("wins"))
-    rows = features.select(F.col(session_col).alias("rid"), Cols.POS)
+    # the rows of a task stay as many when there are more
+    wins = dealt(counted.select("rid", "pos", "c"), points, "rid", "pos").groupBy("rid", "pos").agg(F.sum("c").alias("wins"))
+    rows = dealt(features.select(F.col(session_col).alias("rid"), Cols.POS), points, "rid", "pos")
     out = rows.join(wins, ["rid", "pos"], "left").withColumn("wins", F.coalesce("wins", F.lit(0)))
     # the maximum as a scalar subquery: the wins aggregate is planned once
     # and its exchange reused, instead of a separate driver round trip

@@ -50,6 +50,22 @@ def written(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task orders at a time where a large table is dealt by key.
+TASK_ROWS = 1_000_000
+
+
+def tasks_for(spark, rows: int) -> int | None:
+    """Number of tasks for ``rows`` rows; None while the session's shuffle partitions are enough for them."""
+    tasks = -(-int(rows) // TASK_ROWS)
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def dealt(df, rows: int, *keys: str):
+    """``df``, of about ``rows`` rows, dealt by ``keys`` over tasks whose number grows with the rows."""
+    tasks = tasks_for(df.sparkSession, rows)
+    return df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is configured."""
     sc = spark.sparkContext

@@ -165,3 +165,37 @@ def test_extract_of_a_table_without_positions(spark):
     df = make_impressions(spark, [{"rid": f"r{k % 3}", "score": float(k), "events": ["actionPlay"]} for k in range(9)]).drop("pos")
     got = X.training_extract(df, limit=5, platforms=["android", "vk_video_android"])
     assert got.count() <= 5 and "pos" in got.columns
+
+
+def test_feature_table_is_made_once_and_tasks_grow(spark, monkeypatch):
+    """Totals, normalised pairs and win labels read a kept table of targets, and large ones are dealt over more tasks."""
+    from rankfold import session
+    from rankfold.operators import pairs as PR
+
+    kept, real = [], PR.written
+    monkeypatch.setattr(PR, "written", lambda df: kept.append(df) or real(df))
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    target = "array(struct('a' as name, cast(id % 7 as double) as target, 2D as weight))"
+    ft = spark.range(200).selectExpr("cast(id % 9 as string) as rid", "id as pos", f"{target} as targets")
+    for made in (PR.pair_totals(ft), PR.win_labels(ft), PR.pair_table(ft, normalize=True)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Range (" not in plan and ", 20)" in plan.replace(", REPARTITION", ")").replace("))", ")")
+    assert len(kept) == 3
+    assert session.tasks_for(spark, 5) is None and session.tasks_for(spark, 10**4) == 1000
+
+
+def test_blocks_and_classifier_read_their_rows_once(spark, monkeypatch):
+    """The rows that blocks are made of and the matrix of the classifier are written once, whatever reads them later."""
+    from rankfold.operators import pairfit as PF
+    from rankfold.operators import ranker as RK
+
+    kept = []
+    for module in (PF, RK):
+        real = module.written
+        monkeypatch.setattr(module, "written", lambda df, real=real: kept.append(df) or real(df))
+    target = "array(struct('a' as name, cast(id % 7 as double) as target, 2D as weight))"
+    ft = spark.range(50).selectExpr("cast(id % 3 as string) as rid", "id as pos", "array(float(id)) as features", f"{target} as targets")
+    assert "Range (" not in PF.session_blocks(ft, block_rows=4)._jdf.queryExecution().executedPlan().toString() and len(kept) == 1
+    x = spark.range(60).selectExpr("id", "cast(id % 5 as double) as feat_1", "cast(id % 3 = 0 as int) as label")
+    RK.linear_classifier(x, ["feat_1"])
+    assert len(kept) == 2 and kept[1].columns == ["feat_1", "label"]
