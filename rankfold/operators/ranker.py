@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from rankfold.config import BIG_NEGATIVE, GRADED_TARGET_NAMES, Cols
 from rankfold.functions.vectors import dot
 from rankfold.operators.pairfit import fit_rankers, session_blocks
+from rankfold.session import written
 
 
 def clean_vector(features: str = "features", missing: float = BIG_NEGATIVE):
@@ -124,6 +125,8 @@ def linear_classifier(x_train: DataFrame, feature_cols: Sequence[str], c: float
     regression with ``regParam = 1 / (C * n)`` (the same optimum as an
     inverse-strength-C penalty).  Columns that are entirely missing are
     dropped first (the imputer cannot fill them)."""
+    # written once: the imputer, the scaler and the regression read the matrix again and again
+    x_train = written(x_train.select(*feature_cols, F.col(label_col).cast("double").alias(label_col)))
     # one pass for the columns that are present and the number of rows
     seen = x_train.agg(F.count(F.lit(1)), *[F.count(F.when(~F.isnan(F.col(c_)), 1)) for c_ in feature_cols]).first()
     n, cols = seen[0], [c_ for c_, k in zip(feature_cols, seen[1:], strict=True) if k > 0]
@@ -135,7 +138,7 @@ def linear_classifier(x_train: DataFrame, feature_cols: Sequence[str], c: float
         LogisticRegression(featuresCol="_scaled", labelCol=label_col, regParam=1.0 / (c * max(n, 1)),
                            elasticNetParam=0.0, maxIter=max_iter, standardization=False, tol=tol),
     ]
-    return Pipeline(stages=stages).fit(x_train.withColumn(label_col, F.col(label_col).cast("double"))), cols
+    return Pipeline(stages=stages).fit(x_train), cols
 
 
 def predict_classifier(model, x: DataFrame) -> DataFrame:

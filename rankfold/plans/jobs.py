@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from typing import Optional, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +24,7 @@ from rankfold.operators import metrics as M
 from rankfold.operators import ranker as RK
 from rankfold.operators import tuning as TU
 from rankfold.plans.evaluate import evaluate
+from rankfold.session import written
 from rankfold.sources.extracts import training_extract
 
 
@@ -68,12 +68,8 @@ def linear_model_auc(train: DataFrame, test: DataFrame, target_label: str = EV_A
                      max_features: int = 213, c: float = 10.0) -> DataFrame:
     """Entry D: B8 matrices -> R8 classifier -> AUC of predictions and probabilities."""
     x_train, x_test, ids = MX.train_test_split(train, test, target_label, max_features=max_features)
-    x_train = x_train.persist(StorageLevel.MEMORY_AND_DISK)  # read for the columns, the imputer, the scaler and every iteration
-    try:
-        model, _ = RK.linear_classifier(x_train, [f"feat_{i}" for i in ids], c=c)
-    finally:
-        x_train.unpersist()
-    pred = RK.predict_classifier(model, x_test)
+    model, _ = RK.linear_classifier(x_train, [f"feat_{i}" for i in ids], c=c)
+    pred = written(RK.predict_classifier(model, x_test).select("label", "prediction", "p1"))
     parts = []
     for kind, col in (("prediction", "prediction"), ("probability", "p1")):
         lab = pred.select(F.col("label").alias("label_y"), F.col(col).alias("s"))

@@ -16,6 +16,7 @@ from rankfold.config import DEFAULT_TARGETS
 from rankfold.plans.evaluate import evaluate
 from rankfold.sources.testdata import impressions
 from rankfold.operators import metrics as M
+from rankfold.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -413,7 +414,7 @@ def q_linear_classifier_auc(spark, sf_dir):
     x_train, x_test, ids = MX.train_test_split(train, test, "actionPlay", max_features=213)
     cols = [f"feat_{i}" for i in ids]
     model, used = RK.linear_classifier(x_train, cols)
-    pred = RK.predict_classifier(model, x_test)
+    pred = written(RK.predict_classifier(model, x_test).select("label", "prediction", "p1"))  # read for both AUCs and their quantiles
     out = []
     for name, col in (("prediction", "prediction"), ("probability", "p1")):
         labeled = pred.select(F.col("label").alias("label_y"), F.col(col).alias("s"))
