@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.config import BIG_NEGATIVE, GRADED_TARGET_NAMES, MIN_PAIR_WEIGHT, Cols
+from rankfold.session import written
 
 BLOCK_ROWS = 2048
 #: Cells of the pair matrices that a task works on at a time.
@@ -48,6 +49,7 @@ def session_blocks(features: DataFrame, block_rows: int = BLOCK_ROWS, session_co
     x = F.transform("features", lambda v: F.when(F.isnan(v) | v.isNull() | (v <= F.lit(BIG_NEGATIVE) / 2), F.lit(0.0)).otherwise(v.cast("double")))
     rows = features.where(F.col(session_col).isNotNull()).select(
         F.col(session_col).alias("rid"), F.col(Cols.POS).alias("pos"), x.alias("x"), F.transform("targets", lambda t: t["target"].cast("double")).alias("t"))
+    rows = written(rows)  # read for the sizes of the sessions and for their blocks
     # only sessions of several blocks: at most rows / block_rows of them; the planner broadcasts them while they are few
     large = rows.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows)
     large = large.select("rid", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
@@ -166,25 +168,37 @@ def _many_block_pass(blocks: DataFrame, beta: np.ndarray, weights: np.ndarray, l
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit in range(batch.num_rows):
-                one = batch.slice(unit, 1)
-                s, t, s2, t2 = (_flat(one.column(k), w)[0] for k, w in ((3, fits), (4, kinds), (5, fits), (6, kinds)))
-                alone = one.column(1)[0] == one.column(2)[0]
-                head, ga, gb = np.zeros((fits, 3)), np.zeros((len(s), fits)), np.zeros((len(s2), fits))
-                step = max(1, CELLS // max(len(s2), 1))
-                for f in range(fits):
-                    for k in range(0, len(s), step):
-                        part = slice(k, k + step)
-                        for si, ti, sj, tj, gi, gj in ((s[part], t[part], s2, t2, ga[part], gb), (s2, t2, s[part], t[part], gb, ga[part]))[: 1 if alone else 2]:
-                            w, counts = _pairs(ti, tj, weights[f], least)
-                            loss, slope = _loss(si[:, f], sj[:, f], w)
-                            head[f] += loss.sum(), w.sum(), counts.sum()
-                            gi[:, f] += slope.sum(1)
-                            gj[:, f] -= slope.sum(0)
-                sides = [(one.column(1), ga + gb if alone else ga, head), *([] if alone else [(one.column(2), gb, np.zeros_like(head))])]
-                for block, g, h in sides:
-                    cells = [one.column(0), block, pa.array([g.ravel().tolist()], pa.list_(pa.float64())), pa.array([h.ravel().tolist()], pa.list_(pa.float64()))]
-                    yield pa.RecordBatch.from_arrays(cells, ["rid", "block", "g", "h"])
+            (s, n), (t, _), (s2, n2), (t2, _) = (_flat(batch.column(k), w) for k, w in ((3, fits), (4, kinds), (5, fits), (6, kinds)))
+            alone = batch.column(1).to_numpy() == batch.column(2).to_numpy()
+            first, first2 = np.cumsum(n) - n, np.cumsum(n2) - n2
+            ga, gb, head = np.zeros((len(s), fits)), np.zeros((len(s2), fits)), np.zeros((batch.num_rows, fits, 3))
+            # units of equal shape together, and of a large one some rows at a time
+            for rows, rows2, one in sorted(set(zip(n.tolist(), n2.tolist(), alone.tolist()))):
+                same = np.flatnonzero((n == rows) & (n2 == rows2) & (alone == one))
+                step, many_rows = max(1, CELLS // max(rows * rows2, 1)), max(1, CELLS // max(rows2, 1))
+                for u in (same[k : k + step] for k in range(0, len(same), step)):
+                    right = first2[u, None] + np.arange(rows2)
+                    for k in range(0, rows, many_rows):
+                        left = first[u, None] + np.arange(k, min(k + many_rows, rows))
+                        for f in range(fits):
+                            sides = ((s, t, left, ga, s2, t2, right, gb), (s2, t2, right, gb, s, t, left, ga))
+                            for si, ti, i, gi, sj, tj, j, gj in sides[: 1 if one else 2]:
+                                w, counts = _pairs(ti[i], tj[j], weights[f], least)
+                                loss, slope = _loss(si[i, f], sj[j, f], w)
+                                head[u, f] += np.stack([loss.sum((1, 2)), w.sum((1, 2)), counts.sum((1, 2))], 1)
+                                gi[i, f] += slope.sum(2)
+                                gj[j, f] -= slope.sum(1)
+                if one:  # both sides are the same rows
+                    left, right = first[same, None] + np.arange(rows), first2[same, None] + np.arange(rows)
+                    ga[left] += gb[right]
+
+            def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+                return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values.ravel()))
+
+            names, sums = ["rid", "block", "g", "h"], lists(head, np.full(batch.num_rows, 3 * fits))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(ga, n * fits), sums], names)
+            none = lists(np.zeros(head.size), np.full(batch.num_rows, 3 * fits))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists(gb, n2 * fits), none], names).filter(pa.array(~alone))
 
     weighed = units.mapInArrow(meet, f"rid {key}, block int, g array<double>, h array<double>")
 
@@ -194,11 +208,13 @@ def _many_block_pass(blocks: DataFrame, beta: np.ndarray, weights: np.ndarray, l
         """The vectors of each block by the sum of its row weights over the units it was in."""
         total = np.zeros((fits, 3 + width))
         for batch in batches:
-            for k in range(batch.num_rows):
-                x = np.array(batch.column(0)[k].values).reshape(-1, width)
-                g = np.array(batch.column(1)[k].values.flatten()).reshape(len(batch.column(1)[k]), -1).sum(0)
-                total[:, :3] += np.array(batch.column(2)[k].values.flatten()).reshape(-1, fits, 3).sum(0)
-                total[:, 3:] += g.reshape(-1, fits).T @ x
+            x, n = _flat(batch.column(0), width)
+            units = batch.column(1).value_lengths().to_numpy()  # lists of row weights of each block
+            start, size = np.repeat((np.cumsum(n) - n) * fits, units), np.repeat(n * fits, units)
+            place = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            g = np.bincount(place, batch.column(1).flatten().flatten().to_numpy(), len(x) * fits).reshape(-1, fits)
+            total[:, :3] += batch.column(2).flatten().flatten().to_numpy().reshape(-1, fits, 3).sum(0)
+            total[:, 3:] += g.T @ x
         yield _rows(total)
 
     return many.join(sums, ["rid", "block"]).select("x", "g", "h").mapInArrow(multiply, "i int, v double")

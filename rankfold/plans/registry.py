@@ -352,7 +352,7 @@ def q_pairwise_gradient(spark, sf_dir):
     """Mean pairwise-logit loss, its gradient, pairs and weight at fixed coefficients, from row weights (no pair table)."""
     from rankfold.operators import pairfit as PF
     train, _ = _split(spark, sf_dir)
-    blocks = PF.session_blocks(FT.feature_table(train, RANK_VOCAB, *WEIGHTS), block_rows=4)  # sessions of several blocks too
+    blocks = written(PF.session_blocks(FT.feature_table(train, RANK_VOCAB, *WEIGHTS), block_rows=4))  # sessions of several blocks too
     loss, weight, pairs, slope = PF.losses(blocks, FIXED_COEF, WEIGHTS, several=True)
     rows = [("loss", loss[0] / weight[0]), ("weight", weight[0]), ("pairs", float(pairs[0]))]
     rows += [(str(i), g / weight[0]) for i, g in zip(RANK_VOCAB, slope[0].tolist())]
