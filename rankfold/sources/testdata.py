@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankfold.config import DEFAULT_FORMULA_PATH
+from rankfold.session import tasks_for
 
 OTHER_FORMULA_PATH = "other-formula"
+#: Parts above which they are dealt by key with the lines of a large table; fewer are left to the planner, which may broadcast them.
+LARGE_PARTS = 2_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +44,20 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
 
-    j = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    # More tasks for more rows (the count reads file footers only): the rows that a task orders by session stay as many.
+    tasks = tasks_for(spark, li.count())
+    if tasks and part.count() > LARGE_PARTS:
+        li, part = li.repartition(tasks, "l_partkey"), part.repartition(tasks, "p_partkey").hint("shuffle_hash")
+    j = li.join(part, li.l_partkey == part.p_partkey)
     # Cluster by session: the position window needs exactly this distribution
     # (no second exchange), and it mirrors the stored layout we recommend for
     # impressions (clustered / bucketed by rid), so per-row work is spread over
     # all tasks even when the source file has a single row group.
-    j = j.repartition("l_orderkey")
+    if tasks:
+        j = j.repartition(tasks, "l_orderkey")
+        j = j.join(orders.repartition(tasks, "o_orderkey").hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
+    else:
+        j = j.join(orders, li.l_orderkey == orders.o_orderkey).repartition("l_orderkey")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     ln = F.col("l_linenumber")
     tax = F.col("l_tax")

@@ -1,6 +1,7 @@
 """The pairwise fit over session blocks, hot sessions in parts, and the Arrow kernel, against plain versions."""
 
 import math
+import os
 import random
 
 import numpy as np
@@ -199,3 +200,22 @@ def test_blocks_and_classifier_read_their_rows_once(spark, monkeypatch):
     x = spark.range(60).selectExpr("id", "cast(id % 5 as double) as feat_1", "cast(id % 3 = 0 as int) as label")
     RK.linear_classifier(x, ["feat_1"])
     assert len(kept) == 2 and kept[1].columns == ["feat_1", "label"]
+
+
+def test_impressions_are_dealt_over_more_tasks(spark, monkeypatch):
+    """More lines than the session's partitions hold: lines, orders and parts are dealt by key over as many tasks; the same rows."""
+    from rankfold import session
+    from rankfold.sources import testdata as TD
+
+    sf = os.environ.get("RANKFOLD_TEST_SF", "/root/testdata/sf0.001")
+    if not os.path.exists(sf):
+        pytest.skip("test tables not present")
+    few = TD.impressions(spark, sf)
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    monkeypatch.setattr(TD, "LARGE_PARTS", 10)
+    many = TD.impressions(spark, sf)
+    tasks = -(-spark.read.parquet(f"{sf}/lineitem.parquet").count() // 500)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {tasks}), REPARTITION_BY_NUM") >= 3 and "SortMergeJoin" not in plan
+    digest = F.expr("bit_xor(xxhash64(*))")
+    assert few.agg(F.count("*"), digest).first() == many.agg(F.count("*"), digest).first()
