@@ -673,7 +673,7 @@ def q_ndjson_file_roundtrip(spark, sf_dir):
     path = _shared_path(spark, "impressions")
     imp = impressions(spark, sf_dir)
     ordered = imp.repartitionByRange("rid", "pos").sortWithinPartitions("rid", "pos")
-    ordered.select(F.to_json(F.struct(*[f.name for f in X.RAW_SCHEMA.fields])).alias("value")).write.text(path)
+    ordered.select(F.to_json(F.struct(*[f.name for f in X.RAW_SCHEMA.fields])).alias("value")).write.text(path, compression="gzip")
     back = X.read_impressions(spark, path)
     return back.select("rid", "pos", "score", F.array_join("events", ",").alias("events_str"), "viewTimeSec",
                        "durationSeconds", "navScreen", "platform", "formulaPath", "typeId", "userType", "recommenderId",
