@@ -577,13 +577,19 @@ def q_win_labels_hot(spark, sf_dir):
     return w.groupBy("rid", "wins").agg(F.count(F.lit(1)).alias("n"))
 
 
+DENSE_TASK_ROWS = 10_000
+
+
 @register("dense_wide")
 def q_dense_wide(spark, sf_dir):
     """X3 at the reference's width: 400 pairs a row on 266 vocabulary ids, ids repeated and unknown ones too."""
     from rankfold.functions.vectors import dense_vector
     key = F.col("c_custkey")
     pairs = F.transform(F.sequence(F.lit(1), F.lit(400)), lambda i: F.array((key * i % 997).cast("double"), i / 8.0))
-    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", dense_vector(pairs, WIDE_VOCAB, default=-1.0).alias("v"))
+    keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
+    # a row becomes 400 pairs: tasks by the number of rows, not by the few bytes of their keys
+    keys = keys.repartition(max(1, -(-keys.count() // DENSE_TASK_ROWS)))
+    rows = keys.select("c_custkey", dense_vector(pairs, WIDE_VOCAB, default=-1.0).alias("v"))
     return rows.select("c_custkey", F.size(F.filter("v", lambda x: x >= 0)).alias("found"),
                        F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("total"), F.col("v")[100].cast("double").alias("v100"))
 

@@ -365,3 +365,17 @@ def test_messages_are_parsed_once_for_a_position(spark, monkeypatch):
     out = RL.session_aucs(logs, "t", position=-2, parts=True)
     assert sorted(int(r["session_id"]) for r in out.collect()) == [3, 8, 13, 18, 23, 28]
     assert len(kept) == 1 and "from_json" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_rows_with_much_work_and_compressed_lines(spark, monkeypatch):
+    """Customers are dealt by number before their pairs are made; the NDJSON files of the round trip are compressed."""
+    from rankfold.plans import registry as R
+
+    sf = os.environ.get("RANKFOLD_TEST_SF", "/root/testdata/sf0.001")
+    if not os.path.exists(sf):
+        pytest.skip("test tables not present")
+    monkeypatch.setattr(R, "DENSE_TASK_ROWS", 10)
+    n = spark.read.parquet(f"{sf}/customer.parquet").count()
+    assert f"RoundRobinPartitioning({-(-n // 10)})" in R.q_dense_wide(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    back = R.q_ndjson_file_roundtrip(spark, sf)
+    assert back.inputFiles() and all(f.endswith(".gz") for f in back.inputFiles())
