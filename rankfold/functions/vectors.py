@@ -6,7 +6,7 @@ higher-order functions."""
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -139,8 +139,17 @@ def text_width(value: str | Column) -> Column:
     return F.size(F.split(v, "\t")) - 2
 
 
-def dot(features: str | Column, coefficients: Sequence[float]) -> Column:
-    """Linear score: sum_i x_i * c_i, left to right."""
+#: Entries up to which a linear score is written out term by term, which Spark compiles.
+UNROLLED = 64
+
+
+def dot(features: str | Column, coefficients: Sequence[float], value: Callable[[Column], Column] = lambda x: x.cast("double")) -> Column:
+    """Linear score: sum_i value(x_i) * c_i, left to right; NULL where a vector has another length."""
     feats = F.col(features) if isinstance(features, str) else features
+    if len(coefficients) <= UNROLLED:
+        total = F.lit(0.0)
+        for i, c in enumerate(coefficients):
+            total = total + value(F.get(feats, F.lit(i))) * F.lit(float(c))
+        return F.when(F.size(feats) == len(coefficients), total)
     coef = F.array(*[F.lit(float(c)) for c in coefficients])
-    return F.aggregate(F.zip_with(feats, coef, lambda x, c: x.cast("double") * c), F.lit(0.0), lambda a, b: a + b)
+    return F.aggregate(F.zip_with(feats, coef, lambda x, c: value(x) * c), F.lit(0.0), lambda a, b: a + b)

@@ -61,7 +61,11 @@ def feature_table(df: DataFrame, vocab: Sequence[int], like_weight: float, disli
         dense_vector(Cols.FEATURES, vocab, default).alias("features"),
         targets_array(like_weight, dislike_weight, consumption_time_weight).alias("targets"),
         "label_value", "like_target", "dislike_target", "consumption_time_target")
-    return informative(out) if keep_informative_only else out
+    if not keep_informative_only:
+        return out
+    # the rule of informative() on the three columns themselves: equal with NULL and NaN as values
+    like, dislike, time = F.col("like_target"), F.col("dislike_target"), F.col("consumption_time_target")
+    return out.where(~(like.eqNullSafe(dislike) & dislike.eqNullSafe(time)))
 
 
 # ---------------------------------------------------------------- X1 / X2 / S5

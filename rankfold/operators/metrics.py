@@ -24,8 +24,10 @@ Split points only change balance, never the result.
 from __future__ import annotations
 
 import math
-from typing import Iterable, Optional, Sequence
+from typing import Iterable, Iterator, Optional, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 
 from rankfold.config import Cols, resolve_targets
 from rankfold.functions.labels import clean_score, label_expr
-from rankfold.session import written
+from rankfold.operators.sessions import whole_sessions
+from rankfold.session import dealt, written
 
 LABEL_PREFIX = "label_"
 _B = "_bucket"
@@ -169,15 +172,82 @@ def session_details(labeled: DataFrame, target_names: Sequence[str], session_col
     return _details_from_sums(_sums_by_session(counts, len(names), session_rows), names)
 
 
-def _details_from_sums(per_session: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(session, U_i, P_i, N_i per target) -> one detail row per valid (target, session)."""
+def sums_by_scores(rows: DataFrame, scores: int, k: int, session_rows: int = SESSION_ROWS) -> DataFrame:
+    """Per session and score column: ``score_no, session_id`` and the sums U_i, P_i, N_i of the k targets.
+
+    ``rows`` is a kept table of ``session_id``, scores ``_s<j>`` and labels ``_y<i>``.  Sessions of up to ``session_rows`` rows are dealt
+    over the tasks once for all scores and ranked there session by session; larger ones take the plan of :func:`_sums_by_session` for each score.
+    """
+    rows = rows.where(F.col("session_id").isNotNull())
+    # at most rows / session_rows keys, whatever the sessions
+    large = written(rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(int(session_rows))).select("session_id"))
+    hot = large.count() > 0
+    small = rows.join(F.broadcast(large), "session_id", "left_anti") if hot else rows
+    key = rows.schema["session_id"].dataType.simpleString()
+    sums = [f"{name}{i} {kind}" for i in range(k) for name, kind in (("U", "double"), ("P", "long"), ("N", "long"))]
+    names = ["score_no", "session_id", *[f.split()[0] for f in sums]]
+    small = dealt(small, rows.count(), "session_id").sortWithinPartitions("session_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, starts in whole_sessions(batches):
+            ids = batch.column(0).take(pa.array(starts))
+            labels = np.stack([batch.column(1 + scores + i).to_numpy() for i in range(k)], 1)
+            for j in range(scores):
+                u, p, n = rank_sums(batch.column(1 + j).to_numpy(), labels, starts)
+                found = [pa.array(v[:, i]) for i in range(k) for v in (u, p, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), j, np.int32)), ids, *found], names)
+
+    columns = [*[f"_s{j}" for j in range(scores)], *[f"_y{i}" for i in range(k)]]
+    out = small.select("session_id", *columns).mapInArrow(run, f"score_no int, session_id {key}, " + ", ".join(sums))
+    for j in range(scores if hot else 0):
+        counts = rows.join(F.broadcast(large), "session_id").groupBy("session_id", F.col(f"_s{j}").alias("score")).agg(
+            F.count(F.lit(1)).alias("_c"), *[F.sum(f"_y{i}").alias(f"_p{i}") for i in range(k)])
+        out = out.unionByName(_sums_by_session(counts, k, session_rows).select(F.lit(j).alias("score_no"), *names[1:]))
+    return out
+
+
+def rank_sums(score: np.ndarray, labels: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """U, P and N of each session (row) and label (column); the rows of session s begin at ``starts[s]``."""
+    n = len(score)
+    order = np.lexsort((score, np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))))
+    s = score[order]
+    new = np.concatenate(([True], s[1:] != s[:-1]))
+    new[starts] = True
+    first = np.flatnonzero(new)  # rows of equal score in a session together
+    p = np.add.reduceat(labels[order], first)
+    neg = np.diff(np.append(first, n))[:, None] - p
+    begin = np.searchsorted(first, starts)
+    below = np.cumsum(neg, 0) - neg
+    below -= np.repeat(below[begin], np.diff(np.append(begin, len(first))), 0)
+    return tuple(np.add.reduceat(v, begin) for v in (p * (below + neg / 2.0), p, neg))
+
+
+def scored_rows(labeled: DataFrame, target_names: Sequence[str], score_cols: Sequence[str], session_col: str = Cols.RID) -> DataFrame:
+    """The kept table of :func:`sums_by_scores`, the only read of the source whatever the number of scores."""
+    return written(labeled.select(
+        # -0.0 becomes 0.0, as in the grouped counts
+        F.col(session_col).alias("session_id"), *[(clean_score(c) + F.lit(0.0)).alias(f"_s{j}") for j, c in enumerate(score_cols)],
+        *[F.col(LABEL_PREFIX + t).cast("long").alias(f"_y{i}") for i, t in enumerate(target_names)]))
+
+
+def session_details_by_score(labeled: DataFrame, target_names: Sequence[str], score_cols: Sequence[str], session_col: str = Cols.RID,
+                             session_rows: int = SESSION_ROWS, rows: Optional[DataFrame] = None) -> DataFrame:
+    """:func:`session_details` for several scores of the same rows: ``score_no`` (from 0) before its columns.  ``rows`` is the
+    :func:`scored_rows` of the same arguments, if there."""
+    names = list(target_names)
+    rows = scored_rows(labeled, names, score_cols, session_col) if rows is None else rows
+    return _details_from_sums(sums_by_scores(rows, len(score_cols), len(names), session_rows), names, "score_no")
+
+
+def _details_from_sums(per_session: DataFrame, names: Sequence[str], *carry: str) -> DataFrame:
+    """(session, U_i, P_i, N_i per target) -> one detail row per valid (target, session), ``carry`` in front."""
     rows = [F.struct(F.lit(t).alias("target"), F.col(f"U{i}").alias("U"), F.col(f"P{i}").alias("P"),
                      F.col(f"N{i}").alias("N")) for i, t in enumerate(names)]
-    u = per_session.select("session_id", F.inline(F.array(*rows)))
+    u = per_session.select(*carry, "session_id", F.inline(F.array(*rows)))
     valid = u.where((F.col("P") > 0) & (F.col("N") > 0))
     size = F.col("P") + F.col("N")
     return valid.select(
-        "target", "session_id",
+        *carry, "target", "session_id",
         (F.col("U") / (F.col("P").cast("double") * F.col("N").cast("double"))).alias("auc"),
         size.alias("size"), F.col("P").alias("positives"), F.col("N").alias("negatives"),
         (F.col("P") / size).alias("positive_rate"))
@@ -215,7 +285,16 @@ def gauc_summary(details: DataFrame, exact_median: bool = True, accuracy: int =
     most MEDIAN_PARTS + 2 rows per target, whatever the number of sessions.
     ``exact_median=False`` returns the approximate median of pass 1.
     """
-    spark = details.sparkSession
+    return _summary_table(details.sparkSession, _summaries(details, exact_median, accuracy))
+
+
+def _summary_table(spark, rows: Sequence[dict]) -> DataFrame:
+    cols = [c.split()[0] for c in SUMMARY_SCHEMA.split(", ")]
+    return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], SUMMARY_SCHEMA)
+
+
+def _summaries(details: DataFrame, exact_median: bool, accuracy: int = MEDIAN_ACCURACY) -> list[dict]:
+    """The rows of :func:`gauc_summary`, one per target."""
     d = details.select("target", "auc", "size").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         eps = 2.0 / accuracy
@@ -229,8 +308,7 @@ def gauc_summary(details: DataFrame, exact_median: bool = True, accuracy: int =
             row["median"] = row["_q"][1]
         if exact_median and rows:
             _exact_medians(d, rows)
-        cols = [c.split()[0] for c in SUMMARY_SCHEMA.split(", ")]
-        return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], SUMMARY_SCHEMA)
+        return rows
     finally:
         d.unpersist()
 
@@ -357,14 +435,14 @@ def _pick(qs: Sequence[float], n_buckets: int) -> list[float]:
     return sorted({qs[i] for i in idx if math.isfinite(qs[i])})
 
 
-def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col: str = Cols.SCORE,
+def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col: str | Sequence[str] = Cols.SCORE,
          platforms: Optional[Iterable[str]] = None, nav_screen: Optional[str] = None,
          formula_path: Optional[str] = None, nav_screen_col: str = Cols.NAV_SCREEN,
          platform_col: str = Cols.PLATFORM, formula_path_col: str = Cols.FORMULA_PATH,
          calculate_regular_auc: bool = True, score_buckets: Optional[int] = None,
          exact_median: bool = True, session_rows: int = SESSION_ROWS,
-         details_only: bool = False) -> tuple[Optional[DataFrame], DataFrame]:
-    """Public entry: ``(metrics, group_details)``.
+         details_only: bool = False) -> tuple[Optional[DataFrame], DataFrame] | list[tuple[Optional[DataFrame], DataFrame]]:
+    """Public entry: ``(metrics, group_details)``, for a list of score columns a list of them, from one read of the source.
 
     ``metrics`` has one row per target: target, total_samples, total_positives,
     positive_rate, [AUC, AUC_valid, AUC_error], GAUCSimple, GAUCWeighted,
@@ -375,24 +453,57 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     labeled, names = with_labels(sliced, target_configs)
     spark = df.sparkSession
     if not names:
-        return spark.createDataFrame([], METRICS_SCHEMA), spark.createDataFrame([], DETAILS_SCHEMA)
+        nothing = spark.createDataFrame([], METRICS_SCHEMA), spark.createDataFrame([], DETAILS_SCHEMA)
+        return nothing if isinstance(score_col, str) else [nothing for _ in score_col]
+    if not isinstance(score_col, str):
+        return _gauc_by_score(labeled, names, session_col, list(score_col), calculate_regular_auc, score_buckets, exact_median, session_rows, details_only)
     counts = score_counts(labeled, names, session_col, score_col)  # the only read of the source
     details = session_details(labeled, names, session_col, score_col, session_rows, counts)
     if details_only:
         return None, details
-    # row count, positives per target and score quantiles at a fixed resolution; the
+    # row count, positives per target and, for the global AUC, score quantiles at a fixed resolution; the
     # per-target counts become a tiny literal table, so the final job does not recount
-    row = counts.agg(F.sum("_c").alias("_n"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(names))], _quantile_agg(F.col("score"))).first()
-    n_rows, qs = int(row["_n"] or 0), [float(q) for q in (row["_q"] or [])]
-    positives = [int(row[f"_p{i}"] or 0) for i in range(len(names))]
+    quantiles = [_quantile_agg(F.col("score"))] if calculate_regular_auc else []
+    row = counts.agg(F.sum("_c").alias("_n"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(names))], *quantiles).first()
+    n_rows = int(row["_n"] or 0)
+    aucs = None
+    if calculate_regular_auc:
+        aucs = auc_from_counts(counts, names, _pick([float(q) for q in (row["_q"] or [])], score_buckets or auto_buckets(n_rows)))
+    return _metrics(spark, names, n_rows, [int(row[f"_p{i}"] or 0) for i in range(len(names))], aucs, gauc_summary(details, exact_median)), details
+
+
+def _gauc_by_score(labeled: DataFrame, names: list[str], session_col: str, score_cols: list[str], calculate_regular_auc: bool,
+                   score_buckets: Optional[int], exact_median: bool, session_rows: int, details_only: bool) -> list[tuple[Optional[DataFrame], DataFrame]]:
+    """:func:`gauc` of each score column; rows are read, dealt by session and summarised once for all of them."""
+    spark, k = labeled.sparkSession, len(names)
+    rows = scored_rows(labeled, names, score_cols, session_col)
+    details = session_details_by_score(labeled, names, score_cols, session_col, session_rows, rows)
+    each = [details.where(F.col("score_no") == j).drop("score_no") for j in range(len(score_cols))]
+    if details_only:
+        return [(None, d) for d in each]
+    row = rows.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(f"_y{i}").alias(f"_p{i}") for i in range(k)]).first()
+    positives = [int(row[f"_p{i}"] or 0) for i in range(k)]
+    # a target of a score counts as a target of its own here
+    found = _summaries(details.withColumn("target", F.concat_ws(":", "score_no", "target")), exact_median)
+    out = []
+    for j, detail in enumerate(each):
+        mine = [{**r, "target": t} for r in found for t in names if r["target"] == f"{j}:{t}"]
+        aucs = None
+        if calculate_regular_auc:
+            counts = rows.select(F.col(f"_s{j}").alias("score"), F.lit(1).alias("_c"), *[F.col(f"_y{i}").alias(f"_p{i}") for i in range(k)])
+            n, qs = _quantiles(counts, F.col("score"))
+            aucs = auc_from_counts(counts, names, _pick(qs, score_buckets or auto_buckets(n)))
+        out.append((_metrics(spark, names, int(row["_n"]), positives, aucs, _summary_table(spark, mine)), detail))
+    return out
+
+
+def _metrics(spark, names: Sequence[str], n_rows: int, positives: Sequence[int], aucs: Optional[DataFrame], summ: DataFrame) -> DataFrame:
+    """The metric row of each target; without ``aucs`` the global AUC was not asked for."""
     stats = spark.createDataFrame(
         [(t, n_rows, int(positives[i]), (positives[i] / n_rows) if n_rows else 0.0) for i, t in enumerate(names)],
         "target string, total_samples long, total_positives long, positive_rate double")
-    summ = gauc_summary(details, exact_median)
     out = stats
-    if calculate_regular_auc:
-        b = score_buckets or auto_buckets(n_rows)
-        aucs = auc_from_counts(counts, names, _pick(qs, b))
+    if aucs is not None:
         out = out.join(aucs, "target", "left").select(
             *stats.columns,
             F.coalesce("AUC", F.lit(0.0)).alias("AUC"),
@@ -401,7 +512,7 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
     else:  # not asked for: zeros, marked invalid
         out = out.select("*", F.lit(0.0).alias("AUC"), F.lit(False).alias("AUC_valid"), F.lit(None).cast("string").alias("AUC_error"))
     zero = F.lit(0.0)
-    metrics = out.join(summ, "target", "left").select(
+    return out.join(summ, "target", "left").select(
         *out.columns,
         F.coalesce("GAUCSimple", zero).alias("GAUCSimple"),
         F.coalesce("GAUCWeighted", zero).alias("GAUCWeighted"),
@@ -409,7 +520,6 @@ def gauc(df: DataFrame, target_configs, session_col: str = Cols.RID, score_col:
         F.coalesce("std", zero).alias("std"), F.coalesce("min", zero).alias("min"),
         F.coalesce("max", zero).alias("max"), F.coalesce("median", zero).alias("median"),
         (F.coalesce("n_groups", F.lit(0)) > 0).alias("GAUC_valid"))
-    return metrics, details
 
 
 # ---------------------------------------------------------------- M10

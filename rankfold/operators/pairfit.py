@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.config import BIG_NEGATIVE, GRADED_TARGET_NAMES, MIN_PAIR_WEIGHT, Cols
-from rankfold.session import written
+from rankfold.operators.sessions import whole_sessions
+from rankfold.session import dealt, written
 
 BLOCK_ROWS = 2048
 #: Cells of the pair matrices that a task works on at a time.
@@ -46,17 +47,35 @@ def session_blocks(features: DataFrame, block_rows: int = BLOCK_ROWS, session_co
     ``features`` has ``features`` and ``targets`` as :func:`feature_table` gives them.  Missing vector entries count as 0.  Rows
     without a session are left out, as they form no pairs.
     """
-    x = F.transform("features", lambda v: F.when(F.isnan(v) | v.isNull() | (v <= F.lit(BIG_NEGATIVE) / 2), F.lit(0.0)).otherwise(v.cast("double")))
     rows = features.where(F.col(session_col).isNotNull()).select(
-        F.col(session_col).alias("rid"), F.col(Cols.POS).alias("pos"), x.alias("x"), F.transform("targets", lambda t: t["target"].cast("double")).alias("t"))
+        F.col(session_col).alias("rid"), F.col(Cols.POS).alias("pos"), F.col("features").alias("x"),
+        F.col("targets").getField("target").cast("array<double>").alias("t"))
     rows = written(rows)  # read for the sizes of the sessions and for their blocks
     # only sessions of several blocks: at most rows / block_rows of them; the planner broadcasts them while they are few
     large = rows.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows)
     large = large.select("rid", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
-    dealt = rows.join(large, "rid", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("pos", "x", "t"), F.col("blocks")).cast("int"))
-    packed = dealt.groupBy("rid", "block", "blocks").agg(F.sort_array(F.collect_list(F.struct("pos", "x", "t"))).alias("r"))
-    return packed.select("rid", "block", "blocks", F.flatten(F.transform("r", lambda r: r["x"])).alias("x"), F.flatten(F.transform("r", lambda r: r["t"])).alias("t"))
+    if large.count():
+        parts = rows.join(large, "rid", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        parts = parts.withColumn("block", F.pmod(F.xxhash64("pos", "x", "t"), F.col("blocks")).cast("int"))
+    else:  # nothing to join
+        parts = rows.select("*", F.lit(1).alias("blocks"), F.lit(0).alias("block"))
+    parts = dealt(parts.select("rid", "block", "blocks", "pos", "x", "t"), rows.count(), "rid", "block")
+    key = rows.schema["rid"].dataType.simpleString()
+    return parts.sortWithinPartitions("rid", "block", "pos", "x", "t").mapInArrow(_pack, f"rid {key}, block int, blocks int, x array<double>, t array<double>")
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each block: its rows' vectors and targets one behind the other."""
+    for batch, starts in whole_sessions(batches, 2):
+        lists = []
+        for column in (batch.column(4), batch.column(5)):
+            ends = column.offsets.to_numpy()[np.append(starts, batch.num_rows)]
+            values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            if not lists:
+                values = np.where(np.isnan(values) | (values <= BIG_NEGATIVE / 2), 0.0, values)
+            lists.append(pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(values)))
+        keys = [batch.column(k).take(pa.array(starts)) for k in range(3)]
+        yield pa.RecordBatch.from_arrays([*keys, *lists], ["rid", "block", "blocks", "x", "t"])
 
 
 def _flat(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +139,38 @@ def _moments(blocks: DataFrame, width: int) -> tuple[np.ndarray, bool]:
     return np.where(variance > 1e-12 * np.maximum(total[width : 2 * width] / n, 1e-300), np.sqrt(np.maximum(variance, 0.0)), 1.0), total[-1] > 0
 
 
+def _add_pairs(rows: np.ndarray, left: np.ndarray, right: np.ndarray, s: np.ndarray, t: np.ndarray, weights: np.ndarray, least: float,
+               total: np.ndarray, g: np.ndarray) -> None:
+    """Add to ``total`` and to the row weights ``g`` what the places ``left`` and ``right`` of each session give with each other, the
+    winner being either of them; ``rows`` has a line for each session, its rows.
+
+    With p and q the weights of a over b and of b over a, and d the difference of their scores, the loss of both is
+    ``(p + q) * log(1 + exp(-d)) + q * d``, so each two rows are looked at once.
+    """
+    a, b = rows[:, left], rows[:, right]
+    place = np.arange(rows.size).reshape(rows.shape)
+    place_a, place_b = place[:, left].ravel(), place[:, right].ravel()
+    with np.errstate(invalid="ignore"):
+        gaps = [t[a, k] - t[b, k] for k in range(t.shape[1])]
+    sizes = [np.abs(gap) for gap in gaps]
+    for f in range(len(weights)):
+        both, back = np.zeros(a.shape), np.zeros(a.shape)
+        for w, gap, size in zip(weights[f], gaps, sizes, strict=True):
+            p = w * size
+            with np.errstate(invalid="ignore"):
+                counts = (size > 0) & (np.abs(p) >= least)
+            p = np.where(counts, p, 0.0)
+            both += p
+            back += np.where(gap < 0, p, 0.0)
+            total[f, 2] += np.count_nonzero(counts)
+        d = s[a, f] - s[b, f]
+        e = np.exp(-np.abs(d))
+        total[f, 0] += (both * (np.log1p(e) + np.maximum(-d, 0.0)) + back * d).sum()
+        total[f, 1] += both.sum()
+        slope = (back - both * np.where(d >= 0, e, 1.0) / (1.0 + e)).ravel()
+        g[f, rows] += (np.bincount(place_a, slope, rows.size) - np.bincount(place_b, slope, rows.size)).reshape(rows.shape)
+
+
 def _one_block_pass(blocks: DataFrame, beta: np.ndarray, weights: np.ndarray, least: float) -> DataFrame:
     """Rows ``i, v`` of ``(fits, 3 + width)``: loss, weight, pairs and gradient of the sessions of one block."""
     fits, width, kinds = len(beta), beta.shape[1], weights.shape[1]
@@ -132,16 +183,15 @@ def _one_block_pass(blocks: DataFrame, beta: np.ndarray, weights: np.ndarray, le
             starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
             g = np.zeros((fits, len(x)))
             s = x @ beta.T
-            for n in np.unique(sizes):
+            for n in np.unique(sizes[sizes > 1]):
                 same = starts[sizes == n]
-                step = max(1, CELLS // int(n * n))
-                for k in range(0, len(same) if n > 1 else 0, step):
-                    rows = same[k : k + step, None] + np.arange(n)
-                    for f in range(fits):
-                        w, many = _pairs(t[rows], t[rows], weights[f], least)
-                        loss, slope = _loss(s[rows, f], s[rows, f], w)
-                        total[f, :3] += loss.sum(), w.sum(), many.sum()
-                        g[f, rows] = slope.sum(-1) - slope.sum(-2)
+                i, j = np.triu_indices(n, 1)
+                # a session of many rows has its pairs one stretch at a time
+                for part in range(0, len(i), CELLS):
+                    left, right = i[part : part + CELLS], j[part : part + CELLS]
+                    step = max(1, CELLS // len(left))
+                    for k in range(0, len(same), step):
+                        _add_pairs(same[k : k + step, None] + np.arange(n), left, right, s, t, weights, least, total, g)
             total[:, 3:] += g @ x
         yield _rows(total)
 

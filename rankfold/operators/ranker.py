@@ -17,7 +17,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.config import BIG_NEGATIVE, GRADED_TARGET_NAMES, Cols
@@ -26,10 +26,14 @@ from rankfold.operators.pairfit import fit_rankers, session_blocks
 from rankfold.session import written
 
 
-def clean_vector(features: str = "features", missing: float = BIG_NEGATIVE):
+def clean_value(x: Column, missing: float = BIG_NEGATIVE) -> Column:
     """Missing sentinel and NaN -> 0.0 (a linear scorer cannot use -3.4e38)."""
-    return F.transform(F.col(features), lambda x: F.when(F.isnan(x) | (x <= F.lit(missing) / 2), F.lit(0.0))
-                       .otherwise(x.cast("double")))
+    return F.when(F.isnan(x) | (x <= F.lit(missing) / 2), F.lit(0.0)).otherwise(x.cast("double"))
+
+
+def clean_vector(features: str = "features", missing: float = BIG_NEGATIVE):
+    """:func:`clean_value` of each entry."""
+    return F.transform(F.col(features), lambda x: clean_value(x, missing))
 
 
 @dataclass
@@ -66,7 +70,7 @@ def score(df: DataFrame, coef: Sequence[float], features: str = "features",
           score_col: str = Cols.MODEL_SCORE, noise: float = 0.0, seed: Optional[int] = 0) -> DataFrame:
     """Linear score of the dense features; NaN -> -3.4e38; optional
     Gaussian noise with a seed."""
-    s = dot(clean_vector(features), coef)
+    s = dot(features, coef, clean_value)
     if noise:
         s = s + F.lit(float(noise)) * F.randn(seed)
     return df.withColumn(score_col, F.nanvl(s, F.lit(BIG_NEGATIVE)))

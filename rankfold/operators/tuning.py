@@ -1,9 +1,9 @@
 """Target-weight search (R6) and best trial.
 
 Everything that does not depend on the three weights is computed once and
-kept: the session blocks of the training rows and the dense validation features.  Trials run together: one pass over the
+kept: the session blocks of the training rows and, where trials read them more than once, the dense validation features.  Trials run together: one pass over the
 blocks serves every fit (``pairfit``), and one pass over the validation slice scores each row with every model and measures
-session AUC by (trial, session).  What a trial adds grows with rows, not pairs.  Finished trials are appended to a
+session AUC by trial and session.  What a trial adds grows with rows, not pairs.  Finished trials are appended to a
 Parquet ``trials`` table, so a restarted search resumes where it stopped.
 """
 
@@ -46,8 +46,7 @@ def prepare_search(train: DataFrame, validation: DataFrame, vocab: Sequence[int]
                    target_name: str = "watch_coverage_30s", target_configs: Optional[dict] = None) -> SearchData:
     ft = feature_table(train, vocab, 1.0, 1.0, 1.0)
     training = session_blocks(ft).persist(StorageLevel.MEMORY_AND_DISK)
-    val = validation.withColumn("features", dense_vector(Cols.FEATURES, vocab)) \
-                    .persist(StorageLevel.MEMORY_AND_DISK)
+    val = validation.withColumn("features", dense_vector(Cols.FEATURES, vocab))
     cfgs = target_configs or {target_name: DEFAULT_TARGETS[target_name]}
     return SearchData(training, val, target_name, cfgs, ft, list(vocab))
 
@@ -98,12 +97,9 @@ def evaluate_together(data: SearchData, weights: Sequence[Sequence[float]], metr
         labeled, _ = M.with_labels(sliced, {data.target_name: data.target_configs[data.target_name]})
         for k in useful:
             labeled = score(labeled, fits[k].coefficients, score_col=f"_score{k}")
-        models = F.array(*[F.struct(F.lit(k).alias("trial"), F.col(f"_score{k}").alias("trial_score")) for k in useful])
-        stacked = labeled.select(Cols.RID, M.LABEL_PREFIX + data.target_name, F.inline(models))
-        stacked = stacked.withColumn("_key", F.when(F.col(Cols.RID).isNotNull(), F.struct("trial", Cols.RID)))
-        details = M.session_details(stacked, [data.target_name], "_key", "trial_score")
-        for r in details.groupBy(F.col("session_id.trial").alias("trial")).agg(measure().alias("value")).collect():
-            values[r["trial"]] = float(r["value"] or 0.0)
+        details = M.session_details_by_score(labeled, [data.target_name], [f"_score{k}" for k in useful])
+        for r in details.groupBy("score_no").agg(measure().alias("value")).collect():
+            values[useful[r["score_no"]]] = float(r["value"] or 0.0)
     for k in [] if measure else useful:
         metrics, _ = M.gauc(score(sliced, fits[k].coefficients), data.target_configs, score_col=Cols.MODEL_SCORE,
                             calculate_regular_auc=metric.startswith("AUC"), exact_median=False)  # no objective uses the median
@@ -125,17 +121,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Optional[float] = 120.0,
            seed: int = 0, trials_path: Optional[str] = None, model_dir: Optional[str] = None,
-           grid: Optional[Sequence[Sequence[float]]] = None, objective: Optional[Callable] = None, together: int = 8, **kw) -> DataFrame:
+           grid: Optional[Sequence[Sequence[float]]] = None, objective: Optional[Callable] = None, together: int = 8,
+           objectives: Optional[Callable] = None, **kw) -> DataFrame:
     """Run trials, up to ``together`` at a time, until ``n_trials`` or ``timeout`` seconds (looked at between them);
     trials already in ``trials_path`` with the same settings (seed, target,
     ranges, options) are skipped, and only those of these settings returned.  With
     ``model_dir`` every trial's model is saved as ``<model_dir>/trial_<n>``.
     ``grid`` gives the (like, dislike, consumption time) weights of each trial instead of draws, and
-    ``objective`` is called like :func:`evaluate_weights`, one trial at a time."""
+    ``objective`` is called like :func:`evaluate_weights`, one trial at a time, or ``objectives`` like :func:`evaluate_together`."""
     trials = [dict(zip(WEIGHT_RANGES, map(float, g), strict=True), trial=i) for i, g in enumerate(grid)] if grid else trial_weights(n_trials, seed)
     settings = json.dumps({"seed": seed, "target": data.target_name, "ranges": WEIGHT_RANGES,
                            **({"grid": [list(map(float, g)) for g in grid]} if grid else {}),
-                           **({"objective": objective.__name__} if objective else {}),
+                           **({"objective": (objective or objectives).__name__} if objective or objectives else {}),
                            **{k: list(v) if isinstance(v, (list, tuple)) else v for k, v in kw.items()}}, sort_keys=True, default=str)
     done: set[int] = set()
     if trials_path and path_exists(spark, trials_path):
@@ -144,24 +141,32 @@ def search(spark: SparkSession, data: SearchData, n_trials: int = 3, timeout: Op
     rows = []
     start = time.time()
     todo = [w for w in trials if w["trial"] not in done]
-    while todo:
-        spent = time.time() - start
-        if timeout is not None and rows and spent > timeout:
-            break
-        # a budget lets the first trial run alone; its time bounds how many may follow together
-        fits = 1 if objective or (timeout is not None and not rows) else together
-        if timeout is not None and rows and not objective:
-            fits = max(1, min(together, int((timeout - spent) / max(rows[0][6], 1e-3))))
-        batch, todo = todo[:fits], todo[fits:]
-        t0 = time.time()
-        paths = [f"{model_dir.rstrip('/')}/trial_{w['trial']}" if model_dir else None for w in batch]
-        triples = [tuple(w[k] for k in WEIGHT_RANGES) for w in batch]
-        found = [objective(data, *triples[0], model_path=paths[0], **kw)] if objective else evaluate_together(data, triples, model_paths=paths, **kw)
-        seconds = (time.time() - t0) / len(batch)
-        new = [(w["trial"], *triple, value, n_pairs, seconds, settings) for w, triple, (value, n_pairs) in zip(batch, triples, found, strict=True)]
-        rows += new
-        if trials_path:
-            spark.createDataFrame(new, TRIAL_SCHEMA).coalesce(1).write.mode("append").parquet(trials_path)
+    # read once, the validation rows need not be kept
+    keep = len(todo) > (1 if objective or timeout is not None else together) and not data.validation.is_cached
+    if keep:
+        data.validation.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        while todo:
+            spent = time.time() - start
+            if timeout is not None and rows and spent > timeout:
+                break
+            # a budget lets the first trial run alone; its time bounds how many may follow together
+            fits = 1 if objective or (timeout is not None and not rows) else together
+            if timeout is not None and rows and not objective:
+                fits = max(1, min(together, int((timeout - spent) / max(rows[0][6], 1e-3))))
+            batch, todo = todo[:fits], todo[fits:]
+            t0 = time.time()
+            paths = [f"{model_dir.rstrip('/')}/trial_{w['trial']}" if model_dir else None for w in batch]
+            triples = [tuple(w[k] for k in WEIGHT_RANGES) for w in batch]
+            found = [objective(data, *triples[0], model_path=paths[0], **kw)] if objective else (objectives or evaluate_together)(data, triples, model_paths=paths, **kw)
+            seconds = (time.time() - t0) / len(batch)
+            new = [(w["trial"], *triple, value, n_pairs, seconds, settings) for w, triple, (value, n_pairs) in zip(batch, triples, found, strict=True)]
+            rows += new
+            if trials_path:
+                spark.createDataFrame(new, TRIAL_SCHEMA).coalesce(1).write.mode("append").parquet(trials_path)
+    finally:
+        if keep:
+            data.validation.unpersist()
     if trials_path:
         return spark.read.schema(TRIAL_SCHEMA).parquet(trials_path).where(F.col("settings") == settings)
     return spark.createDataFrame(rows, TRIAL_SCHEMA)

@@ -39,7 +39,6 @@ def tune_weights(spark: SparkSession, train: DataFrame, validation: DataFrame, v
         return trials, best
     finally:
         data.training.unpersist()
-        data.validation.unpersist()
 
 
 def score_and_measure(validation: DataFrame, model_path: str, vocab: Optional[Sequence[int]] = None,

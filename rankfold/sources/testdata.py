@@ -31,9 +31,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _nonnull_array(*items):
-    # array_compact has no lambda, so it stays in generated code
-    return F.array_compact(F.array(*items))
+def _array_of(*items):
+    """Array of the items whose condition holds, in their order; no lambda, so it stays in generated code."""
+    return F.concat(*[F.array_repeat(item, F.when(cond, 1).otherwise(0)) for item, cond in items])
 
 
 def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,32 +61,36 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     ln = F.col("l_linenumber")
     tax = F.col("l_tax")
-    events = _nonnull_array(
-        F.when(F.col("l_linestatus") == "O", F.lit("actionPlay")),
-        F.when(F.col("l_returnflag").isin("A", "R"), F.lit("watchCoverageRecord")),
-        F.when(tax >= 0.06, F.lit("actionLike")),
-        F.when(tax == 0.08, F.lit("actionUnlike")),
-        F.when(tax == 0.0, F.lit("actionDislike")),
-        F.when((tax == 0.0) & (F.col("l_discount") == 0.0), F.lit("actionUndislike")),
-        F.when(ln % 2 == 1, F.lit("firstFrame")),
-        F.when(F.col("l_returnflag") != "N", F.lit("card_view")),
+    events = _array_of(
+        (F.lit("actionPlay"), F.col("l_linestatus") == "O"),
+        (F.lit("watchCoverageRecord"), F.col("l_returnflag").isin("A", "R")),
+        (F.lit("actionLike"), tax >= 0.06),
+        (F.lit("actionUnlike"), tax == 0.08),
+        (F.lit("actionDislike"), tax == 0.0),
+        (F.lit("actionUndislike"), (tax == 0.0) & (F.col("l_discount") == 0.0)),
+        (F.lit("firstFrame"), ln % 2 == 1),
+        (F.lit("card_view"), F.col("l_returnflag") != "N"),
     )
     pair = lambda i, v: F.array(F.lit(float(i)), v.cast("double"))
-    features = _nonnull_array(
-        pair(1, F.col("l_quantity")),
-        F.when(ln % 2 == 0, pair(2, F.col("l_discount"))),
-        F.when(ln % 3 != 0, pair(3, tax)),
-        pair(4, F.col("p_size")),
-        F.when(ln % 2 == 1, pair(5, F.col("p_retailprice"))),
-        F.when(ln == 7, pair(1, F.col("l_quantity") + 0.5)),
+    always = F.lit(True)
+    features = _array_of(
+        (pair(1, F.col("l_quantity")), always),
+        (pair(2, F.col("l_discount")), ln % 2 == 0),
+        (pair(3, tax), ln % 3 != 0),
+        (pair(4, F.col("p_size")), always),
+        (pair(5, F.col("p_retailprice")), ln % 2 == 1),
+        (pair(1, F.col("l_quantity") + 0.5), ln == 7),
     )
     prio = F.col("o_orderpriority")
+    # Numbered before the feature pairs are made: the ordering does not carry them, and a filter comes first.  The events are
+    # made before, as a filter on them would else make them again for each of its terms.
+    j = j.withColumn("events", events).withColumn("pos", F.row_number().over(w) - 1)
     return j.select(
         F.col("l_orderkey").cast("string").alias("rid"),
-        (F.row_number().over(w) - 1).alias("pos"),
+        "pos",
         F.col("l_discount").alias("score"),
         F.col("l_extendedprice").alias("score_alt"),
-        events.alias("events"),
+        "events",
         F.when(ln % 4 == 0, F.lit(0)).otherwise(F.col("l_quantity") * 20).cast("bigint").alias("viewTimeSec"),
         (F.col("p_size") * 200).cast("bigint").alias("durationSeconds"),
         F.when(prio.isin("1-URGENT", "3-MEDIUM"), F.lit("vk_video_android"))
