@@ -654,12 +654,14 @@ def q_trial_grid(spark, sf_dir):
     name = "watch_coverage_30s"
     data = TU.SearchData(imp, imp, name, {name: DEFAULT_TARGETS[name]})
 
-    def weighted_score(data, like_weight, dislike_weight, consumption_time_weight, model_path=None):
-        scored = RK.score(data.validation, [like_weight, -dislike_weight, consumption_time_weight])
-        m, _ = M.gauc(scored, data.target_configs, score_col="model_score", calculate_regular_auc=False, exact_median=False)
-        return float(M.lookup(m, data.target_name, "GAUCWeighted")), 0
-
-    trials = TU.search(spark, data, timeout=None, grid=TRIAL_GRID, objective=weighted_score)
+    def weighted_scores(data, weights, model_paths=None):
+        scored, columns = data.validation, [f"model_score{k}" for k in range(len(weights))]
+        for column, (like_weight, dislike_weight, consumption_time_weight) in zip(columns, weights):
+            scored = RK.score(scored, [like_weight, -dislike_weight, consumption_time_weight], score_col=column)
+        found = M.gauc(scored, data.target_configs, score_col=columns, calculate_regular_auc=False, exact_median=False)
+        return [(float(M.lookup(m, data.target_name, "GAUCWeighted")), 0) for m, _ in found]
+
+    trials = TU.search(spark, data, timeout=None, grid=TRIAL_GRID, objectives=weighted_scores)
     best = TU.best_trial(trials).select("trial", F.lit(True).alias("best"))
     return trials.join(best, "trial", "left").select("trial", "like_weight", "dislike_weight", "consumption_time_weight",
                                                      r9("value").alias("value"), F.coalesce("best", F.lit(False)).alias("best"))
