@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from rankfold.config import DEFAULT_TARGETS
 from rankfold.plans.evaluate import evaluate
-from rankfold.sources.testdata import impressions
+from rankfold.sources.testdata import impressions, read_table
 from rankfold.operators import metrics as M
-from rankfold.session import written
+from rankfold.session import shuffles_dropped, tasks_for, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -680,12 +680,19 @@ def q_ndjson_file_roundtrip(spark, sf_dir):
     """Impressions written as NDJSON files in (rid, pos) order and read by the file reader, which numbers the positions."""
     path = _shared_path(spark, "impressions")
     imp = impressions(spark, sf_dir)
-    ordered = imp.repartitionByRange("rid", "pos").sortWithinPartitions("rid", "pos")
-    ordered.select(F.to_json(F.struct(*[f.name for f in X.RAW_SCHEMA.fields])).alias("value")).write.text(path, compression="gzip")
-    back = X.read_impressions(spark, path)
-    return back.select("rid", "pos", "score", F.array_join("events", ",").alias("events_str"), "viewTimeSec",
-                       "durationSeconds", "navScreen", "platform", "formulaPath", "typeId", "userType", "recommenderId",
-                       F.size("features").alias("n_features"), F.col("features")[0][1].alias("first_value"))
+    rows = read_table(spark, sf_dir, "lineitem").count()
+    # a row travels as its line and the keys of the order
+    lines = imp.select("rid", "pos", F.to_json(F.struct(*[f.name for f in X.RAW_SCHEMA.fields])).alias("value"))
+    tasks = tasks_for(spark, rows)
+    ordered = lines.repartitionByRange(tasks, "rid", "pos") if tasks else lines.repartitionByRange("rid", "pos")
+    with shuffles_dropped(spark):
+        ordered.sortWithinPartitions("rid", "pos").select("value").write.text(path, compression="gzip")
+    # of the texts, those of few values come first: the order in which they are moved, the rows are the same
+    back = X.read_impressions(spark, path, rows=rows, columns=[
+        "rid", "score", "viewTimeSec", "durationSeconds", F.col("features")[0][1].alias("first_value"), F.size("features").alias("n_features"),
+        "typeId", "recommenderId", "formulaPath", "userType", "navScreen", "platform", F.array_join("events", ",").alias("events_str")])
+    return back.select("rid", "pos", "score", "events_str", "viewTimeSec", "durationSeconds", "navScreen", "platform", "formulaPath", "typeId",
+                       "userType", "recommenderId", "n_features", "first_value")
 
 
 @register("runlog_file")

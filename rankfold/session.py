@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,11 +53,18 @@ def written(df):
 
 #: Rows that a task orders at a time where a large table is dealt by key.
 TASK_ROWS = 1_000_000
+#: Tasks up to which rows are dealt as they come (Spark's default of spark.shuffle.sort.bypassMergeThreshold); for more the
+#: dealing task first holds its rows to sort them by task, and spills them when it has read many.
+UNSORTED_TASKS = 200
 
 
 def tasks_for(spark, rows: int) -> int | None:
-    """Number of tasks for ``rows`` rows; None while the session's shuffle partitions are enough for them."""
+    """Number of tasks for ``rows`` rows; None while the session's shuffle partitions are enough for them.
+
+    A task has up to a quarter more rows than ``TASK_ROWS`` where that keeps to ``UNSORTED_TASKS``."""
     tasks = -(-int(rows) // TASK_ROWS)
+    if UNSORTED_TASKS < tasks <= UNSORTED_TASKS * 5 // 4:
+        tasks = UNSORTED_TASKS
     return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
@@ -66,6 +74,22 @@ def dealt(df, rows: int, *keys: str):
     return df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """What an execution inside shuffles is deleted when it ends, as nothing reads it again; else it stays on the disks until
+    the driver's garbage collection finds it."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is configured."""
     sc = spark.sparkContext

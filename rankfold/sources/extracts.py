@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Optional
+import os
+from typing import Callable, Iterable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from rankfold.config import (CLI_PLATFORMS, DEFAULT_FORMULA_PATH, DEFAULT_RECOMM
                              DEFAULT_USER_TYPE, NAV_VIDEO_FOR_YOU, PLATFORM_VK_VIDEO_ANDROID, Cols)
 from rankfold.operators.features import with_positions
 from rankfold.operators.indexing import first_n, key_at
+from rankfold.session import dealt
 
 # Raw NDJSON schema: score and feature values as text, so every spelling of a
 # non-finite number ("nan", "inf", "NaN", "-Infinity") survives and is
@@ -48,36 +50,70 @@ def _to_double(c):
 _FILE_ORDER = ["_file", "_block", "_line"]
 
 
-def with_file_positions(df: DataFrame, where: Optional[Column] = None, session_col: str = Cols.RID) -> DataFrame:
+def _file_below(df: DataFrame) -> Column:
+    """The path of a row's file below the folder that all files of ``df`` share: the same order in less room."""
+    folder = os.path.commonprefix(df.inputFiles()).rpartition("/")[0] + "/"
+    path = F.col("_metadata.file_path")
+    return F.when(path.startswith(folder), F.substr(path, F.lit(len(folder) + 1))).otherwise(path)
+
+
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _numbers_first(df: DataFrame, last: str) -> DataFrame:
+    """Numbers side by side, texts and arrays behind them, each in their order, ``last`` at the end: rows in a row then have
+    longer stretches in common, and their compressed shuffle blocks are smaller."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))}
+    return df.select(*map(_named, sorted(df.columns, key=lambda n: (n == last, n in texts))))
+
+
+def with_file_positions(df: DataFrame, where: Optional[Column] = None, session_col: str = Cols.RID,
+                        prepare: Optional[Callable[[DataFrame], DataFrame]] = None, rows: Optional[int] = None) -> DataFrame:
     """``df``, read from files, with ``pos``: the place of a row among those of its session, in the order of the files and their lines.
 
     ``where`` is applied first, so it reaches the scan; only what it leaves is numbered.  A row without a session is one by
-    itself.
+    itself.  ``prepare`` converts the rows or leaves columns out before they are dealt by session, so that they travel as
+    narrow as they are asked for; it keeps the columns of ``_FILE_ORDER``.  ``rows`` is about their number, where it is known:
+    the tasks that they are dealt over grow with it.
     """
     kept = df if where is None else df.where(where)
-    tagged = kept.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+    tagged = kept.select("*", _file_below(df).alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
                          F.monotonically_increasing_id().alias("_line"))
-    alone = F.when(F.col(session_col).isNull(), F.xxhash64(*_FILE_ORDER))
-    order = Window.partitionBy(session_col, alone).orderBy(*_FILE_ORDER)
-    return tagged.withColumn(Cols.POS, F.row_number().over(order) - 1).drop(*_FILE_ORDER)
+    tagged = tagged if prepare is None else prepare(tagged)
+    names = [n for n in tagged.columns if n not in _FILE_ORDER]
+    alone = F.when(F.col(session_col).isNull(), F.xxhash64(*_FILE_ORDER)).alias("_alone")
+    tagged = _numbers_first(tagged.select(*_FILE_ORDER, alone, *map(_named, names)), session_col)
+    if rows is not None:
+        tagged = dealt(tagged, rows, session_col, "_alone")
+    order = Window.partitionBy(session_col, "_alone").orderBy(*_FILE_ORDER)
+    return tagged.withColumn(Cols.POS, F.row_number().over(order) - 1).select(*map(_named, dict.fromkeys([*names, Cols.POS])))
 
 
 def read_impressions(spark: SparkSession, path: str, extra_columns: Optional[dict] = None,
-                     score_columns: Iterable[str] = ("score",), malformed: str = "fail", where: Optional[Column] = None) -> DataFrame:
+                     score_columns: Iterable[str] = ("score",), malformed: str = "fail", where: Optional[Column] = None,
+                     columns: Optional[Sequence[str | Column]] = None, rows: Optional[int] = None) -> DataFrame:
     """NDJSON impressions with an explicit schema; missing paths raise.
     A malformed line raises when it is read (``malformed="fail"``) or is left
     out (``"drop"``); it never counts as a row.  ``pos`` is the place of a row
     among those of its session, in the order of the files and their lines; with ``where``
     (a condition on the raw columns) among those that it leaves.
     ``extra_columns`` maps more column names to Spark types (e.g. a model score
-    written by :func:`write_impressions`)."""
+    written by :func:`write_impressions`).  ``columns`` (names or expressions over the converted columns,
+    ``rid`` among them) come out beside ``pos`` in place of all columns; they are made where the lines are read, and nothing else
+    is moved to number the rows.  ``rows``, about how many there are, lets the tasks grow with them."""
     fields = list(RAW_SCHEMA.fields)
     for name, typ in (extra_columns or {}).items():
         fields.append(T.StructField(name, T.StringType() if name in score_columns else typ))
     schema = T.StructType(fields)
     mode = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[malformed]
     raw = spark.read.schema(schema).option("mode", mode).json(path)
-    return normalize_raw(with_file_positions(raw, where), score_columns)
+
+    def prepare(lines: DataFrame) -> DataFrame:
+        made = normalize_raw(lines, score_columns)
+        return made if columns is None else made.select(*columns, *_FILE_ORDER)
+
+    return with_file_positions(raw, where, prepare=prepare, rows=rows)
 
 
 def normalize_raw(raw: DataFrame, score_columns: Iterable[str] = ("score",)) -> DataFrame:

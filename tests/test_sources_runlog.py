@@ -7,6 +7,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from conftest import make_impressions
 from rankfold.operators import matrices as MX
@@ -379,3 +380,101 @@ def test_small_rows_with_much_work_and_compressed_lines(spark, monkeypatch):
     assert f"RoundRobinPartitioning({-(-n // 10)})" in R.q_dense_wide(spark, sf)._jdf.queryExecution().executedPlan().toString()
     back = R.q_ndjson_file_roundtrip(spark, sf)
     assert back.inputFiles() and all(f.endswith(".gz") for f in back.inputFiles())
+
+
+def _exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange " in line]
+
+
+def test_round_trip_moves_lines_and_asked_columns_over_growing_tasks(spark, monkeypatch):
+    """The NDJSON round trip moves a row as its line, then as the columns it returns; the tasks of both grow with the rows."""
+    from rankfold import session
+    from rankfold.plans import registry as R
+
+    sf = os.environ.get("RANKFOLD_TEST_SF", "/root/testdata/sf0.001")
+    if not os.path.exists(sf):
+        pytest.skip("test tables not present")
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    monkeypatch.setattr(session, "TASK_ROWS", -(-n // 20))
+    back = R.q_ndjson_file_roundtrip(spark, sf)
+    assert len(back.inputFiles()) == 20  # one file a task of the ordering
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    moved = plan[plan.index("Exchange hashpartitioning"):].splitlines()
+    assert ", 20)" in moved[0] and "Project [" in moved[1]
+    out = moved[1].split(" AS ")
+    assert "features" not in out[-1] and out[-1].split("#")[0] == "events_str" and "transform(" not in plan[:plan.index("Exchange")]
+    small = {(r["rid"], r["pos"]): r for r in back.collect()}
+    assert len(small) == n
+    monkeypatch.setattr(session, "TASK_ROWS", 10**9)
+    assert {(r["rid"], r["pos"]): r for r in R.q_ndjson_file_roundtrip(spark, sf).collect()} == small
+
+
+def test_shuffles_of_the_written_lines_are_dropped(spark, tmp_dir):
+    """What a write inside ``shuffles_dropped`` shuffled leaves the disk with its end; the setting is as before then."""
+    import glob
+    import time
+
+    from rankfold.session import shuffles_dropped
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+    before = spark.conf.get(key, None)
+    old = files()
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(os.path.join(tmp_dir, "t"))
+    for _ in range(100):
+        if not files() - old:
+            break
+        time.sleep(0.1)
+    assert not files() - old and spark.read.parquet(os.path.join(tmp_dir, "t")).count() == 1000
+    assert spark.conf.get(key, None) == before
+    with pytest.raises(ZeroDivisionError):
+        with shuffles_dropped(spark):
+            1 / 0
+    assert spark.conf.get(key, None) == before
+
+
+def test_reader_makes_columns_before_it_numbers(spark, tmp_dir):
+    """Positions by nested files and lines, also for asked columns, a condition, rows without a session and more tasks."""
+    for k, part in enumerate(["b", "a", "a/c"]):
+        _ndjson(os.path.join(tmp_dir, "in", part, "x"), [json.dumps({"rid": ["s", "t", None][i % 3], "score": k * 10 + i, "platform": "p%d" % (i % 2),
+                                                                       "features": [[i, "inf"]]}) for i in range(7)])
+    path = os.path.join(tmp_dir, "in", "*", "x"), os.path.join(tmp_dir, "in", "a", "c", "x")
+    whole = X.read_impressions(spark, list(path))
+    assert [c for c in whole.columns if c not in [f.name for f in X.RAW_SCHEMA.fields]] == ["pos"]
+    order = lambda rows: sorted((r["rid"] or "", r["pos"], r["score"]) for r in rows)
+    want, seen = [], {}
+    for k in (2, 1, 0):  # a/c/x, a/x, b/x
+        for i in range(7):
+            rid = ["s", "t", ""][i % 3]
+            want.append((rid, seen.get(rid, 0) if rid else 0, k * 10.0 + i))
+            seen[rid] = seen.get(rid, 0) + 1
+    assert order(whole.collect()) == sorted(want)
+    for rows in (None, 21, 10**8):
+        asked = X.read_impressions(spark, list(path), columns=["rid", "score", F.col("features")[0][1].alias("v")], rows=rows)
+        moved = _exchanges(asked)
+        assert len(moved) == 1 and "hashpartitioning(rid" in moved[0] and "_alone" in moved[0]
+        assert asked.columns == ["rid", "score", "v", "pos"] and order(asked.collect()) == sorted(want)
+        assert {r["v"] for r in asked.collect()} == {float("inf")}
+    placed = X.read_impressions(spark, list(path), extra_columns={"pos": LongType()})  # a column of that name in the files gives way
+    assert placed.columns.count("pos") == 1 and order(placed.collect()) == sorted(want)
+    some = X.read_impressions(spark, list(path), where=F.col("platform") == "p1", columns=["rid", "score"])
+    assert order(some.collect()) == sorted((r, p, s) for r, p, s in _numbered_again(want, lambda s: s % 10 % 2 == 1))
+
+
+def _numbered_again(rows, keep):
+    seen, out = {}, []
+    for rid, _, score in rows:
+        if keep(score):
+            out.append((rid, seen.get(rid, 0) if rid else 0, score))
+            seen[rid] = seen.get(rid, 0) + 1
+    return out
+
+
+def test_tasks_keep_to_what_is_dealt_unsorted(spark, monkeypatch):
+    """Up to a quarter more rows a task where the number of tasks then needs no sorting by the dealing task."""
+    from rankfold import session
+
+    monkeypatch.setattr(session, "TASK_ROWS", 1000)
+    assert [session.tasks_for(spark, n) for n in (200_000, 200_001, 250_000, 250_001)] == [200, 200, 200, 251]
